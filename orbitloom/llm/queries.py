@@ -1,9 +1,12 @@
 """Registry of this subpackage's queries and of their DuckDB oracles."""
 
 from orbitloom.llm.licenses import op10_license_scan
+from orbitloom.llm.mixing import op7_mixing
+from orbitloom.llm.packing import op4_packing
 from orbitloom.llm.personal_data import op8_personal_data
+from orbitloom.llm.sharding import op2_sharding
 from orbitloom.llm.token_counts import op9_token_counts
 from orbitloom.llm.transport_stream import op1_transport_stream
 
-QUERIES = {f.__name__: f for f in (op1_transport_stream, op8_personal_data, op9_token_counts, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_transport_stream, op2_sharding, op4_packing, op7_mixing, op8_personal_data, op9_token_counts, op10_license_scan)}
 ORACLES: dict[str, str] = {}

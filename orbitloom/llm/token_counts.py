@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from orbitloom.llm.common import map_rows, table
 
 SPACE = "▁"
-#: Entries of a worker's cache of counts by word; a full cache is emptied, so its memory is bounded.
-CACHE_ENTRIES = 500_000
+#: Entries of a worker's cache of counts by stretch. A full cache becomes the old one, from which stretches in use are taken over, so twice as many are held at most.
+CACHE_ENTRIES = 700_000
 #: Longer stretches without a space aren't kept in the cache.
 CACHE_CHARS = 64
 
@@ -25,8 +25,8 @@ class PieceCounter:
     A text becomes symbols, one a character (a space is the mark SPACE, and one stands before the text). A heap holds the adjacent pairs
     that form a piece, the piece of lowest rank first and of equal ranks the leftmost; a linked list holds the symbols.
     Each popped pair that still stands merges. Tokens are the initial symbols minus the merges; a symbol that's no piece
-    counts its UTF-8 bytes. No piece has the mark after another character (checked on loading), nor a line feed, so no
-    merge crosses those places and the stretches between them are counted alone.
+    counts its UTF-8 bytes. No piece has the mark after another character (checked on loading), nor a line feed, nor a
+    comma or full stop after a letter, so no merge crosses those places and the stretches between them are counted alone.
     """
 
     def __init__(self, path: str):
@@ -41,8 +41,11 @@ class PieceCounter:
             raise ValueError("only models with an identity normaliser, a leading space and no extra symbols")
         if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p, _ in pieces):
             raise ValueError("only models whose pieces don't cross a space or line feed")
+        if any(a.isalpha() and b in ".," for p, _ in pieces for a, b in zip(p, p[1:])):
+            raise ValueError("only models whose pieces don't have a comma or full stop after a letter")
         self.rank = {p: -score for p, score in pieces}
         self.known: dict[str, int] = {}
+        self.old: dict[str, int] = {}
 
     def merged(self, s: str) -> int:
         rank, n = self.rank, len(s)
@@ -67,28 +70,27 @@ class PieceCounter:
         return tokens
 
     def stretch(self, s: str) -> int:
-        if (n := self.known.get(s)) is None:
-            n = self.merged(s)
-            if len(s) <= CACHE_CHARS:
-                if len(self.known) >= CACHE_ENTRIES:
-                    self.known.clear()
-                self.known[s] = n
+        if (n := self.known.get(s)) is not None:
+            return n
+        if (n := self.old.get(s)) is None:
+            n = self.stretch(s[:-1]) + self.merged(s[-1]) if s[-1] in ".," and s[-2:-1].isalpha() else self.merged(s)
+        if len(s) <= CACHE_CHARS:
+            if len(self.known) >= CACHE_ENTRIES:
+                self.old, self.known = self.known, {}
+            self.known[s] = n
         return n
 
     def count(self, text: str) -> int:
         if not text:
             return 0
-        total, get, stretch = 0, self.known.get, self.stretch
-        first = True
+        total, stretch, first = 0, self.stretch, True
         for line in text.split("\n"):
             # within a line, each space starts a stretch; runs of spaces belong to the stretch that follows them
             if not first:
                 total += 1  # the line feed, one byte
-            words = line.split(" ")
+            words, get = line.split(" "), self.known.get
             if "" not in words and SPACE not in line:
-                head = SPACE + words[0] if first else words[0]
-                n = get(head)
-                total += stretch(head) if n is None else n
+                total += stretch(SPACE + words[0] if first else words[0])
                 for w in words[1:]:
                     n = get(w := SPACE + w)
                     total += stretch(w) if n is None else n
