@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import map_rows, table
+from orbitloom.llm.common import map_rows, stored, table
 
 #: Categories kept of each dimension, the heaviest by tokens; the rest share OTHER. They bound the table of cells.
 CATEGORIES = {"source": 500, "lang": 50, "topic": 10}
@@ -97,8 +97,8 @@ def share_targets(found: np.ndarray, names: list[str], target: float | dict[str,
     return out / max(out.sum(), 1e-300)
 
 
-def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None, budget: float = BUDGET, seed: int = 1, order: str = "doc_id") -> DataFrame:
-    """The columns in keep, which hold `source`, `lang` and the column named in order, with tokens, topic, weight, probability and kept.
+def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None, budget: float = BUDGET, seed: int = 1, order: str = "doc_id", prefix: str = "") -> DataFrame:
+    """The columns in keep, which hold `source`, `lang` and the column named in order, with tokens, topic, weight, probability and kept, these with the prefix before their names.
 
     Tokens are summed by cell (source, language, topic) and the cells, at most the product of CATEGORIES and as many more for OTHER, are raked on the
     driver and broadcast back. A row is kept if a hash of its `order` value, uniform in 0 to 1, is under its probability, so equal ids share a fate. A null source or language is a category of its
@@ -107,27 +107,26 @@ def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None
     spark, targets = df.sparkSession, targets or TARGETS
     dims = list(CATEGORIES)
     rows = with_topics(df, text, keep)
+    rows = rows.toDF(*keep, "_tokens", "_topic")
     for d in ("source", "lang"):
         rows = rows.withColumn(f"_{d}", F.coalesce(F.col(d).cast("string"), F.lit("(null)")))
-    rows = rows.withColumn("_topic", F.col("topic"))
     names: dict[str, list[str]] = {}
-    cells = rows.groupBy("_source", "_lang", "_topic").agg(F.sum("tokens").alias("tokens")).cache()  # read once for each dimension and once for the cells
+    cells = stored(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "cells")
     for d in dims:
-        names[d] = [r[f"_{d}"] for r in cells.groupBy(f"_{d}").agg(F.sum("tokens").alias("n")).orderBy(F.desc("n"), f"_{d}").limit(CATEGORIES[d]).collect()] + [OTHER]
+        names[d] = [r[f"_{d}"] for r in cells.groupBy(f"_{d}").agg(F.sum("_tokens").alias("n")).orderBy(F.desc("n"), f"_{d}").limit(CATEGORIES[d]).collect()] + [OTHER]
     folded = {d: F.when(F.col(f"_{d}").isin(names[d]), F.col(f"_{d}")).otherwise(OTHER) for d in dims}
     mass = np.zeros([len(names[d]) for d in dims])
     index = {d: {n: k for k, n in enumerate(names[d])} for d in dims}
-    for r in cells.select(*(folded[d].alias(d) for d in dims), "tokens").groupBy(*dims).agg(F.sum("tokens").alias("tokens")).collect():
+    for r in cells.select(*(folded[d].alias(d) for d in dims), "_tokens").groupBy(*dims).agg(F.sum("_tokens").alias("tokens")).collect():
         mass[tuple(index[d][r[d]] for d in dims)] = r["tokens"] or 0
-    cells.unpersist()
     weight = rake(mass, [share_targets(mass.sum(tuple(k for k in range(3) if k != axis)), names[d], targets[d]) for axis, d in enumerate(dims)])
     chance = probabilities(mass, weight, budget)
     plan = [(*(names[d][k] for d, k in zip(dims, at, strict=True)), float(weight[at]), float(chance[at])) for at in zip(*(x.tolist() for x in np.nonzero(mass)), strict=True)]
-    plan_df = spark.createDataFrame(plan, "_s string, _l string, _t string, weight double, probability double")
+    plan_df = spark.createDataFrame(plan, "_s string, _l string, _t string, _weight double, _probability double")
     joined = rows.join(F.broadcast(plan_df), (folded["source"] == F.col("_s")) & (folded["lang"] == F.col("_l")) & (folded["topic"] == F.col("_t")), "left")
     luck = F.pmod(F.xxhash64(F.coalesce(F.col(order).cast("string"), F.lit("(null)")), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    joined = joined.withColumns({"weight": F.coalesce("weight", F.lit(1.0)), "probability": F.coalesce("probability", F.lit(1.0))})
-    return joined.withColumn("kept", luck < F.col("probability")).select(*keep, "tokens", "topic", "weight", "probability", "kept")
+    joined = joined.withColumns({"_weight": F.coalesce("_weight", F.lit(1.0)), "_probability": F.coalesce("_probability", F.lit(1.0))}).withColumn("_kept", luck < F.col("_probability"))
+    return joined.select(*keep, *(F.col(f"_{c}").alias(prefix + c) for c in ("tokens", "topic", "weight", "probability", "kept")))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

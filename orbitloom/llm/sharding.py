@@ -102,7 +102,7 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.xxhash64(data, F.length(data)).alias("hub"))
     nodes = stored(docs.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    shared = nodes.groupBy("hub").count().filter("count > 1").select("hub")
+    shared = stored(nodes.groupBy("hub").count().filter("count > 1").select("hub"), "hubs")
     links = stored(nodes.select("node", "hub").join(shared, "hub"), "links")
     found = balanced_shards(nodes, links)
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -134,8 +134,8 @@ def regression(each: list[np.ndarray], label: np.ndarray, ratio: np.ndarray) ->
     return theta[:-1] * ratio, float(theta[-1])
 
 
-def scored(df: DataFrame, text: str, model: Model) -> DataFrame:
-    """All rows and columns with `score`, 0 to 1, of the whole text (null: empty)."""
+def scored(df: DataFrame, text: str, model: Model, name: str = "score") -> DataFrame:
+    """All rows and columns with a score, 0 to 1, of the whole text (null: empty) in the column named."""
     shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text)
 
@@ -143,17 +143,10 @@ def scored(df: DataFrame, text: str, model: Model) -> DataFrame:
         score = shared.value.score
         return lambda row: [(*row, score(row[at] or ""))]
 
-    return map_rows(df, make, ", ".join([*(f"`{c}` {kind}" for c, kind in df.dtypes), "score double"]))
+    return map_rows(df, make, ", ".join([*(f"`{c}` {kind}" for c, kind in df.dtypes), f"`{name}` double"]))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    shared = spark.sparkContext.broadcast(model)
-
-    def make() -> Callable[[tuple], Iterable[tuple]]:
-        score = shared.value.score
-        return lambda row: [(row[0], score(row[1] or ""))]
-
-    found = map_rows(docs, make, "doc_id long, score double")
+    found = scored(docs, "text", fit(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", (~training_part()).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
