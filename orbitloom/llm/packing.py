@@ -61,8 +61,9 @@ class Identifiers:
             if len(self.known) > CACHE_WORDS:
                 self.old, self.known = self.known, {"": b""}
                 new = set(words).difference(self.known)
-            self.known.update((w, self.old[w]) for w in new.intersection(self.old))
-            new = new.difference(self.known)
+            if old := [w for w in new if w in self.old]:
+                self.known.update((w, self.old[w]) for w in old)
+                new.difference_update(old)
             own = {w: self.plain(w) for w in new if len(w) > CACHE_CHARS}
             self.learn(new.difference(own))
             if own:
