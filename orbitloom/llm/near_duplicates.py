@@ -17,8 +17,10 @@ from orbitloom.llm.components import components
 FREQUENT, TASK_FREQUENT = 300_000, 30_000
 #: Tokens that a task counts before it forgets those it saw once.
 TASK_TOKENS = 4_000_000
-#: Most candidate ids (8 bytes each) that are broadcast; more are joined by a shuffle.
+#: Most ids, or rows of a few numbers, that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 250_000
+#: Partners that meet one copy of a leading text.
+PARTNERS = 1_000
 #: Bytes that are hashed at once.
 SEGMENT = 1 << 20
 
@@ -185,8 +187,8 @@ class Join:
         #: Documents with equal sets are one class; its least id represents it.
         self.classes = stored(self.rows.filter("n > 0 and id is not null").groupBy("fingerprint", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
 
-    def entries(self) -> DataFrame:
-        """(token, rep, n, pos): the prefix of each representative under the first order."""
+    def prefixes(self) -> DataFrame:
+        """(rep, n, prefix): the prefix of each representative under the first order."""
         width, percent, orders = self.width, self.percent, self.orders
 
         def make() -> Callable[[tuple], Iterable[tuple]]:
@@ -199,7 +201,7 @@ class Join:
 
         reps = self.classes.select(F.col("rep").alias("id"), "n")
         prefixes = map_rows(self.docs, make, "id long, n long, prefix array<long>").join(reps, ["id", "n"])
-        return prefixes.select(F.col("id").alias("rep"), "n", F.posexplode("prefix").alias("pos", "token"))
+        return prefixes.select(F.col("id").alias("rep"), "n", "prefix")
 
     def may_link(self, n: str, pos: str, m: str, at: str) -> Column:
         """The first common token of two prefixes leaves enough tokens behind it in both sets."""
@@ -207,30 +209,39 @@ class Join:
         return F.expr(f"{n} * 100 >= {self.percent} * {m} and {m} * 100 >= {self.percent} * {n}") & (F.expr(f"least({n} - {pos}, {m} - {at})") * (100 + self.percent) >= need)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked ones of pairs (a, b): they must share prefix tokens under the second and third order as well, then the whole sets are compared."""
-        pairs = stored(pairs, "pairs")
-        ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "candidates")
-        few = ids.count() <= BROADCAST_IDS
+        """(a, b): the linked ones of pairs (lead, member), which occur once each.
+
+        Texts are dealt by lead, each block of PARTNERS members with a copy of the lead's text, and stream past it in order, so a task holds
+        two texts however many members a lead has. A pair must share prefix tokens under the second and the third order
+        as well; only then are the whole sets compared.
+        """
+        counts = pairs.groupBy("lead").agg(F.ceil(F.count("*") / PARTNERS).alias("blocks"))
+        members = pairs.join(counts, "lead").select("lead", F.pmod(F.xxhash64("member"), "blocks").alias("block"), F.col("member").alias("id"), F.lit(1).alias("place"))
+        leads = counts.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("lead").alias("id"), F.lit(0).alias("place"))
+        rows = stored(members.unionByName(leads), "pairs")
+        rows = F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+        texts = self.docs.join(rows, "id").repartition("lead", "block").sortWithinPartitions("lead", "block", "place").select("lead", "block", "place", "id", "text")
         width, percent, orders = self.width, self.percent, self.orders
 
         def make() -> Callable[[tuple], Iterable[tuple]]:
+            key, first, prefixes = None, np.zeros(0, np.uint64), ()
+
             def row(values: tuple) -> Iterable[tuple]:
-                s = shingles(values[1] or "", width)
+                nonlocal key, first, prefixes
+                lead, block, place, id_, text = values
+                s = shingles(text or "", width)
                 length = len(s) - least_overlap(len(s), percent) + 1
-                yield values[0], longs(orders.value.prefix(s, 2, length)), longs(orders.value.prefix(s, 3, length)), longs(s)
+                own = tuple(orders.value.prefix(s, k, length) for k in (2, 3))
+                if not place:
+                    key, first, prefixes = (lead, block), s, own
+                elif key == (lead, block) and all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(prefixes, own, strict=True)):
+                    shared = len(np.intersect1d(first, s, assume_unique=True))
+                    if shared * 100 >= percent * (len(first) + len(s) - shared):
+                        yield min(lead, id_), max(lead, id_)
 
             return row
 
-        texts = self.docs.join(F.broadcast(ids) if few else ids, "id", "left_semi")
-        sets = stored(map_rows(texts, make, "id long, second array<long>, third array<long>, tokens array<long>"), "sets")
-        for names in (("second", "third"), ("tokens",)):
-            for side in ("a", "b"):
-                pairs = pairs.join(sets.select(F.col("id").alias(side), *(F.col(x).alias(f"{x}_{side}") for x in names)), side)
-            if names[0] == "second":
-                pairs = stored(pairs.filter("arrays_overlap(second_a, second_b) and arrays_overlap(third_a, third_b)").select("a", "b").distinct(), "pairs")
-        shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        union = F.size("tokens_a") + F.size("tokens_b") - shared
-        return pairs.filter(shared * 100 >= self.percent * union).select("a", "b").distinct()
+        return map_rows(texts, make, "a long, b long").distinct()
 
     def links(self) -> DataFrame:
         """(a, b) between representatives: enough of the links for every connection.
@@ -239,19 +250,21 @@ class Join:
         together by a number of pairs that is linear in them. Then all candidate pairs between different groups are
         verified, which leaves out only pairs that are connected already.
         """
-        entries = stored(self.entries(), "entries")
-        leads = entries.groupBy("token").agg(F.count("*").alias("holders"), F.min(F.struct("pos", "rep", "n")).alias("lead")).filter("holders > 1")
-        shared = stored(entries.join(leads.select("token", "lead"), "token"), "shared")
-        led = shared.filter("rep <> lead.rep").filter(self.may_link("n", "pos", "lead.n", "lead.pos"))
-        first = stored(self.verified(led.select(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).distinct()), "links")
+        prefixes = stored(self.prefixes(), "prefixes")
+        entries = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
+        often = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1").select("token")
+        shared = stored(entries.join(often, "token"), "shared")
+        leads = shared.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("lead"))
+        led = shared.join(leads, "token").filter("rep <> lead.rep").filter(self.may_link("n", "pos", "lead.n", "lead.pos"))
+        once = led.groupBy(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).agg(F.min("lead.rep").alias("lead"))
+        first = stored(self.verified(stored(once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member")), "led")), "links")
         groups = components(first)
-        held = shared.select("token", "rep", "n", "pos").join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        held = stored(held, "held")
-        mixed = held.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token")
+        held = stored(shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
+        mixed = stored(held.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "mixed")
         open_ = stored(held.join(mixed, "token"), "open")
         other = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "pos", "component")))
         pairs = open_.join(other, "token").filter("component < component_b").filter(self.may_link("n", "pos", "n_b", "pos_b"))
-        second = self.verified(pairs.select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct())
+        second = self.verified(stored(pairs.select(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member")).distinct(), "crossing"))
         return first.unionByName(second)
 
     def result(self) -> DataFrame:
