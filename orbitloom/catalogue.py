@@ -1,8 +1,699 @@
-"""Registry of the queries of the satellite jobs and of their DuckDB oracles."""
+"""Registry of the queries of the satellite jobs, each with DuckDB SQL for the same rows where SQL can express it."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orbitloom.functions import scalars
+from orbitloom.functions.constants import BAND_ALIASES, BANDS, S1_MEAN, S1_STD, S2_MEAN, S2_STD
+from orbitloom.operators import cloudmask, embed, optical, pixels, radar, resample, scenes
+from orbitloom.plans import workloads
+from orbitloom.sources import arrays, catalogues
+from orbitloom.sources.storage import new_path, stored
+from orbitloom.sources.views import view, view_sql
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+#: Per cent of coverage at which the test tables both keep and drop dates; slots of the samples; patches of the 8 x 8 images.
+COVERAGE, SLOTS, MANY_SLOTS, PATCH, OVERLAP = 70.0, 40, 64, 5, 2
+INVALID = "(0, 1, 2, 3, 8, 9)"
+BASE_URL = "https://data.example.org/radar"
+
+
+def harmonised(v: str) -> str:
+    return f"case when obs_date > date '2022-01-25' and {v} >= 1000 then {v} - 1000 else {v} end"
+
+
+def db(a: str) -> str:
+    return f"case when {a} > 0 and {a} < 'inf'::double and not isnan({a}) then cast(trunc(greatest(least((20 * log10({a}) + 50) * 200, 32767), 0)) as int) else 0 end"
+
+
+B = [f"b{i}" for i in range(len(BANDS))]
+#: Derived tables for the oracles, by name, with what each builds on.
+TABLES: dict[str, tuple[str, tuple[str, ...]]] = {name: (view_sql(name, "duckdb"), ()) for name in ("scl_obs", "band_obs", "sar_obs", "scenes", "tiles", "roi")}
+TABLES |= {
+    "sel": (f"select tile_id, obs_date, y20, x20, min(item_ord) item_ord from scl_obs where scl not in {INVALID} group by all", ("scl_obs",)),
+    "cov": ("select tile_id, obs_date, count(*) selected, 100.0 * count(*) / 64 coverage, 100.0 * count(*) / 64 >= 70 kept from sel group by all", ("sel",)),
+    "obs": ("select b.*, s.scl from band_obs b join scl_obs s on b.tile_id = s.tile_id and b.obs_date = s.obs_date and b.item_ord = s.item_ord and b.y = s.y20 and b.x = s.x20", ("band_obs", "scl_obs")),
+    "s2_raw": (f"select tile_id, obs_date, y, x, max(case when scl not in {INVALID} then 1 else 0 end) mask, {', '.join(f'coalesce(arg_min({b}, item_ord) filter (scl not in {INVALID}), max({b}) filter (item_ord = 0), 0) {b}' for b in B)} from obs group by tile_id, obs_date, y, x", ("obs",)),
+    "s2_all": (f"select tile_id, obs_date, dayofyear(obs_date) doy, y, x, mask, {', '.join(f'{harmonised(b)} {b}' for b in B)} from s2_raw", ("s2_raw",)),
+    "s2": ("select s.* from s2_all s join cov c on s.tile_id = c.tile_id and s.obs_date = c.obs_date and c.kept", ("s2_all", "cov")),
+    "dbs": (f"select tile_id, orbit, obs_date, item_ord, y, x, {db('vv')} vv, {db('vh')} vh from sar_obs", ("sar_obs",)),
+    "s1_mean": ("select tile_id, orbit, obs_date, y, x, coalesce(cast(trunc(avg(vv) filter (vv > 0)) as int), 0) vv, coalesce(cast(trunc(avg(vh) filter (vh > 0)) as int), 0) vh from dbs group by all", ("dbs",)),
+    "s1": ("select tile_id, case orbit when 'ascending' then 'ascending' else 'descending' end orbit_dir, orbit, obs_date, dayofyear(obs_date) doy, y, x, vv, vh from (select *, max(greatest(vv, vh)) over (partition by tile_id, obs_date, orbit) most from s1_mean) m where most > 0", ("s1_mean",)),
+    "times": ("select tile_id, obs_date, doy, row_number() over (partition by tile_id order by obs_date) - 1 t from (select distinct tile_id, obs_date, doy from s2) d", ("s2",)),
+    "line": ("select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date, orbit) - 1 t from (select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1) d", ("s1",)),
+    "water": (f"select tile_id, y20, x20, count(*) filter (scl = 6) water, count(*) filter (scl not in {INVALID}) valid, coalesce(count(*) filter (scl = 6) / nullif(count(*) filter (scl not in {INVALID}), 0) > 0.8, false) is_water from scl_obs group by all", ("scl_obs",)),
+    "counts": ("select p.*, coalesce(s1_asc, 0) s1_asc, coalesce(s1_desc, 0) s1_desc from (select tile_id, y, x, count(*) filter (mask = 1) s2_valid, bool_or(" + " or ".join(f"{b} <> 0" for b in B) + ") s2_any from s2 group by all) p left join (select tile_id, y, x, count(*) filter (orbit_dir = 'ascending' and (vv <> 0 or vh <> 0)) s1_asc, count(*) filter (orbit_dir = 'descending' and (vv <> 0 or vh <> 0)) s1_desc from s1 group by all) r using (tile_id, y, x)", ("s2", "s1")),
+    "emb": ("select vec_id, cast(vec_id % 4 as int) tile_id, cast(floor(vec_id / 64) as int) y, cast(floor(vec_id / 4) % 16 as int) x, list_transform(embedding, lambda v: v::double) emb, label from embeddings", ()),
+    "quant": ("select vec_id, tile_id, y, x, label, scale, list_transform(emb, lambda v: greatest(least(round_even(v / scale, 0), 127), -128)::int) q from (select *, greatest(list_max(list_transform(emb, lambda v: abs(v))) / 127, 1e-8) scale from emb) e", ("emb",)),
+    "chan": ("select tile_id, obs_date, y, x, 0 c, b0 v from s2 union all select tile_id, obs_date, y, x, 1, b2 from s2 union all select tile_id, obs_date, y, x, 2, b4 from s2", ("s2",)),
+    "norm": ("select c.tile_id, c.obs_date, c.y, c.x, c.c, case when v <> 0 then (v - mean) / case when std = 0 then 1 else std end else 0 end norm from chan c join (select tile_id, obs_date, c, avg(v) filter (v <> 0) mean, stddev_pop(v) filter (v <> 0) std from chan group by all) s on c.tile_id = s.tile_id and c.obs_date = s.obs_date and c.c = s.c", ("chan",)),
+    "patch": ("select distinct greatest(least(a.s, 3), 0)::int top, greatest(least(b.s, 3), 0)::int \"left\" from (select unnest(range(0, 8, 3)) s) a, (select unnest(range(0, 8, 3)) s) b", ()),
+    "ppix": ("select p.tile_id, p.obs_date, p.y, p.x, top, \"left\", p.y - top i, p.x - \"left\" j, n0, n1, n2, (case when p.y - top < 2 then (p.y - top + 1) / 2.0::double when p.y - top >= 3 then (5 - (p.y - top)) / 2.0::double else 1 end) * (case when p.x - \"left\" < 2 then (p.x - \"left\" + 1) / 2.0::double when p.x - \"left\" >= 3 then (5 - (p.x - \"left\")) / 2.0::double else 1 end) w from (select tile_id, obs_date, y, x, max(norm) filter (c = 0) n0, max(norm) filter (c = 1) n1, max(norm) filter (c = 2) n2 from norm group by all) p join patch on p.y between top and top + 4 and p.x between \"left\" and \"left\" + 4", ("norm", "patch")),
+    "scores": ("select p.*, cls, 1.5 * (case cls when 0 then 0.5 * n0 + 0.25 * n1 - 0.25 * n2 when 1 then n0 - 0.5 * n1 + 0.25 * n2 when 2 then -0.75 * n0 + n1 + 0.5 * n2 else 0.25 * n0 + 0.5 * n1 - n2 end) score from ppix p, (select unnest(range(4)) cls) k", ("ppix",)),
+    "blend": ("select tile_id, obs_date, y, x, cls, sum(score * w) / sum(w) score from scores group by all", ("scores",)),
+    "classes": ("select tile_id, obs_date, y, x, arg_max(cls, (round(score, 9), -cls)) cls from blend group by all", ("blend",)),
+}
+
+
+def with_tables(sql: str, names: tuple[str, ...]) -> str:
+    """DuckDB SQL that sees the derived tables named and all that they build on."""
+    order: list[str] = []
+
+    def need(name: str) -> None:
+        for x in TABLES[name][1]:
+            need(x)
+        if name not in order:
+            order.append(name)
+
+    for n in names:
+        need(n)
+    return f"with {', '.join(f'{n} as ({TABLES[n][0]})' for n in order)} {sql}" if order else sql
+
+
+def query(sql: str | None = None, *tables: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = with_tables(sql, tables)
+        return f
+
+    return register
+
+
+# ---- tables that several queries start from
+
+
+def bands(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "band_obs").select("tile_id", "obs_date", "item_ord", "y", "x", F.array(*B).alias("bands"))
+
+
+def observations(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.with_classes(bands(spark, sf), view(spark, sf, "scl_obs"), ratio=1)
+
+
+def totals(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "tiles").select("tile_id", F.expr("height * width").alias("total"))
+
+
+def s2_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return workloads.optical_composite(observations(spark, sf), totals(spark, sf), least=COVERAGE)
+
+
+def s1_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return workloads.radar_composite(view(spark, sf, "sar_obs"))
+
+
+def flat_bands(df: DataFrame, *before: str) -> DataFrame:
+    return df.select(*before, *(F.get("bands", F.lit(i)).alias(b) for i, b in enumerate(B)))
+
+
+def vectors(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return rows.selectExpr("vec_id", "cast(vec_id % 4 as int) tile_id", "cast(floor(vec_id / 64) as int) y", "cast(floor(vec_id / 4) % 16 as int) x", "embedding emb", "label")
+
+
+def scene_table(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "scenes")
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """Usable dates of each tile with a summary of their clear composite, at the usual threshold."""
+    s2 = workloads.optical_composite(observations(spark, sf), totals(spark, sf))
+    return s2.groupBy("tile_id", "obs_date", "doy").agg(F.count_if(F.col("mask") == 1).alias("clear"), *(F.sum(F.when(F.col("mask") == 1, F.get("bands", F.lit(i)))).alias(f"sum_{n.lower()}") for i, n in enumerate(BANDS)))
+
+
+# ---- sources and sinks
+
+
+@query("select item_id::varchar item_id, collection, obs_date, tile_id::varchar tile_id, cloud_cover, coalesce(orbit_state, 'unknown') orbit_state, xmin, 's3://scenes/' || item_id || '/SCL.tif' scl from scenes", "scenes")
+def read_scene_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    s = scene_table(spark, sf)
+    properties = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime"), "cloud_cover", F.col("tile_id").cast("string").alias("tile"), "orbit_state")
+    assets = F.create_map(F.lit("SCL"), F.struct(F.concat(F.lit("s3://scenes/"), "item_id", F.lit("/SCL.tif")).alias("href")))
+    text = s.select(F.to_json(F.struct(F.col("item_id").cast("string").alias("id"), "collection", F.array("xmin", "ymin", "xmax", "ymax").alias("bbox"), properties.alias("properties"), assets.alias("assets"))).alias("value"))
+    path = new_path(spark, "catalogue")
+    text.write.text(path)
+    return catalogues.read_scene_catalog(spark, path).select("item_id", "collection", "obs_date", "tile_id", "cloud_cover", "orbit_state", "xmin", F.col("assets")["SCL"].alias("scl"))
+
+
+FEED = "select event_id // 100 page, row_number() over (partition by event_id // 100 order by event_id) - 1 pos, event_id, case when event_id % 17 = 0 then '' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end time_start, case when value < 20 then '' else 'G' || event_id end title, ts::date obs_date from events"
+
+
+@query(f"select page * 1000000 + pos ord, title, obs_date from ({FEED}) f where time_start <> '' and title <> ''")
+def read_granule_feed(spark: SparkSession, sf: str) -> DataFrame:
+    return feed(spark, sf)
+
+
+def feed(spark: SparkSession, sf: str) -> DataFrame:
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    entry = F.struct("event_id", F.when(F.col("event_id") % 17 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("time_start"), F.when(F.col("value") < 20, "").otherwise(F.concat(F.lit("G"), "event_id")).alias("title"))
+    pages = events.groupBy(F.floor(F.col("event_id") / 100).alias("page_no")).agg(F.array_sort(F.collect_list(entry)).alias("entry"))
+    return scenes.parse_granules(pages.select("page_no", F.to_json(F.struct(F.struct("entry").alias("feed"))).alias("page")))
+
+
+def cubes_by_tile(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Both cubes with a time index, as the array files hold them."""
+    s2, s1 = s2_cube(spark, sf), s1_cube(spark, sf)
+    times, line = pixels.time_index(s2), radar.timeline(s1, view(spark, sf, "tiles"))
+    own = F.col("tile_id").cast("string").alias("tile")
+    s2 = s2.join(F.broadcast(times.drop("doy")), ["tile_id", "obs_date"]).select(own, "t", "y", "x", "doy", "bands", F.col("mask").cast("int").alias("mask"))
+    first = line.groupBy("tile_id", "orbit_dir").agg(F.min("t").alias("t0"))
+    line = line.join(first, ["tile_id", "orbit_dir"]).select("tile_id", "orbit_dir", "orbit", "obs_date", (F.col("t") - F.col("t0")).cast("int").alias("t"))
+    s1 = s1.join(F.broadcast(line), ["tile_id", "orbit_dir", "orbit", "obs_date"]).select(own, "orbit_dir", "t", "y", "x", "doy", "vv", "vh")
+    return stored(s2, "s2"), stored(s1, "s1")
+
+
+@query(
+    "select tile_id::varchar tile, name, case name when 'bands' then 128 + n * 1280 when 'masks' then 128 + n * 64 when 'doys' then 128 + n * 2 end size from (select tile_id, count(*) n from times group by 1) c, (select unnest(['bands', 'masks', 'doys']) name) k"
+    " union all select tile_id::varchar, 'sar_' || orbit_dir || suffix, case suffix when '' then 128 + n * 256 else 128 + n * 2 end from (select tile_id, orbit_dir, count(*) n from line group by 1, 2) c, (select unnest(['', '_doy']) suffix) k",
+    "times", "line",
+)
+def write_cube_npy(spark: SparkSession, sf: str) -> DataFrame:
+    return arrays.write_cube_npy(*cubes_by_tile(spark, sf), new_path(spark, "cubes"), 8, 8)
+
+
+@query(f"select s.tile_id::varchar tile, t, y, x, s.doy, mask, {', '.join(B)} from s2 s join times using (tile_id, obs_date) union all select d.tile_id::varchar, t, y, x, doy, 0, {', '.join('0' for _ in B)} from (select tile_id, t, doy, y, x from times, (select unnest(range(8)) y) a, (select unnest(range(8)) x) b) d anti join (select tile_id, t, y, x from s2 join times using (tile_id, obs_date)) h using (tile_id, t, y, x)", "s2", "times")
+def read_cube_npy(spark: SparkSession, sf: str) -> DataFrame:
+    """The cubes are written as array files and read again; cells that no observation reached are zeros."""
+    folder = new_path(spark, "cubes")
+    stored(arrays.write_cube_npy(*cubes_by_tile(spark, sf), folder, 8, 8), "written")
+    s2, _ = arrays.read_cube_npy(spark, folder)
+    return flat_bands(s2, "tile", "t", "y", "x", "doy", "mask")
+
+
+@query("select tile_id, y, x, list_sum(q) q_sum, list_max(q) q_max, round(scale, 6) scale from quant", "quant")
+def write_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "vectors")
+    arrays.write_embeddings(vectors(spark, sf).drop("label"), path, "int8", block=8)
+    rows = spark.read.parquet(path)
+    q = F.transform("q", lambda v: v.cast("int"))
+    return rows.select("tile_id", "y", "x", F.aggregate(q, F.lit(0), lambda s, v: s + v).alias("q_sum"), F.array_max(q).alias("q_max"), F.round(F.col("scale").cast("double"), 6).alias("scale"))
+
+
+@query("select tile_id, y, x, coalesce(list_sum(q), 0) q_sum, coalesce(len(q), 64) n, coalesce(round(scale, 6), 0) scale from (select tile_id, y, x from (select unnest(range(4)) tile_id) t, (select unnest(range((select max(y) + 2 from emb))) y) a, (select unnest(range(16)) x) b) g left join quant using (tile_id, y, x)", "quant")
+def densify_grid(spark: SparkSession, sf: str) -> DataFrame:
+    rows = vectors(spark, sf)
+    height = rows.agg(F.max("y")).first()[0] + 2
+    full = embed.densify_grid(embed.quantised(rows).select("tile_id", "y", "x", "q", "scale"), height, 16, 64, spark.range(4).select(F.col("id").cast("int").alias("tile_id")))
+    return full.select("tile_id", "y", "x", F.aggregate("q", F.lit(0), lambda s, v: s + v.cast("int")).alias("q_sum"), F.size("q").alias("n"), F.round(F.col("scale").cast("double"), 6).alias("scale"))
+
+
+@query("select vec_id, i, v & 255 as_byte, v as_signed from (select vec_id, unnest(range(64)) i, unnest(q) v from quant) u", "quant")
+def int8_byte_reinterpret(spark: SparkSession, sf: str) -> DataFrame:
+    q = embed.quantised(vectors(spark, sf)).select("vec_id", F.posexplode("q").alias("i", "v"))
+    return q.select("vec_id", "i", scalars.to_unsigned(F.col("v")).alias("as_byte"), scalars.to_signed(scalars.to_unsigned(F.col("v"))).alias("as_signed"))
+
+
+# ---- projections and filters
+
+
+@query("select item_id, tile_id, obs_date, cloud_cover from scenes where collection = 'optical1' and obs_date between date '2024-01-05' and date '2024-01-20' and cloud_cover < 60 and xmin <= 50 and xmax >= 20 and ymin <= 45 and ymax >= 20", "scenes")
+def scene_search(spark: SparkSession, sf: str) -> DataFrame:
+    return scenes.scene_search(scene_table(spark, sf), "optical1", (20.0, 20.0, 50.0, 45.0), "2024-01-05", "2024-01-20", 60.0).select("item_id", "tile_id", "obs_date", "cloud_cover")
+
+
+@query(f"select tile_id, obs_date, item_ord, y20, x20, scl from scl_obs where scl not in {INVALID}", "scl_obs")
+def scl_valid(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.valid_observations(view(spark, sf, "scl_obs"))
+
+
+@query("select s.* from sar_obs s join roi r using (tile_id, y, x) where in_roi > 0", "sar_obs", "roi")
+def roi_filter(spark: SparkSession, sf: str) -> DataFrame:
+    rows = optical.inside(view(spark, sf, "sar_obs"), view(spark, sf, "roi"))
+    return rows.select("tile_id", "orbit", "obs_date", "item_ord", "y", "x", "vv", "vh")
+
+
+@query("select tile_id, orbit, obs_date, item_ord, y, x, vh from sar_obs where vh > 0", "sar_obs")
+def sar_valid(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "sar_obs").filter(scalars.amplitude_valid(F.col("vh"))).drop("vv")
+
+
+@query("select tile_id, y, x, s2_valid, s1_asc, s1_desc from counts where s2_any and s2_valid >= 60 and s1_asc + s1_desc >= 20", "counts")
+def valid_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    counts = pixels.pixel_counts(s2_cube(spark, sf), s1_cube(spark, sf))
+    return pixels.valid_pixels(counts, True, 60, 20).select("tile_id", "y", "x", "s2_valid", "s1_asc", "s1_desc")
+
+
+@query(f"select tile_id, obs_date, item_ord, y, x, {', '.join(f'{harmonised(b)} {b}' for b in B)} from band_obs", "band_obs")
+def harmonise(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bands(spark, sf).withColumn("bands", F.transform("bands", lambda v: scalars.harmonise(v, F.col("obs_date"))))
+    return flat_bands(rows, "tile_id", "obs_date", "item_ord", "y", "x")
+
+
+@query("select l_orderkey, l_linenumber, case l_orderkey % 7 when 0 then 0 when 1 then 65535 when 2 then 0 when 3 then 0 else cast(trunc(least(l_extendedprice, 65535)) as int) end v from lineitem")
+def clip_u16(spark: SparkSession, sf: str) -> DataFrame:
+    raw = F.expr("case l_orderkey % 7 when 0 then double('NaN') when 1 then double('Infinity') when 2 then double('-Infinity') when 3 then -l_extendedprice else l_extendedprice end")
+    return spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", scalars.clip_u16(raw).alias("v"))
+
+
+@query("select tile_id, orbit, obs_date, item_ord, y, x, case when in_roi > 0 then vv else 0 end vv, case when in_roi > 0 then vh else 0 end vh from dbs join roi using (tile_id, y, x)", "dbs", "roi")
+def amplitude_to_db(spark: SparkSession, sf: str) -> DataFrame:
+    rows = view(spark, sf, "sar_obs").join(view(spark, sf, "roi"), ["tile_id", "y", "x"])
+    return rows.select("tile_id", "orbit", "obs_date", "item_ord", "y", "x", *(scalars.amplitude_to_db(F.col(p), F.col("in_roi") > 0).alias(p) for p in ("vv", "vh")))
+
+
+@query("select event_id, ts::date obs_date, dayofyear(ts::date) doy from events")
+def day_of_year(spark: SparkSession, sf: str) -> DataFrame:
+    date = scalars.obs_date(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return spark.read.parquet(f"{sf}/events.parquet").select("event_id", date.alias("obs_date"), scalars.day_of_year(date).alias("doy"))
+
+
+@query(f"select tile_id, obs_date, y, x, doy, {', '.join(f'round(({b} - {m}::double) / ({s}::double + 1e-9::double), 6) {b}' for b, m, s in zip(B, S2_MEAN, S2_STD, strict=True))} from s2_all", "s2_all")
+def normalise_bands(spark: SparkSession, sf: str) -> DataFrame:
+    rows = optical.mosaic(observations(spark, sf))
+    rows = rows.withColumn("bands", scalars.normalise(F.col("bands"), S2_MEAN, S2_STD, F.col("doy")))
+    return rows.select("tile_id", "obs_date", "y", "x", F.get("bands", F.lit(10)).cast("int").alias("doy"), *(F.round(F.get("bands", F.lit(i)), 6).alias(b) for i, b in enumerate(B)))
+
+
+@query("select tile_id, y, x, y * 8 + x global_idx, y // 3 block_y, x // 3 block_x, least(3, 8 - y // 3 * 3) block_h, least(3, 8 - x // 3 * 3) block_w from roi", "roi")
+def grid_index(spark: SparkSession, sf: str) -> DataFrame:
+    by, bx = scalars.block_of(F.col("y"), F.col("x"), 3)
+    rows = view(spark, sf, "roi").select("tile_id", "y", "x", scalars.global_index(F.col("y"), F.col("x"), F.lit(8)).alias("global_idx"), by.alias("block_y"), bx.alias("block_x"))
+    own = pixels.blocks(view(spark, sf, "tiles"), 3).select("tile_id", "block_y", "block_x", F.col("height").alias("block_h"), F.col("width").alias("block_w"))
+    return rows.join(own, ["tile_id", "block_y", "block_x"])
+
+
+@query("select tile_id, obs_date, item_ord, y, x, y // 2 y20, x // 2 x20 from band_obs", "band_obs")
+def downscale_index(spark: SparkSession, sf: str) -> DataFrame:
+    return bands(spark, sf).select("tile_id", "obs_date", "item_ord", "y", "x", scalars.cell_of(F.col("y")).alias("y20"), scalars.cell_of(F.col("x")).alias("x20"))
+
+
+@query("select tile_id, obs_date, y20 * 2 + dy y, x20 * 2 + dx x, item_ord from sel, (select unnest([0, 1]) dy) a, (select unnest([0, 1]) dx) b where y20 * 2 + dy < 15 and x20 * 2 + dx < 13", "sel")
+def upscale_2x2(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.upscale(optical.tile_selection(view(spark, sf, "scl_obs")), 15, 13).select("tile_id", "obs_date", "y", "x", "item_ord")
+
+
+_PAIRS = ", ".join(f"('{b}', '{a}')" for b, a in zip(BANDS, BAND_ALIASES, strict=True))
+
+
+@query(f"select l_orderkey, l_linenumber, band, alias from (select l_orderkey, l_linenumber, list_extract([{', '.join(repr(b) for b in BANDS)}], cast(l_orderkey % 10 as int) + 1) band from lineitem) l join (values {_PAIRS}) p(band, alias) using (band)")
+def band_alias(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.get(F.array(*map(F.lit, BANDS)), (F.col("l_orderkey") % 10).cast("int")).alias("b"))
+    alias = scalars.band_alias(F.col("b"))
+    return rows.select("l_orderkey", "l_linenumber", scalars.band_of_alias(alias).alias("band"), alias.alias("alias"))
+
+
+@query(
+    "select page * 1000000 + pos ord, case when event_id % 2 = 0 then '/vsis3/bucket/' || title || '.v1.tif' else '/vsicurl/https://host.example/' || title || '.tif' end path, case when event_id % 2 = 0 then title || '.v1' else title end grid,"
+    f" '{BASE_URL}/' || title || '/' || title || '_VV.tif' vv_url, '{BASE_URL}/' || title || '/' || title || '_VH.tif' vh_url, title || '_VV' item_id from ({FEED}) f where time_start <> '' and title <> ''"
+)
+def asset_paths(spark: SparkSession, sf: str) -> DataFrame:
+    rows = scenes.granule_urls(feed(spark, sf), BASE_URL)
+    number = F.substring("title", 2, 20).cast("long")
+    url = F.when(number % 2 == 0, F.concat(F.lit("s3://bucket/"), "title", F.lit(".v1.tif"))).otherwise(F.concat(F.lit("https://host.example/"), "title", F.lit(".tif")))
+    path = F.element_at(F.create_map(F.lit("data"), url), "data")
+    return rows.select("ord", scalars.virtual_path(path).alias("path"), scalars.grid_name(path).alias("grid"), "vv_url", "vh_url", "item_id")
+
+
+@query("select vec_id, round(scale, 9) scale, unnest(range(64)) i, unnest(q) v from quant", "quant")
+def quantize_int8(spark: SparkSession, sf: str) -> DataFrame:
+    rows = vectors(spark, sf).select("vec_id", F.round(scalars.quantise_scale(F.col("emb")), 9).alias("scale"), scalars.quantise(F.col("emb")).alias("q"))
+    return rows.select("vec_id", "scale", F.posexplode("q").alias("i", "v")).withColumn("v", F.col("v").cast("int"))
+
+
+@query("select vec_id, unnest(range(64)) i, round(unnest(q) * scale, 6) v from quant where scale > 0", "quant")
+def dequantize(spark: SparkSession, sf: str) -> DataFrame:
+    rows = vectors(spark, sf).select("vec_id", scalars.quantise(F.col("emb")).alias("q"), scalars.quantise_scale(F.col("emb")).alias("scale")).filter("scale > 0")
+    return rows.select("vec_id", F.posexplode(scalars.dequantise(F.col("q"), F.col("scale"))).alias("i", "v")).withColumn("v", F.round("v", 6))
+
+
+@query()
+def float16_round(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors(spark, sf).select("vec_id", F.posexplode(scalars.float16_round(F.col("emb"))).alias("i", "v"))
+
+
+@query('select tile_id, y, x, "left" + 80 "right", top - 80 bottom, 10.0::double resolution, "left" + (x + 0.5) * 10 cx, top - (y + 0.5) * 10 cy from tiles join roi using (tile_id)', "tiles", "roi")
+def tile_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    tiles = view(spark, sf, "tiles")
+    edges = scenes.tile_bounds(tiles).select("tile_id", "right", "bottom", "resolution")
+    return scenes.pixel_centres(view(spark, sf, "roi").select("tile_id", "y", "x"), tiles).join(edges, "tile_id")
+
+
+def radar_scenes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = scene_table(spark, sf).filter("collection = 'optical2'")
+    assets = F.map_filter(F.create_map(F.lit("vv"), F.concat(F.lit("vv/"), "item_id"), F.lit("vh"), F.concat(F.lit("vh/"), "item_id")), lambda k, _: (k == "vv") | (F.col("item_id") % 5 != 0))
+    return scenes.with_ordinal(rows).withColumn("assets", assets)
+
+
+@query("select tile_id, obs_date, coalesce(orbit_state, 'unknown') orbit, item_id, pol, pol || '/' || item_id url from scenes, (select unnest(['vv', 'vh']) pol) p where collection = 'optical2' and (pol = 'vv' or item_id % 5 <> 0)", "scenes")
+def s1_assets_long(spark: SparkSession, sf: str) -> DataFrame:
+    return scenes.radar_assets_long(scenes.radar_groups(radar_scenes(spark, sf)))
+
+
+# ---- joins
+
+
+@query("select item_id, t.tile_id from scenes s join tiles t on s.xmin <= t.xmax and s.xmax >= t.xmin and s.ymin <= t.ymax and s.ymax >= t.ymin and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20'", "scenes", "tiles")
+def scene_tile_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """By grid cells, the way for many tiles."""
+    tiles = view(spark, sf, "tiles").selectExpr("tile_id", "xmin", "ymin", "xmax", "ymax", "timestamp'2024-01-05' start", "timestamp'2024-01-20' end")
+    return scenes.scene_tile_overlap(scene_table(spark, sf).drop("tile_id"), tiles, 10.0, tile_count=scenes.BROADCAST_TILES + 1)
+
+
+@query(f"select tile_id, obs_date, doy, y, x, mask, {', '.join(B)} from s2", "s2")
+def s2_mosaic(spark: SparkSession, sf: str) -> DataFrame:
+    return flat_bands(s2_cube(spark, sf).withColumn("mask", F.col("mask").cast("int")), "tile_id", "obs_date", "doy", "y", "x", "mask")
+
+
+@query("select tile_id, obs_date, y, x, mask from s2_all", "s2_all")
+def mask_from_selection(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.mosaic(observations(spark, sf)).select("tile_id", "obs_date", "y", "x", F.col("mask").cast("int").alias("mask"))
+
+
+@query("select s.* from scl_obs s join cov c using (tile_id, obs_date) where kept", "scl_obs", "cov")
+def valid_date_scenes(spark: SparkSession, sf: str) -> DataFrame:
+    scl = view(spark, sf, "scl_obs")
+    return optical.on_valid_dates(scl, optical.date_coverage(optical.tile_selection(scl), totals(spark, sf), COVERAGE))
+
+
+@query("select distinct tile_id, obs_date, item_ord, y20 // 4 block_y, x20 // 4 block_x from sel", "sel")
+def used_scenes_prune(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.used_scenes(optical.tile_selection(view(spark, sf, "scl_obs")), 4)
+
+
+@query("select b.tile_id, b.obs_date, b.item_ord, b.y, b.x, b0 from band_obs b anti join (select * from water where is_water) w on b.tile_id = w.tile_id and b.y // 2 = w.y20 and b.x // 2 = w.x20", "band_obs", "water")
+def water_exclusion(spark: SparkSession, sf: str) -> DataFrame:
+    rows = optical.without_water(bands(spark, sf), optical.water_frequency(view(spark, sf, "scl_obs")))
+    return rows.select("tile_id", "obs_date", "item_ord", "y", "x", F.get("bands", F.lit(0)).alias("b0"))
+
+
+@query("select tile_id, a.yy block_y, bx block_x, least(3, 8 - a.yy * 3) height, least(3, 8 - bx * 3) width from tiles, (select unnest(range(3)) yy) a, (select unnest(range(3)) bx) b where not exists (select 1 from emb e where e.tile_id = tiles.tile_id and e.y % 3 = a.yy and e.x % 3 = b.bx and e.label = 1)", "tiles", "emb")
+def resume_pending_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    done = vectors(spark, sf).filter("label = 1").select("tile_id", F.expr("y % 3").alias("block_y"), F.expr("x % 3").alias("block_x"))
+    return pixels.pending_blocks(pixels.blocks(view(spark, sf, "tiles"), 3), done).select("tile_id", "block_y", "block_x", "height", "width")
+
+
+@query("select p.tile_id, p.y, p.x, s2_n, coalesce(s1_n, 0) s1_n from (select tile_id, y, x, count(*) s2_n from s2 group by all) p left join (select tile_id, y, x, count(*) s1_n from s1 group by all) r using (tile_id, y, x)", "s2", "s1")
+def s1_s2_align(spark: SparkSession, sf: str) -> DataFrame:
+    s2, s1 = s2_cube(spark, sf), s1_cube(spark, sf)
+    both = pixels.pixel_series(pixels.s2_series(s2, pixels.time_index(s2)), pixels.s1_series(s1, radar.timeline(s1, view(spark, sf, "tiles"))))
+    return both.select("tile_id", "y", "x", F.size("s2").alias("s2_n"), F.coalesce(F.size("s1"), F.lit(0)).alias("s1_n"))
+
+
+SOURCE, TARGET = (0.0, 0.0, 20.0, 8, 8), (5.0, -3.0, 13.0, 12, 12)
+_PLACES = "select y, x, (-3 + (y + 0.5::double) * 13) / 20 - 0.5::double py, (5 + (x + 0.5::double) * 13) / 20 - 0.5::double px from (select unnest(range(12)) y) a, (select unnest(range(12)) x) b where (-3 + (y + 0.5::double) * 13) / 20 between 0 and 8 and (5 + (x + 0.5::double) * 13) / 20 between 0 and 8"
+_FIRST = "select tile_id, obs_date, y sy, x sx, b1::double v from band_obs where item_ord = 0"
+
+
+def first_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return bands(spark, sf).filter("item_ord = 0").select("tile_id", "obs_date", "y", "x", F.get("bands", F.lit(1)).cast("double").alias("v"))
+
+
+def kernel_sql(one: str, low: int, high: int, digits: int = 5) -> str:
+    k = f"(select unnest(range({low}, {high + 1})) k)"
+    w = f"select y, x, (floor(py) + a.k)::int sy, (floor(px) + b.k)::int sx, {one.replace('@', '(py - floor(py) - a.k)')} * {one.replace('@', '(px - floor(px) - b.k)')} w from ({_PLACES}) p, {k} a, {k} b"
+    return f"select tile_id, obs_date, y, x, round(sum(w * v) / sum(w), {digits}) v from ({w}) w join ({_FIRST}) f using (sy, sx) where w <> 0 group by all having sum(w) >= 0.2"
+
+
+_CUBIC = "(case when abs(@) <= 1 then 1.5 * abs(@) ** 3 - 2.5 * abs(@) ** 2 + 1 when abs(@) < 2 then -0.5 * abs(@) ** 3 + 2.5 * abs(@) ** 2 - 4 * abs(@) + 2 else 0 end)"
+
+
+@query(f"select tile_id, obs_date, y, x, v from ({_PLACES}) p join ({_FIRST}) f on sy = floor(py + 0.5) and sx = floor(px + 0.5)", "band_obs")
+def resample_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET)
+
+
+@query(kernel_sql("greatest(1 - abs(@), 0)", 0, 1), "band_obs")
+def resample_bilinear(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "bilinear").withColumn("v", F.round("v", 5))
+
+
+@query(kernel_sql(_CUBIC, -1, 2, 3), "band_obs")
+def resample_cubic(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "cubic").withColumn("v", F.round("v", 3))
+
+
+_RUN_B = "select vec_id, list_transform(q, lambda v, i: case when (vec_id + i) % 9 = 0 then greatest(v - 1, -128) else v end) q, scale from quant"
+
+
+@query(
+    f"select count(*) pixels, round(100.0 * sum(same) / sum(n), 6) match_pct, round(avg(cos), 6) mean_cos, round(min(cos), 6) min_cos from (select len(a.q) n, list_sum(list_transform(list_zip(a.q, b.q), lambda p: (p[1] = p[2])::int)) same,"
+    f" list_dot_product(list_transform(a.q, lambda v: v * a.scale), list_transform(b.q, lambda v: v * b.scale)) / (sqrt(list_sum(list_transform(a.q, lambda v: (v * a.scale) ** 2))) * sqrt(list_sum(list_transform(b.q, lambda v: (v * b.scale) ** 2))) + 1e-10) cos from quant a join ({_RUN_B}) b using (vec_id) where a.scale > 0) c",
+    "quant",
+)
+def compare_runs(spark: SparkSession, sf: str) -> DataFrame:
+    a = embed.quantised(vectors(spark, sf)).select("vec_id", "q", "scale")
+    changed = F.transform("q", lambda v, i: F.when((F.col("vec_id") + i + 1) % 9 == 0, F.greatest(v.cast("int") - 1, F.lit(-128))).otherwise(v.cast("int")).cast("tinyint"))
+    out = embed.compare_runs(a, a.withColumn("q", changed), ["vec_id"])
+    return out.select("pixels", *(F.round(c, 6).alias(c) for c in ("match_pct", "mean_cos", "min_cos")))
+
+
+# ---- aggregations
+
+
+@query("select * from sel", "sel")
+def tile_selection(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.tile_selection(view(spark, sf, "scl_obs"))
+
+
+@query("select tile_id, obs_date, selected, round(coverage, 6) coverage, kept from cov", "cov")
+def date_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    found = optical.date_coverage(optical.tile_selection(view(spark, sf, "scl_obs")), totals(spark, sf), COVERAGE)
+    return found.withColumn("coverage", F.round("coverage", 6))
+
+
+@query("select * from water", "water")
+def water_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return optical.water_frequency(view(spark, sf, "scl_obs"))
+
+
+@query("select * from s1_mean", "s1_mean")
+def s1_mosaic_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return radar.mosaic_mean(radar.decibels(view(spark, sf, "sar_obs")))
+
+
+@query("select tile_id, orbit, obs_date, y, x, coalesce(arg_max(vv, item_ord) filter (vv > 0), 0) vv, coalesce(arg_max(vh, item_ord) filter (vh > 0), 0) vh from dbs group by all", "dbs")
+def s1_mosaic_last(spark: SparkSession, sf: str) -> DataFrame:
+    return radar.mosaic_last(radar.decibels(view(spark, sf, "sar_obs")))
+
+
+@query("select tile_id, obs_date, coalesce(orbit_state, 'unknown') orbit, count(*) n, string_agg(item_id, ',' order by ts, item_id) items from scenes where collection = 'optical2' group by all", "scenes")
+def s1_groups(spark: SparkSession, sf: str) -> DataFrame:
+    groups = scenes.radar_groups(radar_scenes(spark, sf))
+    return groups.select("tile_id", "obs_date", "orbit", F.size("scenes").cast("long").alias("n"), F.array_join(F.transform("scenes", lambda s: s["item_id"].cast("string")), ",").alias("items"))
+
+
+_SPARSE = "select tile_id, orbit, obs_date, y, x, case when month(obs_date) % 3 = 0 then 0 else vv end vv, case when month(obs_date) % 2 = 0 or month(obs_date) % 3 = 0 and year(obs_date) % 2 = 0 then 0 else vh end vh from s1_mean"
+
+
+@query(f"select s.* from ({_SPARSE}) s join (select tile_id, obs_date, orbit from ({_SPARSE}) t group by all having max(greatest(vv, vh)) > 0) k using (tile_id, obs_date, orbit)", "s1_mean")
+def s1_drop_empty(spark: SparkSession, sf: str) -> DataFrame:
+    rows = radar.mosaic_mean(radar.decibels(view(spark, sf, "sar_obs")))
+    m, y = F.month("obs_date"), F.year("obs_date")
+    rows = rows.withColumns({"vv": F.when(m % 3 == 0, 0).otherwise(F.col("vv")), "vh": F.when((m % 2 == 0) | (m % 3 == 0) & (y % 2 == 0), 0).otherwise(F.col("vh"))})
+    return radar.drop_empty(rows)
+
+
+@query("select orbit_dir, orbit, tile_id, obs_date, doy, y, x, vv, vh from s1", "s1")
+def orbit_split(spark: SparkSession, sf: str) -> DataFrame:
+    return s1_cube(spark, sf).withColumns({p: F.col(p).cast("int") for p in ("vv", "vh")})
+
+
+@query("select * from counts", "counts")
+def pixel_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels.pixel_counts(s2_cube(spark, sf), s1_cube(spark, sf))
+
+
+@query("select tile_id, obs_date, y, x, c, round(norm, 6) norm from norm", "norm")
+def channel_norm(spark: SparkSession, sf: str) -> DataFrame:
+    return cloudmask.channel_norm(cloudmask.channels(s2_cube(spark, sf))).select("tile_id", "obs_date", "y", "x", "c", F.round("norm", 6).alias("norm"))
+
+
+MODELS = (cloudmask.linear_model(1.0), cloudmask.linear_model(2.0))
+
+
+def scored_patches(spark: SparkSession, sf: str) -> DataFrame:
+    norm = cloudmask.channel_norm(cloudmask.channels(s2_cube(spark, sf)))
+    packed = cloudmask.pack_patches(norm, cloudmask.patch_grid(spark, 8, 8, PATCH, OVERLAP), PATCH)
+    return cloudmask.cloud_scores(packed, PATCH, MODELS)
+
+
+@query("select tile_id, obs_date, y, x, cls, round(score, 6) score from blend", "blend")
+def patch_blend(spark: SparkSession, sf: str) -> DataFrame:
+    return cloudmask.patch_blend(scored_patches(spark, sf), PATCH, OVERLAP).withColumn("score", F.round("score", 6))
+
+
+@query("select * from classes", "classes")
+def patch_argmax(spark: SparkSession, sf: str) -> DataFrame:
+    blended = cloudmask.patch_blend(scored_patches(spark, sf), PATCH, OVERLAP)
+    return cloudmask.patch_argmax(blended.withColumn("score", F.round("score", 9)))
+
+
+@query("select label, i, round(avg(v), 6) v from (select label, unnest(range(64)) i, unnest(emb) v from emb) u group by all", "emb")
+def pass_average(spark: SparkSession, sf: str) -> DataFrame:
+    rows = embed.pass_average(vectors(spark, sf), ["label"])
+    return rows.select("label", F.posexplode("emb").alias("i", "v")).withColumn("v", F.round("v", 6))
+
+
+@query(
+    "select t.tile_id, scenes, dates, dates_kept, round(water_pct, 6) water_pct, pixels, valid_pixels, asc_passes, desc_passes from (select tile_id, count(*) scenes from scenes group by 1) t join (select tile_id, count(*) dates, count(*) filter (kept) dates_kept from cov group by 1) c using (tile_id)"
+    " join (select tile_id, 100.0 * count(*) filter (is_water) / count(*) water_pct from water group by 1) w using (tile_id) join (select tile_id, count(*) pixels, count(*) filter (s2_any and s2_valid >= 60) valid_pixels from counts group by 1) p using (tile_id)"
+    " join (select tile_id, count(*) filter (orbit_dir = 'ascending') asc_passes, count(*) filter (orbit_dir = 'descending') desc_passes from (select distinct tile_id, orbit_dir, orbit, obs_date from s1) d group by 1) r using (tile_id)",
+    "scenes", "cov", "water", "counts", "s1",
+)
+def tile_report(spark: SparkSession, sf: str) -> DataFrame:
+    scl, s1 = view(spark, sf, "scl_obs"), s1_cube(spark, sf)
+    counts = pixels.pixel_counts(s2_cube(spark, sf), s1)
+    coverage = optical.date_coverage(optical.tile_selection(scl), totals(spark, sf), COVERAGE)
+    out = workloads.tile_report(scene_table(spark, sf), coverage, optical.water_frequency(scl), counts, pixels.valid_pixels(counts, True, 60, 0), s1)
+    return out.withColumn("water_pct", F.round("water_pct", 6))
+
+
+# ---- windows, sorts, sets
+
+
+@query("select item_id, tile_id, obs_date, row_number() over (partition by tile_id, obs_date order by ts, item_id) - 1 item_ord from scenes", "scenes")
+def scene_ordinal(spark: SparkSession, sf: str) -> DataFrame:
+    return scenes.with_ordinal(scene_table(spark, sf)).select("item_id", "tile_id", "obs_date", "item_ord")
+
+
+@query("select tile_id, 's2' sensor, obs_date, t from times union all select tile_id, orbit_dir || '/' || orbit, obs_date, t from line", "times", "line")
+def time_index(spark: SparkSession, sf: str) -> DataFrame:
+    a = pixels.time_index(s2_cube(spark, sf)).select("tile_id", F.lit("s2").alias("sensor"), "obs_date", "t")
+    b = radar.timeline(s1_cube(spark, sf), view(spark, sf, "tiles")).select("tile_id", F.concat_ws("/", "orbit_dir", "orbit").alias("sensor"), "obs_date", "t")
+    return a.unionByName(b)
+
+
+@query("select tile_id, y, x, obs_date, row_number() over (partition by tile_id, y, x order by obs_date) - 1 rank, count(*) over (partition by tile_id, y, x) n from s2 where mask = 1", "s2")
+def valid_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return pixels.valid_rank(s2_cube(spark, sf)).select("tile_id", "y", "x", "obs_date", "rank", "n")
+
+
+def strata_sql(slots: int, offset: int) -> str:
+    few = f"case when i < ({slots} // n + 1) * ({slots} % n) then i // ({slots} // n + 1) else {slots} % n + (i - ({slots} // n + 1) * ({slots} % n)) // greatest({slots} // n, 1) end"
+    many = f"least(n * i // {slots} + {offset} % greatest(n * (i + 1) // {slots} - n * i // {slots}, 1), n - 1)"
+    picked = f"select tile_id, y, x, i slot, any_ + 1 - 1 k from (select tile_id, y, x, i, case when n <= {slots} then {few} else {many} end any_ from (select tile_id, y, x, case when v = 0 then total else v end n from (select p.tile_id, y, x, v, total from (select tile_id, y, x, count(*) filter (mask = 1) v from s2 group by all) p join (select tile_id, count(*) total from times group by 1) q on p.tile_id = q.tile_id) c) c2, (select unnest(range({slots})) i) s) k"
+    ranked = "select tile_id, y, x, obs_date, row_number() over (partition by tile_id, y, x order by obs_date) - 1 k from s2 where mask = 1 union all select p.tile_id, p.y, p.x, t.obs_date, t.t from (select tile_id, y, x from s2 group by all having count(*) filter (mask = 1) = 0) p join times t on p.tile_id = t.tile_id"
+    return f"select tile_id, y, x, slot, obs_date from ({picked}) p join ({ranked}) r using (tile_id, y, x, k)"
+
+
+@query(f"select *, {SLOTS} slots from ({strata_sql(SLOTS, 1)}) a union all select *, {MANY_SLOTS} from ({strata_sql(MANY_SLOTS, 0)}) b", "s2", "times")
+def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """With 40 slots every pixel of the test tables has more observations than slots, with 64 most have fewer."""
+    s2 = s2_cube(spark, sf)
+    times = pixels.time_index(s2)
+    parts = [pixels.stratified_sample(s2, times, k, r).withColumn("slots", F.lit(k)) for k, r in ((SLOTS, 1), (MANY_SLOTS, 0))]
+    return parts[0].unionByName(parts[1])
+
+
+@query("select distinct obs_date from scl_obs order by obs_date", "scl_obs")
+def dates_sorted_unique(spark: SparkSession, sf: str) -> DataFrame:
+    return scenes.dates_sorted(view(spark, sf, "scl_obs"))
+
+
+@query("select tile_id, arg_min(item_id, (ts, item_id)) item_id from scenes group by 1", "scenes")
+def first_scene_per_tile(spark: SparkSession, sf: str) -> DataFrame:
+    return scenes.first_scene_per_tile(scene_table(spark, sf))
+
+
+@query(
+    "select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date nulls first, orbit) - 1 t from (select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1 where tile_id <> 2 or orbit_dir = 'ascending' union all select 2, 'descending', null, null, 180) d",
+    "s1",
+)
+def s1_concat(spark: SparkSession, sf: str) -> DataFrame:
+    """One tile loses its descending passes, so the dummy time shows."""
+    rows = s1_cube(spark, sf).filter("tile_id <> 2 or orbit_dir = 'ascending'")
+    return radar.timeline(rows, view(spark, sf, "tiles"))
+
+
+# ---- tiling and scoring
+
+
+@query('select n, top * n + "left" patch, top, "left" from (select n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" from (select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral (select unnest(range(0, n, 44)) s) b) p group by all')
+def patch_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return patch_grids(spark, sf)
+
+
+def patch_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows of 64 with overlap 20 for the image sizes that the table holds."""
+    sizes = [r["n"] for r in spark.read.parquet(f"{sf}/lineitem.parquet").select(F.expr("cast(100 + l_suppkey % 5 * 30 as int) n")).distinct().collect()]  # five at most
+    out = None
+    for n in sizes:
+        rows = cloudmask.patch_grid(spark, n, n, 64, 20).select(F.lit(n).alias("n"), "patch", "top", "left")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query('select n, count(*) patches, max(top) last_top from (select distinct n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" from (select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral (select unnest(range(0, n, 44)) s) b) p group by n')
+def patch_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    return patch_grids(spark, sf).groupBy("n").agg(F.count("*").alias("patches"), F.max("top").alias("last_top"))
+
+
+@query('select distinct top, "left", i, j, round(w, 9) w from ppix', "ppix")
+def patch_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    cells = cloudmask.patch_pixels(s2_cube(spark, sf).select("y", "x").distinct(), cloudmask.patch_grid(spark, 8, 8, PATCH, OVERLAP), PATCH)
+    return cells.select("top", "left", "i", "j", F.round(cloudmask.gradient(F.col("i"), F.col("j"), PATCH, OVERLAP), 9).alias("w")).distinct()
+
+
+@query('select tile_id, obs_date, y, x, top, "left", i, j, round(n0, 6) n0, round(n1, 6) n1, round(n2, 6) n2 from ppix', "ppix")
+def patch_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    norm = cloudmask.channel_norm(cloudmask.channels(s2_cube(spark, sf)))
+    packed = cloudmask.pack_patches(norm, cloudmask.patch_grid(spark, 8, 8, PATCH, OVERLAP), PATCH)
+    cells = packed.select("tile_id", "obs_date", "top", "left", F.inline("cells"))
+    return cells.select("tile_id", "obs_date", (F.col("top") + F.col("i")).alias("y"), (F.col("left") + F.col("j")).alias("x"), "top", "left", "i", "j", *(F.round(F.get("three", F.lit(k)), 6).alias(f"n{k}") for k in range(3)))
+
+
+@query("select tile_id, obs_date, y, x, i, j, cls, round(score, 6) score from scores", "scores")
+def cloud_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return scored_patches(spark, sf).withColumn("score", F.round("score", 6))
+
+
+@query("select s.tile_id, s.obs_date, s.y, s.x, mask, case when mask = 1 and coalesce(cls, 0) = 0 and (b0 <> 0 or b2 <> 0 or b4 <> 0) then 1 else 0 end mask_opt from s2 s left join classes using (tile_id, obs_date, y, x)", "s2", "classes")
+def mask_optimised(spark: SparkSession, sf: str) -> DataFrame:
+    found = workloads.refined_mask(s2_cube(spark, sf), 8, 8, MODELS, PATCH, OVERLAP)
+    return found.select("tile_id", "obs_date", "y", "x", F.col("mask").cast("int").alias("mask"), F.col("mask_opt").cast("int").alias("mask_opt"))
+
+
+@query("select tile_id, y, x, t, s.doy, mask, b0, b9 from s2 s join times using (tile_id, obs_date)", "s2", "times")
+def pixel_series(spark: SparkSession, sf: str) -> DataFrame:
+    s2 = s2_cube(spark, sf)
+    rows = pixels.s2_series(s2, pixels.time_index(s2)).select("tile_id", "y", "x", F.inline("s2"))
+    return rows.select("tile_id", "y", "x", "t", "doy", F.col("mask").cast("int").alias("mask"), F.get("bands", F.lit(0)).alias("b0"), F.get("bands", F.lit(9)).alias("b9"))
+
+
+def samples(spark: SparkSession, sf: str, passes: int) -> DataFrame:
+    return workloads.sampled_pixels(s2_cube(spark, sf), s1_cube(spark, sf), view(spark, sf, "tiles"), SLOTS, passes)
+
+
+def slots_sql(offset: int) -> str:
+    """Rows (tile_id, y, x, slot, f0..f13) of both matrices of one pass: the bands and day of the optical slot, then those of the radar slot."""
+    optic = f"select p.tile_id, p.y, p.x, p.slot, {', '.join(f'(coalesce({b}, 0) - {m}::double) / ({s}::double + 1e-9::double) f{i}' for i, (b, m, s) in enumerate(zip(B, S2_MEAN, S2_STD, strict=True)))}, t.doy f10 from ({strata_sql(SLOTS, offset)}) p join times t on p.tile_id = t.tile_id and p.obs_date = t.obs_date left join s2 s on s.tile_id = p.tile_id and s.obs_date = p.obs_date and s.y = p.y and s.x = p.x"
+    many = f"least(n * i // {SLOTS} + {offset} % greatest(n * (i + 1) // {SLOTS} - n * i // {SLOTS}, 1), n - 1)"
+    radar_ = (
+        f"select r.tile_id, r.y, r.x, i slot, (vv - {S1_MEAN[0]}::double) / ({S1_STD[0]}::double + 1e-9::double) f11, (vh - {S1_MEAN[1]}::double) / ({S1_STD[1]}::double + 1e-9::double) f12, doy f13 from (select s.tile_id, s.y, s.x, s.vv, s.vh, s.doy, row_number() over (partition by s.tile_id, s.y, s.x order by t) - 1 k from s1 s join line l on s.tile_id = l.tile_id and s.orbit = l.orbit and s.obs_date = l.obs_date where vv <> 0 or vh <> 0) r"
+        f" join (select tile_id, y, x, i, {many} k from (select tile_id, y, x, count(*) n from s1 where vv <> 0 or vh <> 0 group by all) c, (select unnest(range({SLOTS})) i) s) q on r.tile_id = q.tile_id and r.y = q.y and r.x = q.x and r.k = q.k"
+    )
+    return f"select o.*, f11, f12, f13 from ({optic}) o join ({radar_}) r using (tile_id, y, x, slot)"
+
+
+_F = [f"f{i}" for i in range(14)]
+
+
+@query(f"select tile_id, y, x, slot, {', '.join(f'round({f}, 6) {f}' for f in _F)} from ({slots_sql(0)}) s", "s2", "times", "s1", "line")
+def sample_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """The oracle covers the test tables, where every pixel has more valid radar times than slots."""
+    rows = samples(spark, sf, 1).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
+    s2 = [F.round(F.get(F.get("s2_passes", F.lit(0)), F.col("slot") * 11 + i), 6).alias(f"f{i}") for i in range(11)]
+    s1 = [F.round(F.get(F.get("s1_passes", F.lit(0)), F.col("slot") * 3 + i), 6).alias(f"f{11 + i}") for i in range(3)]
+    return rows.select("tile_id", "y", "x", "slot", *s2, *s1)
+
+
+_DIMENSIONS = 8
+_LINEAR = [" + ".join(f"{((7 * f + 3 * d) % 11 - 5) / 10}::double * f{f}" for f in range(14)) for d in range(_DIMENSIONS)]
+
+
+@query(
+    f"select tile_id, y, x, {', '.join(f'round(avg(d{d}), 5) d{d}' for d in range(_DIMENSIONS))} from (select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from (select * from ({slots_sql(0)}) a union all select * from ({slots_sql(1)}) b) s) m group by all",
+    "s2", "times", "s1", "line",
+)
+def embed_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Two passes scored by the linear stand-in, which isn't an encoder but lets SQL check the job."""
+    rows = embed.embed_pixels(samples(spark, sf, 2), lambda: embed.linear_model(_DIMENSIONS), SLOTS)
+    return rows.select("tile_id", "y", "x", *(F.round(F.get("emb", F.lit(d)), 5).alias(f"d{d}") for d in range(_DIMENSIONS)))
