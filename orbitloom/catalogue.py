@@ -397,8 +397,8 @@ def s1_s2_align(spark: SparkSession, sf: str) -> DataFrame:
     return both.select("tile_id", "y", "x", F.size("s2").alias("s2_n"), F.coalesce(F.size("s1"), F.lit(0)).alias("s1_n"))
 
 
-SOURCE, TARGET = (0.0, 0.0, 20.0, 8, 8), (5.0, -3.0, 13.0, 12, 12)
-_PLACES = "select y, x, (-3 + (y + 0.5::double) * 13) / 20 - 0.5::double py, (5 + (x + 0.5::double) * 13) / 20 - 0.5::double px from (select unnest(range(12)) y) a, (select unnest(range(12)) x) b where (-3 + (y + 0.5::double) * 13) / 20 between 0 and 8 and (5 + (x + 0.5::double) * 13) / 20 between 0 and 8"
+SOURCE, TARGET = (0.0, 0.0, 20.0, 8, 8), (5.0, -3.0, 13.371928317, 12, 12)
+_PLACES = "select y, x, (-3 + (y + 0.5::double) * 13.371928317::double) / 20 - 0.5::double py, (5 + (x + 0.5::double) * 13.371928317::double) / 20 - 0.5::double px from (select unnest(range(12)) y) a, (select unnest(range(12)) x) b where (-3 + (y + 0.5::double) * 13.371928317::double) / 20 between 0 and 8 and (5 + (x + 0.5::double) * 13.371928317::double) / 20 between 0 and 8"
 _FIRST = "select tile_id, obs_date, y sy, x sx, b1::double v from band_obs where item_ord = 0"
 
 
@@ -425,9 +425,9 @@ def resample_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "bilinear").withColumn("v", F.round("v", 5))
 
 
-@query(kernel_sql(_CUBIC, -1, 2, 3), "band_obs")
+@query(kernel_sql(_CUBIC, -1, 2), "band_obs")
 def resample_cubic(spark: SparkSession, sf: str) -> DataFrame:
-    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "cubic").withColumn("v", F.round("v", 3))
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "cubic").withColumn("v", F.round("v", 5))
 
 
 _RUN_B = "select vec_id, list_transform(q, lambda v, i: case when (vec_id + i) % 9 = 0 then greatest(v - 1, -128) else v end) q, scale from quant"
@@ -533,9 +533,9 @@ def pass_average(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "select t.tile_id, scenes, dates, dates_kept, round(water_pct, 6) water_pct, pixels, valid_pixels, asc_passes, desc_passes from (select tile_id, count(*) scenes from scenes group by 1) t join (select tile_id, count(*) dates, count(*) filter (kept) dates_kept from cov group by 1) c using (tile_id)"
-    " join (select tile_id, 100.0 * count(*) filter (is_water) / count(*) water_pct from water group by 1) w using (tile_id) join (select tile_id, count(*) pixels, count(*) filter (s2_any and s2_valid >= 60) valid_pixels from counts group by 1) p using (tile_id)"
-    " join (select tile_id, count(*) filter (orbit_dir = 'ascending') asc_passes, count(*) filter (orbit_dir = 'descending') desc_passes from (select distinct tile_id, orbit_dir, orbit, obs_date from s1) d group by 1) r using (tile_id)",
+    "select t.tile_id, scenes, coalesce(dates, 0) dates, coalesce(dates_kept, 0) dates_kept, coalesce(round(water_pct, 6), 0) water_pct, coalesce(pixels, 0) pixels, coalesce(valid_pixels, 0) valid_pixels, coalesce(asc_passes, 0) asc_passes, coalesce(desc_passes, 0) desc_passes from (select tile_id, count(*) scenes from scenes group by 1) t left join (select tile_id, count(*) dates, count(*) filter (kept) dates_kept from cov group by 1) c using (tile_id)"
+    " left join (select tile_id, 100.0 * count(*) filter (is_water) / count(*) water_pct from water group by 1) w using (tile_id) left join (select tile_id, count(*) pixels, count(*) filter (s2_any and s2_valid >= 60) valid_pixels from counts group by 1) p using (tile_id)"
+    " left join (select tile_id, count(*) filter (orbit_dir = 'ascending') asc_passes, count(*) filter (orbit_dir = 'descending') desc_passes from (select distinct tile_id, orbit_dir, orbit, obs_date from s1) d group by 1) r using (tile_id)",
     "scenes", "cov", "water", "counts", "s1",
 )
 def tile_report(spark: SparkSession, sf: str) -> DataFrame:

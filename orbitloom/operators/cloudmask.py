@@ -29,7 +29,6 @@ def patch_starts(length: int, size: int, overlap: int) -> list[int]:
 
 def patch_grid(spark, height: int, width: int, size: int, overlap: int) -> DataFrame:
     """(patch, top, left): distinct windows, row by row. Their number depends on the image's shape alone."""
-    size = min(size, max(height, 1)) if height < size else size
     stride = size - overlap
 
     def starts(n: int) -> Column:
