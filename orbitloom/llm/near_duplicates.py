@@ -14,7 +14,7 @@ from orbitloom.llm.common import map_rows, stored, table
 from orbitloom.llm.components import components
 
 #: Most tokens whose frequency class is known to the orders, and most that a task reports; they bound what is broadcast and shape only the cost, as any order gives the same links.
-FREQUENT, TASK_FREQUENT = 300_000, 30_000
+FREQUENT, TASK_FREQUENT = 500_000, 100_000
 #: Tokens that a task counts before it forgets those it saw once.
 TASK_TOKENS = 4_000_000
 #: Most ids, or rows of a few numbers, that are broadcast; more are joined by a shuffle.
@@ -93,6 +93,12 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def least_shared(n: int, m: int, percent: int) -> int:
+    """Tokens that the prefixes of two linked sets share under any order. The sets share at least `both` tokens, so at most n - both tokens of one aren't in the other; what its prefix has beyond those is shared, and lies in the other's prefix too."""
+    both = -(-percent * (n + m) // (100 + percent))
+    return min(both - least_overlap(n, percent), both - least_overlap(m, percent)) + 1
+
+
 @dataclass
 class Orders:
     """Global token orders: rare tokens first by the class of their frequency, within a class by a hash that differs from order to order."""
@@ -112,6 +118,11 @@ def longs(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
 
+def halves(tokens: np.ndarray) -> bytes:
+    """The lower halves of tokens, sorted: equal tokens have equal halves, so a filter on them loses nothing."""
+    return np.unique(tokens.astype("<u4")).tobytes()
+
+
 def profiled(docs: DataFrame, width: int) -> DataFrame:
     """(id, n, fingerprint) of each row, with each task's most frequent tokens in one more row."""
 
@@ -170,10 +181,10 @@ def frequent_orders(profiles: DataFrame) -> Orders:
         if total > FREQUENT:
             break
         least = c
-    rows = found.filter(F.col("class") >= least).toPandas()  # at most FREQUENT rows
-    tokens = rows["token"].to_numpy(np.int64).view(np.uint64)
+    rows = found.filter(F.col("class") >= least).toArrow()  # at most FREQUENT rows
+    tokens = rows.column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
-    return Orders(tokens[order], rows["class"].to_numpy(np.int8)[order])
+    return Orders(tokens[order], rows.column("class").to_numpy().astype(np.int8)[order])
 
 
 class Join:
@@ -188,67 +199,90 @@ class Join:
         self.classes = stored(self.rows.filter("n > 0 and id is not null").groupBy("fingerprint", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
 
     def prefixes(self) -> DataFrame:
-        """(rep, n, prefix): the prefix of each representative under the first order."""
+        """(rep, n, prefix, second, third): the prefixes of each representative under three orders, of the second and third the halves."""
         width, percent, orders = self.width, self.percent, self.orders
 
         def make() -> Callable[[tuple], Iterable[tuple]]:
             def row(values: tuple) -> Iterable[tuple]:
                 s = shingles(values[1] or "", width)
                 if len(s) and values[0] is not None:
-                    yield values[0], len(s), longs(orders.value.prefix(s, 1, len(s) - least_overlap(len(s), percent) + 1))
+                    length = len(s) - least_overlap(len(s), percent) + 1
+                    first, second, third = (orders.value.prefix(s, k, length) for k in (1, 2, 3))
+                    yield values[0], len(s), longs(first), halves(second), halves(third)
 
             return row
 
         reps = self.classes.select(F.col("rep").alias("id"), "n")
-        prefixes = map_rows(self.docs, make, "id long, n long, prefix array<long>").join(reps, ["id", "n"])
-        return prefixes.select(F.col("id").alias("rep"), "n", "prefix")
+        found = map_rows(self.docs, make, "id long, n long, prefix array<long>, second binary, third binary").join(reps, ["id", "n"])
+        return found.select(F.col("id").alias("rep"), "n", "prefix", "second", "third")
 
     def may_link(self, n: str, pos: str, m: str, at: str) -> Column:
         """The first common token of two prefixes leaves enough tokens behind it in both sets."""
         need = F.expr(f"{self.percent} * ({n} + {m})")
         return F.expr(f"{n} * 100 >= {self.percent} * {m} and {m} * 100 >= {self.percent} * {n}") & (F.expr(f"least({n} - {pos}, {m} - {at})") * (100 + self.percent) >= need)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """(a, b): the linked ones of pairs (lead, member), which occur once each.
+    def met(self, pairs: DataFrame, data: DataFrame, columns: list[str], test: Callable[[tuple, tuple], bool]) -> DataFrame:
+        """(lead, member): the pairs for which test(lead's values, member's values) holds, of the columns of data (id, ...).
 
-        Texts are dealt by lead, each block of PARTNERS members with a copy of the lead's text, and stream past it in order, so a task holds
-        two texts however many members a lead has. A pair must share prefix tokens under the second and the third order
-        as well; only then are the whole sets compared.
+        What data holds is dealt by lead, each block of PARTNERS members with a copy of the lead's values, and streams past
+        it in order, so a task holds two rows however many members a lead has.
         """
         counts = pairs.groupBy("lead").agg(F.ceil(F.count("*") / PARTNERS).alias("blocks"))
         members = pairs.join(counts, "lead").select("lead", F.pmod(F.xxhash64("member"), "blocks").alias("block"), F.col("member").alias("id"), F.lit(1).alias("place"))
         leads = counts.select("lead", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("lead").alias("id"), F.lit(0).alias("place"))
         rows = stored(members.unionByName(leads), "pairs")
         rows = F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
-        texts = self.docs.join(rows, "id").repartition("lead", "block").sortWithinPartitions("lead", "block", "place").select("lead", "block", "place", "id", "text")
-        width, percent, orders = self.width, self.percent, self.orders
+        dealt = data.join(rows, "id").repartition("lead", "block").sortWithinPartitions("lead", "block", "place").select("lead", "block", "place", "id", *columns)
 
         def make() -> Callable[[tuple], Iterable[tuple]]:
-            key, first, prefixes = None, np.zeros(0, np.uint64), ()
+            key, first = None, ()
 
             def row(values: tuple) -> Iterable[tuple]:
-                nonlocal key, first, prefixes
-                lead, block, place, id_, text = values
-                s = shingles(text or "", width)
-                length = len(s) - least_overlap(len(s), percent) + 1
-                own = tuple(orders.value.prefix(s, k, length) for k in (2, 3))
+                nonlocal key, first
+                lead, block, place, id_, *own = values
                 if not place:
-                    key, first, prefixes = (lead, block), s, own
-                elif key == (lead, block) and all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(prefixes, own, strict=True)):
-                    shared = len(np.intersect1d(first, s, assume_unique=True))
-                    if shared * 100 >= percent * (len(first) + len(s) - shared):
-                        yield min(lead, id_), max(lead, id_)
+                    key, first = (lead, block), prepared(own)
+                elif key == (lead, block) and test(first, prepared(own)):
+                    yield lead, id_
 
             return row
 
-        return map_rows(texts, make, "a long, b long").distinct()
+        prepared = self.prepared(columns)
+        return stored(map_rows(dealt, make, "lead long, member long").distinct(), "met")
+
+    def prepared(self, columns: list[str]) -> Callable[[list], tuple]:
+        width = self.width
+        if columns == ["text"]:
+            return lambda values: (shingles(values[0] or "", width),)
+        return lambda values: (values[0], *(np.frombuffer(v, "<u4") for v in values[1:]))
+
+    def verified(self, pairs: DataFrame, prefixes: DataFrame) -> DataFrame:
+        """(a, b): the linked ones of pairs (lead, member), which occur once each. They must share as many prefix tokens as linked sets do under the second and the third order as well; for those that do, the whole sets are compared."""
+        percent = self.percent
+
+        def share(p: np.ndarray, q: np.ndarray) -> int:
+            return len(np.intersect1d(p, q, assume_unique=True))
+
+        def linked(a: tuple, b: tuple) -> bool:
+            both = share(a[0], b[0])
+            return both * 100 >= percent * (len(a[0]) + len(b[0]) - both)
+
+        def close(a: tuple, b: tuple) -> bool:
+            n, m = a[0], b[0]
+            length = n - least_overlap(n, percent) + 1
+            # halves of one prefix that happen to be equal count once, so as many may be missing
+            return all(share(p, q) >= least_shared(n, m, percent) - (length - len(p)) for p, q in zip(a[1:], b[1:], strict=True))
+
+        near = self.met(pairs, prefixes.select(F.col("rep").alias("id"), "n", "second", "third"), ["n", "second", "third"], close)
+        found = self.met(near, self.docs, ["text"], linked)
+        return found.select(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b"))
 
     def links(self) -> DataFrame:
         """(a, b) between representatives: enough of the links for every connection.
 
         First each prefix token leads its holders to the one that has it earliest, so that large groups of near copies grow
-        together by a number of pairs that is linear in them. Then all candidate pairs between different groups are
-        verified, which leaves out only pairs that are connected already.
+        together by a number of pairs that is linear in them. Then all pairs between different groups whose prefixes share
+        enough tokens are verified, which leaves out only pairs that are connected already.
         """
         prefixes = stored(self.prefixes(), "prefixes")
         entries = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -257,14 +291,18 @@ class Join:
         leads = shared.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("lead"))
         led = shared.join(leads, "token").filter("rep <> lead.rep").filter(self.may_link("n", "pos", "lead.n", "lead.pos"))
         once = led.groupBy(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).agg(F.min("lead.rep").alias("lead"))
-        first = stored(self.verified(stored(once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member")), "led")), "links")
+        first = self.verified(stored(once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member")), "led"), prefixes)
         groups = components(first)
         held = stored(shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
         mixed = stored(held.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "mixed")
         open_ = stored(held.join(mixed, "token"), "open")
         other = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "pos", "component")))
-        pairs = open_.join(other, "token").filter("component < component_b").filter(self.may_link("n", "pos", "n_b", "pos_b"))
-        second = self.verified(stored(pairs.select(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member")).distinct(), "crossing"))
+        p = self.percent
+        pairs = open_.join(other, "token").filter("component < component_b").filter(f"n * 100 >= {p} * n_b and n_b * 100 >= {p} * n")
+        both, least_n, least_m = f"ceil({p} * (n + n_b) / {100 + p}D)", f"ceil({p} * n / 100D)", f"ceil({p} * n_b / 100D)"
+        enough = F.expr(f"shared >= {both} - greatest({least_n}, {least_m}) + 1")
+        pairs = pairs.groupBy(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member"), "n", "n_b").agg(F.count("*").alias("shared")).filter(enough)
+        second = self.verified(stored(pairs.select("lead", "member"), "crossing"), prefixes)
         return first.unionByName(second)
 
     def result(self) -> DataFrame:
