@@ -36,8 +36,8 @@ def topic(counts: np.ndarray, tokens: int) -> str:
     return "list" if counts[10] > 0.02 * n else "prose"
 
 
-def with_topics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """The columns in keep with `tokens` (words between white space of ASCII) and `topic` of the whole text; a null text has no tokens and is empty."""
+def with_topics(df: DataFrame, text: str, keep: list[str], prefix: str = "") -> DataFrame:
+    """The columns in keep with `tokens` (words between white space of ASCII) and `topic` of the whole text, their names after the prefix; a null text has no tokens and is empty."""
 
     def make() -> Callable[[tuple], Iterable[tuple]]:
         space = np.zeros(256, bool)
@@ -52,7 +52,7 @@ def with_topics(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
         return row
 
     kinds = dict(df.dtypes)
-    return map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "tokens long, topic string"]))
+    return map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{prefix}tokens long, {prefix}topic string"]))
 
 
 def rake(mass: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
@@ -106,8 +106,7 @@ def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None
     """
     spark, targets = df.sparkSession, targets or TARGETS
     dims = list(CATEGORIES)
-    rows = with_topics(df, text, keep)
-    rows = rows.toDF(*keep, "_tokens", "_topic")
+    rows = with_topics(df, text, keep, "_")
     for d in ("source", "lang"):
         rows = rows.withColumn(f"_{d}", F.coalesce(F.col(d).cast("string"), F.lit("(null)")))
     names: dict[str, list[str]] = {}

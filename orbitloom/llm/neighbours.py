@@ -94,7 +94,7 @@ def with_probes(queries: DataFrame, hashes: Hashes) -> DataFrame:
 
 
 def nearest(k: int):
-    """The k nearest of a group's vectors for each of its queries, among the buckets that the query visits there (no list: all of the first table), by exact cosines in double precision."""
+    """The k nearest of a group's vectors for each of its queries, among the cells that the query visits there (no list: all), by exact cosines in double precision."""
 
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -102,7 +102,7 @@ def nearest(k: int):
             rows = np.stack(vectors["embedding"].to_numpy()).astype(float)
             norms = np.sqrt((rows * rows).sum(1))
             ids = vectors["vec_id"].to_numpy()
-            key = vectors["bucket"].to_numpy() ^ vectors["t"].to_numpy(np.int64)
+            key = vectors["cell"].to_numpy()
             order = np.argsort(key, kind="stable")
             key, ids, rows, norms = key[order], ids[order], rows[order], norms[order]
             names, first = np.unique(key, return_index=True)
@@ -144,7 +144,7 @@ def usable(df: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for each of the vectors (vec_id, embedding) that `queries` picks, the k of largest cosine among all others found, ties to the smaller id.
 
-    Every vector is in one bucket of each table; a query visits PROBES buckets of each. Buckets are dealt to groups of about BLOCK vectors, a larger bucket as several blocks by a hash of the id,
+    Every vector is in one bucket of each table; a query visits PROBES buckets of each. Buckets are dealt as cells to groups of about BLOCK vectors, a larger bucket as several cells by a hash of the id,
     and a bucket that more than QUERY_BLOCK queries visit is copied for blocks of queries, so no group grows with the table. A group answers with the k nearest only. A query for which
     fewer than k are found is put to all vectors. Vectors that can't be compared take no part. Rows that repeat an id are one candidate, under its best score.
     """
@@ -164,10 +164,11 @@ def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
 
     def dealt(df: DataFrame, id_: str, own: str, other: str) -> DataFrame:
         df = df.join(large, ["t", "bucket"], "left").withColumns({own: F.pmod(F.xxhash64(id_), F.coalesce(own, F.lit(1))), "_other": F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))})
-        return df.withColumn("part", F.pmod(F.xxhash64("t", "bucket", *(F.col(c).cast("long") for c in ((own, "_other") if own == "blocks" else ("_other", own)))), F.lit(groups)).cast("int"))
+        cell = F.xxhash64("t", "bucket", *(F.col(c).cast("long") for c in ((own, "_other") if own == "blocks" else ("_other", own))))
+        return df.withColumn("cell", cell).withColumn("part", F.pmod("cell", F.lit(groups)).cast("int"))
 
-    left = dealt(held, "vec_id", "blocks", "copies").select("part", "vec_id", "embedding", "t", "bucket")
-    right = dealt(probes, "query_id", "copies", "blocks").groupBy("part", "query_id").agg(F.collect_list(F.col("bucket").bitwiseXOR(F.col("t").cast("long"))).alias("visited"))
+    left = dealt(held, "vec_id", "blocks", "copies").select("part", "vec_id", "embedding", "t", "cell")
+    right = dealt(probes, "query_id", "copies", "blocks").groupBy("part", "query_id").agg(F.collect_list("cell").alias("visited"))
     schema = "query_id long, vec_id long, score double"
     find = nearest(k)
     found = left.groupBy("part").cogroup(right.join(asked, "query_id").select("part", "query_id", "embedding", "visited").groupBy("part")).applyInPandas(lambda v, q: find(v, q), schema)
@@ -177,8 +178,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
         every = left.filter("t = 0").groupBy("part").cogroup(short.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(groups - 1))), "visited": F.lit(None).cast("array<bigint>")}).groupBy("part"))
         found = found.unionByName(every.applyInPandas(lambda v, q: find(v, q), schema)) if not short.isEmpty() else found
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    some = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k * (TABLES + 1)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return some.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
