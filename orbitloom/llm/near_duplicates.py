@@ -281,8 +281,8 @@ class Join:
         """(a, b) between representatives: enough of the links for every connection.
 
         First each prefix token leads its holders to the one that has it earliest, so that large groups of near copies grow
-        together by a number of pairs that is linear in them. Then all pairs between different groups whose prefixes share
-        enough tokens are verified, which leaves out only pairs that are connected already.
+        together by a number of pairs that is linear in them. Then all candidate pairs between different groups are
+        verified, which leaves out only pairs that are connected already.
         """
         prefixes = stored(self.prefixes(), "prefixes")
         entries = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
@@ -297,12 +297,8 @@ class Join:
         mixed = stored(held.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "mixed")
         open_ = stored(held.join(mixed, "token"), "open")
         other = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "pos", "component")))
-        p = self.percent
-        pairs = open_.join(other, "token").filter("component < component_b").filter(f"n * 100 >= {p} * n_b and n_b * 100 >= {p} * n")
-        both, least_n, least_m = f"ceil({p} * (n + n_b) / {100 + p}D)", f"ceil({p} * n / 100D)", f"ceil({p} * n_b / 100D)"
-        enough = F.expr(f"shared >= {both} - greatest({least_n}, {least_m}) + 1")
-        pairs = pairs.groupBy(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member"), "n", "n_b").agg(F.count("*").alias("shared")).filter(enough)
-        second = self.verified(stored(pairs.select("lead", "member"), "crossing"), prefixes)
+        pairs = open_.join(other, "token").filter("component < component_b").filter(self.may_link("n", "pos", "n_b", "pos_b"))
+        second = self.verified(stored(pairs.select(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member")).distinct(), "crossing"), prefixes)
         return first.unionByName(second)
 
     def result(self) -> DataFrame:
