@@ -21,6 +21,8 @@ TASK_TOKENS = 4_000_000
 BROADCAST_IDS = 250_000
 #: Partners that meet one copy of a leading text.
 PARTNERS = 1_000
+#: Holders of a prefix token that are gathered in one list; tokens with more go by joins that can be split.
+HOLDERS = 16
 #: Bytes that are hashed at once.
 SEGMENT = 1 << 20
 
@@ -196,7 +198,7 @@ class Join:
         self.rows = self.profiles.filter("tokens is null").select("id", "n", "fingerprint")
         self.orders = docs.sparkSession.sparkContext.broadcast(frequent_orders(self.profiles))
         #: Documents with equal sets are one class; its least id represents it.
-        self.classes = stored(self.rows.filter("n > 0 and id is not null").groupBy("fingerprint", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
+        self.classes = stored(self.rows.filter("n > 0 and id is not null").groupBy("fingerprint", "n").agg(F.min("id").alias("rep")), "classes")
 
     def prefixes(self) -> DataFrame:
         """(rep, n, prefix, second, third): the prefixes of each representative under three orders, of the second and third the halves."""
@@ -212,8 +214,13 @@ class Join:
 
             return row
 
-        reps = self.classes.select(F.col("rep").alias("id"), "n")
-        found = map_rows(self.docs, make, "id long, n long, prefix array<long>, second binary, third binary").join(reps, ["id", "n"])
+        own = self.rows.withColumnsRenamed({"fingerprint": "f", "n": "m"})
+        copies = stored(own.join(self.classes, (F.col("f") == F.col("fingerprint")) & (F.col("m") == F.col("n"))).filter("id <> rep").select("id").distinct(), "copies")
+        schema = "id long, n long, prefix array<long>, second binary, third binary"
+        if copies.count() <= BROADCAST_IDS:
+            found = map_rows(self.docs.join(F.broadcast(copies), "id", "left_anti"), make, schema)
+        else:
+            found = map_rows(self.docs, make, schema).join(copies, "id", "left_anti")
         return found.select(F.col("id").alias("rep"), "n", "prefix", "second", "third")
 
     def may_link(self, n: str, pos: str, m: str, at: str) -> Column:
@@ -286,19 +293,36 @@ class Join:
         """
         prefixes = stored(self.prefixes(), "prefixes")
         entries = prefixes.select("rep", "n", F.posexplode("prefix").alias("pos", "token"))
-        often = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1").select("token")
+        often = entries.groupBy("token").agg(F.count("*").alias("holders")).filter("holders > 1")
         shared = stored(entries.join(often, "token"), "shared")
-        leads = shared.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("lead"))
-        led = shared.join(leads, "token").filter("rep <> lead.rep").filter(self.may_link("n", "pos", "lead.n", "lead.pos"))
-        once = led.groupBy(F.least("rep", "lead.rep").alias("a"), F.greatest("rep", "lead.rep").alias("b")).agg(F.min("lead.rep").alias("lead"))
-        first = self.verified(stored(once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member")), "led"), prefixes)
-        groups = components(first)
-        held = stored(shared.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
-        mixed = stored(held.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "mixed")
-        open_ = stored(held.join(mixed, "token"), "open")
-        other = open_.select("token", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", "pos", "component")))
-        pairs = open_.join(other, "token").filter("component < component_b").filter(self.may_link("n", "pos", "n_b", "pos_b"))
-        second = self.verified(stored(pairs.select(F.least("rep", "rep_b").alias("lead"), F.greatest("rep", "rep_b").alias("member")).distinct(), "crossing"), prefixes)
+        hot = shared.filter(F.col("holders") > HOLDERS)
+        lists = stored(shared.filter(F.col("holders") <= HOLDERS).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("pos", "rep", "n"))).alias("held")), "lists")
+
+        def oriented(pairs: DataFrame) -> DataFrame:
+            once = pairs.groupBy(F.least("lead", "member").alias("a"), F.greatest("lead", "member").alias("b")).agg(F.min("lead").alias("lead"))
+            return once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member"))
+
+        # each holder with the one that has the token earliest
+        leads = hot.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("x"))
+        led = hot.join(leads, "token").select("x", F.struct("pos", "rep", "n").alias("y"))
+        led = led.unionByName(lists.select(F.get("held", F.lit(0)).alias("x"), F.explode("held").alias("y")))
+        led = led.filter("x.rep <> y.rep").filter(self.may_link("x.n", "x.pos", "y.n", "y.pos")).select(F.col("x.rep").alias("lead"), F.col("y.rep").alias("member"))
+        first = self.verified(stored(oriented(led), "led"), prefixes)
+        groups = stored(components(first).select("node", "component"), "groups")
+
+        # all pairs of holders between different groups
+        named = hot.join(groups, F.col("rep") == F.col("node"), "left").select("token", F.struct("pos", "rep", "n").alias("x"), F.coalesce("component", "rep").alias("c"))
+        named = stored(named, "hot")
+        mixed = stored(named.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token"), "mixed")
+        open_ = stored(named.join(mixed, "token"), "open")
+        crossing = open_.join(open_.select("token", F.col("x").alias("y"), F.col("c").alias("d")), "token").filter("c < d").select("x", "y")
+        every = lists.select(F.posexplode("held").alias("i", "x"), "held").select("x", F.explode(F.slice("held", F.col("i") + 2, F.lit(HOLDERS))).alias("y"))
+        pairs = crossing.unionByName(every).filter("x.rep <> y.rep").filter(self.may_link("x.n", "x.pos", "y.n", "y.pos"))
+        pairs = pairs.select(F.least("x.rep", "y.rep").alias("lead"), F.greatest("x.rep", "y.rep").alias("member")).distinct()
+        for side in ("lead", "member"):
+            pairs = pairs.join(groups.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}")), side, "left")
+        pairs = pairs.filter(F.coalesce("c_lead", "lead") != F.coalesce("c_member", "member")).select("lead", "member")
+        second = self.verified(stored(pairs, "crossing"), prefixes)
         return first.unionByName(second)
 
     def result(self) -> DataFrame:
