@@ -345,3 +345,15 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
     found = jaccard_components(docs, 3, 90)
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+#: DuckDB SQL for the rows of op3_jaccard_join, by all pairs that share a shingle.
+OP3_SQL = """with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') w from documents),
+sets as (
+  select doc_id, case when len(w) >= 3 then list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) when len(w) > 0 then [array_to_string(w, ' ')] else [] end s from words),
+items as materialized (select doc_id, len(s) n, unnest(s) x from sets),
+links as materialized (
+  select a.doc_id a, b.doc_id b from items a join items b on a.x = b.x and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(doc_id, other) as (select doc_id, doc_id from sets union select r.doc_id, l.b from reach r join links l on l.a = r.other)
+select s.doc_id, len(s.s) n_shingles, r.least component_id from sets s join (select doc_id, min(other) least from reach group by 1) r using (doc_id)"""

@@ -2,7 +2,7 @@
 
 from orbitloom.llm.licenses import op10_license_scan
 from orbitloom.llm.mixing import op7_mixing
-from orbitloom.llm.near_duplicates import op3_jaccard_join
+from orbitloom.llm.near_duplicates import OP3_SQL, op3_jaccard_join
 from orbitloom.llm.neighbours import op5_neighbours
 from orbitloom.llm.packing import op4_packing
 from orbitloom.llm.personal_data import op8_personal_data
@@ -12,4 +12,4 @@ from orbitloom.llm.toxicity import op6_toxicity
 from orbitloom.llm.transport_stream import op1_transport_stream
 
 QUERIES = {f.__name__: f for f in (op1_transport_stream, op2_sharding, op3_jaccard_join, op4_packing, op5_neighbours, op6_toxicity, op7_mixing, op8_personal_data, op9_token_counts, op10_license_scan)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_jaccard_join": OP3_SQL}
