@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -40,6 +41,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives memory that a finished task no longer uses back to the system, as its worker process lives on beside others."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[tuple], Iterable[tuple]]], schema: str) -> DataFrame:
     """Row-wise work in Arrow batches. make() runs once a task and returns the function from a row's values to output rows, so models and caches load where they are used."""
     arrow = to_arrow_schema(_parse_datatype_string(schema))
@@ -63,6 +71,8 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[tuple], Iterable[tuple]
                             rows, size = [], 0
         if rows:
             yield sent()
+        rows, f = [], None
+        release()
 
     return df.mapInArrow(run, schema)
 

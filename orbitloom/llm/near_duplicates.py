@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import map_rows, stored, table
+from orbitloom.llm.common import map_rows, release, stored, table
 from orbitloom.llm.components import components
 
 #: Most tokens whose frequency class is known to the orders, and most that a task reports; they bound what is broadcast and shape only the cost, as any order gives the same links.
 FREQUENT, TASK_FREQUENT = 500_000, 100_000
 #: Tokens that a task counts before it forgets those it saw once.
-TASK_TOKENS = 4_000_000
+TASK_TOKENS = 1_000_000
 #: Most ids, or rows of a few numbers, that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 250_000
 #: Partners that meet one copy of a leading text.
@@ -164,6 +164,7 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
         merged(2)
         top = np.argsort(-counts, kind="stable")[:TASK_FREQUENT]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((None, None, None, known[top].tobytes(), counts[top].tobytes()), kinds, strict=True)], names=names)
+        release()
 
     return docs.select("id", "text").mapInArrow(run, "id long, n long, fingerprint binary, tokens binary, counts binary")
 

@@ -16,7 +16,7 @@ from orbitloom.llm.common import map_rows, numbered, stored, table
 
 WINDOW, END_ID = 2048, 1
 #: Words of a worker's cache of identifiers, after which it becomes the old one, from which words in use are taken over, and the longest word that it keeps.
-CACHE_WORDS, CACHE_CHARS = 600_000, 48
+CACHE_WORDS, CACHE_CHARS = 200_000, 48
 
 
 class Identifiers:
