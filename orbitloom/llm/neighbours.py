@@ -18,6 +18,10 @@ from orbitloom.llm.common import stored, table
 TABLES, PROBES, WIDTH = 2, 600, 2.5
 #: Vectors, and queries of one bucket, that meet in one group; larger buckets are split into blocks.
 BLOCK, QUERY_BLOCK = 4_000, 20_000
+#: The share of the k nearest of SAMPLE queries, known from a scan, that cells must hold to be used, and the share of all vectors (as SIGHT of them tell) from which on a scan costs less than cells.
+RECALL, DENSE, SAMPLE, SIGHT = 0.97, 0.2, 100, 2_000
+#: Vectors that meet in one group of a scan of a large table, and queries scored at once.
+SCAN_ROWS, SCAN_QUERIES = 25_000, 64
 
 
 @dataclass
@@ -27,11 +31,12 @@ class Hashes:
     a: np.ndarray  # tables, dimensions, functions
     b: np.ndarray
     odd: np.ndarray  # tables, functions
+    visits: int  # buckets that a query visits in each table
 
     @classmethod
     def drawn(cls, dimensions: int, functions: int, seed: int = 7) -> Hashes:
         rng = np.random.default_rng(seed)
-        return cls(rng.normal(size=(TABLES, dimensions, functions)), rng.uniform(0, WIDTH, (TABLES, functions)), rng.integers(1, 1 << 62, (TABLES, functions)) * 2 + 1)
+        return cls(rng.normal(size=(TABLES, dimensions, functions)), rng.uniform(0, WIDTH, (TABLES, functions)), rng.integers(1, 1 << 62, (TABLES, functions)) * 2 + 1, PROBES)
 
     def places(self, unit: np.ndarray, t: int) -> np.ndarray:
         return (unit @ self.a[t] + self.b[t]) / WIDTH
@@ -51,7 +56,7 @@ class Hashes:
         step = np.concatenate([-self.odd[t], self.odd[t]])[order].tolist()
         code = int((home.astype(np.int64) * self.odd[t]).sum())
         out, heap = [code], [(cost[0], (0,))]
-        while heap and len(out) < PROBES:
+        while heap and len(out) < self.visits:
             c, chosen = heapq.heappop(heap)
             if len({axis[i] for i in chosen}) == len(chosen):
                 out.append(code + sum(step[i] for i in chosen))
@@ -93,46 +98,134 @@ def with_probes(queries: DataFrame, hashes: Hashes) -> DataFrame:
     return queries.mapInArrow(run, "query_id long, t int, bucket long")
 
 
+def foremost(ids: np.ndarray, score: np.ndarray, k: int, slack: float = 0.0) -> np.ndarray:
+    """Places of all scores that may be among the k largest of distinct ids, when each is right to within slack / 2."""
+    m = k
+    while m < len(score):
+        least = np.partition(score, -m)[-m]
+        if len(np.unique(ids[score >= least])) >= k:
+            return np.flatnonzero(score >= least - slack)
+        m *= 4
+    return np.arange(len(score))
+
+
+class Group:
+    """Vectors of one group, scored in double precision."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+        self.norms = np.sqrt((rows * rows).sum(1))
+
+    def best(self, query_id: int, q: np.ndarray, at: np.ndarray, k: int) -> list[tuple]:
+        """(query_id, vec_id, score) of the k largest cosines among the rows at these places, ties to the smaller id; an id of several rows counts once."""
+        at = at[self.ids[at] != query_id]
+        score = (self.rows[at] * q).sum(1) / (self.norms[at] * np.sqrt((q * q).sum()))
+        near = foremost(self.ids[at], score, k)
+        at, score = at[near], score[near]
+        out: dict[int, tuple] = {}
+        for j in np.lexsort((self.ids[at], -score)):
+            if len(out) == k:
+                break
+            i = int(self.ids[at[j]])
+            out.setdefault(i, (query_id, i, float(score[j])))
+        return list(out.values())
+
+
+FOUND = "query_id long, vec_id long, score double"
+
+
+def answers(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+
+
 def nearest(k: int):
-    """The k nearest of a group's vectors for each of its queries, among the cells that the query visits there (no list: all), by exact cosines in double precision."""
+    """The k nearest of a group's vectors for each of its queries, among the cells that the query visits there."""
 
     def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(vectors) and len(queries):
-            rows = np.stack(vectors["embedding"].to_numpy()).astype(float)
-            norms = np.sqrt((rows * rows).sum(1))
-            ids = vectors["vec_id"].to_numpy()
-            key = vectors["cell"].to_numpy()
-            order = np.argsort(key, kind="stable")
-            key, ids, rows, norms = key[order], ids[order], rows[order], norms[order]
-            names, first = np.unique(key, return_index=True)
-            ends = np.append(first[1:], len(key))
+            vectors = vectors.sort_values("cell", kind="stable")
+            group = Group(vectors["vec_id"].to_numpy(), np.stack(vectors["embedding"].to_numpy()).astype(float))
+            names, first = np.unique(vectors["cell"].to_numpy(), return_index=True)
+            ends = np.append(first[1:], len(vectors))
             for query_id, vector, visited in zip(queries["query_id"], queries["embedding"], queries["visited"], strict=True):
-                if visited is None:
-                    at = np.arange(len(ids))
-                else:
-                    place = np.searchsorted(names, visited := np.unique(np.asarray(visited)))
-                    hit = place[(place < len(names)) & (names[np.minimum(place, len(names) - 1)] == visited)]
-                    at = np.concatenate([np.arange(first[j], ends[j]) for j in hit]) if len(hit) else np.zeros(0, int)
-                at = at[ids[at] != query_id]
-                q = np.asarray(vector, float)
-                score = (rows[at] * q).sum(1) / (norms[at] * np.sqrt((q * q).sum()))
-                if len(at) > 4 * k:
-                    near = score >= np.partition(score, -k)[-k]
-                    at, score = at[near], score[near]
-                best = np.lexsort((ids[at], -score))
-                seen: list[int] = []  # a vector of two tables counts once
-                for j in best:
-                    if len(seen) == k:
-                        break
-                    if (i := int(ids[at[j]])) not in seen:
-                        seen.append(i)
-                        out.append((query_id, i, float(score[j])))
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+                place = np.searchsorted(names, visited := np.unique(np.asarray(visited)))
+                hit = place[(place < len(names)) & (names[np.minimum(place, len(names) - 1)] == visited)]
+                if len(hit):
+                    out += group.best(query_id, np.asarray(vector, float), np.concatenate([np.arange(first[j], ends[j]) for j in hit]), k)
+        return answers(out)
+
+    return run
+
+
+def scan(k: int):
+    """The k nearest of all a group's vectors for each of its queries: products of matrices leave those that may be, exact cosines order them."""
+
+    def run(vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        if len(vectors) and len(queries):
+            group = Group(vectors["vec_id"].to_numpy(), np.stack(vectors["embedding"].to_numpy()).astype(float))
+            unit = (group.rows / group.norms[:, None]).T
+            for lo in range(0, len(queries), SCAN_QUERIES):
+                some = queries.iloc[lo : lo + SCAN_QUERIES]
+                q = np.stack(some["embedding"].to_numpy()).astype(float)
+                rough = (q / np.sqrt((q * q).sum(1))[:, None]) @ unit
+                for query_id, vector, score in zip(some["query_id"], q, rough, strict=True):
+                    others = np.flatnonzero(group.ids != query_id)
+                    out += group.best(query_id, vector, others[foremost(group.ids[others], score[others], k, 1e-9)], k)
+        return answers(out)
 
     return run
 
 
+def scanned(vectors: DataFrame, queries: DataFrame, n: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the k nearest of each group of vectors for all queries (query_id, embedding); groups and blocks of queries don't grow with the table."""
+    groups = max(min(24, -(-n // BLOCK)), -(-n // SCAN_ROWS))
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    left = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "embedding")
+    right = queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", "embedding")
+    find = scan(k)
+    return left.groupBy("part", "block").cogroup(right.groupBy("part", "block")).applyInPandas(lambda v, q: find(v, q), FOUND)
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def fitted(vectors: DataFrame, asked: DataFrame, n: int, k: int) -> Hashes | None:
+    """The hash functions, as many as log2(n) - 6 at most, with which the probes of sampled queries meet RECALL of their true k nearest; None where they would visit DENSE of all vectors or no number will do."""
+    few = stored(asked.orderBy(F.xxhash64("query_id", F.lit("sample"))).limit(SAMPLE), "sample")
+    true = stored(ranked(scanned(vectors, few, n, k), k), "true")
+    at = vectors.join(F.broadcast(true.select("vec_id").distinct()), "vec_id").dropDuplicates(["vec_id"])
+    near = true.join(at, "vec_id").select("query_id", "embedding").toPandas().groupby("query_id")["embedding"]
+    sight = vectors.orderBy(F.xxhash64("vec_id", F.lit("sight"))).limit(SIGHT).toPandas()["embedding"]
+    if not near.ngroups:
+        return None
+
+    def unit(rows) -> np.ndarray:
+        x = np.stack(list(rows)).astype(float)
+        return x / np.sqrt((x * x).sum(1))[:, None]
+
+    sample = few.toPandas()
+    sample = [(u, unit(near.get_group(i))) for i, u in zip(sample["query_id"], unit(sample["embedding"]), strict=True) if i in near.groups]
+    pairs, seen = sum(len(rows) for _, rows in sample), unit(sight)
+    for functions in range(int(np.clip(round(np.log2(n)) - 6, 2, 24)), 1, -1):
+        hashes = Hashes.drawn(seen.shape[1], functions)
+        codes = [hashes.codes(seen, t) for t in range(TABLES)]
+        met = visited = 0
+        for u, rows in sample:
+            probes = [hashes.probes(u, t) for t in range(TABLES)]
+            met += np.any([np.isin(hashes.codes(rows, t), probes[t]) for t in range(TABLES)], axis=0).sum()
+            visited += np.any([np.isin(codes[t], probes[t]) for t in range(TABLES)], axis=0).mean()
+        if visited > DENSE * len(sample):
+            return None
+        if met >= RECALL * pairs:
+            return hashes
+    return None
+
+
 def usable(df: DataFrame) -> DataFrame:
     """(vec_id, embedding) of the vectors that take part: not null, not zero, all components finite, and as long as most vectors are."""
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -144,7 +237,8 @@ def usable(df: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: for each of the vectors (vec_id, embedding) that `queries` picks, the k of largest cosine among all others found, ties to the smaller id.
 
-    Every vector is in one bucket of each table; a query visits PROBES buckets of each. Buckets are dealt as cells to groups of about BLOCK vectors, a larger bucket as several cells by a hash of the id,
+    fitted() chooses the hash functions by queries whose answers are known. Where no choice holds RECALL of them in a small part of the table, all queries are put to all vectors.
+    Otherwise every vector is in one bucket of each table; a query visits PROBES buckets of each. Buckets are dealt as cells to groups of about BLOCK vectors, a larger bucket as several cells by a hash of the id,
     and a bucket that more than QUERY_BLOCK queries visit is copied for blocks of queries, so no group grows with the table. A group answers with the k nearest only. A query for which
     fewer than k are found is put to all vectors. Vectors that can't be compared take no part. Rows that repeat an id are one candidate, under its best score.
     """
@@ -152,9 +246,10 @@ def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
     n = vectors.count()
     if not n:
         return vectors.selectExpr("vec_id query_id", "1 rank", "vec_id", "1D score").limit(0)
-    dimensions = len(vectors.first()["embedding"])
-    hashes = Hashes.drawn(dimensions, int(np.clip(round(np.log2(n)) - 6, 2, 24)))
-    asked = vectors.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding").dropDuplicates(["query_id"])
+    asked = stored(vectors.filter(queries).select(F.col("vec_id").alias("query_id"), "embedding").dropDuplicates(["query_id"]), "asked")
+    hashes = fitted(vectors, asked, n, k)
+    if hashes is None:
+        return ranked(scanned(vectors, asked, n, k), k)
     held = stored(with_buckets(vectors, hashes), "buckets")
     probes = stored(with_probes(asked, hashes), "probes")
     groups = max(1, n * TABLES // BLOCK)
@@ -169,17 +264,13 @@ def search(vectors: DataFrame, queries: Column, k: int = 5) -> DataFrame:
 
     left = dealt(held, "vec_id", "blocks", "copies").select("part", "vec_id", "embedding", "t", "cell")
     right = dealt(probes, "query_id", "copies", "blocks").groupBy("part", "query_id").agg(F.collect_list("cell").alias("visited"))
-    schema = "query_id long, vec_id long, score double"
     find = nearest(k)
-    found = left.groupBy("part").cogroup(right.join(asked, "query_id").select("part", "query_id", "embedding", "visited").groupBy("part")).applyInPandas(lambda v, q: find(v, q), schema)
+    found = left.groupBy("part").cogroup(right.join(asked, "query_id").select("part", "query_id", "embedding", "visited").groupBy("part")).applyInPandas(lambda v, q: find(v, q), FOUND)
     found = stored(found, "found")
     if n > k:
         short = asked.join(found.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n")).filter(F.col("n") >= k), "query_id", "left_anti")
-        every = left.filter("t = 0").groupBy("part").cogroup(short.withColumns({"part": F.explode(F.sequence(F.lit(0), F.lit(groups - 1))), "visited": F.lit(None).cast("array<bigint>")}).groupBy("part"))
-        found = found.unionByName(every.applyInPandas(lambda v, q: find(v, q), schema)) if not short.isEmpty() else found
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return once.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = found.unionByName(scanned(vectors, short, n, k)) if not short.isEmpty() else found
+    return ranked(found, k)
 
 
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,6 +243,33 @@ def test_equal_vectors_tie_by_id_and_hot_buckets_are_split(spark, monkeypatch):
     assert all(by[q, k + 1] == [i for i in range(6) if i != q][k] for q in range(0, 300, 50) for k in range(5))
 
 
+def recall(spark, x, every=50):
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+    got = collections.defaultdict(set)
+    for r in neighbours.search(df, F.col("vec_id") % every == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    unit, hits = x / np.sqrt((x * x).sum(1))[:, None], 0
+    for i in range(0, len(x), every):
+        score = unit @ unit[i]
+        score[i] = -2
+        hits += len(got[i] & set(np.argsort(-score)[:5].tolist()))
+    return hits / (5 * len(range(0, len(x), every)))
+
+
+def test_recall_does_not_fall_in_large_tables(spark):
+    assert recall(spark, np.random.default_rng(5).normal(size=(60_000, 64)), 600) >= 0.95
+
+
+def test_cells_are_used_where_they_hold_the_nearest(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(100, 16))
+    x = centres[np.arange(6000) % 100] + 0.05 * rng.normal(size=(6000, 16))
+    monkeypatch.setattr(neighbours, "PROBES", 4)
+    chosen, own = [], neighbours.fitted
+    monkeypatch.setattr(neighbours, "fitted", lambda *a: chosen.append(own(*a)) or chosen[-1])
+    assert recall(spark, x) >= 0.95 and chosen[0] is not None
+
+
 def test_vectors_that_cannot_be_compared(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [1.0, 1.0]), (50, [0.0, 0.0]), (8, [1.0, 2.0, 3.0])]
