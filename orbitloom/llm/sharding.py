@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from orbitloom.llm.common import numbered, stored, table
 
 SHARDS, ROUNDS = 24, 6
+#: Rows that a shard may hold while labels propagate, as a multiple of the equal share: without slack no row could move in a table of linked rows only.
+SLACK = 1.1
 
 
 def quotas(wish: np.ndarray, size: np.ndarray, cap: float) -> np.ndarray:
@@ -69,12 +71,12 @@ def propagate(links: DataFrame, shards: int, cap: float, rounds: int = ROUNDS) -
 def balanced_shards(nodes: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """nodes (node, unique, and other columns) with `shard` and `slot`: counts of the shards are at most one apart, slots gapless from 0.
 
-    Linked nodes are placed by propagate() under the cap of an equal share. Then each shard has an exact target; linked nodes past it and all nodes
+    Linked nodes are placed by propagate() under a cap of SLACK equal shares. Then each shard has an exact target; linked nodes past it and all nodes
     without links fill what other shards lack, by their number in the pool. A link to a node that nodes lacks, or a hub with one member, changes nothing.
     """
     n = nodes.count()
     target = [n // shards + (s < n % shards) for s in range(shards)]
-    labels = propagate(links, shards, max(1, n // shards), rounds)
+    labels = propagate(links, shards, max(1, SLACK * n / shards), rounds)
     placed = stored(nodes.join(labels, "node", "left"), "placed")
     linked = placed.filter("shard is not null")
     had = [0] * shards

@@ -185,6 +185,18 @@ def test_groups_stay_together(spark):
     assert sum(len({own[5 * g + k] for k in range(5)}) == 1 for g in range(20)) >= 18
 
 
+@pytest.mark.parametrize("size", [2, 5])
+def test_groups_of_a_fully_linked_table_come_together(spark, size):
+    n = 40_000
+    nodes = stored(spark.range(n).select(F.col("id").alias("node")), "nodes")
+    links = stored(nodes.select("node", F.floor(F.col("node") / size).alias("hub")), "links")
+    found = sharding.balanced_shards(nodes, links, 4)
+    counts = [r["count"] for r in found.groupBy("shard").count().collect()]
+    assert sum(counts) == n and max(counts) - min(counts) <= 1
+    whole = found.groupBy(F.floor(F.col("node") / size)).agg(F.countDistinct("shard").alias("n")).filter("n = 1").count()
+    assert whole >= 0.85 * n / size
+
+
 def test_group_larger_than_a_shard_is_split_evenly(spark):
     own = shards_of(spark, [[0]] * 70 + [[] for _ in range(30)])
     assert sorted(collections.Counter(own[k] for k in range(70)).values())[-1] == 25
