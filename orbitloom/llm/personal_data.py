@@ -19,7 +19,17 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+#: Characters of the account numbers of each country; those of others have 15 to 34.
+IBAN_LENGTH = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 #: Characters on either side of a span that may hold context words.
 NEAR = 60
 #: A confirmed span's score without context, and what a context word adds.
@@ -58,6 +68,30 @@ def emails(text: str) -> Iterable[tuple[int, int]]:
             yield start, done
 
 
+def ibans(text: str) -> Iterable[tuple[int, int]]:
+    """Account numbers that the check digits confirm. Other words may follow in capitals or digits: a number ends where a word does, at its country's length or, where the country has none, at the last place from 15 to 34 characters."""
+    done = 0
+    for m in IBAN.finditer(text):
+        if (start := m.start()) < done:
+            continue
+        at, code, ends = start, [], []
+        while len(code) < 34:
+            if text[at : at + 1] == " " and text[at + 1 : at + 2] in UPPER:
+                at += 1
+            if text[at : at + 1] not in UPPER:
+                break
+            code.append(text[at])
+            at += 1
+            if len(code) >= 15 and not (text[at : at + 1].isascii() and text[at : at + 1].isalnum()):
+                ends.append((len(code), at))
+        length = IBAN_LENGTH.get(text[start : start + 2])
+        for n, end in reversed(ends):
+            if n == (length or n) and mod97("".join(code[:n])):
+                done = end
+                yield start, end
+                break
+
+
 def proposed(text: str) -> Iterable[tuple[str, int, int]]:
     """Confirmed spans, kind by kind."""
     if "@" in text:
@@ -78,10 +112,8 @@ def proposed(text: str) -> Iterable[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 8 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield "iban", m.start(), m.end()
+    for start, end in ibans(text):
+        yield "iban", start, end
     yield from short
 
 

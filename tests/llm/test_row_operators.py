@@ -74,6 +74,17 @@ def test_own_kinds_need_checksum_and_context():
     assert personal_data.find("order 378282246310005") == []
 
 
+@pytest.mark.parametrize("tail", [" BIC MIDLGB22", " EUR 250", " 2024 invoice", "\nBIC", " Bank", ", 7", " FR14 2004 1010 0505 0001 3M02 606"])
+def test_account_numbers_before_other_words(tail):
+    for number in ("GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947", "MT84MALT011000012345MTLCAST001S"):
+        text = f"IBAN {number}{tail}"
+        spans = personal_data.find(text)
+        assert [text[a:b] for kind, a, b, _ in spans if kind == "iban"] == [number, tail[1:]][: 1 + tail.startswith(" FR")]
+        assert number not in personal_data.masked(text, spans)
+    assert not [s for s in personal_data.find("AB12 GB82 WEST 1234 5698 7654 33 BIC") if s[0] == "iban"]
+    assert [s[1:3] for s in personal_data.find("AB12 GB82 WEST 1234 5698 7654 32 BIC") if s[0] == "iban"] == [(5, 32)]
+
+
 @pytest.mark.parametrize("text", ["a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" + " " * 200_000, "@" * 100_000, "a@" * 100_000])
 def test_long_runs_take_linear_time(text):
     personal_data.find(text)
