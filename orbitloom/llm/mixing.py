@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from orbitloom.llm.common import map_rows, stored, table
 
-#: Categories kept of each dimension, the heaviest by tokens; the rest share OTHER. They bound the table of cells.
-CATEGORIES = {"source": 500, "lang": 50, "topic": 10}
-OTHER = "(other)"
+#: What the cells are made of.
+DIMENSIONS = ("source", "lang", "topic")
+#: Cells that are raked on the driver and broadcast back; a longer table of cells is raked by grouped sums and joins instead, and its CELLS heaviest alone are broadcast.
+CELLS = 100_000
 #: What `topics` may say of a text.
 TOPICS = ("empty", "numeric", "shouting", "markup", "list", "prose")
 #: Targets: shares by category, or a power that tempers the shares found.
@@ -55,24 +56,28 @@ def with_topics(df: DataFrame, text: str, keep: list[str], prefix: str = "") ->
     return map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{prefix}tokens long, {prefix}topic string"]))
 
 
-def rake(mass: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
-    """Weights of the cells of a dense array such that mass * weight has the target shares along each axis, as near as its empty cells let it. Targets of categories without mass are dealt out to the others."""
+def rake_cells(at: list[np.ndarray], mass: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
+    """Weights of cells, given by their place along each axis, such that mass * weight has the target shares along each axis, as near as absent cells let it. Targets of categories without mass are dealt out to the others."""
     weight, total = np.ones_like(mass), mass.sum()
     for _ in range(rounds):
         worst = 0.0
-        for axis, target in enumerate(targets):
-            others = tuple(k for k in range(mass.ndim) if k != axis)
-            now = (mass * weight).sum(others)
+        for own, target in zip(at, targets, strict=True):
+            now = np.bincount(own, mass * weight, len(target)).astype(float)
             wanted = np.where(now > 0, target, 0)
             wanted = wanted / max(wanted.sum(), 1e-300) * total
             factor = np.divide(wanted, now, out=np.zeros_like(now), where=now > 0)
             worst = max(worst, float(np.abs(factor[now > 0] - 1).max(initial=0)))
-            weight = weight * factor.reshape([-1 if k == axis else 1 for k in range(mass.ndim)])
+            weight = weight * factor[own]
         if worst < tolerance:
             break
     return weight
 
 
+def rake(mass: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
+    """rake_cells of a dense array."""
+    return rake_cells([x.ravel() for x in np.indices(mass.shape)], mass.ravel(), targets).reshape(mass.shape)
+
+
 def probabilities(mass: np.ndarray, weight: np.ndarray, budget: float) -> np.ndarray:
     """min(1, factor * weight), with the factor at which the tokens expected are `budget` of all; what cells at 1 can't give the others do."""
     m, w = mass.ravel(), weight.ravel()
@@ -86,7 +91,7 @@ def probabilities(mass: np.ndarray, weight: np.ndarray, budget: float) -> np.nda
     rest = np.cumsum((m * w)[::-1])[::-1]
     factor = (goal - sure) / rest
     fits = np.flatnonzero(factor * w <= 1 + 1e-12)
-    return np.minimum(1.0, weight * (factor[fits[0]] if len(fits) else np.inf))
+    return np.where(weight > 0, np.minimum(1.0, weight * factor[fits[0]]), 0.0) if len(fits) else (weight > 0).astype(float)
 
 
 def share_targets(found: np.ndarray, names: list[str], target: float | dict[str, float]) -> np.ndarray:
@@ -97,32 +102,84 @@ def share_targets(found: np.ndarray, names: list[str], target: float | dict[str,
     return out / max(out.sum(), 1e-300)
 
 
+def planned(cells: DataFrame, targets: dict, budget: float) -> DataFrame:
+    """cells (_source, _lang, _topic, _tokens) with _weight and _probability, on the driver."""
+    found = cells.collect()
+    mass = np.array([r["_tokens"] for r in found], float)
+    at, wanted = [], []
+    for d in DIMENSIONS:
+        names = sorted({r[f"_{d}"] for r in found})
+        place = {x: k for k, x in enumerate(names)}
+        at.append(np.array([place[r[f"_{d}"]] for r in found], int))
+        wanted.append(share_targets(np.bincount(at[-1], mass, len(names)).astype(float), names, targets[d]))
+    weight = rake_cells(at, mass, wanted)
+    plan = [(*r, w, p) for r, w, p in zip(found, weight.tolist(), probabilities(mass, weight, budget).tolist(), strict=True)]
+    return cells.sparkSession.createDataFrame(plan, "_source string, _lang string, _topic string, _tokens long, _weight double, _probability double")
+
+
+def planned_at_large(cells: DataFrame, targets: dict, budget: float, rounds: int = 200, tolerance: float = 1e-9) -> DataFrame:
+    """The rows of planned() by a grouped sum and a join per axis and round; only sums come to the driver."""
+    spark = cells.sparkSession
+    total = float(cells.agg(F.sum("_tokens")).first()[0])
+    wanted = []
+    for d in DIMENSIONS:
+        own = cells.groupBy(f"_{d}").agg(F.sum("_tokens").cast("double").alias("_found"))
+        if isinstance(targets[d], dict):
+            named = spark.createDataFrame([(k, float(v)) for k, v in targets[d].items()], f"_{d} string, _target double")
+            own = own.join(named, f"_{d}", "left").select(f"_{d}", F.coalesce("_target", F.lit(0.0)).alias("_target"))
+        else:
+            own = own.select(f"_{d}", F.pow(F.col("_found") / total, F.lit(float(targets[d]))).alias("_target"))
+        wanted.append(stored(own, "wanted"))
+    now = cells.withColumn("_weight", F.lit(1.0))
+    for _ in range(rounds):
+        worst = 0.0
+        for d, target in zip(DIMENSIONS, wanted, strict=True):
+            sums = stored(now.groupBy(f"_{d}").agg(F.sum(F.col("_tokens") * F.col("_weight")).alias("_now")).join(target, f"_{d}").filter("_now > 0"), "sums")
+            share = sums.agg(F.sum("_target")).first()[0] or 0.0
+            factors = sums.select(f"_{d}", (F.col("_target") / max(share, 1e-300) * total / F.col("_now")).alias("_factor"))
+            worst = max(worst, factors.agg(F.max(F.abs(F.col("_factor") - 1))).first()[0] or 0.0)
+            now = now.join(factors, f"_{d}", "left").withColumn("_weight", F.col("_weight") * F.coalesce("_factor", F.lit(0.0))).select(*cells.columns, "_weight")
+        now = stored(now, "raked")
+        if worst < tolerance:
+            break
+    some = now.filter("_tokens > 0 and _weight > 0")
+    goal = min(budget * total, float(some.agg(F.sum("_tokens")).first()[0] or 0))
+    factor = 0.0
+    while True:  # cells that reach 1 leave the rest to the others, until no more do
+        sure = F.col("_weight") * factor > 1
+        r = some.agg(F.sum(F.when(sure, F.col("_tokens"))).alias("sure"), F.sum(F.when(~sure, F.col("_tokens") * F.col("_weight"))).alias("rest")).first()
+        new = (goal - (r["sure"] or 0)) / r["rest"] if r["rest"] else factor
+        if new <= factor * (1 + 1e-14):
+            break
+        factor = new
+    chance = F.least(F.lit(1.0), F.col("_weight") * factor) if goal else F.lit(1.0)
+    return now.withColumn("_probability", chance)
+
+
 def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None, budget: float = BUDGET, seed: int = 1, order: str = "doc_id", prefix: str = "") -> DataFrame:
     """The columns in keep, which hold `source`, `lang` and the column named in order, with tokens, topic, weight, probability and kept, these with the prefix before their names.
 
-    Tokens are summed by cell (source, language, topic) and the cells, at most the product of CATEGORIES and as many more for OTHER, are raked on the
-    driver and broadcast back. A row is kept if a hash of its `order` value, uniform in 0 to 1, is under its probability, so equal ids share a fate. A null source or language is a category of its
+    Tokens are summed by cell (source, language, topic), whatever number of them there is, and the cells are raked on the driver and broadcast back, or past CELLS of them as a stored table.
+    A row is kept if a hash of its `order` value, uniform in 0 to 1, is under its probability, so equal ids share a fate. A null source or language is a category of its
     own; rows without tokens count nothing in the marginals and get their cell's probability, or 1 if the cell has no tokens. An empty table stays empty.
     """
-    spark, targets = df.sparkSession, targets or TARGETS
-    dims = list(CATEGORIES)
+    targets = targets or TARGETS
     rows = with_topics(df, text, keep, "_")
     for d in ("source", "lang"):
         rows = rows.withColumn(f"_{d}", F.coalesce(F.col(d).cast("string"), F.lit("(null)")))
-    names: dict[str, list[str]] = {}
-    cells = stored(rows.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens")), "cells")
-    for d in dims:
-        names[d] = [r[f"_{d}"] for r in cells.groupBy(f"_{d}").agg(F.sum("_tokens").alias("n")).orderBy(F.desc("n"), f"_{d}").limit(CATEGORIES[d]).collect()] + [OTHER]
-    folded = {d: F.when(F.col(f"_{d}").isin(names[d]), F.col(f"_{d}")).otherwise(OTHER) for d in dims}
-    mass = np.zeros([len(names[d]) for d in dims])
-    index = {d: {n: k for k, n in enumerate(names[d])} for d in dims}
-    for r in cells.select(*(folded[d].alias(d) for d in dims), "_tokens").groupBy(*dims).agg(F.sum("_tokens").alias("tokens")).collect():
-        mass[tuple(index[d][r[d]] for d in dims)] = r["tokens"] or 0
-    weight = rake(mass, [share_targets(mass.sum(tuple(k for k in range(3) if k != axis)), names[d], targets[d]) for axis, d in enumerate(dims)])
-    chance = probabilities(mass, weight, budget)
-    plan = [(*(names[d][k] for d, k in zip(dims, at, strict=True)), float(weight[at]), float(chance[at])) for at in zip(*(x.tolist() for x in np.nonzero(mass)), strict=True)]
-    plan_df = spark.createDataFrame(plan, "_s string, _l string, _t string, _weight double, _probability double")
-    joined = rows.join(F.broadcast(plan_df), (folded["source"] == F.col("_s")) & (folded["lang"] == F.col("_l")) & (folded["topic"] == F.col("_t")), "left")
+    dims = [f"_{d}" for d in DIMENSIONS]
+    cells = stored(rows.groupBy(*dims).agg(F.sum("_tokens").alias("_tokens")), "cells").filter("_tokens > 0")
+    n = cells.count()
+    if n <= CELLS:
+        plan = planned(cells, targets, budget)
+        joined = rows.join(F.broadcast(plan.drop("_tokens")), dims, "left")
+    else:
+        plan = stored(planned_at_large(cells, targets, budget), "plan")
+        top = stored(plan.orderBy(F.desc("_tokens"), *dims).limit(CELLS).drop("_tokens"), "heavy")
+        light = plan.drop("_tokens").join(top.select(*dims), dims, "left_anti").withColumnsRenamed({"_weight": "_w", "_probability": "_p"})
+        # rows of heavy cells are dealt at random, as a light cell has few rows and a heavy one may have most
+        joined = rows.join(F.broadcast(top), dims, "left").withColumn("_deal", F.when(F.col("_weight").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(order)))
+        joined = joined.join(light.withColumn("_deal", F.lit(0).cast("long")), [*dims, "_deal"], "left").withColumns({"_weight": F.coalesce("_weight", "_w"), "_probability": F.coalesce("_probability", "_p")})
     luck = F.pmod(F.xxhash64(F.coalesce(F.col(order).cast("string"), F.lit("(null)")), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
     joined = joined.withColumns({"_weight": F.coalesce("_weight", F.lit(1.0)), "_probability": F.coalesce("_probability", F.lit(1.0))}).withColumn("_kept", luck < F.col("_probability"))
     return joined.select(*keep, *(F.col(f"_{c}").alias(prefix + c) for c in ("tokens", "topic", "weight", "probability", "kept")))

@@ -361,3 +361,24 @@ def test_mixing_takes_odd_rows(spark):
     expected = sum(r["_tokens"] * r["_probability"] for r in got) / sum(r["_tokens"] for r in got)
     assert expected == pytest.approx(0.7) and 0.55 < sum(r["_tokens"] for r in got if r["_kept"]) / sum(r["_tokens"] for r in got) < 0.85
     assert mixing.mixed(df.limit(0), "text", ["doc_id", "source", "lang"]).isEmpty()
+
+
+def test_all_categories_are_raked(spark, monkeypatch):
+    rows = [(k, "plain words " * (1 + k % 7), f"s{k % 700 if k < 1400 else k % 9}", "en") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    last = {f"s{k}": 1.0 for k in range(690, 700)}
+    for targets in (None, {"source": last, "lang": 0.7, "topic": 0.7}):
+        found = []
+        for cells in (100_000, 10):
+            monkeypatch.setattr(mixing, "CELLS", cells)
+            found.append({r["doc_id"]: (r["tokens"], r["source"], r["weight"], r["probability"]) for r in mixing.mixed(df, "text", ["doc_id", "source", "lang"], targets, 0.002 if targets else 0.7).collect()})
+        assert set(found[0]) == set(found[1]) == set(range(3000))
+        for k, x in found[0].items():
+            assert x[:2] == found[1][k][:2] and x[2:] == pytest.approx(found[1][k][2:], rel=1e-6)
+        mass, got = collections.Counter(), collections.Counter()
+        for tokens, source, weight, _ in found[0].values():
+            mass[source] += tokens
+            got[source] += tokens * weight
+        total = sum(mass.values())
+        want = {s: last.get(s, 0.0) if targets else (m / total) ** 0.5 for s, m in mass.items()}
+        assert all(got[s] / total == pytest.approx(want[s] / sum(want.values()), rel=1e-3, abs=1e-9) for s in mass)
