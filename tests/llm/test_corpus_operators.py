@@ -282,6 +282,13 @@ def test_cells_are_used_where_they_hold_the_nearest(spark, monkeypatch):
     assert recall(spark, x) >= 0.95 and chosen[0] is not None
 
 
+def test_few_vectors_are_all_found_by_cells_too(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "fitted", lambda *a: neighbours.Hashes.drawn(2, 24))
+    monkeypatch.setattr(neighbours, "PROBES", 1)
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
+    assert [r["vec_id"] for r in neighbours.search(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [2, 1]
+
+
 def test_vectors_that_cannot_be_compared(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [1.0, 1.0]), (50, [0.0, 0.0]), (8, [1.0, 2.0, 3.0])]
