@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where none is named, as in tests, a new local one."""
+    """The folder named in spark.checkpoint.dir. Where none is named, a new local one in local mode, as in tests; on a cluster that is an error, as no executor would see the others' files."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="orbitloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
