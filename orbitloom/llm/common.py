@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -14,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from orbitloom.sources.storage import stored  # noqa: F401  the operators take it from here
+
 #: Rows, and bytes of text and binary values, after which an output batch is sent.
 BATCH_ROWS, BATCH_BYTES = 2048, 4 << 20
+#: Most bytes of an Arrow batch on its way to Python; a longer row is a batch of its own.
+ARROW_BYTES = 4 << 20
 #: Rows that one bucket of `numbered` is meant to hold, and the least number of buckets.
 BUCKET_ROWS, LEAST_BUCKETS = 100_000, 64
 
@@ -24,21 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where none is named, as in tests, a new local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="orbitloom-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
+def marked(columns: list[str]) -> str:
+    """A prefix for an operator's own columns that no column of its input begins with."""
+    mark = "_"
+    while any(c.lower().startswith(mark) for c in columns):
+        mark += "_"
+    return mark
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: this cuts the lineage, so a lost executor costs no more than a rerun of the tasks that read it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def by_bytes(spark: SparkSession) -> None:
+    """Whole texts are long: from now on the session cuts Arrow batches by bytes, not only by rows, so that neither side of a task holds tens of megabytes of them at once."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) > ARROW_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def release() -> None:
@@ -51,6 +50,7 @@ def release() -> None:
 def map_rows(df: DataFrame, make: Callable[[], Callable[[tuple], Iterable[tuple]]], schema: str) -> DataFrame:
     """Row-wise work in Arrow batches. make() runs once a task and returns the function from a row's values to output rows, so models and caches load where they are used."""
     arrow = to_arrow_schema(_parse_datatype_string(schema))
+    by_bytes(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, rows, size = make(), [], 0
@@ -83,10 +83,11 @@ def numbered(df: DataFrame, key: Column, order: list[str], name: str, rows: int)
     df must be a stored table, as it is read twice. Rows are dealt to hash buckets of the order columns, numbered inside a
     bucket, and shifted by the sum of the buckets before it, so a key that holds a third of all rows is spread evenly too.
     """
-    buckets = max(LEAST_BUCKETS, rows // BUCKET_ROWS)
-    df = df.withColumns({"_key": key, "_bucket": F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")})
-    counts = df.groupBy("_key", "_bucket").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(W.partitionBy("_key").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
-    shifts = counts.select("_key", "_bucket", F.coalesce(before, F.lit(0)).alias("_shift"))
-    within = F.row_number().over(W.partitionBy("_key", "_bucket").orderBy(*order)) - 1
-    return df.withColumn("_within", within).join(shifts, ["_key", "_bucket"]).withColumn(name, F.col("_shift") + F.col("_within")).drop("_key", "_bucket", "_n", "_shift", "_within")
+    buckets, m = max(LEAST_BUCKETS, rows // BUCKET_ROWS), marked([*df.columns, name])
+    df = df.withColumns({f"{m}key": key, f"{m}bucket": F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int")})
+    counts = df.groupBy(f"{m}key", f"{m}bucket").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(f"{m}key").orderBy(f"{m}bucket").rowsBetween(W.unboundedPreceding, -1))
+    shifts = counts.select(f"{m}key", f"{m}bucket", F.coalesce(before, F.lit(0)).alias(f"{m}shift"))
+    within = F.row_number().over(W.partitionBy(f"{m}key", f"{m}bucket").orderBy(*order)) - 1
+    found = df.withColumn(f"{m}within", within).join(shifts, [f"{m}key", f"{m}bucket"]).withColumn(name, F.col(f"{m}shift") + F.col(f"{m}within"))
+    return found.drop(*(m + c for c in ("key", "bucket", "within", "shift")))

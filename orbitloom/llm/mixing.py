@@ -2,58 +2,116 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import map_rows, stored, table
+from orbitloom.llm.common import by_bytes, map_rows, marked, release, stored, table
 
 #: What the cells are made of.
 DIMENSIONS = ("source", "lang", "topic")
 #: Cells that are raked on the driver and broadcast back; a longer table of cells is raked by grouped sums and joins instead, and its CELLS heaviest alone are broadcast.
 CELLS = 100_000
-#: What `topics` may say of a text.
-TOPICS = ("empty", "numeric", "shouting", "markup", "list", "prose")
-#: Targets: shares by category, or a power that tempers the shares found.
+#: Topics, rounds of fitting them, and bins of the hashed words that tell them apart.
+TOPICS, ROUNDS, BINS = 12, 6, 256
+#: Targets: shares by category (None: of the null source or language), or a power that tempers the shares found.
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 #: Tokens to keep, as a share of all.
 BUDGET = 0.7
+#: Leading bytes of a word that its hash reads, beside its length.
+LEADING = 6
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint32)
+_LOWER[65:91] += 32
 
-def topic(counts: np.ndarray, tokens: int) -> str:
-    """A coarse topic from the counts of the bytes of a whole text: what dominates its surface."""
-    n = int(counts.sum())
-    letters = int(counts[65:91].sum() + counts[97:123].sum() + counts[128:].sum())
-    if not tokens:
-        return "empty"
-    if counts[48:58].sum() > 0.08 * n:
-        return "numeric"
-    if counts[65:91].sum() > 0.3 * letters:
-        return "shouting"
-    if counts[[33, 35, 36, 37, 38, 42, 43, 60, 61, 62, 64, 91, 93, 94, 95, 96, 123, 124, 125, 126]].sum() > 0.06 * n:
-        return "markup"
-    return "list" if counts[10] > 0.02 * n else "prose"
 
+def profile(text: str) -> tuple[int, bytes]:
+    """The number of words of a whole text between white space of ASCII, and how many of them, up to 255, fall into each of BINS by a hash of their beginning and length."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    blank = np.concatenate([[True], _BLANK[data], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    start, end = edges[::2], edges[1::2]
+    h = (end - start).astype(np.uint32)
+    for k in range(LEADING):
+        at = start + k
+        h = h * np.uint32(0x01000193) + np.where(at < end, _LOWER[data[np.minimum(at, end - 1)]], np.uint32(0))
+    bins = (h ^ h >> np.uint32(15)) * np.uint32(0x9E3779B1) >> np.uint32(24)
+    return len(start), np.minimum(np.bincount(bins, minlength=BINS), 255).astype(np.uint8).tobytes()
 
-def with_topics(df: DataFrame, text: str, keep: list[str], prefix: str = "") -> DataFrame:
-    """The columns in keep with `tokens` (words between white space of ASCII) and `topic` of the whole text, their names after the prefix; a null text has no tokens and is empty."""
 
-    def make() -> Callable[[tuple], Iterable[tuple]]:
-        space = np.zeros(256, bool)
-        space[[9, 10, 11, 12, 13, 32]] = True
+@dataclass
+class Topics:
+    """Clusters of documents by the words in them: a document belongs to the centre of largest cosine with its logarithmic counts, scaled by how rare a bin is among all documents."""
 
-        def row(values: tuple) -> Iterable[tuple]:
-            data = np.frombuffer((values[-1] or "").encode(), np.uint8)
-            blank = space[data]
-            tokens = int((~blank[1:] & blank[:-1]).sum()) + int(len(data) > 0 and not blank[0])
-            yield *values[:-1], tokens, topic(np.bincount(data, minlength=256), tokens)
+    rarity: np.ndarray
+    centres: np.ndarray  # topics, bins; unit rows
 
-        return row
+    def vectors(self, profiles: list[bytes]) -> np.ndarray:
+        x = np.log1p(np.frombuffer(b"".join(profiles), np.uint8).reshape(-1, BINS).astype(float)) * self.rarity
+        return x / np.maximum(np.sqrt((x * x).sum(1)), 1e-300)[:, None]
 
-    kinds = dict(df.dtypes)
-    return map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{prefix}tokens long, {prefix}topic string"]))
+    def of(self, profiles: list[bytes]) -> np.ndarray:
+        return (self.vectors(profiles) @ self.centres.T).argmax(1)
+
+    def name(self, tokens: int, own: bytes) -> str:
+        return f"topic {self.of([own])[0]}" if tokens and len(self.centres) else "empty"
+
+
+def summed(profiles: DataFrame, add: Callable[[list[bytes]], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of add() over all profiles: each task adds up its own, the driver those of the tasks, in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                total += add(batch.column(0).slice(at, 1024).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+        release()
+
+    total = np.zeros(shape)
+    for r in profiles.select("profile").mapInArrow(run, "total binary").toLocalIterator():
+        total += np.frombuffer(r["total"]).reshape(shape)
+    return total
+
+
+def fitted_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = ROUNDS) -> Topics:
+    """Topics of all documents with words, by rounds of assigning each to its nearest centre and moving the centres to the means; the first centres are different documents that a hash picks."""
+    some = profiles.filter("tokens > 0").select("profile")
+    seeds = [bytes(r["profile"]) for r in some.distinct().orderBy(F.xxhash64("profile"), "profile").limit(topics).collect()]
+    if not seeds:
+        return Topics(np.ones(BINS), np.zeros((0, BINS)))
+    counts = summed(some, lambda own: np.r_[(np.frombuffer(b"".join(own), np.uint8).reshape(-1, BINS) > 0).sum(0), len(own)], (BINS + 1,))
+    found = Topics(np.log((2 + counts[-1]) / (1 + counts[:-1])), np.zeros((0, BINS)))
+    found.centres = found.vectors(seeds)
+
+    def moved(own: list[bytes]) -> np.ndarray:
+        total = np.zeros((len(seeds), BINS))
+        np.add.at(total, found.of(own), found.vectors(own))
+        return total
+
+    for _ in range(rounds):
+        total = summed(some, moved, (len(seeds), BINS))
+        norms = np.sqrt((total * total).sum(1))[:, None]
+        new = np.where(norms > 0, total / np.maximum(norms, 1e-300), found.centres)
+        done, found.centres = np.abs(new - found.centres).max() < 1e-6, new
+        if done:
+            break
+    return found
+
+
+def category(name: str) -> Column:
+    """A category's name that tells null from every text."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit(""))
+
+
+def named(target: float | dict) -> float | dict[str, float]:
+    return {"" if k is None else f"={k}": float(v) for k, v in target.items()} if isinstance(target, dict) else float(target)
 
 
 def rake_cells(at: list[np.ndarray], mass: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
@@ -103,86 +161,100 @@ def share_targets(found: np.ndarray, names: list[str], target: float | dict[str,
 
 
 def planned(cells: DataFrame, targets: dict, budget: float) -> DataFrame:
-    """cells (_source, _lang, _topic, _tokens) with _weight and _probability, on the driver."""
+    """cells (source, lang, topic, tokens) with weight and probability, on the driver."""
     found = cells.collect()
-    mass = np.array([r["_tokens"] for r in found], float)
+    mass = np.array([r["tokens"] for r in found], float)
     at, wanted = [], []
     for d in DIMENSIONS:
-        names = sorted({r[f"_{d}"] for r in found})
+        names = sorted({r[d] for r in found})
         place = {x: k for k, x in enumerate(names)}
-        at.append(np.array([place[r[f"_{d}"]] for r in found], int))
+        at.append(np.array([place[r[d]] for r in found], int))
         wanted.append(share_targets(np.bincount(at[-1], mass, len(names)).astype(float), names, targets[d]))
     weight = rake_cells(at, mass, wanted)
     plan = [(*r, w, p) for r, w, p in zip(found, weight.tolist(), probabilities(mass, weight, budget).tolist(), strict=True)]
-    return cells.sparkSession.createDataFrame(plan, "_source string, _lang string, _topic string, _tokens long, _weight double, _probability double")
+    return cells.sparkSession.createDataFrame(plan, "source string, lang string, topic string, tokens long, weight double, probability double")
 
 
 def planned_at_large(cells: DataFrame, targets: dict, budget: float, rounds: int = 200, tolerance: float = 1e-9) -> DataFrame:
     """The rows of planned() by a grouped sum and a join per axis and round; only sums come to the driver."""
     spark = cells.sparkSession
-    total = float(cells.agg(F.sum("_tokens")).first()[0])
+    total = float(cells.agg(F.sum("tokens")).first()[0])
     wanted = []
     for d in DIMENSIONS:
-        own = cells.groupBy(f"_{d}").agg(F.sum("_tokens").cast("double").alias("_found"))
+        own = cells.groupBy(d).agg(F.sum("tokens").cast("double").alias("found"))
         if isinstance(targets[d], dict):
-            named = spark.createDataFrame([(k, float(v)) for k, v in targets[d].items()], f"_{d} string, _target double")
-            own = own.join(named, f"_{d}", "left").select(f"_{d}", F.coalesce("_target", F.lit(0.0)).alias("_target"))
+            shares = spark.createDataFrame(list(targets[d].items()), f"{d} string, target double")
+            own = own.join(shares, d, "left").select(d, F.coalesce("target", F.lit(0.0)).alias("target"))
         else:
-            own = own.select(f"_{d}", F.pow(F.col("_found") / total, F.lit(float(targets[d]))).alias("_target"))
+            own = own.select(d, F.pow(F.col("found") / total, F.lit(targets[d])).alias("target"))
         wanted.append(stored(own, "wanted"))
-    now = cells.withColumn("_weight", F.lit(1.0))
+    now = cells.withColumn("weight", F.lit(1.0))
     for _ in range(rounds):
         worst = 0.0
         for d, target in zip(DIMENSIONS, wanted, strict=True):
-            sums = stored(now.groupBy(f"_{d}").agg(F.sum(F.col("_tokens") * F.col("_weight")).alias("_now")).join(target, f"_{d}").filter("_now > 0"), "sums")
-            share = sums.agg(F.sum("_target")).first()[0] or 0.0
-            factors = sums.select(f"_{d}", (F.col("_target") / max(share, 1e-300) * total / F.col("_now")).alias("_factor"))
-            worst = max(worst, factors.agg(F.max(F.abs(F.col("_factor") - 1))).first()[0] or 0.0)
-            now = now.join(factors, f"_{d}", "left").withColumn("_weight", F.col("_weight") * F.coalesce("_factor", F.lit(0.0))).select(*cells.columns, "_weight")
+            sums = stored(now.groupBy(d).agg(F.sum(F.col("tokens") * F.col("weight")).alias("now")).join(target, d).filter("now > 0"), "sums")
+            share = sums.agg(F.sum("target")).first()[0] or 0.0
+            factors = sums.select(d, (F.col("target") / max(share, 1e-300) * total / F.col("now")).alias("factor"))
+            worst = max(worst, factors.agg(F.max(F.abs(F.col("factor") - 1))).first()[0] or 0.0)
+            now = now.join(factors, d, "left").withColumn("weight", F.col("weight") * F.coalesce("factor", F.lit(0.0))).select(*cells.columns, "weight")
         now = stored(now, "raked")
         if worst < tolerance:
             break
-    some = now.filter("_tokens > 0 and _weight > 0")
-    goal = min(budget * total, float(some.agg(F.sum("_tokens")).first()[0] or 0))
+    some = now.filter("tokens > 0 and weight > 0")
+    goal = min(budget * total, float(some.agg(F.sum("tokens")).first()[0] or 0))
     factor = 0.0
     while True:  # cells that reach 1 leave the rest to the others, until no more do
-        sure = F.col("_weight") * factor > 1
-        r = some.agg(F.sum(F.when(sure, F.col("_tokens"))).alias("sure"), F.sum(F.when(~sure, F.col("_tokens") * F.col("_weight"))).alias("rest")).first()
+        sure = F.col("weight") * factor > 1
+        r = some.agg(F.sum(F.when(sure, F.col("tokens"))).alias("sure"), F.sum(F.when(~sure, F.col("tokens") * F.col("weight"))).alias("rest")).first()
         new = (goal - (r["sure"] or 0)) / r["rest"] if r["rest"] else factor
         if new <= factor * (1 + 1e-14):
             break
         factor = new
-    chance = F.least(F.lit(1.0), F.col("_weight") * factor) if goal else F.lit(1.0)
-    return now.withColumn("_probability", chance)
+    chance = F.least(F.lit(1.0), F.col("weight") * factor) if goal else F.lit(1.0)
+    return now.withColumn("probability", chance)
 
 
 def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None, budget: float = BUDGET, seed: int = 1, order: str = "doc_id", prefix: str = "") -> DataFrame:
     """The columns in keep, which hold `source`, `lang` and the column named in order, with tokens, topic, weight, probability and kept, these with the prefix before their names.
 
-    Tokens are summed by cell (source, language, topic), whatever number of them there is, and the cells are raked on the driver and broadcast back, or past CELLS of them as a stored table.
+    Topics are fitted to all documents. Tokens are summed by cell (source, language, topic), whatever number of them there is, and the cells are raked on the driver and broadcast back, or past CELLS of them as a stored table.
     A row is kept if a hash of its `order` value, uniform in 0 to 1, is under its probability, so equal ids share a fate. A null source or language is a category of its
-    own; rows without tokens count nothing in the marginals and get their cell's probability, or 1 if the cell has no tokens. An empty table stays empty.
+    own, a null text is empty; rows without tokens count nothing in the marginals and get their cell's probability, or 1 if the cell has no tokens. An empty table stays empty. Columns of any other names pass through.
     """
-    targets = targets or TARGETS
-    rows = with_topics(df, text, keep, "_")
-    for d in ("source", "lang"):
-        rows = rows.withColumn(f"_{d}", F.coalesce(F.col(d).cast("string"), F.lit("(null)")))
-    dims = [f"_{d}" for d in DIMENSIONS]
-    cells = stored(rows.groupBy(*dims).agg(F.sum("_tokens").alias("_tokens")), "cells").filter("_tokens > 0")
-    n = cells.count()
-    if n <= CELLS:
-        plan = planned(cells, targets, budget)
-        joined = rows.join(F.broadcast(plan.drop("_tokens")), dims, "left")
+    spark, m = df.sparkSession, marked([*keep, text])
+    targets = {d: named((targets or TARGETS)[d]) for d in DIMENSIONS}
+    by_bytes(spark)
+    own = map_rows(df.select(category("source").alias("source"), category("lang").alias("lang"), F.col(text).alias("text")), lambda: lambda row: [(*row[:2], *profile(row[2] or ""))], "source string, lang string, tokens long, profile binary")
+    own = stored(own, "profiles")
+    topics = spark.sparkContext.broadcast(fitted_topics(own))
+    cells = map_rows(own.filter("tokens > 0"), lambda: lambda row: [(*row[:2], topics.value.name(*row[2:]), row[2])], "source string, lang string, topic string, tokens long")
+    cells = stored(cells.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
+
+    def make() -> Callable[[tuple], Iterable[tuple]]:
+        name = topics.value.name
+
+        def row(values: tuple) -> Iterable[tuple]:
+            tokens, hashed = profile(values[-1] or "")
+            yield *values[:-1], tokens, name(tokens, hashed)
+
+        return row
+
+    kinds = dict(df.dtypes)
+    rows = map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{m}tokens long, {m}topic string"]))
+    rows = rows.withColumns({f"{m}source": category("source"), f"{m}lang": category("lang")})
+    dims, sent = [m + d for d in DIMENSIONS], {c: m + c for c in (*DIMENSIONS, "weight", "probability")}
+    if cells.count() <= CELLS:
+        joined = rows.join(F.broadcast(planned(cells, targets, budget).drop("tokens").withColumnsRenamed(sent)), dims, "left")
     else:
-        plan = stored(planned_at_large(cells, targets, budget), "plan")
-        top = stored(plan.orderBy(F.desc("_tokens"), *dims).limit(CELLS).drop("_tokens"), "heavy")
-        light = plan.drop("_tokens").join(top.select(*dims), dims, "left_anti").withColumnsRenamed({"_weight": "_w", "_probability": "_p"})
+        plan = stored(planned_at_large(cells, targets, budget).withColumnsRenamed(sent), "plan")
+        top = stored(plan.orderBy(F.desc("tokens"), *dims).limit(CELLS).drop("tokens"), "heavy")
+        light = plan.drop("tokens").join(top.select(*dims), dims, "left_anti").withColumnsRenamed({f"{m}weight": f"{m}w", f"{m}probability": f"{m}p"})
         # rows of heavy cells are dealt at random, as a light cell has few rows and a heavy one may have most
-        joined = rows.join(F.broadcast(top), dims, "left").withColumn("_deal", F.when(F.col("_weight").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(order)))
-        joined = joined.join(light.withColumn("_deal", F.lit(0).cast("long")), [*dims, "_deal"], "left").withColumns({"_weight": F.coalesce("_weight", "_w"), "_probability": F.coalesce("_probability", "_p")})
+        joined = rows.join(F.broadcast(top), dims, "left").withColumn(f"{m}deal", F.when(F.col(f"{m}weight").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(order)))
+        joined = joined.join(light.withColumn(f"{m}deal", F.lit(0).cast("long")), [*dims, f"{m}deal"], "left").withColumns({f"{m}weight": F.coalesce(f"{m}weight", f"{m}w"), f"{m}probability": F.coalesce(f"{m}probability", f"{m}p")})
     luck = F.pmod(F.xxhash64(F.coalesce(F.col(order).cast("string"), F.lit("(null)")), F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    joined = joined.withColumns({"_weight": F.coalesce("_weight", F.lit(1.0)), "_probability": F.coalesce("_probability", F.lit(1.0))}).withColumn("_kept", luck < F.col("_probability"))
-    return joined.select(*keep, *(F.col(f"_{c}").alias(prefix + c) for c in ("tokens", "topic", "weight", "probability", "kept")))
+    joined = joined.withColumns({f"{m}weight": F.coalesce(f"{m}weight", F.lit(1.0)), f"{m}probability": F.coalesce(f"{m}probability", F.lit(1.0))}).withColumn(f"{m}kept", luck < F.col(f"{m}probability"))
+    return joined.select(*keep, *(F.col(m + c).alias(prefix + c) for c in ("tokens", "topic", "weight", "probability", "kept")))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -255,40 +256,64 @@ def test_equal_vectors_tie_by_id_and_hot_buckets_are_split(spark, monkeypatch):
     assert all(by[q, k + 1] == [i for i in range(6) if i != q][k] for q in range(0, 300, 50) for k in range(5))
 
 
-def recall(spark, x, every=50):
-    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>")
+def probed_recall(spark, df, k=5, every=50, sample=200):
+    """Recall of the probes alone, the queries for which they found too few, and the share of the table that a query visits."""
+    vectors = stored(neighbours.usable(df), "vectors")
+    asked = stored(vectors.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "embedding"), "asked")
+    n = vectors.count()
+    hashes = neighbours.fitted(vectors, asked, n, k)
+    found = stored(neighbours.probed(vectors, asked, hashes, n, k), "found")
     got = collections.defaultdict(set)
-    for r in neighbours.search(df, F.col("vec_id") % every == 0).collect():
+    for r in neighbours.ranked(found, k).collect():
         got[r["query_id"]].add(r["vec_id"])
-    unit, hits = x / np.sqrt((x * x).sum(1))[:, None], 0
-    for i in range(0, len(x), every):
+    rows = vectors.toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy()).astype(float)
+    unit, hits, seen = x / np.sqrt((x * x).sum(1))[:, None], 0, 0.0
+    chosen = np.random.default_rng(9).permutation(np.flatnonzero(ids % every == 0))[:sample]
+    own = [hashes.buckets(unit, t) for t in range(neighbours.TABLES)]
+    for i in chosen:
         score = unit @ unit[i]
         score[i] = -2
-        hits += len(got[i] & set(np.argsort(-score)[:5].tolist()))
-    return hits / (5 * len(range(0, len(x), every)))
+        hits += len(got[ids[i]] & set(ids[np.argsort(-score)[:k]].tolist()))
+        seen += (np.min([hashes.costs(unit[i][None], own[t], t) for t in range(neighbours.TABLES)], axis=0) <= hashes.most).mean()
+    return hits / (k * len(chosen)), neighbours.short_of(asked, found, k).count(), seen / len(chosen)
 
 
-def test_recall_does_not_fall_in_large_tables(spark):
-    assert recall(spark, np.random.default_rng(5).normal(size=(60_000, 64)), 600) >= 0.95
+def vector_table(spark, x):
+    return spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(x))}))
 
 
-def test_cells_are_used_where_they_hold_the_nearest(spark, monkeypatch):
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1", "check_l"])
+def test_probes_answer_the_given_tables_alone(spark, folder):
+    recall, short, _ = probed_recall(spark, spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet"))
+    assert recall >= 0.9 and short == 0
+
+
+def test_probes_reach_recall_without_structure_too(spark):
+    recall, short, seen = probed_recall(spark, vector_table(spark, np.random.default_rng(5).normal(size=(100_000, 64))), every=500)
+    assert recall >= 0.9 and short == 0 and seen < 0.4
+
+
+def test_probes_visit_little_of_a_table_with_structure(spark):
     rng = np.random.default_rng(6)
-    centres = rng.normal(size=(100, 16))
-    x = centres[np.arange(6000) % 100] + 0.05 * rng.normal(size=(6000, 16))
-    monkeypatch.setattr(neighbours, "PROBES", 4)
-    chosen, own = [], neighbours.fitted
-    monkeypatch.setattr(neighbours, "fitted", lambda *a: chosen.append(own(*a)) or chosen[-1])
-    assert recall(spark, x) >= 0.95 and chosen[0] is not None
+    centres = rng.normal(size=(200, 32))
+    recall, short, seen = probed_recall(spark, vector_table(spark, centres[np.arange(20_000) % 200] + 0.1 * rng.normal(size=(20_000, 32))))
+    assert recall >= 0.9 and short == 0 and seen < 0.05
 
 
-def test_few_vectors_are_all_found_by_cells_too(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "fitted", lambda *a: neighbours.Hashes.drawn(2, 24))
-    monkeypatch.setattr(neighbours, "PROBES", 1)
+def test_few_vectors_are_all_found(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "fitted", lambda *a: neighbours.Hashes.drawn(2, 24))  # it visits the home bucket only
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [r["vec_id"] for r in neighbours.search(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [2, 1]
 
 
+def test_doubles_keep_their_precision(spark):
+    rows = [(k, [1.0, 1e-9 * k]) for k in range(8)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    x = np.array([v for _, v in rows])
+    assert all(r["score"] == (x[r["vec_id"]] * x[0]).sum() / (np.sqrt((x[r["vec_id"]] ** 2).sum()) * np.sqrt((x[0] ** 2).sum())) for r in got)
+
+
 def test_vectors_that_cannot_be_compared(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, []), (None, [1.0, 1.0]), (50, [0.0, 0.0]), (8, [1.0, 2.0, 3.0])]
@@ -299,18 +324,23 @@ def test_vectors_that_cannot_be_compared(spark):
 
 def test_probes_come_by_falling_success():
     h = neighbours.Hashes.drawn(8, 4)
+    h.near, h.most = 3, 5.0
     u = np.random.default_rng(3).normal(size=8)
     u /= np.linalg.norm(u)
-    place = h.places(u[None], 0)[0]
-    codes = h.probes(u, 0)
-    assert codes[0] == h.codes(u[None], 0)[0] and len(set(codes)) == len(codes) == 81
-    low, cost = place - np.floor(place), {}
-    for step in np.ndindex(3, 3, 3, 3):
-        d = np.array(step) - 1
-        code = int(((np.floor(place).astype(np.int64) + d) * h.odd[0]).sum())
-        cost[code] = float(np.where(d == 0, 0, np.where(d > 0, (1 - low) ** 2, low**2)).sum())
-    seen = [cost[c] for c in codes]
-    assert all(a <= b + 1e-9 for a, b in zip(seen, seen[1:]))
+    place, want = h.places(u[None], 0)[0], {}
+    home = np.floor(place).astype(int)
+    for step in np.ndindex(7, 7, 7):
+        at = home[:3] + np.array(step) - 3
+        cost = sum(max(0.0, a - p, p - a - 1) ** 2 for a, p in zip(at, place[:3])) * neighbours.WIDTH**2
+        if cost <= h.most:
+            want[int((at * h.odd[0, :3]).sum())] = cost
+    names, costs = h.probes(u, 0)
+    assert names[0] == h.hoods(h.buckets(u[None], 0), 0)[0] and costs[0] == 0
+    assert set(names.tolist()) == set(want) and len(names) == len(want) > 3
+    assert all(want[n] == pytest.approx(c) for n, c in zip(names.tolist(), costs)) and (np.diff(costs) >= 0).all()
+    buckets = h.buckets(np.random.default_rng(4).normal(size=(50, 8)) / 3, 0)
+    got = h.costs(u[None], buckets, 0)[0]
+    assert got == pytest.approx([sum(max(0.0, a - p, p - a - 1) ** 2 for a, p in zip(b.tolist(), place)) * neighbours.WIDTH**2 for b in buckets], rel=1e-5, abs=1e-6)
 
 
 # ---- toxicity
@@ -364,7 +394,7 @@ def test_mixing_takes_odd_rows(spark):
     rows = [(k, "some plain words here " * (k % 5), "ab"[k % 2], ("en", None)[k % 2], "clash") for k in range(400)] + [(7, None, None, None, None), (None, "x", "a", "en", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, tokens string")
     got = mixing.mixed(df, "text", ["doc_id", "source", "lang", "tokens"], prefix="_").collect()
-    assert len(got) == 402 and {r["_topic"] for r in got} == {"prose", "empty"}
+    assert len(got) == 402 and {r["_topic"] == "empty" for r in got if not r["_tokens"]} == {True}
     expected = sum(r["_tokens"] * r["_probability"] for r in got) / sum(r["_tokens"] for r in got)
     assert expected == pytest.approx(0.7) and 0.55 < sum(r["_tokens"] for r in got if r["_kept"]) / sum(r["_tokens"] for r in got) < 0.85
     assert mixing.mixed(df.limit(0), "text", ["doc_id", "source", "lang"]).isEmpty()
@@ -389,3 +419,71 @@ def test_all_categories_are_raked(spark, monkeypatch):
         total = sum(mass.values())
         want = {s: last.get(s, 0.0) if targets else (m / total) ** 0.5 for s, m in mass.items()}
         assert all(got[s] / total == pytest.approx(want[s] / sum(want.values()), rel=1e-3, abs=1e-9) for s in mass)
+
+
+def words_in(text):
+    return "".join(" " if c in "\t\n\x0b\x0c\r" else c.lower() if "A" <= c <= "Z" else c for c in text or "").split(" ")
+
+
+def brute_profile(text):
+    words, bins = [w.encode() for w in words_in(text) if w], [0] * mixing.BINS
+    for w in words:
+        h = len(w)
+        for k in range(mixing.LEADING):
+            h = (h * 0x01000193 + (w[k] if k < len(w) else 0)) % (1 << 32)
+        bins[(h ^ h >> 15) * 0x9E3779B1 % (1 << 32) >> 24] += 1
+    return len(words), [min(x, 255) for x in bins]
+
+
+def test_profiles_equal_word_by_word():
+    for t in ["", " ", "a", "A\x0bb\x0c  Été's longest-word-of-all\n", "x " * 700, "\x1cq\u2003r s", "".join(RNG.choice("aB \né") for _ in range(500))]:
+        n, bins = mixing.profile(t)
+        assert (n, list(bins)) == brute_profile(t)
+
+
+def test_probabilities_equal_brute_force_row_by_row(spark):
+    themes = [[f"{c}{k}{c}" for k in range(40)] for c in ("moon", "fish", "iron")]
+    rows = [(k, " ".join(RNG.choice(themes[k % 3]) for _ in range(RNG.randint(5, 60))), f"s{k % 5}" if k % 7 else None, ("en", "de")[k % 2]) for k in range(900)]
+    rows += [(2000 + k, None, "s1", "en") for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    targets = {"source": {"s0": 0.5, "s1": 0.2, None: 0.3}, "lang": 0.7, "topic": 0.3}
+    got = {r["doc_id"]: r for r in mixing.mixed(df, "text", ["doc_id", "source", "lang"], targets, 0.2).collect()}
+    # topics tell the themes apart
+    by = collections.defaultdict(set)
+    for i, _, _, _ in rows[:900]:
+        by[got[i]["topic"]].add(i % 3)
+    assert all(len(v) == 1 for v in by.values()) and got[2000]["topic"] == "empty"
+    # rake the rows themselves, by dictionaries
+    tokens = {i: len([w for w in words_in(t) if w]) for i, t, _, _ in rows}
+    assert all(got[i]["tokens"] == n for i, n in tokens.items())
+    total, weight, wanted = sum(tokens.values()), dict.fromkeys(tokens, 1.0), {}
+    for d in ("source", "lang", "topic"):
+        mass = collections.Counter()
+        for i, r in got.items():
+            mass[r[d]] += tokens[i]
+        share = targets[d] if isinstance(targets[d], dict) else {c: (x / total) ** targets[d] for c, x in mass.items() if x}
+        share = {c: share.get(c, 0.0) for c in mass if mass[c]}
+        wanted[d] = {c: x / sum(share.values()) for c, x in share.items()}
+    for _ in range(300):
+        for d, share in wanted.items():
+            now = collections.Counter()
+            for i, r in got.items():
+                now[r[d]] += tokens[i] * weight[i]
+            for i, r in got.items():
+                if tokens[i]:
+                    weight[i] *= share[r[d]] * total / now[r[d]] if now[r[d]] else 0.0
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(tokens[i] * min(1, mid * weight[i]) for i in tokens) < 0.2 * total else (low, mid)
+    for i, r in got.items():
+        if tokens[i]:
+            assert r["weight"] == pytest.approx(weight[i], rel=1e-6, abs=1e-9) and r["probability"] == pytest.approx(min(1, low * weight[i]), rel=1e-6, abs=1e-9)
+        else:
+            assert r["probability"] == 1
+
+
+def test_names_with_underscores_pass_through(spark):
+    df = spark.createDataFrame([(k, "some words", "a", "en", "x", 1.5, "(null)") for k in range(20)], "doc_id long, text string, source string, lang string, _source string, _weight double, __topic string")
+    got = mixing.mixed(df, "text", df.columns, prefix="___").collect()
+    assert all(r["_source"] == "x" and r["_weight"] == 1.5 and r["__topic"] == "(null)" and 0 <= r["___probability"] <= 1 for r in got) and len(got) == 20
