@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import stored, table
+from orbitloom.llm.common import marked, stored, table
 from orbitloom.llm.mixing import mixed
 from orbitloom.llm.near_duplicates import BROADCAST_IDS, jaccard_components
 from orbitloom.llm.packing import pack, pieces
@@ -18,9 +18,9 @@ BUDGET = 0.9
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose score, by a classifier fitted to the labels, reaches the threshold."""
-    model = fit(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, "text", model, "_score").filter(F.col("_score") < THRESHOLD).drop("_score")
+    """Drops the documents whose score, by a classifier fitted to the labels, reaches the threshold. Null and empty texts are scored as empty, repeated rows alike; without labels every document stays."""
+    model, score = fit(docs, table(spark, sf_dir, "labels")), marked(docs.columns) + "score"
+    return scored(docs, "text", model, score).filter(F.col(score) < THRESHOLD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +42,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Samples documents by probabilities that are calibrated to the target weights."""
-    return mixed(docs, "text", docs.columns, budget=BUDGET, prefix="_").filter("_kept").select(*docs.columns)
+    """Samples documents by probabilities that are calibrated to the target weights. Rows that repeat an id share its fate; a null source or language is a category of its own; documents without words in a cell without tokens stay."""
+    m = marked(docs.columns)
+    return mixed(docs, "text", docs.columns, budget=BUDGET, prefix=m).filter(f"{m}kept").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a piece: the sequence that holds it and its place there."""
+    """One row a piece: the sequence that holds it and its place there. A null or empty text is one piece of its end mark; repeated rows are packed each; ties in length go by id and content, and what ties there too is alike."""
     cut = pieces(docs, "text", public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
     return pack(cut, ["doc_id", "start", "ids_crc32"]).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
