@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import map_rows, release, stored, table
+from orbitloom.llm.common import by_bytes, map_rows, marked, release, stored, table
 from orbitloom.llm.components import components
 
 #: Most tokens whose frequency class is known to the orders, and most that a task reports; they bound what is broadcast and shape only the cost, as any order gives the same links.
@@ -23,30 +23,32 @@ BROADCAST_IDS = 250_000
 PARTNERS = 1_000
 #: Holders of a prefix token that are gathered in one list; tokens with more go by joins that can be split.
 HOLDERS = 16
-#: Bytes that are hashed at once.
-SEGMENT = 1 << 20
+#: Holders of one hot token that meet each holder of a block of them.
+MEETING = 500
+#: Bytes that are hashed at once, and the longest word whose sum of products fits into 64 bits.
+SEGMENT, WHOLE = 1 << 16, 2_000
 
 _RNG = np.random.default_rng(20240229)
-_LETTER = _RNG.integers(1, 1 << 64, 256, np.uint64, endpoint=False)
+_PRIME = (1 << 31) - 1
+#: Letters of two independent polynomials modulo a prime: different numbers for different bytes, each under 2^21.
+_LETTERS = [_RNG.permutation(np.arange(1, 1 << 21, dtype=np.uint64))[:256].copy() for _ in range(2)]
+_BASES = [int(x) for x in _RNG.integers(1 << 20, _PRIME, 2)]
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD = np.uint64(0xD6E8FEB86659FD93)
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _powers(base: int) -> np.ndarray:
     out = np.ones(SEGMENT, np.uint64)
-    step, at = np.uint64(base), 1
+    at = 1
     while at < SEGMENT:  # doubles what is known
-        out[at : 2 * at] = out[:at] * step
-        at, step = 2 * at, np.uint64(int(step) ** 2 & (1 << 64) - 1)
+        n = min(at, SEGMENT - at)
+        out[at : at + n] = out[:n] * np.uint64(pow(base, at, _PRIME)) % np.uint64(_PRIME)
+        at *= 2
     return out
 
 
-_POWER: list[np.ndarray] = []
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
@@ -54,28 +56,54 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
+def _long_word(word: np.ndarray) -> list[int]:
+    """Both polynomials of a word of any length."""
+    out = []
+    for letters, base, (power, _) in zip(_LETTERS, _BASES, _POWERS, strict=True):
+        total = 0
+        for at in range(0, len(word), WHOLE):
+            part = word[at : at + WHOLE]
+            total += int((letters[part] * power[: len(part)]).sum()) * pow(base, at, _PRIME)
+        out.append(total % _PRIME)
+    return out
+
+
 def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words of a whole text, A-Z lower-cased, words ended by white space of ASCII. A word's hash is a polynomial of its bytes, read off sums over the text, so neither long texts nor long words need more than a segment at once."""
-    if not _POWER:
-        _POWER.extend((_powers(_BASE), _powers(_INVERSE)))
+    """62-bit hashes, spread over 64 bits, of the words of a whole text, A-Z lower-cased, words ended by white space of ASCII. A word's hash is two polynomials of its bytes modulo a prime, at bases drawn once, so words that are built
+    alike don't meet. They are read off running sums over segments that end at white space; a difference of sums modulo 2^64 is exact for a word of WHOLE bytes, and longer words are summed on their own."""
+    if not _POWERS:
+        _POWERS.extend((_powers(b), _powers(pow(b, -1, _PRIME))) for b in _BASES)
     data = np.frombuffer(text.encode().lower(), np.uint8)
-    total, last = np.zeros(1, np.uint64), True
-    starts, inverses, ends = [], [], []
-    for at in range(0, len(data), SEGMENT):
+    found, at = [], 0
+    while at < len(data):
         part = data[at : at + SEGMENT]
         blank = _BLANK[part]
-        before = np.r_[last, blank[:-1]]
-        sums = np.concatenate([total, total + np.cumsum(_LETTER[part] * _POWER[0][: len(part)] * np.uint64(pow(_BASE, at, 1 << 64)))])
-        first, end = np.flatnonzero(before & ~blank), np.flatnonzero(~before & blank)
-        starts.append(sums[first])
-        inverses.append(_POWER[1][first] * np.uint64(pow(_INVERSE, at, 1 << 64)))
-        ends.append(sums[end])
-        total, last = sums[-1:], bool(blank[-1])
-    if not starts:
-        return np.zeros(0, np.uint64)
-    if not last:
-        ends.append(total)
-    return mix((np.concatenate(ends) - np.concatenate(starts)) * np.concatenate(inverses))
+        if at + SEGMENT < len(data):
+            if not blank.any():  # a word longer than a segment
+                rest, end = at + SEGMENT, None
+                while end is None:
+                    ends = np.flatnonzero(_BLANK[data[rest : rest + SEGMENT]])
+                    end = rest + int(ends[0]) if len(ends) else len(data) if rest + SEGMENT >= len(data) else None
+                    rest += SEGMENT
+                first, second = _long_word(data[at:end])
+                found.append(np.array([first << 31 | second], np.uint64))
+                at = end
+                continue
+            last = int(np.flatnonzero(blank)[-1]) + 1
+            part, blank = part[:last], blank[:last]
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]])))
+        start, end = edges[::2], edges[1::2]
+        own = []
+        for letters, (power, inverse) in zip(_LETTERS, _POWERS, strict=True):
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters[part] * power[: len(part)])])
+            own.append((sums[end] - sums[start]) % np.uint64(_PRIME) * inverse[start] % np.uint64(_PRIME))
+        h = own[0] << np.uint64(31) | own[1]
+        for j in np.flatnonzero(end - start > WHOLE):
+            first, second = _long_word(part[start[j] : end[j]])
+            h[j] = first << 31 | second
+        found.append(h)
+        at += len(part)
+    return mix(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
 def shingles(text: str, width: int) -> np.ndarray:
@@ -166,6 +194,7 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((None, None, None, known[top].tobytes(), counts[top].tobytes()), kinds, strict=True)], names=names)
         release()
 
+    by_bytes(docs.sparkSession)
     return docs.select("id", "text").mapInArrow(run, "id long, n long, fingerprint binary, tokens binary, counts binary")
 
 
@@ -190,16 +219,40 @@ def frequent_orders(profiles: DataFrame) -> Orders:
     return Orders(tokens[order], rows.column("class").to_numpy().astype(np.int8)[order])
 
 
+def keyed(df: DataFrame, id_: str, text: str, split: DataFrame | None, name: str) -> DataFrame:
+    """df with a column that tells rows apart by id, and, where one id has different texts, by id and text."""
+    if split is None:
+        return df.withColumn(name, F.col(id_).cast("long"))
+    m = marked(df.columns)
+    own = df.join(split.withColumn(f"{m}split", F.lit(True)).withColumnRenamed("id", f"{m}id"), F.col(id_).cast("long") == F.col(f"{m}id"), "left")
+    return own.withColumn(name, F.when(F.col(f"{m}split"), F.xxhash64(F.col(id_).cast("long"), F.col(text))).otherwise(F.col(id_).cast("long"))).drop(f"{m}id", f"{m}split")
+
+
 class Join:
-    """One run of the join over docs (id, text): ids stand for documents, and rows that repeat an id belong together."""
+    """One run of the join over docs (id, text). A text's key is its id, or a hash of id and text for ids that have different texts; `split` holds those ids, if there are any."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int):
-        self.docs, self.width, self.percent = docs.select("id", "text"), width, percent
-        self.profiles = stored(profiled(self.docs, width), "profiles")
-        self.rows = self.profiles.filter("tokens is null").select("id", "n", "fingerprint")
-        self.orders = docs.sparkSession.sparkContext.broadcast(frequent_orders(self.profiles))
-        #: Documents with equal sets are one class; its least id represents it.
-        self.classes = stored(self.rows.filter("n > 0 and id is not null").groupBy("fingerprint", "n").agg(F.min("id").alias("rep")), "classes")
+        docs = docs.select("id", "text")
+        self.width, self.percent = width, percent
+        profiles = stored(profiled(docs, width), "profiles")
+        rows = profiles.filter("tokens is null").select("id", "n", "fingerprint")
+        self.orders = docs.sparkSession.sparkContext.broadcast(frequent_orders(profiles))
+        repeated = rows.filter("id is not null").groupBy("id").agg(F.count("*").alias("rows"), F.min("fingerprint").alias("low"), F.max("fingerprint").alias("high")).filter("rows > 1")
+        repeated = stored(repeated.select("id", (F.col("low") != F.col("high")).alias("split")), "repeated")
+        #: Whether several rows have one id.
+        self.repeats = not repeated.isEmpty()
+        split = repeated.filter("split").select("id")
+        self.split = None if split.isEmpty() else split
+        own = keyed(docs, "id", "text", self.split, "key")
+        self.docs = own.select(F.col("key").alias("id"), "text")
+        #: (key, id, n, fingerprint) of each row.
+        self.rows = rows.withColumn("key", F.col("id"))
+        if self.split is not None:
+            again = profiled(own.join(split, "id", "left_semi").select(F.col("key").alias("id"), "text"), width).filter("tokens is null").withColumnRenamed("id", "key").select("key", "n", "fingerprint")
+            ids = own.join(split, "id", "left_semi").select("key", "id").distinct()
+            self.rows = stored(self.rows.join(split, "id", "left_anti").unionByName(again.join(ids, "key")), "rows")
+        #: Documents with equal sets are one class; its least key represents it.
+        self.classes = stored(self.rows.filter("n > 0 and key is not null").groupBy("fingerprint", "n").agg(F.min("key").alias("rep")), "classes")
 
     def prefixes(self) -> DataFrame:
         """(rep, n, prefix, second, third): the prefixes of each representative under three orders, of the second and third the halves."""
@@ -216,12 +269,16 @@ class Join:
             return row
 
         own = self.rows.withColumnsRenamed({"fingerprint": "f", "n": "m"})
-        copies = stored(own.join(self.classes, (F.col("f") == F.col("fingerprint")) & (F.col("m") == F.col("n"))).filter("id <> rep").select("id").distinct(), "copies")
+        copies = stored(own.join(self.classes, (F.col("f") == F.col("fingerprint")) & (F.col("m") == F.col("n"))).filter("key <> rep").select(F.col("key").alias("id")).distinct(), "copies")
         schema = "id long, n long, prefix array<long>, second binary, third binary"
         if copies.count() <= BROADCAST_IDS:
             found = map_rows(self.docs.join(F.broadcast(copies), "id", "left_anti"), make, schema)
         else:
             found = map_rows(self.docs, make, schema).join(copies, "id", "left_anti")
+        if self.repeats:  # a representative's text may stand in several rows
+            twice = stored(self.rows.filter("n > 0").groupBy("key").count().filter("count > 1").join(self.classes, F.col("key") == F.col("rep"), "left_semi").select(F.col("key").alias("id")), "twice")
+            once = found.join(twice, "id", "left_semi").groupBy("id").agg(*(F.first(c).alias(c) for c in ("n", "prefix", "second", "third")))
+            found = found.join(twice, "id", "left_anti").unionByName(once)
         return found.select(F.col("id").alias("rep"), "n", "prefix", "second", "third")
 
     def may_link(self, n: str, pos: str, m: str, at: str) -> Column:
@@ -316,7 +373,12 @@ class Join:
         named = stored(named, "hot")
         mixed = stored(named.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token"), "mixed")
         open_ = stored(named.join(mixed, "token"), "open")
-        crossing = open_.join(open_.select("token", F.col("x").alias("y"), F.col("c").alias("d")), "token").filter("c < d").select("x", "y")
+        # a token's holders are dealt to blocks, and each block meets them all
+        blocks = stored(open_.groupBy("token").agg(F.ceil(F.count("*") / MEETING).alias("blocks")), "blocks")
+        dealt = open_.join(blocks, "token")
+        ones = dealt.select("token", F.pmod(F.xxhash64("x.rep"), "blocks").alias("block"), "x", "c")
+        others = dealt.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("x").alias("y"), F.col("c").alias("d"))
+        crossing = ones.join(others, ["token", "block"]).filter("c < d").select("x", "y")
         every = lists.select(F.posexplode("held").alias("i", "x"), "held").select("x", F.explode(F.slice("held", F.col("i") + 2, F.lit(HOLDERS))).alias("y"))
         pairs = crossing.unionByName(every).filter("x.rep <> y.rep").filter(self.may_link("x.n", "x.pos", "y.n", "y.pos"))
         pairs = pairs.select(F.least("x.rep", "y.rep").alias("lead"), F.greatest("x.rep", "y.rep").alias("member")).distinct()
@@ -326,20 +388,34 @@ class Join:
         second = self.verified(stored(pairs, "crossing"), prefixes)
         return first.unionByName(second)
 
-    def result(self) -> DataFrame:
-        """(id, n, component) of each row; without tokens a row is a component of its own, without an id it has none."""
-        groups = components(self.links())
-        classes = self.classes.join(groups, F.col("rep") == F.col("node"), "left").select("fingerprint", F.col("n").alias("size"), F.coalesce("component", "rep").alias("component"))
+    def result(self, tied: bool = True) -> DataFrame:
+        """(key, id, n, component, first) of each row: the least id of its group and the key of that group's row of least id and key; rows of one id are one document if tied.
+        Without words a row is a group of its own, without an id it has none."""
+        links = self.links()
+        if self.split is not None and tied:
+            keys = self.rows.filter("n > 0").join(self.split, "id", "left_semi").join(self.classes, ["fingerprint", "n"]).select("id", "rep").distinct()
+            links = links.unionByName(keys.join(keys.groupBy("id").agg(F.min("rep").alias("a")), "id").select("a", F.col("rep").alias("b")))
+        groups = components(links)
+        classes = self.classes.join(groups, F.col("rep") == F.col("node"), "left").select(F.col("fingerprint").alias("f"), F.col("n").alias("size"), F.coalesce("component", "rep").alias("group"))
         # a class may hold a third of all rows: its rows are dealt by id, and joined by fingerprint only where Spark can split the join
-        joined = self.rows.join(classes, (self.rows["fingerprint"] == classes["fingerprint"]) & (F.col("n") == F.col("size")), "left")
-        return joined.select("id", "n", F.when(F.col("n") > 0, F.when(F.col("id").isNotNull(), F.col("component"))).otherwise(F.col("id")).alias("component"))
+        joined = self.rows.join(classes, (self.rows["fingerprint"] == F.col("f")) & (F.col("n") == F.col("size")), "left")
+        named = F.col("n") > 0
+        if self.split is None:  # keys are ids
+            joined = joined.withColumns({"least": F.col("group"), "first": F.col("group")})
+        else:
+            joined = stored(joined, "grouped")
+            least = joined.filter("n > 0 and id is not null").groupBy("group").agg(F.min(F.struct("id", "key")).alias("x"))
+            joined = joined.join(least.select(F.col("group").alias("g"), F.col("x.id").alias("least"), F.col("x.key").alias("first")), F.col("group") == F.col("g"), "left")
+        own = lambda c, alone: F.when(named, F.when(F.col("id").isNotNull(), F.col(c))).otherwise(F.col(alone)).alias("component" if c == "least" else c)
+        return joined.select("key", "id", "n", own("least", "id"), own("first", "key"))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """docs (id long, text): per row id, n (distinct shingles of `width` words of the whole text) and component, the least id that is reached by
     links; two documents link when 100 * shared >= percent * union. Null, empty and blank texts have no shingles and link with nothing; a null id
-    has no component; rows that repeat an id are one document; other columns don't matter. An empty table gives no rows."""
-    return Join(docs, width, percent).result()
+    has no component; rows that repeat an id are one document, which links where one of its texts does (a row without words is left alone);
+    other columns don't matter. An empty table gives no rows. A chain of links too long for 50 rounds of components() raises an error, after rounds that double its reach."""
+    return Join(docs, width, percent).result().select("id", "n", "component")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

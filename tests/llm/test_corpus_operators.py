@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orbitloom.llm import mixing, near_duplicates, neighbours, packing, sharding, toxicity
 from orbitloom.llm.common import numbered, stored
 from orbitloom.llm.components import components
@@ -100,12 +101,48 @@ def test_join_takes_odd_tables(spark):
 
 
 def test_word_hashes_do_not_depend_on_segments(monkeypatch):
-    texts = [" ".join("é" * RNG.randint(1, 90) for _ in range(40)), "x" * 1000, " a\x0bb ", ""]
+    texts = [" ".join("é" * RNG.randint(1, 90) for _ in range(40)), "x" * 1000, " a\x0bb ", "", "y" * 64 + " " + "z" * 63 + " " + "q" * 129, " " * 200 + "w"]
     whole = [near_duplicates.word_hashes(t).tolist() for t in texts]
     monkeypatch.setattr(near_duplicates, "SEGMENT", 64)
-    monkeypatch.setattr(near_duplicates, "_POWER", [])
+    monkeypatch.setattr(near_duplicates, "WHOLE", 50)
+    monkeypatch.setattr(near_duplicates, "_POWERS", [])
     assert [near_duplicates.word_hashes(t).tolist() for t in texts] == whole
-    assert len(whole[0]) == 40 and len(whole[1]) == 1
+    assert len(whole[0]) == 40 and len(whole[1]) == 1 and len(whole[4]) == 3
+    monkeypatch.undo()
+    monkeypatch.setattr(near_duplicates, "_POWERS", [])
+    words = ["a" * n for n in (1999, 2000, 2001, 70_000)] + ["ab" * 40_000]
+    assert len(set(near_duplicates.word_hashes(" ".join(words)).tolist())) == 5
+    assert near_duplicates.word_hashes(" ".join(words)).tolist() == [near_duplicates.word_hashes(w).tolist()[0] for w in words]
+
+
+def test_structured_words_differ():
+    """Words of Thue and Morse and their complements are equal under any polynomial modulo a power of two."""
+    for n in (8, 10, 11, 12):
+        word = "".join("ab"[bin(k).count("1") % 2] for k in range(1 << n))
+        other = word.translate({97: "b", 98: "a"})
+        assert len(set(near_duplicates.word_hashes(f"{word} {other}").tolist())) == 2
+        assert len(near_duplicates.shingles(f"{word} x y {other} x y", 3)) == 4
+
+
+def test_rows_that_repeat_an_id_are_one_document(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(3, a), (5, a), (5, b), (7, b + " more"), (9, "c d e f"), (9, "g h i j"), (9, ""), (11, "g h i j"), (13, "g H  i j"), (13, "g H  i j")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = sorted((r["id"], r["component"]) for r in near_duplicates.jaccard_components(df, 3, 90).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (9, 9), (9, 9), (9, 9), (11, 9), (13, 9), (13, 9)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _key string")
+    kept = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted([(3, a), (5, b), (9, "c d e f"), (9, "g h i j"), (9, "")])
+
+
+def test_holders_of_hot_tokens_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "MEETING", 3)
+    monkeypatch.setattr(near_duplicates, "HOLDERS", 2)
+    words = [f"w{k}" for k in range(14)]
+    rows = [(k, " ".join(RNG.sample(words, 12))) for k in range(60)]
+    rows += [(100 + k, t + " w1 w2") for k, (_, t) in enumerate(rows[:20])]
+    got = near_duplicates.jaccard_components(spark.createDataFrame(rows, "id long, text string"), 1, 80).collect()
+    assert {r["id"]: (r["n"], r["component"]) for r in got} == brute_components(rows, 1, 80)
 
 
 # ---- packing
