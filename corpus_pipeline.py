@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from orbitloom.llm.common import marked, stored, table
 from orbitloom.llm.mixing import mixed
-from orbitloom.llm.near_duplicates import BROADCAST_IDS, jaccard_components
+from orbitloom.llm.near_duplicates import BROADCAST_IDS, Join, keyed
 from orbitloom.llm.packing import pack, pieces
 from orbitloom.llm.personal_data import mask_personal_data
 from orbitloom.llm.toxicity import THRESHOLD, fit, scored
@@ -24,16 +24,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of linked documents the one with the smallest doc_id, once. Documents without words or without an id are no one's duplicates."""
-    groups = jaccard_components(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), 5, 80)
-    gone = stored(groups.filter("component <> id").select("id").distinct(), "gone")
+    """Keeps of each group of linked texts one row, that of the smallest doc_id. Texts without words and rows without an id are no one's duplicates; an id with several different texts has each of them judged by itself."""
+    join = Join(docs.select(F.col("doc_id").cast("long").alias("id"), "text"), 5, 80)
+    groups, m = stored(join.result(tied=False), "groups"), marked(docs.columns)
+    own = keyed(docs, "doc_id", "text", join.split, f"{m}key")
+    gone = stored(groups.filter("first <> key").select("key").distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
-    twice = stored(groups.filter("n > 0 and id is not null").groupBy("id").count().filter("count > 1").select("id"), "twice")
-    if twice.isEmpty():
-        return kept
-    once = kept.join(twice, kept["doc_id"] == twice["id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, kept["doc_id"] == twice["id"], "left_anti").unionByName(once)
+    kept = own.join(gone, own[f"{m}key"] == gone["key"], "left_anti")
+    if not join.repeats:
+        return kept.select(*docs.columns)
+    twice = stored(groups.filter("n > 0 and key is not null").groupBy("key").count().filter("count > 1").select("key"), "twice")
+    once = kept.join(twice, kept[f"{m}key"] == twice["key"], "left_semi").dropDuplicates([f"{m}key"])
+    return kept.join(twice, kept[f"{m}key"] == twice["key"], "left_anti").unionByName(once).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
