@@ -8,25 +8,13 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from orbitloom.llm.common import map_rows, table
+from orbitloom.llm.license_texts import TEXTS
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # of text in UTF-8 with A-Z lower-cased
 #: Phrases whose every place is reported.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Well-known licence passages by label, as words.
-TEMPLATES = (
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
-    ("mit", "released under the mit license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
-)
+#: Licence paragraphs by label, as words.
+TEMPLATES = tuple((label, " ".join(w.decode() for w in WORD.findall(text.encode().lower()))) for label, texts in TEXTS.items() for text in texts)
 #: Words that a maximal match needs to enter a chain, words that may lie between two matches of a chain, in text and template, and the share of a template that a span must cover.
 LEAST_MATCH, MOST_GAP, LEAST_COVER = 3, 6, 0.75
 

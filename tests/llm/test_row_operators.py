@@ -106,7 +106,7 @@ def test_license_places_and_spans():
         want = sorted((i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
         n, places, _ = scan(t)
         assert n == len(w) and sorted(places) == want
-    grant = licenses.TEMPLATES[5][1]
+    grant = next(text for label, text in licenses.TEMPLATES if label == "mit")
     half = grant.split()
     broken = " ".join([*half[:20], "really", *half[20:]])
     for t in (grant, broken, grant.upper(), "before it " + grant + " after it"):
@@ -115,6 +115,35 @@ def test_license_places_and_spans():
     assert scan("nothing to see in the terms of the day")[2] == []
 
 
+def test_licence_files_are_found_as_people_write_them():
+    """Texts that the templates were not written from: other line breaks, comment marks, holders' names in place of general words, older wordings."""
+    scan = licenses.scanner().scan
+    mit = """// Copyright 2021 J. Doe
+// Permission is hereby granted, free of charge, to any person obtaining a
+// copy of this software and associated documentation files (the "Software"),
+// to deal in the Software without restriction, including without limitation
+// the rights to use, copy, modify, merge, publish, distribute, sublicense,
+// and/or sell copies of the Software, and to permit persons to whom the
+// Software is furnished to do so, subject to the following conditions:"""
+    bsd = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ * 3. Neither the name of the University nor the names of its contributors
+ *    may be used to endorse or promote products derived from this software
+ *    without specific prior written permission.
+ * THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND"""
+    gpl = """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License version 2
+as published by the Free Software Foundation."""
+    cc = "<p>This work is licensed under a <a href='x'>Creative Commons Attribution-NonCommercial 4.0 International License</a>.</p>"
+    want = ((mit, {"mit"}), (bsd, {"bsd"}), (gpl, {"gpl"}), (cc, {"cc-by-nc"}))
+    for text, labels in want:
+        for t in (text, f"some words before it {text} and after it"):
+            assert {s[0] for s in scan(t)[2]} >= labels, labels
+    for t in ("the software is provided to schools without fee", "permission to use the hall is granted by the council", "this work is licensed in many lands under the law of the sea"):
+        assert scan(t)[2] == []
+
+
 def test_automaton_matches_are_the_longest():
     a = licenses.Automaton()
     seqs = [[RNG.randint(0, 3) for _ in range(RNG.randint(1, 12))] for _ in range(12)]
