@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,12 +117,14 @@ def to_signed(v: Column) -> Column:
 
 
 def float16_round(z: Column) -> Column:
-    """Vectors rounded to half precision, for which Spark has no type."""
+    """Vectors rounded to half precision, half to even: 11 significant bits, steps of 2^-24 under 2^-14, infinite from 65520 on."""
 
-    def rounded(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda v: None if v is None else np.asarray(v, np.float32).astype(np.float16).astype(np.float32))
+    def rounded(v: Column) -> Column:
+        a = F.abs(v.cast("double"))
+        step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(a)), F.lit(-14)) - 10)
+        return F.when(F.isnan(v) | (a == float("inf")) | (a == 0), v.cast("double")).when(a >= 65520, F.signum(v) * float("inf")).otherwise(F.rint(v / step) * step).cast("float")
 
-    return F.pandas_udf(rounded, "array<float>")(z)
+    return F.transform(z, lambda v: rounded(v.cast("float")))
 
 
 def select_strata(n: Column, slots: int, offset: int = 0) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,21 +22,15 @@ def auto_patch(height: int, width: int, overlap: int = 300) -> tuple[int, int]:
     return size, min(overlap, size // 2)
 
 
-def patch_starts(length: int, size: int, overlap: int) -> list[int]:
-    """Starts along an axis, the last ones drawn back to the last full window, none below 0, each once."""
-    return sorted({max(0, min(at, length - size)) for at in range(0, length, size - overlap)})
+def starts(length: Column, size: int, overlap: int) -> Column:
+    """The starts of windows along an axis: every stride, the last ones drawn back to the last full window, none below 0, each once."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), length - 1, F.lit(size - overlap)), lambda s: F.greatest(F.least(s, length - size), F.lit(0)).cast("int")))
 
 
-def patch_grid(spark, height: int, width: int, size: int, overlap: int) -> DataFrame:
-    """(patch, top, left): distinct windows, row by row. Their number depends on the image's shape alone."""
-    stride = size - overlap
-
-    def starts(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(stride)))
-
-    rows = spark.range(1).select(starts(height).alias("top")).select("top", starts(width).alias("left"))
-    rows = rows.select(*(F.greatest(F.least(F.col(c), F.lit(n - size)), F.lit(0)).alias(c) for c, n in (("top", height), ("left", width)))).dropDuplicates()
-    return rows.select((F.col("top") * width + F.col("left")).alias("patch"), "top", "left")
+def patch_grid(images: DataFrame, size: int, overlap: int) -> DataFrame:
+    """images (height, width and other columns) with patch, top, left: one row a window, row by row."""
+    rows = images.withColumn("top", F.explode(starts(F.col("height"), size, overlap))).withColumn("left", F.explode(starts(F.col("width"), size, overlap)))
+    return rows.withColumn("patch", F.col("top") * F.col("width") + F.col("left"))
 
 
 def ramp(i: Column, size: int, overlap: int) -> Column:
@@ -65,17 +59,31 @@ def channel_norm(rows: DataFrame) -> DataFrame:
     return rows.join(stats, keys).withColumn("norm", F.when(F.col("v") != 0, (F.col("v") - F.col("mean")) / std).otherwise(0.0)).drop("mean", "std")
 
 
-def patch_pixels(pixels: DataFrame, patches: DataFrame, size: int) -> DataFrame:
-    """Each pixel in every patch that holds it, with its place i, j there. The patches of a shape are few and broadcast."""
-    on = F.expr(f"y >= top and y < top + {size} and x >= left and x < left + {size}")
-    return pixels.join(F.broadcast(patches), on).withColumns({"i": F.col("y") - F.col("top"), "j": F.col("x") - F.col("left")})
+def normalised(s2: DataFrame) -> DataFrame:
+    """(tile_id, obs_date, y, x, n0, n1, n2): the values of channel_norm() side by side, with one grouping for the statistics."""
+    rows = s2.select(*IMAGE, "y", "x", *(F.get("bands", F.lit(k)).cast("double").alias(f"v{c}") for c, k in enumerate(CLOUD_CHANNELS)))
+    own = [F.when(F.col(f"v{c}") != 0, F.col(f"v{c}")) for c in range(3)]
+    stats = rows.groupBy(*IMAGE).agg(*(f(v).alias(f"{name}{c}") for c, v in enumerate(own) for name, f in (("mean", F.avg), ("std", F.stddev_pop))))  # one row an image
+
+    def norm(c: int) -> Column:
+        std = F.when(F.col(f"std{c}") == 0, 1.0).otherwise(F.col(f"std{c}"))
+        return F.when(F.col(f"v{c}") != 0, (F.col(f"v{c}") - F.col(f"mean{c}")) / std).otherwise(0.0)
+
+    return rows.join(stats, IMAGE).select(*IMAGE, "y", "x", *(norm(c).alias(f"n{c}") for c in range(3)))
 
 
-def pack_patches(norm: DataFrame, patches: DataFrame, size: int) -> DataFrame:
-    """(tile_id, obs_date, patch, top, left, cells): a patch's pixels as one array, at most size x size of them; patches with zeros only are left out."""
-    three = norm.groupBy(*IMAGE, "y", "x").agg(F.array(*(F.max(F.when(F.col("c") == k, F.col("norm"))) for k in range(3))).alias("three"))
-    rows = patch_pixels(three, patches, size).groupBy(*IMAGE, "patch", "top", "left").agg(F.collect_list(F.struct("i", "j", "three")).alias("cells"))
-    return rows.filter(F.exists("cells", lambda c: F.exists(c["three"], lambda v: v != 0)))
+def holding(at: str, length: int, size: int, overlap: int) -> Column:
+    """The starts of the windows along an axis that hold a place: those of whole strides by arithmetic, and the last one."""
+    stride, last = size - overlap, max(length - size, 0)
+    low, high = F.greatest(F.ceil((F.col(at) - size + 1) / stride), F.lit(0)), F.floor(F.col(at) / stride)
+    whole = F.transform(F.sequence(low.cast("int"), high.cast("int")), lambda k: F.least(k * stride, F.lit(last)))
+    return F.filter(F.array_distinct(F.concat(F.when(low <= high, whole).otherwise(F.array().cast("array<int>")), F.array(F.lit(last)))), lambda s: (s <= F.col(at)) & (F.col(at) < s + size))
+
+
+def patch_pixels(pixels: DataFrame, height: int, width: int, size: int, overlap: int) -> DataFrame:
+    """Each pixel in every patch that holds it, with its place i, j there."""
+    rows = pixels.withColumn("top", F.explode(holding("y", height, size, overlap))).withColumn("left", F.explode(holding("x", width, size, overlap)))
+    return rows.withColumns({"patch": F.col("top") * width + F.col("left"), "i": F.col("y") - F.col("top"), "j": F.col("x") - F.col("left")})
 
 
 Model = Callable[[np.ndarray], np.ndarray]
@@ -87,22 +95,28 @@ def linear_model(scale: float) -> Model:
     return lambda batch: np.einsum("kc,bchw->bkhw", w, batch)
 
 
-def cloud_scores(packed: DataFrame, size: int, models: tuple[Model, Model]) -> DataFrame:
-    """(tile_id, obs_date, y, x, i, j, cls, score): the mean of two models' scores for each pixel of each patch, model(batch of 3 x size x size) -> 4 x size x size."""
-    kinds = dict(packed.dtypes)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                image = np.zeros((1, 3, size, size))
-                i, j = (np.array([c[k] for c in row.cells], int) for k in ("i", "j"))
-                image[0][:, i, j] = np.array([c["three"] for c in row.cells], float).T
-                scores = (models[0](image) + models[1](image))[0] * 0.5
-                n = len(i)
-                out = {"tile_id": [row.tile_id] * n * CLASSES, "obs_date": [row.obs_date] * n * CLASSES, "y": np.tile(i + row.top, CLASSES), "x": np.tile(j + row.left, CLASSES), "i": np.tile(i, CLASSES), "j": np.tile(j, CLASSES)}
-                yield pd.DataFrame(out | {"cls": np.repeat(np.arange(CLASSES), n), "score": scores[:, i, j].ravel()})
-
-    return packed.select(*IMAGE, "top", "left", "cells").mapInPandas(run, f"tile_id {kinds['tile_id']}, obs_date date, y int, x int, i int, j int, cls int, score double")
+def cloud_scores(rows: DataFrame, size: int, models: tuple[Model, Model]) -> DataFrame:
+    """(tile_id, obs_date, y, x, i, j, cls, score) from patch_pixels(): the mean of two models' scores for each pixel of each patch, model(batch of 3 x size x size) -> 4 x size x size.
+
+    A group is one patch, at most size x size rows of plain numbers, which numpy puts into planes; patches of zeros only are left out.
+    """
+    kinds = dict(rows.dtypes)
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = (table.column(c).to_numpy() for c in ("i", "j"))
+        image = np.zeros((1, 3, size, size))
+        for c in range(3):
+            image[0, c, i, j] = table.column(f"n{c}").to_numpy()
+        table = table.select([*IMAGE, "y", "x", "i", "j"])
+        if not image.any():
+            table, i, j = table.slice(0, 0), i[:0], j[:0]
+        scores = (models[0](image) + models[1](image))[0] * 0.5
+        for k in range(CLASSES):
+            table = table.append_column(f"s{k}", pa.array(scores[k, i, j]))
+        return table
+
+    found = rows.select(*IMAGE, "patch", "y", "x", "i", "j", "n0", "n1", "n2").groupBy(*IMAGE, "patch").applyInArrow(run, f"tile_id {kinds['tile_id']}, obs_date {kinds['obs_date']}, y int, x int, i int, j int, s0 double, s1 double, s2 double, s3 double")
+    return found.select(*IMAGE, "y", "x", "i", "j", F.posexplode(F.array(*(F.col(f"s{k}") for k in range(CLASSES)))).alias("cls", "score"))
 
 
 def patch_blend(scores: DataFrame, size: int, overlap: int) -> DataFrame:

@@ -83,8 +83,8 @@ def compare_runs(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return both.agg(F.count("*").alias("pixels"), (100.0 * F.sum("same") / F.sum("n")).alias("match_pct"), F.avg("cos").alias("mean_cos"), F.min("cos").alias("min_cos"))
 
 
-def densify_grid(rows: DataFrame, height: int, width: int, dimensions: int, tiles: DataFrame) -> DataFrame:
-    """(tile_id, y, x, q, scale) for every cell of the tiles; cells without a row are zero vectors with scale 0. Cells are made from the range alone and joined by key."""
-    cells = tiles.select("tile_id", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).alias("y")).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
+def densify_grid(rows: DataFrame, dimensions: int, tiles: DataFrame) -> DataFrame:
+    """(tile_id, y, x, q, scale) for every cell of the tiles (tile_id, height, width); cells without a row are zero vectors with scale 0. Cells are made from the ranges alone and joined by key."""
+    cells = tiles.select("tile_id", "width", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")).select("tile_id", "y", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("x"))
     full = cells.join(rows, ["tile_id", "y", "x"], "left")
     return full.select("tile_id", "y", "x", F.coalesce("q", F.array_repeat(F.lit(0).cast("tinyint"), dimensions)).alias("q"), F.coalesce("scale", F.lit(0.0).cast("float")).alias("scale"))

@@ -159,7 +159,7 @@ def write_cube_npy(s2: DataFrame, s1: DataFrame, folder: str, height: int, width
 
 
 def write_embeddings(rows: DataFrame, path: str, mode: str = "int8", block: int = 1024) -> None:
-    """Writes (tile_id, y, x, emb) by tile and block: int8 as q and scale, float16 as rounded floats, float32 as floats."""
+    """Writes (tile_id, y, x, emb) by tile and block: int8 as q and scale, float16 as rounded floats, float32 as floats. Blocks that were written before are replaced, others stay."""
     from orbitloom.functions.scalars import block_of, float16_round
     from orbitloom.operators.embed import quantised
 
@@ -173,4 +173,4 @@ def write_embeddings(rows: DataFrame, path: str, mode: str = "int8", block: int
         rows = rows.withColumn("emb", F.col("emb").cast("array<float>"))
     else:
         raise ValueError(mode)
-    rows.repartition("tile_id", "block_y", "block_x").write.mode("overwrite").partitionBy("tile_id", "block_y", "block_x").parquet(path)
+    rows.repartition("tile_id", "block_y", "block_x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_id", "block_y", "block_x").parquet(path)

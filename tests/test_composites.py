@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from orbitloom.functions import scalars
 from orbitloom.operators import cloudmask, embed, optical, pixels, radar, resample, scenes
 from orbitloom.plans import workloads
 from orbitloom.sources import arrays, catalogues
@@ -96,7 +97,7 @@ def test_pixels_without_valid_dates_sample_all_dates_of_the_tile(spark):
     days = [DAY + datetime.timedelta(k) for k in range(3)]
     s2 = spark.createDataFrame([(1, d, 122 + k, 0, 0, band(k + 1), 1) for k, d in enumerate(days)] + [(1, days[1], 123, 0, 1, band(7), 0)], "tile_id int, obs_date date, doy int, y int, x int, bands array<int>, mask int")
     times = pixels.time_index(s2)
-    got = pixels.stratified_sample(s2, times, 4).orderBy("x", "slot").collect()
+    got = pixels.stratified_sample(pixels.s2_series(s2, times), times, [(4, 0)]).orderBy("x", "slot").collect()
     assert [r["obs_date"] for r in got if r["x"] == 1] == [days[0], days[0], days[1], days[2]]
     tiles = spark.createDataFrame([(1,)], "tile_id int")
     s1 = radar.s1_cube(radar.mosaic_mean(sar(spark, [(2, "ascending", DAY, 0, 0, 0, 3, 5)]))).filter("tile_id = 1")
@@ -113,19 +114,78 @@ def test_blocks_resume_and_densify(spark):
     assert sorted((r["block_y"], r["block_x"], r["height"], r["width"]) for r in every.collect()) == [(0, 0, 3, 3), (0, 1, 3, 1), (1, 0, 2, 3), (1, 1, 2, 1)]
     assert pixels.pending_blocks(every, every).isEmpty()
     rows = spark.createDataFrame([(1, 0, 0, [1, 2], 0.5)], "tile_id int, y int, x int, q array<tinyint>, scale float")
-    full = embed.densify_grid(rows, 5, 4, 2, tiles.select("tile_id"))
+    full = embed.densify_grid(rows, 2, tiles)
     assert full.count() == 20 and full.filter("scale = 0").count() == 19
 
 
 def test_patches(spark):
-    assert cloudmask.patch_starts(100, 64, 20) == [0, 36]
-    got = sorted((r["top"], r["left"]) for r in cloudmask.patch_grid(spark, 100, 100, 64, 20).collect())
+    images = spark.createDataFrame([(100, 100), (8, 8)], "height int, width int")
+    got = sorted((r["top"], r["left"]) for r in cloudmask.patch_grid(images.filter("height = 100"), 64, 20).collect())
     assert got == [(a, b) for a in (0, 36) for b in (0, 36)]
-    assert [(r["top"], r["left"]) for r in cloudmask.patch_grid(spark, 8, 8, 32, 10).collect()] == [(0, 0)]
+    assert [(r["top"], r["left"]) for r in cloudmask.patch_grid(images.filter("height = 8"), 32, 10).collect()] == [(0, 0)]
     ramp = spark.range(4).select(cloudmask.gradient(F.col("id"), F.lit(2), 4, 2).alias("w")).collect()
     assert [r["w"] for r in ramp] == [0.5, 1.0, 1.0, 0.5]
 
 
+@pytest.mark.parametrize(("n", "size", "overlap"), [(100, 64, 20), (8, 5, 2), (7, 32, 10), (50, 10, 0), (33, 32, 16), (97, 13, 6)])
+def test_each_pixel_is_in_all_windows_that_hold_it(spark, n, size, overlap):
+    pixels_ = spark.range(n * 3).selectExpr("cast(id div 3 as int) y", "cast(id % 3 as int) x")
+    got = sorted((r["y"], r["x"], r["top"], r["left"]) for r in cloudmask.patch_pixels(pixels_, n, 3, size, overlap).collect())
+    tops = sorted({max(0, min(a, n - size)) for a in range(0, n, size - overlap)})
+    assert got == sorted((y, x, t, 0) for y in range(n) for x in range(3) for t in tops if t <= y < t + size)
+
+
+def test_a_patch_of_usual_size(spark):
+    """One image of 1,100 x 1,000 pixels in patches of 1,000: plain numbers all the way, and the blend equals numpy's."""
+    h, w, size, overlap = 1100, 1000, 1000, 300
+    rows = spark.range(h * w).selectExpr("1 tile_id", "date'2020-05-01' obs_date", f"cast(id div {w} as int) y", f"cast(id % {w} as int) x", "cast(id % 97 as double) - 40 n0", "cast(id % 13 as double) n1", "cast(id % 7 as double) n2")
+    models = (cloudmask.linear_model(1.0), cloudmask.linear_model(2.0))
+    scores = cloudmask.cloud_scores(cloudmask.patch_pixels(rows, h, w, size, overlap), size, models)
+    blended = cloudmask.patch_blend(scores, size, overlap)
+    assert blended.count() == h * w * 4
+    r = {x["cls"]: x["score"] for x in blended.filter("y = 550 and x = 20").collect()}
+    k = 550 * w + 20
+    want = models[0](np.array([k % 97 - 40, k % 13, k % 7], float).reshape(1, 3, 1, 1))[0, :, 0, 0] * 1.5
+    assert [r[c] for c in range(4)] == pytest.approx(want.tolist())
+
+
+def test_half_precision_equals_numpy(spark):
+    rng = np.random.default_rng(4)
+    v = np.concatenate([rng.normal(size=500) * 10.0 ** rng.integers(-9, 6, 500), [0.0, -0.0, 65504, 65519.99, 65520, -1e9, 2.0**-14, 2.0**-24, 2.0**-25, 3 * 2.0**-25, 2049, 2051, 4097.5, np.inf, -np.inf, np.nan]]).astype(np.float32)
+    got = spark.createDataFrame([(v.tolist(),)], "z array<float>").select(scalars.float16_round(F.col("z")).alias("z")).first()["z"]
+    with np.errstate(over="ignore"):
+        np.testing.assert_array_equal(np.array(got, np.float32), v.astype(np.float16).astype(np.float32))
+
+
+def test_tiles_without_radar_need_none(spark):
+    days = [DAY + datetime.timedelta(k) for k in range(3)]
+    s2 = spark.createDataFrame([(tile, d, 122 + k, 0, x, band(k + 1), 1) for k, d in enumerate(days) for tile in (1, 2) for x in (0, 1)], "tile_id int, obs_date date, doy int, y int, x int, bands array<int>, mask int")
+    s1 = radar.s1_cube(radar.mosaic_mean(sar(spark, [(2, "ascending", DAY, 0, 0, 0, 3, 5)])))
+    kept = pixels.valid_pixels(pixels.pixel_counts(s2, s1), s1, 1, 1)
+    assert sorted((r["tile_id"], r["x"]) for r in kept.collect()) == [(1, 0), (1, 1), (2, 0)]
+    tiles = spark.createDataFrame([(1,), (2,)], "tile_id int")
+    got = workloads.sampled_pixels(s2, s1, tiles, slots=4, least_s1=1)
+    assert sorted((r["tile_id"], r["x"]) for r in got.collect()) == [(1, 0), (1, 1), (2, 0)]
+
+
+def test_stored_vectors_are_resumed(spark, tmp_path):
+    rng = random.Random(8)
+    days = [DAY + datetime.timedelta(20 * k) for k in range(4)]
+    rows = [(t, d, i, y, x, rng.choice((4, 4, 9)), [rng.randint(1, 5000) for _ in range(10)]) for t in (1, 2) for d in days for i in (0, 1) for y in range(4) for x in range(4) if (t, y // 2, x // 2) != (2, 1, 1)]
+    radar_rows = [(t, "ascending", d, 0, y, x, rng.random(), rng.random()) for t in (1, 2) for d in days for y in range(4) for x in range(4)]
+    seen, amp = obs(spark, rows), spark.createDataFrame(radar_rows, "tile_id int, orbit string, obs_date date, item_ord int, y int, x int, vv double, vh double")
+    tiles = spark.createDataFrame([(1, 4, 4), (2, 4, 4)], "tile_id int, height int, width int")
+    run = lambda t, at: workloads.embed_tiles(seen, amp, t, f"{tmp_path}/{at}", f"{tmp_path}/{at}-done", 2, lambda: embed.linear_model(8), 4)
+    read = lambda at: sorted((r["tile_id"], r["y"], r["x"], list(r["q"]), r["scale"]) for r in spark.read.parquet(f"{tmp_path}/{at}").collect())
+    assert run(tiles, "whole").count() == 8
+    assert run(tiles.filter("tile_id = 1"), "parts").count() == 4
+    # a run that broke off: some blocks are named as done, others were written but not named
+    spark.createDataFrame([(2, 0, 0)], "tile_id int, block_y int, block_x int").write.mode("append").parquet(f"{tmp_path}/parts-done")
+    assert sorted((r["tile_id"], r["block_y"], r["block_x"]) for r in run(tiles, "parts").collect()) == [(2, 0, 1), (2, 1, 0), (2, 1, 1)]
+    assert read("parts") == [r for r in read("whole") if not (r[0] == 2 and r[1] < 2 and r[2] < 2)] and len(read("whole")) == 28
+    assert run(tiles, "parts").isEmpty() and run(tiles, "whole").isEmpty()
+
+
 def test_resampling_keeps_a_plane(spark):
     grid, to = (0.0, 0.0, 1.0, 8, 8), (2.0, 2.0, 0.7, 5, 5)
     p = spark.range(64).selectExpr("1 k", "cast(floor(id / 8) as int) y", "cast(id % 8 as int) x").withColumn("v", F.col("y") * 2.0 + F.col("x"))
