@@ -18,6 +18,8 @@ DIMENSIONS = ("source", "lang", "topic")
 CELLS = 100_000
 #: Topics, rounds of fitting them, and bins of the hashed words that tell them apart.
 TOPICS, ROUNDS, BINS = 12, 6, 256
+#: Tasks that add up what others have summed.
+FEW = 8
 #: Targets: shares by category (None: of the null source or language), or a power that tempers the shares found.
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 #: Tokens to keep, as a share of all.
@@ -64,7 +66,15 @@ class Topics:
 
 
 def summed(profiles: DataFrame, add: Callable[[list[bytes]], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
-    """The sum of add() over all profiles: each task adds up its own, the driver those of the tasks, in their order."""
+    """The sum of add() over all profiles: each task adds up its own, a few tasks the sums of many, the driver those of the few."""
+    kind = [pa.field("total", pa.binary())]
+
+    def more(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            for own in batch.column(0).to_pylist():
+                total += np.frombuffer(own).reshape(shape)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], schema=pa.schema(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
@@ -74,10 +84,8 @@ def summed(profiles: DataFrame, add: Callable[[list[bytes]], np.ndarray], shape:
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
         release()
 
-    total = np.zeros(shape)
-    for r in profiles.select("profile").mapInArrow(run, "total binary").toLocalIterator():
-        total += np.frombuffer(r["total"]).reshape(shape)
-    return total
+    parts = profiles.select("profile").mapInArrow(run, "total binary").repartition(FEW).mapInArrow(more, "total binary").collect()
+    return sum((np.frombuffer(r["total"]).reshape(shape) for r in parts), np.zeros(shape))
 
 
 def fitted_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = ROUNDS) -> Topics:
@@ -91,9 +99,8 @@ def fitted_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = ROUND
     found.centres = found.vectors(seeds)
 
     def moved(own: list[bytes]) -> np.ndarray:
-        total = np.zeros((len(seeds), BINS))
-        np.add.at(total, found.of(own), found.vectors(own))
-        return total
+        x = found.vectors(own)
+        return np.eye(len(seeds))[:, (x @ found.centres.T).argmax(1)] @ x
 
     for _ in range(rounds):
         total = summed(some, moved, (len(seeds), BINS))

@@ -162,17 +162,22 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
         known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held: list[np.ndarray] = []
 
-        def merged(least: int) -> None:
+        def merged() -> None:
+            """Adds what is held to the tokens known, and of the others those that it holds twice."""
             nonlocal known, counts
-            all_ = np.concatenate([known, *held])
-            weights = np.concatenate([counts, np.ones(len(all_) - len(known), np.int64)])
-            order = np.argsort(all_)
-            all_, weights = all_[order], weights[order]
-            first = np.flatnonzero(np.r_[True, all_[1:] != all_[:-1]]) if len(all_) else np.zeros(0, np.int64)
-            sums = np.add.reduceat(weights, first) if len(first) else weights
-            keep = sums >= least
-            known, counts = all_[first][keep], sums[keep]
+            fresh = np.concatenate(held) if held else known[:0]
             held.clear()
+            fresh.sort()
+            first = np.flatnonzero(np.r_[True, fresh[1:] != fresh[:-1]]) if len(fresh) else np.zeros(0, np.int64)
+            n = np.diff(np.r_[first, len(fresh)])
+            fresh = fresh[first]
+            at = np.minimum(np.searchsorted(known, fresh), max(0, len(known) - 1))
+            hit = known[at] == fresh if len(known) else np.zeros(len(fresh), bool)
+            counts[at[hit]] += n[hit]
+            new = ~hit & (n > 1)
+            known, counts = np.concatenate([known, fresh[new]]), np.concatenate([counts, n[new]])
+            order = np.argsort(known, kind="stable")
+            known, counts = known[order], counts[order]
 
         size = 0
         for batch in batches:
@@ -186,10 +191,10 @@ def profiled(docs: DataFrame, width: int) -> DataFrame:
                     held.append(s)
                     size += len(s)
                     if size >= TASK_TOKENS:
-                        merged(2)
+                        merged()
                         size = 0
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds], names=names)
-        merged(2)
+        merged()
         top = np.argsort(-counts, kind="stable")[:TASK_FREQUENT]
         yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((None, None, None, known[top].tobytes(), counts[top].tobytes()), kinds, strict=True)], names=names)
         release()

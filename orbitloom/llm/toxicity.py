@@ -84,7 +84,7 @@ def counted(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([zlib.compress(having.tobytes(), 1)], pa.binary())], names=["n", "having"])
 
     n, having = np.zeros(2), np.zeros((2, 1 << BITS))
-    for r in sample.repartition(8).select("text", "toxic").mapInArrow(run, "n binary, having binary").toLocalIterator():
+    for r in sample.repartition(8).select("text", "toxic").mapInArrow(run, "n binary, having binary").collect():  # of eight tasks
         n += np.frombuffer(r["n"], np.int64)
         having += np.frombuffer(zlib.decompress(r["having"]), np.int32).reshape(2, -1)
     return n, having
