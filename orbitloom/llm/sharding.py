@@ -13,6 +13,26 @@ SHARDS, ROUNDS = 24, 6
 SLACK = 1.1
 
 
+#: Members of a hub that meet in one block of it, and most large hubs that are broadcast; more are joined by a shuffle.
+HUB_ROWS, BROADCAST_HUBS = 256, 250_000
+
+
+def large_hubs(hubs: DataFrame) -> DataFrame:
+    """(hub, blocks) of the hubs (hub, count) with more than HUB_ROWS members."""
+    found = stored(hubs.filter(F.col("count") > HUB_ROWS).select("hub", F.ceil(F.col("count") / HUB_ROWS).alias("blocks")), "large")
+    return F.broadcast(found) if found.count() <= BROADCAST_HUBS else found
+
+
+def dealt(members: DataFrame, large: DataFrame) -> DataFrame:
+    """members (node, hub) with the block of the hub that each is dealt to."""
+    return members.join(large, "hub", "left").withColumn("block", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("long")).drop("blocks")
+
+
+def copied(hubs: DataFrame, large: DataFrame) -> DataFrame:
+    """hubs (hub, ...) once for each of their blocks."""
+    return hubs.join(large, "hub", "left").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("blocks", F.lit(1).cast("long")) - 1))).drop("blocks")
+
+
 def quotas(wish: np.ndarray, size: np.ndarray, cap: float) -> np.ndarray:
     """The share of the wished moves (from, to) that may happen so that no shard ends above cap: inflow is scaled down to the room there is, until all shards hold. What leaves a shard makes room in it."""
     allowed = wish.astype(float)
@@ -30,7 +50,7 @@ def quotas(wish: np.ndarray, size: np.ndarray, cap: float) -> np.ndarray:
 def propagate(links: DataFrame, shards: int, cap: float, rounds: int = ROUNDS) -> DataFrame:
     """Labels (node, shard) of the nodes in links (node, hub): nodes that share a hub are neighbours.
 
-    A hub stands for all pairs of its members, so no pair is ever made: a round counts each hub's members by shard
+    A hub stands for all pairs of its members, so no pair is ever made, and a large hub is cut into blocks, so no task holds it whole: a round counts each hub's members by shard
     (at most `shards` counts, combined before the shuffle), gives every node the sum of its hubs' counts, and moves
     nodes with a gain. The driver sees only the moves wished between each two shards and answers with quotas; which of
     the wishing nodes move is decided by a hash. Counts include the node itself and ties go to a shard that
@@ -38,6 +58,8 @@ def propagate(links: DataFrame, shards: int, cap: float, rounds: int = ROUNDS) -
     """
     spark = links.sparkSession
     labels = stored(links.select("node").distinct().withColumn("shard", F.pmod(F.xxhash64("node", F.lit("start")), F.lit(shards)).cast("int")), "labels")
+    large = large_hubs(links.groupBy("hub").count())
+    links = dealt(links, large)
     one_hub = links.groupBy("node").count().filter("count > 1").isEmpty()
     for k in range(rounds):
         size = np.zeros(shards)
@@ -48,7 +70,7 @@ def propagate(links: DataFrame, shards: int, cap: float, rounds: int = ROUNDS) -
         counts = member.groupBy("hub").agg(*(F.count(F.when(F.col("shard") == s, True)).alias(f"c{s}") for s in range(shards)))
         tie = [F.pmod(F.xxhash64("hub", F.lit(s)), F.lit(1 << 20)) / float(1 << 21) for s in range(shards)]
         votes = counts.select("hub", F.array(*(F.col(f"c{s}") + t for s, t in enumerate(tie))).alias("votes"))
-        voted = member.join(votes, "hub")
+        voted = member.join(copied(votes, large), ["hub", "block"])
         if not one_hub:
             voted = voted.groupBy("node", "shard").agg(F.array(*(F.sum(F.col("votes")[s]) for s in range(shards))).alias("votes"))
         open_ = F.array(*(F.lit(x) for x in room))
@@ -104,7 +126,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.xxhash64(data, F.length(data)).alias("hub"))
     nodes = stored(docs.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    shared = stored(nodes.groupBy("hub").count().filter("count > 1").select("hub"), "hubs")
-    links = stored(nodes.select("node", "hub").join(shared, "hub"), "links")
+    shared = stored(nodes.groupBy("hub").count().filter("count > 1"), "hubs")
+    large = large_hubs(shared)
+    links = stored(dealt(nodes.select("node", "hub"), large).join(copied(shared.select("hub"), large), ["hub", "block"]).select("node", "hub"), "links")
     found = balanced_shards(nodes, links)
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
