@@ -188,6 +188,18 @@ def read_cube_npy(spark: SparkSession, sf: str) -> DataFrame:
     return flat_bands(s2, "tile", "t", "y", "x", "doy", "mask")
 
 
+@query(
+    "select d.tile, d.orbit_dir, d.t, d.y, d.x, d.doy, coalesce(s1.vv, 0) vv, coalesce(s1.vh, 0) vh from (select tile_id, tile_id::varchar tile, orbit_dir, orbit, obs_date, doy, cast(l.t - min(l.t) over (partition by tile_id, orbit_dir) as int) t, y, x from line l, (select unnest(range(8)) y) a, (select unnest(range(8)) x) b) d"
+    " left join s1 on s1.tile_id = d.tile_id and s1.orbit_dir = d.orbit_dir and s1.orbit = d.orbit and s1.obs_date = d.obs_date and s1.y = d.y and s1.x = d.x",
+    "s1", "line",
+)
+def read_radar_npy(spark: SparkSession, sf: str) -> DataFrame:
+    """The radar half of the array files; cells that no observation reached are zeros."""
+    folder = new_path(spark, "cubes")
+    stored(arrays.write_cube_npy(*cubes_by_tile(spark, sf), folder, 8, 8), "written")
+    return arrays.read_cube_npy(spark, folder)[1].select("tile", "orbit_dir", "t", "y", "x", "doy", "vv", "vh")
+
+
 @query("select tile_id, y, x, list_sum(q) q_sum, list_max(q) q_max, round(scale, 6) scale from quant", "quant")
 def write_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     path = new_path(spark, "vectors")
@@ -431,6 +443,14 @@ def resample_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET)
 
 
+@query("select tile_id, obs_date, y * 2 + dy y, x * 2 + dx x, b1::double v from band_obs, (select unnest([0, 1]) dy) a, (select unnest([0, 1]) dx) b where item_ord = 0 and y between 1 and 5 and x between 2 and 6", "band_obs")
+def resample_half(spark: SparkSession, sf: str) -> DataFrame:
+    """A window of a 20 m band that begins at an even 10 m row and column, read at twice its size: the nearest value."""
+    window = first_bands(spark, sf).filter("y between 1 and 5 and x between 2 and 6").withColumns({"y": F.col("y") - 1, "x": F.col("x") - 2})
+    found = resample.resample(window, ["tile_id", "obs_date"], "v", (0.0, 0.0, 20.0, 5, 5), (0.0, 0.0, 10.0, 10, 10))
+    return found.withColumns({"y": F.col("y") + 2, "x": F.col("x") + 4})
+
+
 @query(kernel_sql("greatest(1 - abs(@), 0)", 0, 1), "band_obs")
 def resample_bilinear(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "bilinear").withColumn("v", F.round("v", 5))

@@ -7,13 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Files of a tile and their types.
 FORMATS = {"bands": "<u2", "masks": "|u1", "doys": "<u2", "sar_ascending": "<i2", "sar_ascending_doy": "<i2", "sar_descending": "<i2", "sar_descending_doy": "<i2", "mask_optimized": "|u1"}
-#: Rows of pixels in one output batch.
-ROWS = 65_536
+#: Places of an array that are read at once, and rows of an image that are gathered at once for a file.
+ROWS, STRIP = 65_536, 256
 
 
 def npy_header(shape: tuple[int, ...], dtype: str) -> bytes:
@@ -22,39 +23,72 @@ def npy_header(shape: tuple[int, ...], dtype: str) -> bytes:
     return out.getvalue()
 
 
+def opened(path: str):
+    """A file opened for reading at any place, by the address that Spark gives it."""
+    from pyarrow import fs
+
+    store, at = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path)
+    return store.open_input_file(at)
+
+
 def npy_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(tile, name, content): the array files below a folder that holds one folder a tile, flat or with s2/ and s1/ inside."""
+    """(tile, name, path): the array files below a folder that holds one folder a tile, flat or with s2/ and s1/ inside; only their names are read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.npy").load(folder)
-    return files.select(F.regexp_extract("path", r"([^/]+)/(?:s[12]/)?[^/]+\.npy$", 1).alias("tile"), F.regexp_extract("path", r"([^/]+)\.npy$", 1).alias("name"), "content")
+    return files.select(F.regexp_extract("path", r"([^/]+)/(?:s[12]/)?[^/]+\.npy$", 1).alias("tile"), F.regexp_extract("path", r"([^/]+)\.npy$", 1).alias("name"), "path")
 
 
-def cube_rows(files: DataFrame, name: str) -> DataFrame:
-    """(tile, t, y, x, v) of one array of shape (T, H, W[, C]); v holds the C values. Rows leave in bounded batches."""
+def pieces(files: DataFrame) -> DataFrame:
+    """(tile, path, dtype, begin, shape, first, number): ROWS places at most of each array, from what its header says. Pieces are dealt evenly, so no task reads a whole file."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for tile, content in zip(frame["tile"], frame["content"], strict=True):
-                a = np.load(io.BytesIO(content), allow_pickle=False)
-                a = a.reshape(*a.shape[:3], -1).astype(np.int32)
-                height, width = a.shape[1:3]
-                flat = a.reshape(-1, a.shape[3])
-                for at in range(0, len(flat), ROWS):
-                    k = np.arange(at, min(at + ROWS, len(flat)))
-                    yield pd.DataFrame({"tile": tile, "t": (k // (height * width)).astype(np.int32), "y": (k // width % height).astype(np.int32), "x": (k % width).astype(np.int32), "v": list(flat[at : at + ROWS])})
+            for tile, path in zip(frame["tile"], frame["path"], strict=True):
+                with opened(path) as f:
+                    read = {1: np.lib.format.read_array_header_1_0, 2: np.lib.format.read_array_header_2_0}[np.lib.format.read_magic(f)[0]]
+                    shape, fortran, dtype = read(f)
+                    begin = f.tell()
+                if fortran:
+                    raise ValueError(f"{path}: column-major arrays are not read")
+                first = np.arange(0, int(np.prod(shape[:3])), ROWS)
+                yield pd.DataFrame({"tile": tile, "path": path, "dtype": dtype.str, "begin": begin, "shape": [list(shape)] * len(first), "first": first, "number": np.minimum(ROWS, int(np.prod(shape[:3])) - first)})
 
-    return files.filter(F.col("name") == name).select("tile", "content").mapInPandas(run, "tile string, t int, y int, x int, v array<int>")
+    found = files.select("tile", "path").mapInPandas(run, "tile string, path string, dtype string, begin long, shape array<long>, first long, number long")
+    return found.repartition("path", "first")
+
+
+def values(row: dict) -> np.ndarray:
+    """The values of one piece, a row for each place."""
+    dtype, channels = np.dtype(row["dtype"]), row["shape"][3] if len(row["shape"]) > 3 else 1
+    with opened(row["path"]) as f:
+        f.seek(row["begin"] + row["first"] * channels * dtype.itemsize)
+        return np.frombuffer(f.read(row["number"] * channels * dtype.itemsize), dtype).reshape(-1, channels).astype(np.int32)
+
+
+def cube_rows(files: DataFrame, name: str) -> DataFrame:
+    """(tile, t, y, x, v) of one array of shape (T, H, W[, C]); v holds the C values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                v, (height, width) = values(row), row["shape"][1:3]
+                k = row["first"] + np.arange(len(v))
+                places = [pa.array(c.astype(np.int32)) for c in (k // (height * width), k // width % height, k % width)]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * v.shape[1]), pa.array(v.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array([row["tile"]] * len(v)), *places, lists], names=["tile", "t", "y", "x", "v"])
+
+    return pieces(files.filter(F.col("name") == name)).mapInArrow(run, "tile string, t int, y int, x int, v array<int>")
 
 
 def series_rows(files: DataFrame, name: str) -> DataFrame:
     """(tile, t, v) of an array of shape (T,)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for tile, content in zip(frame["tile"], frame["content"], strict=True):
-                a = np.load(io.BytesIO(content), allow_pickle=False).astype(np.int32)
-                yield pd.DataFrame({"tile": tile, "t": np.arange(len(a), dtype=np.int32), "v": a})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                v = values(row).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array([row["tile"]] * len(v)), pa.array((row["first"] + np.arange(len(v))).astype(np.int32)), pa.array(v)], names=["tile", "t", "v"])
 
-    return files.filter(F.col("name") == name).select("tile", "content").mapInPandas(run, "tile string, t int, v int")
+    return pieces(files.filter(F.col("name") == name)).mapInArrow(run, "tile string, t int, v int")
 
 
 def read_cube_npy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -70,30 +104,37 @@ def read_cube_npy(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return s2.select(*keys, "doy", "bands", "mask"), parts[0].unionByName(parts[1])
 
 
-def planes(rows: DataFrame, value: str, height: int, width: int, dtype: str, channels: int = 0) -> DataFrame:
-    """(tile, t, plane): the pixels of a tile and time as the bytes of one array, absent ones 0; a group is one image."""
-    shape = (height, width, channels) if channels else (height, width)
+def strips(rows: DataFrame, value: str, height: int, width: int, dtype: str, channels: int = 0) -> DataFrame:
+    """(tile, part, bytes): the pixels of a tile and time, STRIP rows of an image at most, as the bytes of one array, absent ones 0; parts count from 0 in the order of the file."""
+    each = -(-height // STRIP)
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        a = np.zeros(shape, dtype)
-        a[frame["y"].to_numpy(), frame["x"].to_numpy()] = np.stack(frame[value].to_numpy()) if channels else frame[value].to_numpy()
-        return pd.DataFrame({"tile": [frame["tile"].iloc[0]], "t": [frame["t"].iloc[0]], "plane": [a.tobytes()]})
+    def run(table: pa.Table) -> pa.Table:
+        y, x = (table.column(c).to_numpy() for c in ("y", "x"))
+        t, strip = (table.column(c)[0].as_py() for c in ("t", "strip"))
+        a = np.zeros((min(STRIP, height - strip * STRIP), width, *([channels] if channels else [])), dtype)
+        v = table.column(value).combine_chunks()
+        a[y - strip * STRIP, x] = v.flatten().to_numpy().reshape(-1, channels) if channels else v.to_numpy(zero_copy_only=False)
+        return pa.table({"tile": [table.column("tile")[0].as_py()], "part": pa.array([t * each + strip], pa.int64()), "bytes": pa.array([a.tobytes()], pa.binary())})
 
-    return rows.select("tile", "t", "y", "x", value).groupBy("tile", "t").applyInPandas(run, "tile string, t int, plane binary")
+    rows = rows.select("tile", "t", F.floor(F.col("y") / STRIP).cast("int").alias("strip"), "y", "x", value)
+    return rows.groupBy("tile", "t", "strip").applyInArrow(run, "tile string, part long, bytes binary")
 
 
-def array_files(all_planes: DataFrame, name: str, height: int, width: int, dtype: str, channels: int = 0) -> DataFrame:
-    """(tile, name, part, bytes): the pieces of a tile's file in order, part -1 its header; a sink writes them one after the other and never holds a whole tile."""
-    kept = all_planes.withColumn("part", F.col("t"))
-    counts = all_planes.groupBy("tile").agg(F.count("*").alias("n"))
+def array_files(rows: DataFrame, name: str, value: str, height: int, width: int, dtype: str, channels: int = 0) -> DataFrame:
+    """(tile, name, part, bytes): the pieces of a tile's file in order, part -1 its header; a sink writes them one after the other and never holds a whole tile. Strips that no pixel is in are zeros."""
+    each, shape = -(-height // STRIP), (height, width, channels) if channels else (height, width)
+    counts = rows.groupBy("tile").agg((F.max("t") + 1).alias("n"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            shape = (height, width, channels) if channels else (height, width)
             yield pd.DataFrame({"tile": frame["tile"], "part": -1, "bytes": [npy_header((int(n), *shape), dtype) for n in frame["n"]]})
 
-    heads = counts.mapInPandas(run, "tile string, part int, bytes binary")
-    return kept.select("tile", "part", F.col("plane").alias("bytes")).unionByName(heads).select("tile", F.lit(name).alias("name"), "part", "bytes")
+    heads = counts.mapInPandas(run, "tile string, part long, bytes binary")
+    own = strips(rows, value, height, width, dtype, channels)
+    every = counts.select("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") * each - 1)).alias("part"))
+    size = F.when(F.col("part") % each == each - 1, height - (each - 1) * STRIP).otherwise(STRIP) * int(np.prod(shape[1:])) * np.dtype(dtype).itemsize
+    zeros = every.join(own.select("tile", "part"), ["tile", "part"], "left_anti").select("tile", "part", F.unhex(F.repeat(F.lit("00"), size)).alias("bytes"))
+    return own.unionByName(heads).unionByName(zeros).select("tile", F.lit(name).alias("name"), "part", "bytes")
 
 
 def write_array_files(parts: DataFrame, folder: str) -> DataFrame:
@@ -141,10 +182,10 @@ def write_cube_npy(s2: DataFrame, s1: DataFrame, folder: str, height: int, width
                 data = [npy_header((len(d),), FORMATS[name]) + np.asarray(d).astype(FORMATS[name]).tobytes() for d in frame["doys"]]
                 yield pd.DataFrame({"tile": frame["tile"], "name": name, "part": 0, "bytes": data})
 
-        return lists.mapInPandas(run, "tile string, name string, part int, bytes binary")
+        return lists.mapInPandas(run, "tile string, name string, part long, bytes binary")
 
     def cube(rows: DataFrame, name: str, value: str, channels: int = 0) -> DataFrame:
-        return array_files(planes(rows, value, height, width, FORMATS[name], channels), name, height, width, FORMATS[name], channels)
+        return array_files(rows, name, value, height, width, FORMATS[name], channels)
 
     parts = [cube(s2, "bands", "bands", 10), cube(s2, "masks", "mask"), times(s2, "doys")]
     if "mask_opt" in s2.columns:

@@ -240,6 +240,42 @@ def test_scorer_matches_numpy(spark):
     assert got == pytest.approx(want.tolist())
 
 
+def onnx_of_means(path):
+    """A model file by hand: the means over the slots of both inputs, side by side."""
+
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    def field(k, value):
+        if isinstance(value, int):
+            return varint(k << 3) + varint(value)
+        value = value.encode() if isinstance(value, str) else value
+        return varint(k << 3 | 2) + varint(len(value)) + value
+
+    def tensor(name, *dims):
+        shape = b"".join(field(1, field(1, d) if isinstance(d, int) else field(2, d)) for d in dims)
+        return field(1, name) + field(2, field(1, field(1, 1) + field(2, shape)))
+
+    def node(kind, inputs, output, *attributes):
+        return field(1, b"".join(field(1, i) for i in inputs) + field(2, output) + field(4, kind) + b"".join(field(5, a) for a in attributes))
+
+    ints = lambda name, v: field(1, name) + field(8, v) + field(20, 7)
+    one = lambda name, v: field(1, name) + field(3, v) + field(20, 2)
+    graph = node("ReduceMean", ["s2"], "a", ints("axes", 1), one("keepdims", 0)) + node("ReduceMean", ["s1"], "b", ints("axes", 1), one("keepdims", 0)) + node("Concat", ["a", "b"], "z", one("axis", 1))
+    graph += field(2, "means") + field(11, tensor("s2", "n", "k", 11)) + field(11, tensor("s1", "n", "k", 3)) + field(12, tensor("z", "n", 14))
+    path.write_bytes(field(1, 8) + field(7, graph) + field(8, field(1, "") + field(2, 13)))
+
+
+def test_scorer_loads_a_model_file(spark, tmp_path):
+    onnx_of_means(tmp_path / "means.onnx")
+    rng = np.random.default_rng(3)
+    data = [(1, 0, x, rng.normal(size=(2, 44)), rng.normal(size=(2, 12))) for x in range(5)]
+    rows = spark.createDataFrame([(t, y, x, a.tolist(), b.tolist()) for t, y, x, a, b in data], "tile_id int, y int, x int, s2_passes array<array<double>>, s1_passes array<array<double>>")
+    got = {r["x"]: r["emb"] for r in embed.embed_pixels(rows, embed.onnx_model(str(tmp_path / "means.onnx")), 4).collect()}
+    for _, _, x, a, b in data:
+        assert got[x] == pytest.approx(np.concatenate([a.reshape(8, 11).mean(0), b.reshape(8, 3).mean(0)]).tolist(), rel=1e-5, abs=1e-6)
+
+
 @pytest.mark.parametrize("mode", ["int8", "float16", "float32"])
 def test_embeddings_are_written_by_block(spark, tmp_path, mode):
     rows = spark.createDataFrame([(1, y, x, [0.5, -1.0]) for y in range(3) for x in range(3)], "tile_id int, y int, x int, emb array<float>")
@@ -253,3 +289,24 @@ def test_same_run_compares_equal(spark):
     rows = embed.quantised(spark.createDataFrame([(k, [float(k), 1.0, -2.0]) for k in range(5)], "k int, emb array<double>"))
     r = embed.compare_runs(rows, rows, ["k"]).first()
     assert r["pixels"] == 5 and r["match_pct"] == 100.0 and r["min_cos"] == pytest.approx(1.0)
+
+
+def test_array_files_in_pieces_and_strips(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(arrays, "ROWS", 7)
+    monkeypatch.setattr(arrays, "STRIP", 3)
+    rng = np.random.default_rng(6)
+    cube = {"bands": rng.integers(1, 65536, (2, 8, 5, 10)).astype("<u2"), "masks": np.ones((2, 8, 5), "u1"), "doys": np.array([3, 4], "<u2")}
+    for d in ("ascending", "descending"):
+        cube |= {f"sar_{d}": rng.integers(1, 32767, (1, 8, 5, 2)).astype("<i2"), f"sar_{d}_doy": np.array([9], "<i2")}
+    (tmp_path / "in" / "a").mkdir(parents=True)
+    for name, a in cube.items():
+        np.save(tmp_path / "in" / "a" / f"{name}.npy", a)
+    s2, s1 = arrays.read_cube_npy(spark, str(tmp_path / "in"))
+    assert s2.count() == 80 and s1.count() == 80
+    holes = s2.filter("not (t = 1 and y between 3 and 6)")  # one strip of an image without pixels, half of another
+    arrays.write_cube_npy(holes, s1, f"file://{tmp_path}/out", 8, 5).collect()
+    for name, a in cube.items():
+        want = a.copy()
+        if name in ("bands", "masks"):
+            want[1, 3:7] = 0
+        assert (np.load(tmp_path / "out" / "a" / f"{name}.npy") == want).all()
