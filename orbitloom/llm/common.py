@@ -36,7 +36,7 @@ def marked(columns: list[str]) -> str:
 
 def by_bytes(spark: SparkSession) -> None:
     """Whole texts are long: unless the session has its own limit, Arrow batches are from now on cut by bytes, not only by rows, so that neither side of a task holds tens of megabytes of texts at once."""
-    if not spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", ""):
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
