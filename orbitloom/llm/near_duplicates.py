@@ -23,7 +23,7 @@ BROADCAST_IDS = 250_000
 PARTNERS = 1_000
 #: Holders of a prefix token that are gathered in one list; tokens with more go by joins that can be split.
 HOLDERS = 16
-#: Holders of one hot token that meet each holder of a block of them.
+#: Holders of one hot token in a block; blocks meet one by one.
 MEETING = 500
 #: Bytes that are hashed at once, and the longest word whose sum of products fits into 64 bits.
 SEGMENT, WHOLE = 1 << 16, 2_000
@@ -144,6 +144,11 @@ class Orders:
         return tokens[np.lexsort((mix(tokens + np.uint64(order)), classes))[:length]]
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """A stored table, broadcast if it is short."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
 def longs(tokens: np.ndarray) -> list[int]:
     return tokens.view(np.int64).tolist()
 
@@ -366,7 +371,7 @@ class Join:
             return once.select("lead", (F.col("a") + F.col("b") - F.col("lead")).alias("member"))
 
         # each holder with the one that has the token earliest
-        leads = hot.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("x"))
+        leads = sized(stored(hot.groupBy("token").agg(F.min(F.struct("pos", "rep", "n")).alias("x")), "leads"))
         led = hot.join(leads, "token").select("x", F.struct("pos", "rep", "n").alias("y"))
         led = led.unionByName(lists.select(F.get("held", F.lit(0)).alias("x"), F.explode("held").alias("y")))
         led = led.filter("x.rep <> y.rep").filter(self.may_link("x.n", "x.pos", "y.n", "y.pos")).select(F.col("x.rep").alias("lead"), F.col("y.rep").alias("member"))
@@ -376,14 +381,13 @@ class Join:
         # all pairs of holders between different groups
         named = hot.join(groups, F.col("rep") == F.col("node"), "left").select("token", F.struct("pos", "rep", "n").alias("x"), F.coalesce("component", "rep").alias("c"))
         named = stored(named, "hot")
-        mixed = stored(named.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("token"), "mixed")
-        open_ = stored(named.join(mixed, "token"), "open")
-        # a token's holders are dealt to blocks, and each block meets them all
-        blocks = stored(open_.groupBy("token").agg(F.ceil(F.count("*") / MEETING).alias("blocks")), "blocks")
-        dealt = open_.join(blocks, "token")
-        ones = dealt.select("token", F.pmod(F.xxhash64("x.rep"), "blocks").alias("block"), "x", "c")
-        others = dealt.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.col("x").alias("y"), F.col("c").alias("d"))
-        crossing = ones.join(others, ["token", "block"]).filter("c < d").select("x", "y")
+        mixed = named.groupBy("token").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count("*") / MEETING).alias("blocks")).filter("low <> high")
+        open_ = named.join(sized(stored(mixed.select("token", "blocks"), "mixed")), "token").withColumn("own", F.pmod(F.xxhash64("x.rep"), "blocks"))
+        # a token's holders are dealt to blocks; each block meets each, so no task gets more than two blocks of a token
+        each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        ones = open_.select("token", F.col("own").alias("left"), each.alias("right"), "x", "c")
+        others = open_.select("token", each.alias("left"), F.col("own").alias("right"), F.col("x").alias("y"), F.col("c").alias("d"))
+        crossing = ones.join(others, ["token", "left", "right"]).filter("c < d").select("x", "y")
         every = lists.select(F.posexplode("held").alias("i", "x"), "held").select("x", F.explode(F.slice("held", F.col("i") + 2, F.lit(HOLDERS))).alias("y"))
         pairs = crossing.unionByName(every).filter("x.rep <> y.rep").filter(self.may_link("x.n", "x.pos", "y.n", "y.pos"))
         pairs = pairs.select(F.least("x.rep", "y.rep").alias("lead"), F.greatest("x.rep", "y.rep").alias("member")).distinct()
