@@ -40,23 +40,46 @@ TABLES |= {
     "sel": (f"select tile_id, obs_date, y20, x20, min(item_ord) item_ord from scl_obs where scl not in {INVALID} group by all", ("scl_obs",)),
     "cov": ("select tile_id, obs_date, count(*) selected, 100.0 * count(*) / 64 coverage, 100.0 * count(*) / 64 >= 70 kept from sel group by all", ("sel",)),
     "obs": ("select b.*, s.scl from band_obs b join scl_obs s on b.tile_id = s.tile_id and b.obs_date = s.obs_date and b.item_ord = s.item_ord and b.y = s.y20 and b.x = s.x20", ("band_obs", "scl_obs")),
-    "s2_raw": (f"select tile_id, obs_date, y, x, max(case when scl not in {INVALID} then 1 else 0 end) mask, {', '.join(f'coalesce(arg_min({b}, item_ord) filter (scl not in {INVALID}), max({b}) filter (item_ord = 0), 0) {b}' for b in B)} from obs group by tile_id, obs_date, y, x", ("obs",)),
+    "s2_raw": (
+        f"select tile_id, obs_date, y, x, max(case when scl not in {INVALID} then 1 else 0 end) mask, "
+        f"{', '.join(f'coalesce(arg_min({b}, item_ord) filter (scl not in {INVALID}), max({b}) filter (item_ord = 0), 0) {b}' for b in B)} from obs "
+        "group by tile_id, obs_date, y, x", ("obs",)),
     "s2_all": (f"select tile_id, obs_date, dayofyear(obs_date) doy, y, x, mask, {', '.join(f'{harmonised(b)} {b}' for b in B)} from s2_raw", ("s2_raw",)),
     "s2": ("select s.* from s2_all s join cov c on s.tile_id = c.tile_id and s.obs_date = c.obs_date and c.kept", ("s2_all", "cov")),
     "dbs": (f"select tile_id, orbit, obs_date, item_ord, y, x, {db('vv')} vv, {db('vh')} vh from sar_obs", ("sar_obs",)),
     "s1_mean": ("select tile_id, orbit, obs_date, y, x, coalesce(cast(trunc(avg(vv) filter (vv > 0)) as int), 0) vv, coalesce(cast(trunc(avg(vh) filter (vh > 0)) as int), 0) vh from dbs group by all", ("dbs",)),
-    "s1": ("select tile_id, case orbit when 'ascending' then 'ascending' else 'descending' end orbit_dir, orbit, obs_date, dayofyear(obs_date) doy, y, x, vv, vh from (select *, max(greatest(vv, vh)) over (partition by tile_id, obs_date, orbit) most from s1_mean) m where most > 0", ("s1_mean",)),
+    "s1": (
+        "select tile_id, case orbit when 'ascending' then 'ascending' else 'descending' end orbit_dir, orbit, obs_date, dayofyear(obs_date) doy, y, x, vv, vh "
+        "from (select *, max(greatest(vv, vh)) over (partition by tile_id, obs_date, orbit) most from s1_mean) m where most > 0", ("s1_mean",)),
     "times": ("select tile_id, obs_date, doy, row_number() over (partition by tile_id order by obs_date) - 1 t from (select distinct tile_id, obs_date, doy from s2) d", ("s2",)),
-    "line": ("select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date, orbit) - 1 t from (select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1) d", ("s1",)),
-    "water": (f"select tile_id, y20, x20, count(*) filter (scl = 6) water, count(*) filter (scl not in {INVALID}) valid, coalesce(count(*) filter (scl = 6) / nullif(count(*) filter (scl not in {INVALID}), 0) > 0.8, false) is_water from scl_obs group by all", ("scl_obs",)),
-    "counts": ("select p.*, coalesce(s1_asc, 0) s1_asc, coalesce(s1_desc, 0) s1_desc from (select tile_id, y, x, count(*) filter (mask = 1) s2_valid, bool_or(" + " or ".join(f"{b} <> 0" for b in B) + ") s2_any from s2 group by all) p left join (select tile_id, y, x, count(*) filter (orbit_dir = 'ascending' and (vv <> 0 or vh <> 0)) s1_asc, count(*) filter (orbit_dir = 'descending' and (vv <> 0 or vh <> 0)) s1_desc from s1 group by all) r using (tile_id, y, x)", ("s2", "s1")),
+    "line": (
+        "select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date, orbit) - 1 t from "
+        "(select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1) d", ("s1",)),
+    "water": (
+        f"select tile_id, y20, x20, count(*) filter (scl = 6) water, count(*) filter (scl not in {INVALID}) valid, coalesce(count(*) filter (scl = 6) / "
+        f"nullif(count(*) filter (scl not in {INVALID}), 0) > 0.8, false) is_water from scl_obs group by all", ("scl_obs",)),
+    "counts": ("select p.*, coalesce(s1_asc, 0) s1_asc, coalesce(s1_desc, 0) s1_desc from (select tile_id, y, x, count(*) filter (mask = 1) s2_valid, bool_or(" + " or ".join(f"{b} <> 0" for b in B) +
+        ") s2_any from s2 group by all) p left join (select tile_id, y, x, count(*) filter (orbit_dir = 'ascending' and (vv <> 0 or vh <> 0)) s1_asc, count(*) "
+        "filter (orbit_dir = 'descending' and (vv <> 0 or vh <> 0)) s1_desc from s1 group by all) r using (tile_id, y, x)", ("s2", "s1")),
     "emb": ("select vec_id, cast(vec_id % 4 as int) tile_id, cast(floor(vec_id / 64) as int) y, cast(floor(vec_id / 4) % 16 as int) x, list_transform(embedding, lambda v: v::double) emb, label from embeddings", ()),
-    "quant": ("select vec_id, tile_id, y, x, label, scale, list_transform(emb, lambda v: greatest(least(round_even(v / scale, 0), 127), -128)::int) q from (select *, greatest(list_max(list_transform(emb, lambda v: abs(v))) / 127, 1e-8) scale from emb) e", ("emb",)),
+    "quant": (
+        "select vec_id, tile_id, y, x, label, scale, list_transform(emb, lambda v: greatest(least(round_even(v / scale, 0), 127), -128)::int) q from "
+        "(select *, greatest(list_max(list_transform(emb, lambda v: abs(v))) / 127, 1e-8) scale from emb) e", ("emb",)),
     "chan": ("select tile_id, obs_date, y, x, 0 c, b0 v from s2 union all select tile_id, obs_date, y, x, 1, b2 from s2 union all select tile_id, obs_date, y, x, 2, b4 from s2", ("s2",)),
-    "norm": ("select c.tile_id, c.obs_date, c.y, c.x, c.c, case when v <> 0 then (v - mean) / case when std = 0 then 1 else std end else 0 end norm from chan c join (select tile_id, obs_date, c, avg(v) filter (v <> 0) mean, stddev_pop(v) filter (v <> 0) std from chan group by all) s on c.tile_id = s.tile_id and c.obs_date = s.obs_date and c.c = s.c", ("chan",)),
+    "norm": (
+        "select c.tile_id, c.obs_date, c.y, c.x, c.c, case when v <> 0 then (v - mean) / case when std = 0 then 1 else std end else 0 end norm from chan c "
+        "join (select tile_id, obs_date, c, avg(v) filter (v <> 0) mean, stddev_pop(v) filter (v <> 0) std from chan "
+        "group by all) s on c.tile_id = s.tile_id and c.obs_date = s.obs_date and c.c = s.c", ("chan",)),
     "patch": ("select distinct greatest(least(a.s, 3), 0)::int top, greatest(least(b.s, 3), 0)::int \"left\" from (select unnest(range(0, 8, 3)) s) a, (select unnest(range(0, 8, 3)) s) b", ()),
-    "ppix": ("select p.tile_id, p.obs_date, p.y, p.x, top, \"left\", p.y - top i, p.x - \"left\" j, n0, n1, n2, (case when p.y - top < 2 then (p.y - top + 1) / 2.0::double when p.y - top >= 3 then (5 - (p.y - top)) / 2.0::double else 1 end) * (case when p.x - \"left\" < 2 then (p.x - \"left\" + 1) / 2.0::double when p.x - \"left\" >= 3 then (5 - (p.x - \"left\")) / 2.0::double else 1 end) w from (select tile_id, obs_date, y, x, max(norm) filter (c = 0) n0, max(norm) filter (c = 1) n1, max(norm) filter (c = 2) n2 from norm group by all) p join patch on p.y between top and top + 4 and p.x between \"left\" and \"left\" + 4", ("norm", "patch")),
-    "scores": ("select p.*, cls, 1.5 * (case cls when 0 then 0.5 * n0 + 0.25 * n1 - 0.25 * n2 when 1 then n0 - 0.5 * n1 + 0.25 * n2 when 2 then -0.75 * n0 + n1 + 0.5 * n2 else 0.25 * n0 + 0.5 * n1 - n2 end) score from ppix p, (select unnest(range(4)) cls) k", ("ppix",)),
+    "ppix": (
+        "select p.tile_id, p.obs_date, p.y, p.x, top, \"left\", p.y - top i, p.x - \"left\" j, n0, n1, n2, (case "
+        "when p.y - top < 2 then (p.y - top + 1) / 2.0::double when p.y - top >= 3 then (5 - (p.y - top)) / 2.0::double else 1 end) * (case "
+        "when p.x - \"left\" < 2 then (p.x - \"left\" + 1) / 2.0::double when p.x - \"left\" >= 3 then (5 - (p.x - \"left\")) / 2.0::double else 1 end) w from "
+        "(select tile_id, obs_date, y, x, max(norm) filter (c = 0) n0, max(norm) filter (c = 1) n1, max(norm) filter (c = 2) n2 from norm group by all) p "
+        "join patch on p.y between top and top + 4 and p.x between \"left\" and \"left\" + 4", ("norm", "patch")),
+    "scores": (
+        "select p.*, cls, 1.5 * (case cls when 0 then 0.5 * n0 + 0.25 * n1 - 0.25 * n2 when 1 then n0 - 0.5 * n1 + 0.25 * n2 "
+        "when 2 then -0.75 * n0 + n1 + 0.5 * n2 else 0.25 * n0 + 0.5 * n1 - n2 end) score from ppix p, (select unnest(range(4)) cls) k", ("ppix",)),
     "blend": ("select tile_id, obs_date, y, x, cls, sum(score * w) / sum(w) score from scores group by all", ("scores",)),
     "classes": ("select tile_id, obs_date, y, x, arg_max(cls, (round(score, 9), -cls)) cls from blend group by all", ("blend",)),
 }
@@ -132,7 +155,9 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 # ---- sources and sinks
 
 
-@query("select item_id::varchar item_id, collection, obs_date, tile_id::varchar tile_id, cloud_cover, coalesce(orbit_state, 'unknown') orbit_state, xmin, 's3://scenes/' || item_id || '/SCL.tif' scl from scenes", "scenes")
+@query(
+    "select item_id::varchar item_id, collection, obs_date, tile_id::varchar tile_id, cloud_cover, coalesce(orbit_state, 'unknown') orbit_state, xmin, "
+    "'s3://scenes/' || item_id || '/SCL.tif' scl from scenes", "scenes")
 def read_scene_catalog(spark: SparkSession, sf: str) -> DataFrame:
     s = scene_table(spark, sf)
     properties = F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime"), "cloud_cover", F.col("tile_id").cast("string").alias("tile"), "orbit_state")
@@ -143,7 +168,11 @@ def read_scene_catalog(spark: SparkSession, sf: str) -> DataFrame:
     return catalogues.read_scene_catalog(spark, path).select("item_id", "collection", "obs_date", "tile_id", "cloud_cover", "orbit_state", "xmin", F.col("assets")["SCL"].alias("scl"))
 
 
-FEED = "select event_id // 100 page, row_number() over (partition by event_id // 100 order by event_id) - 1 pos, event_id, case when event_id % 17 = 0 then '' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end time_start, case when value < 20 then '' else 'G' || event_id end title, ts::date obs_date from events"
+FEED = (
+    "select event_id // 100 page, row_number() over (partition by event_id // 100 order by event_id) - 1 pos, event_id, case "
+    "when event_id % 17 = 0 then '' else strftime(ts, '%Y-%m-%dT%H:%M:%S') end time_start, case "
+    "when value < 20 then '' else 'G' || event_id end title, ts::date obs_date from events"
+)
 
 
 @query(f"select page * 1000000 + pos ord, title, obs_date from ({FEED}) f where time_start <> '' and title <> ''")
@@ -179,7 +208,11 @@ def write_cube_npy(spark: SparkSession, sf: str) -> DataFrame:
     return arrays.write_cube_npy(*cubes_by_tile(spark, sf), new_path(spark, "cubes"), 8, 8)
 
 
-@query(f"select s.tile_id::varchar tile, t, y, x, s.doy, mask, {', '.join(B)} from s2 s join times using (tile_id, obs_date) union all select d.tile_id::varchar, t, y, x, doy, 0, {', '.join('0' for _ in B)} from (select tile_id, t, doy, y, x from times, (select unnest(range(8)) y) a, (select unnest(range(8)) x) b) d anti join (select tile_id, t, y, x from s2 join times using (tile_id, obs_date)) h using (tile_id, t, y, x)", "s2", "times")
+@query(
+    f"select s.tile_id::varchar tile, t, y, x, s.doy, mask, {', '.join(B)} from s2 s join times using (tile_id, obs_date) "
+    f"union all select d.tile_id::varchar, t, y, x, doy, 0, {', '.join('0' for _ in B)} from (select tile_id, t, doy, y, x from times, "
+    "(select unnest(range(8)) y) a, (select unnest(range(8)) x) b) d anti join (select tile_id, t, y, x from s2 "
+    "join times using (tile_id, obs_date)) h using (tile_id, t, y, x)", "s2", "times")
 def read_cube_npy(spark: SparkSession, sf: str) -> DataFrame:
     """The cubes are written as array files and read again; cells that no observation reached are zeros."""
     folder = new_path(spark, "cubes")
@@ -209,7 +242,10 @@ def write_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("tile_id", "y", "x", F.aggregate(q, F.lit(0), lambda s, v: s + v).alias("q_sum"), F.array_max(q).alias("q_max"), F.round(F.col("scale").cast("double"), 6).alias("scale"))
 
 
-@query("select tile_id, y, x, coalesce(list_sum(q), 0) q_sum, coalesce(len(q), 64) n, coalesce(round(scale, 6), 0) scale from (select tile_id, y, x from (select unnest(range(4)) tile_id) t, (select unnest(range((select max(y) + 2 from emb))) y) a, (select unnest(range(16)) x) b) g left join quant using (tile_id, y, x)", "quant")
+@query(
+    "select tile_id, y, x, coalesce(list_sum(q), 0) q_sum, coalesce(len(q), 64) n, coalesce(round(scale, 6), 0) scale from (select tile_id, y, x from "
+    "(select unnest(range(4)) tile_id) t, (select unnest(range((select max(y) + 2 from emb))) y) a, (select unnest(range(16)) x) b) g left "
+    "join quant using (tile_id, y, x)", "quant")
 def densify_grid(spark: SparkSession, sf: str) -> DataFrame:
     rows = vectors(spark, sf)
     tiles = spark.sql("select cast(id as int) tile_id, (select max(y) + 2 from {rows}) height, 16 width from range(4)", rows=rows)
@@ -226,7 +262,10 @@ def int8_byte_reinterpret(spark: SparkSession, sf: str) -> DataFrame:
 # ---- projections and filters
 
 
-@query("select item_id, tile_id, obs_date, cloud_cover from scenes where collection = 'optical1' and obs_date between date '2024-01-05' and date '2024-01-20' and cloud_cover < 60 and xmin <= 50 and xmax >= 20 and ymin <= 45 and ymax >= 20", "scenes")
+@query(
+    "select item_id, tile_id, obs_date, cloud_cover from scenes "
+    "where collection = 'optical1' and obs_date between date '2024-01-05' and date '2024-01-20' and cloud_cover < 60 and xmin <= 50 and xmax >= 20 and "
+    "ymin <= 45 and ymax >= 20", "scenes")
 def scene_search(spark: SparkSession, sf: str) -> DataFrame:
     return scenes.scene_search(scene_table(spark, sf), "optical1", (20.0, 20.0, 50.0, 45.0), "2024-01-05", "2024-01-20", 60.0).select("item_id", "tile_id", "obs_date", "cloud_cover")
 
@@ -313,7 +352,10 @@ def upscale_2x2(spark: SparkSession, sf: str) -> DataFrame:
 _PAIRS = ", ".join(f"('{b}', '{a}')" for b, a in zip(BANDS, BAND_ALIASES, strict=True))
 
 
-@query(f"select l_orderkey, l_linenumber, band, alias from (select l_orderkey, l_linenumber, list_extract([{', '.join(repr(b) for b in BANDS)}], cast(l_orderkey % 10 as int) + 1) band from lineitem) l join (values {_PAIRS}) p(band, alias) using (band)")
+@query(
+    f"select l_orderkey, l_linenumber, band, alias from (select l_orderkey, l_linenumber, list_extract([{', '.join(repr(b) for b in BANDS)}], "
+    f"cast(l_orderkey % 10 as int) + 1) band from lineitem) l join (values {_PAIRS}) p(band, alias) using (band)"
+)
 def band_alias(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", F.get(F.array(*map(F.lit, BANDS)), (F.col("l_orderkey") % 10).cast("int")).alias("b"))
     alias = scalars.band_alias(F.col("b"))
@@ -365,7 +407,9 @@ def radar_scenes(spark: SparkSession, sf: str) -> DataFrame:
     return scenes.with_ordinal(rows).withColumn("assets", assets)
 
 
-@query("select tile_id, obs_date, coalesce(orbit_state, 'unknown') orbit, item_id, pol, pol || '/' || item_id url from scenes, (select unnest(['vv', 'vh']) pol) p where collection = 'optical2' and (pol = 'vv' or item_id % 5 <> 0)", "scenes")
+@query(
+    "select tile_id, obs_date, coalesce(orbit_state, 'unknown') orbit, item_id, pol, pol || '/' || item_id url from scenes, "
+    "(select unnest(['vv', 'vh']) pol) p where collection = 'optical2' and (pol = 'vv' or item_id % 5 <> 0)", "scenes")
 def s1_assets_long(spark: SparkSession, sf: str) -> DataFrame:
     return scenes.radar_assets_long(scenes.radar_groups(radar_scenes(spark, sf)))
 
@@ -373,7 +417,9 @@ def s1_assets_long(spark: SparkSession, sf: str) -> DataFrame:
 # ---- joins
 
 
-@query("select item_id, t.tile_id from scenes s join tiles t on s.xmin <= t.xmax and s.xmax >= t.xmin and s.ymin <= t.ymax and s.ymax >= t.ymin and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-20'", "scenes", "tiles")
+@query(
+    "select item_id, t.tile_id from scenes s join tiles t on s.xmin <= t.xmax and s.xmax >= t.xmin and s.ymin <= t.ymax and s.ymax >= t.ymin and ts >= "
+    "timestamp '2024-01-05' and ts < timestamp '2024-01-20'", "scenes", "tiles")
 def scene_tile_overlap(spark: SparkSession, sf: str) -> DataFrame:
     """By grid cells, the way for many tiles."""
     tiles = view(spark, sf, "tiles").selectExpr("tile_id", "xmin", "ymin", "xmax", "ymax", "timestamp'2024-01-05' start", "timestamp'2024-01-20' end")
@@ -407,13 +453,18 @@ def water_exclusion(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("tile_id", "obs_date", "item_ord", "y", "x", F.get("bands", F.lit(0)).alias("b0"))
 
 
-@query("select tile_id, a.yy block_y, bx block_x, least(3, 8 - a.yy * 3) height, least(3, 8 - bx * 3) width from tiles, (select unnest(range(3)) yy) a, (select unnest(range(3)) bx) b where not exists (select 1 from emb e where e.tile_id = tiles.tile_id and e.y % 3 = a.yy and e.x % 3 = b.bx and e.label = 1)", "tiles", "emb")
+@query(
+    "select tile_id, a.yy block_y, bx block_x, least(3, 8 - a.yy * 3) height, least(3, 8 - bx * 3) width from tiles, (select unnest(range(3)) yy) a, "
+    "(select unnest(range(3)) bx) b where not exists (select 1 from emb e "
+    "where e.tile_id = tiles.tile_id and e.y % 3 = a.yy and e.x % 3 = b.bx and e.label = 1)", "tiles", "emb")
 def resume_pending_blocks(spark: SparkSession, sf: str) -> DataFrame:
     done = vectors(spark, sf).filter("label = 1").select("tile_id", F.expr("y % 3").alias("block_y"), F.expr("x % 3").alias("block_x"))
     return pixels.pending_blocks(pixels.blocks(view(spark, sf, "tiles"), 3), done).select("tile_id", "block_y", "block_x", "height", "width")
 
 
-@query("select p.tile_id, p.y, p.x, s2_n, coalesce(s1_n, 0) s1_n from (select tile_id, y, x, count(*) s2_n from s2 group by all) p left join (select tile_id, y, x, count(*) s1_n from s1 group by all) r using (tile_id, y, x)", "s2", "s1")
+@query(
+    "select p.tile_id, p.y, p.x, s2_n, coalesce(s1_n, 0) s1_n from (select tile_id, y, x, count(*) s2_n from s2 group by all) p left join "
+    "(select tile_id, y, x, count(*) s1_n from s1 group by all) r using (tile_id, y, x)", "s2", "s1")
 def s1_s2_align(spark: SparkSession, sf: str) -> DataFrame:
     s2, s1 = stored(s2_cube(spark, sf), "s2"), stored(s1_cube(spark, sf), "s1")
     both = pixels.pixel_series(pixels.s2_series(s2, pixels.time_index(s2)), pixels.s1_series(s1, radar.timeline(s1, view(spark, sf, "tiles"))))
@@ -421,7 +472,11 @@ def s1_s2_align(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SOURCE, TARGET = (0.0, 0.0, 20.0, 8, 8), (5.0, -3.0, 13.371928317, 12, 12)
-_PLACES = "select y, x, (-3 + (y + 0.5::double) * 13.371928317::double) / 20 - 0.5::double py, (5 + (x + 0.5::double) * 13.371928317::double) / 20 - 0.5::double px from (select unnest(range(12)) y) a, (select unnest(range(12)) x) b where (-3 + (y + 0.5::double) * 13.371928317::double) / 20 between 0 and 8 and (5 + (x + 0.5::double) * 13.371928317::double) / 20 between 0 and 8"
+_PLACES = (
+    "select y, x, (-3 + (y + 0.5::double) * 13.371928317::double) / 20 - 0.5::double py, (5 + (x + 0.5::double) * 13.371928317::double) / 20 - 0.5::double "
+    "px from (select unnest(range(12)) y) a, (select unnest(range(12)) x) b "
+    "where (-3 + (y + 0.5::double) * 13.371928317::double) / 20 between 0 and 8 and (5 + (x + 0.5::double) * 13.371928317::double) / 20 between 0 and 8"
+)
 _FIRST = "select tile_id, obs_date, y sy, x sx, b1::double v from band_obs where item_ord = 0"
 
 
@@ -443,7 +498,9 @@ def resample_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET)
 
 
-@query("select tile_id, obs_date, y * 2 + dy y, x * 2 + dx x, b1::double v from band_obs, (select unnest([0, 1]) dy) a, (select unnest([0, 1]) dx) b where item_ord = 0 and y between 1 and 5 and x between 2 and 6", "band_obs")
+@query(
+    "select tile_id, obs_date, y * 2 + dy y, x * 2 + dx x, b1::double v from band_obs, (select unnest([0, 1]) dy) a, (select unnest([0, 1]) dx) b "
+    "where item_ord = 0 and y between 1 and 5 and x between 2 and 6", "band_obs")
 def resample_half(spark: SparkSession, sf: str) -> DataFrame:
     """A window of a 20 m band that begins at an even 10 m row and column, read at twice its size: the nearest value."""
     window = first_bands(spark, sf).filter("y between 1 and 5 and x between 2 and 6").withColumns({"y": F.col("y") - 1, "x": F.col("x") - 2})
@@ -511,7 +568,10 @@ def s1_groups(spark: SparkSession, sf: str) -> DataFrame:
     return groups.select("tile_id", "obs_date", "orbit", F.size("scenes").cast("long").alias("n"), F.array_join(F.transform("scenes", lambda s: s["item_id"].cast("string")), ",").alias("items"))
 
 
-_SPARSE = "select tile_id, orbit, obs_date, y, x, case when month(obs_date) % 3 = 0 then 0 else vv end vv, case when month(obs_date) % 2 = 0 or month(obs_date) % 3 = 0 and year(obs_date) % 2 = 0 then 0 else vh end vh from s1_mean"
+_SPARSE = (
+    "select tile_id, orbit, obs_date, y, x, case when month(obs_date) % 3 = 0 then 0 else vv end vv, case "
+    "when month(obs_date) % 2 = 0 or month(obs_date) % 3 = 0 and year(obs_date) % 2 = 0 then 0 else vh end vh from s1_mean"
+)
 
 
 @query(f"select s.* from ({_SPARSE}) s join (select tile_id, obs_date, orbit from ({_SPARSE}) t group by all having max(greatest(vv, vh)) > 0) k using (tile_id, obs_date, orbit)", "s1_mean")
@@ -603,8 +663,17 @@ def valid_rank(spark: SparkSession, sf: str) -> DataFrame:
 def strata_sql(slots: int, offset: int) -> str:
     few = f"case when i < ({slots} // n + 1) * ({slots} % n) then i // ({slots} // n + 1) else {slots} % n + (i - ({slots} // n + 1) * ({slots} % n)) // greatest({slots} // n, 1) end"
     many = f"least(n * i // {slots} + {offset} % greatest(n * (i + 1) // {slots} - n * i // {slots}, 1), n - 1)"
-    picked = f"select tile_id, y, x, i slot, any_ + 1 - 1 k from (select tile_id, y, x, i, case when n <= {slots} then {few} else {many} end any_ from (select tile_id, y, x, case when v = 0 then total else v end n from (select p.tile_id, y, x, v, total from (select tile_id, y, x, count(*) filter (mask = 1) v from s2 group by all) p join (select tile_id, count(*) total from times group by 1) q on p.tile_id = q.tile_id) c) c2, (select unnest(range({slots})) i) s) k"
-    ranked = "select tile_id, y, x, obs_date, row_number() over (partition by tile_id, y, x order by obs_date) - 1 k from s2 where mask = 1 union all select p.tile_id, p.y, p.x, t.obs_date, t.t from (select tile_id, y, x from s2 group by all having count(*) filter (mask = 1) = 0) p join times t on p.tile_id = t.tile_id"
+    picked = (
+        f"select tile_id, y, x, i slot, any_ + 1 - 1 k from (select tile_id, y, x, i, case when n <= {slots} then {few} else {many} end any_ from "
+        "(select tile_id, y, x, case when v = 0 then total else v end n from (select p.tile_id, y, x, v, total from "
+        "(select tile_id, y, x, count(*) filter (mask = 1) v from s2 group by all) p join (select tile_id, count(*) total from times "
+        f"group by 1) q on p.tile_id = q.tile_id) c) c2, (select unnest(range({slots})) i) s) k"
+    )
+    ranked = (
+        "select tile_id, y, x, obs_date, row_number() over (partition by tile_id, y, x order by obs_date) - 1 k from s2 where mask = 1 "
+        "union all select p.tile_id, p.y, p.x, t.obs_date, t.t from (select tile_id, y, x from s2 group by all having count(*) filter (mask = 1) = 0) p "
+        "join times t on p.tile_id = t.tile_id"
+    )
     return f"select tile_id, y, x, slot, obs_date from ({picked}) p join ({ranked}) r using (tile_id, y, x, k)"
 
 
@@ -627,7 +696,10 @@ def first_scene_per_tile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date nulls first, orbit) - 1 t from (select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1 where tile_id <> 2 or orbit_dir = 'ascending' union all select 2, 'descending', null, null, 180) d",
+
+        "select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date nulls first, orbit) - 1 t from "
+        "(select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1 where tile_id <> 2 or orbit_dir = 'ascending' "
+        "union all select 2, 'descending', null, null, 180) d",
     "s1",
 )
 def s1_concat(spark: SparkSession, sf: str) -> DataFrame:
@@ -639,7 +711,11 @@ def s1_concat(spark: SparkSession, sf: str) -> DataFrame:
 # ---- tiling and scoring
 
 
-@query('select n, top * n + "left" patch, top, "left" from (select n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" from (select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral (select unnest(range(0, n, 44)) s) b) p group by all')
+@query(
+    'select n, top * n + "left" patch, top, "left" from (select n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" from '
+    '(select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral '
+    '(select unnest(range(0, n, 44)) s) b) p group by all'
+)
 def patch_grid(spark: SparkSession, sf: str) -> DataFrame:
     return patch_grids(spark, sf)
 
@@ -650,7 +726,11 @@ def patch_grids(spark: SparkSession, sf: str) -> DataFrame:
     return cloudmask.patch_grid(sizes.select("n", F.col("n").alias("height"), F.col("n").alias("width")), 64, 20).select("n", "patch", "top", "left")
 
 
-@query('select n, count(*) patches, max(top) last_top from (select distinct n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" from (select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral (select unnest(range(0, n, 44)) s) b) p group by n')
+@query(
+    'select n, count(*) patches, max(top) last_top from (select distinct n, greatest(least(a.s, n - 64), 0) top, greatest(least(b.s, n - 64), 0) "left" '
+    'from (select distinct cast(100 + l_suppkey % 5 * 30 as int) n from lineitem) k, lateral (select unnest(range(0, n, 44)) s) a, lateral '
+    '(select unnest(range(0, n, 44)) s) b) p group by n'
+)
 def patch_distinct(spark: SparkSession, sf: str) -> DataFrame:
     return patch_grids(spark, sf).groupBy("n").agg(F.count("*").alias("patches"), F.max("top").alias("last_top"))
 
@@ -671,7 +751,10 @@ def cloud_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored_patches(spark, sf).withColumn("score", F.round("score", 6))
 
 
-@query("select s.tile_id, s.obs_date, s.y, s.x, mask, case when mask = 1 and coalesce(cls, 0) = 0 and (b0 <> 0 or b2 <> 0 or b4 <> 0) then 1 else 0 end mask_opt from s2 s left join classes using (tile_id, obs_date, y, x)", "s2", "classes")
+@query(
+    "select s.tile_id, s.obs_date, s.y, s.x, mask, case "
+    "when mask = 1 and coalesce(cls, 0) = 0 and (b0 <> 0 or b2 <> 0 or b4 <> 0) then 1 else 0 end mask_opt from s2 s left "
+    "join classes using (tile_id, obs_date, y, x)", "s2", "classes")
 def mask_optimised(spark: SparkSession, sf: str) -> DataFrame:
     found = workloads.refined_mask(s2_cube(spark, sf), 8, 8, MODELS, PATCH, OVERLAP)
     return found.select("tile_id", "obs_date", "y", "x", F.col("mask").cast("int").alias("mask"), F.col("mask_opt").cast("int").alias("mask_opt"))
@@ -690,7 +773,12 @@ def samples(spark: SparkSession, sf: str, passes: int) -> DataFrame:
 
 def slots_sql(offset: int) -> str:
     """Rows (tile_id, y, x, slot, f0..f13) of both matrices of one pass: the bands and day of the optical slot, then those of the radar slot."""
-    optic = f"select p.tile_id, p.y, p.x, p.slot, {', '.join(f'(coalesce({b}, 0) - {m}::double) / ({s}::double + 1e-9::double) f{i}' for i, (b, m, s) in enumerate(zip(B, S2_MEAN, S2_STD, strict=True)))}, t.doy f10 from ({strata_sql(SLOTS, offset)}) p join times t on p.tile_id = t.tile_id and p.obs_date = t.obs_date left join s2 s on s.tile_id = p.tile_id and s.obs_date = p.obs_date and s.y = p.y and s.x = p.x"
+    optic = (
+        "select p.tile_id, p.y, p.x, p.slot, "
+        f"{', '.join(f'(coalesce({b}, 0) - {m}::double) / ({s}::double + 1e-9::double) f{i}' for i, (b, m, s) in enumerate(zip(B, S2_MEAN, S2_STD, strict=True)))}, "
+        f"t.doy f10 from ({strata_sql(SLOTS, offset)}) p join times t on p.tile_id = t.tile_id and p.obs_date = t.obs_date left "
+        "join s2 s on s.tile_id = p.tile_id and s.obs_date = p.obs_date and s.y = p.y and s.x = p.x"
+    )
     many = f"least(n * i // {SLOTS} + {offset} % greatest(n * (i + 1) // {SLOTS} - n * i // {SLOTS}, 1), n - 1)"
     radar_ = (
         f"select r.tile_id, r.y, r.x, i slot, (vv - {S1_MEAN[0]}::double) / ({S1_STD[0]}::double + 1e-9::double) f11, (vh - {S1_MEAN[1]}::double) / ({S1_STD[1]}::double + 1e-9::double) f12, doy f13 from (select s.tile_id, s.y, s.x, s.vv, s.vh, s.doy, row_number() over (partition by s.tile_id, s.y, s.x order by t) - 1 k from s1 s join line l on s.tile_id = l.tile_id and s.orbit = l.orbit and s.obs_date = l.obs_date where vv <> 0 or vh <> 0) r"
@@ -716,7 +804,10 @@ _LINEAR = [" + ".join(f"{((7 * f + 3 * d) % 11 - 5) / 10}::double * f{f}" for f
 
 
 @query(
-    f"select tile_id, y, x, {', '.join(f'round(avg(d{d}), 5) d{d}' for d in range(_DIMENSIONS))} from (select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from (select * from ({slots_sql(0)}) a union all select * from ({slots_sql(1)}) b) s) m group by all",
+
+        f"select tile_id, y, x, {', '.join(f'round(avg(d{d}), 5) d{d}' for d in range(_DIMENSIONS))} from "
+        f"(select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from (select * from ({slots_sql(0)}) a union all select * "
+        f"from ({slots_sql(1)}) b) s) m group by all",
     "s2", "times", "s1", "line",
 )
 def embed_pixels(spark: SparkSession, sf: str) -> DataFrame:
@@ -726,7 +817,10 @@ def embed_pixels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    f"select tile_id, y, x, y // 3 block_y, x // 3 block_x, round(cast(greatest(greatest({', '.join(f'abs(d{d})' for d in range(_DIMENSIONS))}) / 127, 1e-8) as float)::double, 5) scale from (select tile_id, y, x, {', '.join(f'avg(d{d}) d{d}' for d in range(_DIMENSIONS))} from (select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from ({slots_sql(0)}) s) m group by all) a",
+
+        f"select tile_id, y, x, y // 3 block_y, x // 3 block_x, round(cast(greatest(greatest({', '.join(f'abs(d{d})' for d in range(_DIMENSIONS))}) / 127, "
+        f"1e-8) as float)::double, 5) scale from (select tile_id, y, x, {', '.join(f'avg(d{d}) d{d}' for d in range(_DIMENSIONS))} from "
+        f"(select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from ({slots_sql(0)}) s) m group by all) a",
     "s2", "times", "s1", "line",
 )
 def embed_tiles(spark: SparkSession, sf: str) -> DataFrame:
