@@ -20,7 +20,7 @@ TASK_TOKENS = 1_000_000
 #: Most ids, or rows of a few numbers, that are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 250_000
 #: Partners that meet one copy of a leading text.
-PARTNERS = 1_000
+PARTNERS = 250
 #: Holders of a prefix token that are gathered in one list; tokens with more go by joins that can be split.
 HOLDERS = 16
 #: Holders of one hot token in a block; blocks meet one by one.
