@@ -91,3 +91,34 @@ def numbered(df: DataFrame, key: Column, order: list[str], name: str, rows: int)
     within = F.row_number().over(W.partitionBy(f"{m}key", f"{m}bucket").orderBy(*order)) - 1
     found = df.withColumn(f"{m}within", within).join(shifts, [f"{m}key", f"{m}bucket"]).withColumn(name, F.col(f"{m}shift") + F.col(f"{m}within"))
     return found.drop(*(m + c for c in ("key", "bucket", "within", "shift")))
+
+
+def map_streams(df: DataFrame, run: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """Work on a whole partition as a stream: run() gets the rows of a task one by one, in order, and yields output rows; both sides are cut into Arrow batches by rows and bytes."""
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    by_bytes(df.sparkSession)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                yield from zip(*(c.slice(at, 256).to_pylist() for c in batch.columns), strict=True)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        size = 0
+
+        def sent() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), arrow.types, strict=True)], schema=arrow)
+
+        for out in run(each(batches)):
+            rows.append(out)
+            size += sum(len(x) for x in out if isinstance(x, (str, bytes, list)))
+            if len(rows) >= 4 * BATCH_ROWS or size >= BATCH_BYTES:
+                yield sent()
+                rows, size = [], 0
+        if rows:
+            yield sent()
+        rows = []
+        release()
+
+    return df.mapInArrow(task, schema)
