@@ -33,7 +33,7 @@ def terms(text: str | None) -> list[bytes]:
 
 def passing(bits: np.ndarray, lang: int, items: list[bytes]) -> list[bool]:
     """Which items of a language (its checksum) the filter lets through."""
-    at = np.fromiter((zlib.crc32(x, lang) for x in items), np.int64, len(items)) % FILTER_BITS
+    at = np.fromiter((zlib.crc32(x, lang) for x in items), np.int64, len(items)) % (8 * len(bits))
     return (bits[at >> 3] >> (at & 7) & 1).astype(bool).tolist()
 
 
