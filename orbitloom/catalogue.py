@@ -11,7 +11,9 @@ from orbitloom.functions import scalars
 from orbitloom.functions.constants import BAND_ALIASES, BANDS, S1_MEAN, S1_STD, S2_MEAN, S2_STD
 from orbitloom.operators import cloudmask, embed, optical, pixels, radar, resample, scenes
 from orbitloom.plans import workloads
+from orbitloom.plans.tiles import Choices, embed_observations
 from orbitloom.sources import arrays, catalogues
+from orbitloom.sources.observations import Observations, read_observations, write_observations
 from orbitloom.sources.storage import new_path, stored
 from orbitloom.sources.views import view, view_sql
 
@@ -55,12 +57,19 @@ TABLES |= {
     "line": (
         "select tile_id, orbit_dir, orbit, obs_date, doy, row_number() over (partition by tile_id order by orbit_dir, obs_date, orbit) - 1 t from "
         "(select distinct tile_id, orbit_dir, orbit, obs_date, doy from s1) d", ("s1",)),
+    # valid radar observations of a pixel in order, or all of its tile's times as zeros where it has none
+    "radar_rank": (
+        "with seen as (select s.tile_id, s.y, s.x, s.vv, s.vh, s.doy, row_number() over (partition by s.tile_id, s.y, s.x order by t) - 1 k from s1 s join line l on s.tile_id = l.tile_id and s.orbit = l.orbit and s.obs_date = l.obs_date "
+        "where vv <> 0 or vh <> 0) select * from seen union all select p.tile_id, p.y, p.x, 0, 0, l.doy, l.t from (select distinct tile_id, y, x from s2) p anti join seen using (tile_id, y, x) join line l on l.tile_id = p.tile_id", ("s1", "line", "s2")),
+    "radar_number": ("select tile_id, y, x, count(*) n from radar_rank group by all", ("radar_rank",)),
     "water": (
         f"select tile_id, y20, x20, count(*) filter (scl = 6) water, count(*) filter (scl not in {INVALID}) valid, coalesce(count(*) filter (scl = 6) / "
         f"nullif(count(*) filter (scl not in {INVALID}), 0) > 0.8, false) is_water from scl_obs group by all", ("scl_obs",)),
     "counts": ("select p.*, coalesce(s1_asc, 0) s1_asc, coalesce(s1_desc, 0) s1_desc from (select tile_id, y, x, count(*) filter (mask = 1) s2_valid, bool_or(" + " or ".join(f"{b} <> 0" for b in B) +
         ") s2_any from s2 group by all) p left join (select tile_id, y, x, count(*) filter (orbit_dir = 'ascending' and (vv <> 0 or vh <> 0)) s1_asc, count(*) "
         "filter (orbit_dir = 'descending' and (vv <> 0 or vh <> 0)) s1_desc from s1 group by all) r using (tile_id, y, x)", ("s2", "s1")),
+    "dry": (
+        "select c.tile_id, c.y, c.x from counts c join water w on w.tile_id = c.tile_id and w.y20 = c.y and w.x20 = c.x where s2_any and s2_valid >= 60 and s1_asc + s1_desc >= 20 and not is_water", ("counts", "water")),
     "emb": ("select vec_id, cast(vec_id % 4 as int) tile_id, cast(floor(vec_id / 64) as int) y, cast(floor(vec_id / 4) % 16 as int) x, list_transform(embedding, lambda v: v::double) emb, label from embeddings", ()),
     "quant": (
         "select vec_id, tile_id, y, x, label, scale, list_transform(emb, lambda v: greatest(least(round_even(v / scale, 0), 127), -128)::int) q from "
@@ -85,26 +94,38 @@ TABLES |= {
 }
 
 
-def with_tables(sql: str, names: tuple[str, ...]) -> str:
-    """DuckDB SQL that sees the derived tables named and all that they build on."""
-    order: list[str] = []
+def in_region(name: str, y: str = "y", x: str = "x") -> tuple[str, tuple[str, ...]]:
+    return f"select v.* from ({TABLES[name][0]}) v semi join (select * from roi where in_roi > 0) r on v.tile_id = r.tile_id and v.{y} = r.y and v.{x} = r.x", ("roi",)
+
+
+#: The same tables for work on a region: observations outside are left out, and coverage counts its pixels.
+REGION = {"scl_obs": in_region("scl_obs", "y20", "x20"), "band_obs": in_region("band_obs"), "sar_obs": in_region("sar_obs")} | {
+    "cov": (
+        "select tile_id, obs_date, count(*) selected, 100.0 * count(*) / total coverage, 100.0 * count(*) / total >= 70 kept from sel join (select tile_id, count(*) total from roi where in_roi > 0 group by all) r using (tile_id) "
+        "group by tile_id, obs_date, total", ("sel", "roi")),
+}
+
+
+def with_tables(sql: str, names: tuple[str, ...], swap: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> str:
+    """DuckDB SQL that sees the derived tables named and all that they build on; swap has other definitions of some."""
+    order, tables = [], TABLES | (swap or {})
 
     def need(name: str) -> None:
-        for x in TABLES[name][1]:
+        for x in tables[name][1]:
             need(x)
         if name not in order:
             order.append(name)
 
     for n in names:
         need(n)
-    return f"with {', '.join(f'{n} as ({TABLES[n][0]})' for n in order)} {sql}" if order else sql
+    return f"with {', '.join(f'{n} as ({tables[n][0]})' for n in order)} {sql}" if order else sql
 
 
-def query(sql: str | None = None, *tables: str) -> Callable[[Query], Query]:
+def query(sql: str | None = None, *tables: str, swap: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLES[f.__name__] = with_tables(sql, tables)
+            ORACLES[f.__name__] = with_tables(sql, tables, swap)
         return f
 
     return register
@@ -180,11 +201,40 @@ def read_granule_feed(spark: SparkSession, sf: str) -> DataFrame:
     return feed(spark, sf)
 
 
-def feed(spark: SparkSession, sf: str) -> DataFrame:
+def feed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_no, page): feed pages of a hundred entries each."""
     events = spark.read.parquet(f"{sf}/events.parquet")
     entry = F.struct("event_id", F.when(F.col("event_id") % 17 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("time_start"), F.when(F.col("value") < 20, "").otherwise(F.concat(F.lit("G"), "event_id")).alias("title"))
     pages = events.groupBy(F.floor(F.col("event_id") / 100).alias("page_no")).agg(F.array_sort(F.collect_list(entry)).alias("entry"))
-    return scenes.parse_granules(pages.select("page_no", F.to_json(F.struct(F.struct("entry").alias("feed"))).alias("page")))
+    return pages.select("page_no", F.to_json(F.struct(F.struct("entry").alias("feed"))).alias("page"))
+
+
+def feed_folder(spark: SparkSession, sf: str) -> str:
+    """The pages as files, one each, named by number; a page's place in the feed is in its name alone."""
+    path = new_path(spark, "feed")
+    feed_pages(spark, sf).select(F.concat(F.lit("page-"), "page_no").alias("part"), "page").write.partitionBy("part").text(path)
+    return path
+
+
+def feed(spark: SparkSession, sf: str) -> DataFrame:
+    return catalogues.read_granule_feed(spark, feed_folder(spark, sf))
+
+
+_GRANULE_PIXELS = (
+    "select concat('G', {k}, '_VV') item_id, case {k} % 3 when 0 then 'ascending' when 1 then 'descending' else 'unknown' end orbit, cast(l_suppkey % 4 as int) tile_id, cast(floor((l_partkey % 64) / 8) as int) y, "
+    "cast(l_partkey % 8 as int) x, max(l_extendedprice / 250000.0{d} - 0.05{d}) vv, max(l_discount * l_quantity / 20.0{d}) vh from {t} group by 1, 2, 3, 4, 5"
+)
+
+
+@query(
+    f"select tile_id, case orbit when 'ascending' then 'ascending' else 'descending' end orbit_dir, orbit, obs_date, dayofyear(obs_date) doy, y, x, vv, vh from (select *, max(greatest(vv, vh)) over (partition by tile_id, obs_date, orbit) most from "
+    f"(select tile_id, orbit, obs_date, y, x, coalesce(arg_max(vv, item_ord) filter (vv > 0), 0) vv, coalesce(arg_max(vh, item_ord) filter (vh > 0), 0) vh from (select tile_id, orbit, obs_date, item_ord, y, x, {db('vv')} vv, {db('vh')} vh from "
+    f"({_GRANULE_PIXELS.format(k='(l_orderkey % 1000)', d='::double', t='lineitem')}) p join (select title || '_VV' item_id, obs_date, row_number() over (partition by obs_date order by ord desc) - 1 item_ord from "
+    f"(select page * 1000000 + pos ord, title, obs_date from ({FEED}) f where time_start <> '' and title <> '') g) g using (item_id)) d group by all) m) n where most > 0")
+def granule_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """The second radar source as one job, from feed pages in files to the cube."""
+    rows = spark.sql(_GRANULE_PIXELS.format(k="(l_orderkey % 1000)", d="D", t="{lineitem}"), lineitem=spark.read.parquet(f"{sf}/lineitem.parquet"))
+    return workloads.granule_composite(spark, feed_folder(spark, sf), BASE_URL, rows)
 
 
 def cubes_by_tile(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -495,7 +545,7 @@ _CUBIC = "(case when abs(@) <= 1 then 1.5 * abs(@) ** 3 - 2.5 * abs(@) ** 2 + 1
 
 @query(f"select tile_id, obs_date, y, x, v from ({_PLACES}) p join ({_FIRST}) f on sy = floor(py + 0.5) and sx = floor(px + 0.5)", "band_obs")
 def resample_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET)
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", resample.grids(view(spark, sf, "tiles").select("tile_id"), SOURCE, TARGET))
 
 
 @query(
@@ -504,18 +554,40 @@ def resample_nearest(spark: SparkSession, sf: str) -> DataFrame:
 def resample_half(spark: SparkSession, sf: str) -> DataFrame:
     """A window of a 20 m band that begins at an even 10 m row and column, read at twice its size: the nearest value."""
     window = first_bands(spark, sf).filter("y between 1 and 5 and x between 2 and 6").withColumns({"y": F.col("y") - 1, "x": F.col("x") - 2})
-    found = resample.resample(window, ["tile_id", "obs_date"], "v", (0.0, 0.0, 20.0, 5, 5), (0.0, 0.0, 10.0, 10, 10))
+    found = resample.resample(window, ["tile_id", "obs_date"], "v", resample.grids(view(spark, sf, "tiles").select("tile_id"), (0.0, 0.0, 20.0, 5, 5), (0.0, 0.0, 10.0, 10, 10)))
     return found.withColumns({"y": F.col("y") + 2, "x": F.col("x") + 4})
 
 
 @query(kernel_sql("greatest(1 - abs(@), 0)", 0, 1), "band_obs")
 def resample_bilinear(spark: SparkSession, sf: str) -> DataFrame:
-    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "bilinear").withColumn("v", F.round("v", 5))
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", resample.grids(view(spark, sf, "tiles").select("tile_id"), SOURCE, TARGET), "bilinear").withColumn("v", F.round("v", 5))
 
 
 @query(kernel_sql(_CUBIC, -1, 2), "band_obs")
 def resample_cubic(spark: SparkSession, sf: str) -> DataFrame:
-    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", SOURCE, TARGET, "cubic").withColumn("v", F.round("v", 5))
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", resample.grids(view(spark, sf, "tiles").select("tile_id"), SOURCE, TARGET), "cubic").withColumn("v", F.round("v", 5))
+
+
+def tile_kernel_sql(one: str, low: int, high: int, digits: int = 5) -> str:
+    """Every target pixel of every tile with each source pixel of its window, both weights multiplied."""
+    k = f"(select unnest(range({low}, {high + 1})) k)"
+    places = (
+        "select tile_id, y, x, (0.4 * tile_id + (y + 0.5) * (0.6 + 0.1 * tile_id)) / 1.0 - 0.5 py, (1.1 - 0.3 * tile_id + (x + 0.5) * (0.6 + 0.1 * tile_id)) / 1.0 - 0.5 px "
+        "from tiles, (select unnest(range(9)) y) a, (select unnest(range(7)) x) b where y < 9 - tile_id"
+    )
+    w = (
+        f"select tile_id, y, x, (floor(py) + a.k)::int sy, (floor(px) + b.k)::int sx, {one.replace('@', '(py - floor(py) - a.k)')} * {one.replace('@', '(px - floor(px) - b.k)')} w from ({places}) p, {k} a, {k} b "
+        "where py between -0.5 and 7.5 and px between -0.5 and 7.5"
+    )
+    return f"select tile_id, obs_date, y, x, round(sum(w * v) / sum(w), {digits}) v from ({w}) w join ({_FIRST}) f using (tile_id, sy, sx) where w <> 0 group by all having sum(w) >= 0.2"
+
+
+@query(tile_kernel_sql(_CUBIC, -1, 2), "band_obs", "tiles")
+def resample_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Each tile has a target grid of its own: origin, pixel size and height differ."""
+    to = {"to_x0": "1.1D - 0.3D * tile_id", "to_y0": "0.4D * tile_id", "to_step": "0.6D + 0.1D * tile_id", "to_height": "9 - tile_id", "to_width": "7"}
+    tiles = view(spark, sf, "tiles").selectExpr("tile_id", "0.0D x0", "0.0D y0", "1.0D step", "8 height", "8 width", *(f"{v} {k}" for k, v in to.items()))
+    return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", tiles, "cubic").withColumn("v", F.round("v", 5))
 
 
 _RUN_B = "select vec_id, list_transform(q, lambda v, i: case when (vec_id + i) % 9 = 0 then greatest(v - 1, -128) else v end) q, scale from quant"
@@ -597,7 +669,9 @@ def channel_norm(spark: SparkSession, sf: str) -> DataFrame:
     return cloudmask.channel_norm(cloudmask.channels(stored(s2_cube(spark, sf), "s2"))).select("tile_id", "obs_date", "y", "x", "c", F.round("norm", 6).alias("norm"))
 
 
-MODELS = (cloudmask.linear_model(1.0), cloudmask.linear_model(2.0))
+def cloud_models() -> tuple[cloudmask.Model, cloudmask.Model]:
+    return cloudmask.linear_model(1.0), cloudmask.linear_model(2.0)
+
 
 
 def image_patches(spark: SparkSession, sf: str) -> DataFrame:
@@ -605,7 +679,7 @@ def image_patches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored_patches(spark: SparkSession, sf: str) -> DataFrame:
-    return cloudmask.cloud_scores(image_patches(spark, sf), PATCH, MODELS)
+    return cloudmask.cloud_scores(image_patches(spark, sf), PATCH, cloud_models)
 
 
 @query("select tile_id, obs_date, y, x, cls, round(score, 6) score from blend", "blend")
@@ -756,7 +830,7 @@ def cloud_scores(spark: SparkSession, sf: str) -> DataFrame:
     "when mask = 1 and coalesce(cls, 0) = 0 and (b0 <> 0 or b2 <> 0 or b4 <> 0) then 1 else 0 end mask_opt from s2 s left "
     "join classes using (tile_id, obs_date, y, x)", "s2", "classes")
 def mask_optimised(spark: SparkSession, sf: str) -> DataFrame:
-    found = workloads.refined_mask(s2_cube(spark, sf), 8, 8, MODELS, PATCH, OVERLAP)
+    found = workloads.refined_mask(s2_cube(spark, sf), 8, 8, cloud_models, PATCH, OVERLAP)
     return found.select("tile_id", "obs_date", "y", "x", F.col("mask").cast("int").alias("mask"), F.col("mask_opt").cast("int").alias("mask_opt"))
 
 
@@ -779,10 +853,11 @@ def slots_sql(offset: int) -> str:
         f"t.doy f10 from ({strata_sql(SLOTS, offset)}) p join times t on p.tile_id = t.tile_id and p.obs_date = t.obs_date left "
         "join s2 s on s.tile_id = p.tile_id and s.obs_date = p.obs_date and s.y = p.y and s.x = p.x"
     )
+    few = f"case when i < ({SLOTS} // n + 1) * ({SLOTS} % n) then i // ({SLOTS} // n + 1) else {SLOTS} % n + (i - ({SLOTS} // n + 1) * ({SLOTS} % n)) // greatest({SLOTS} // n, 1) end"
     many = f"least(n * i // {SLOTS} + {offset} % greatest(n * (i + 1) // {SLOTS} - n * i // {SLOTS}, 1), n - 1)"
     radar_ = (
-        f"select r.tile_id, r.y, r.x, i slot, (vv - {S1_MEAN[0]}::double) / ({S1_STD[0]}::double + 1e-9::double) f11, (vh - {S1_MEAN[1]}::double) / ({S1_STD[1]}::double + 1e-9::double) f12, doy f13 from (select s.tile_id, s.y, s.x, s.vv, s.vh, s.doy, row_number() over (partition by s.tile_id, s.y, s.x order by t) - 1 k from s1 s join line l on s.tile_id = l.tile_id and s.orbit = l.orbit and s.obs_date = l.obs_date where vv <> 0 or vh <> 0) r"
-        f" join (select tile_id, y, x, i, {many} k from (select tile_id, y, x, count(*) n from s1 where vv <> 0 or vh <> 0 group by all) c, (select unnest(range({SLOTS})) i) s) q on r.tile_id = q.tile_id and r.y = q.y and r.x = q.x and r.k = q.k"
+        f"select q.tile_id, q.y, q.x, i slot, (vv - {S1_MEAN[0]}::double) / ({S1_STD[0]}::double + 1e-9::double) f11, (vh - {S1_MEAN[1]}::double) / ({S1_STD[1]}::double + 1e-9::double) f12, doy f13 from "
+        f"(select tile_id, y, x, i, case when n <= {SLOTS} then {few} else {many} end k from radar_number, (select unnest(range({SLOTS})) i) s) q join radar_rank r on r.tile_id = q.tile_id and r.y = q.y and r.x = q.x and r.k = q.k"
     )
     return f"select o.*, f11, f12, f13 from ({optic}) o join ({radar_}) r using (tile_id, y, x, slot)"
 
@@ -790,9 +865,8 @@ def slots_sql(offset: int) -> str:
 _F = [f"f{i}" for i in range(14)]
 
 
-@query(f"select tile_id, y, x, slot, {', '.join(f'round({f}, 6) {f}' for f in _F)} from ({slots_sql(0)}) s", "s2", "times", "s1", "line")
+@query(f"select tile_id, y, x, slot, {', '.join(f'round({f}, 6) {f}' for f in _F)} from ({slots_sql(0)}) s", "s2", "times", "radar_number")
 def sample_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """The oracle covers the test tables, where every pixel has more valid radar times than slots."""
     rows = samples(spark, sf, 1).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
     s2 = [F.round(F.get(F.get("s2_passes", F.lit(0)), F.col("slot") * 11 + i), 6).alias(f"f{i}") for i in range(11)]
     s1 = [F.round(F.get(F.get("s1_passes", F.lit(0)), F.col("slot") * 3 + i), 6).alias(f"f{11 + i}") for i in range(3)]
@@ -808,25 +882,52 @@ _LINEAR = [" + ".join(f"{((7 * f + 3 * d) % 11 - 5) / 10}::double * f{f}" for f
         f"select tile_id, y, x, {', '.join(f'round(avg(d{d}), 5) d{d}' for d in range(_DIMENSIONS))} from "
         f"(select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from (select * from ({slots_sql(0)}) a union all select * "
         f"from ({slots_sql(1)}) b) s) m group by all",
-    "s2", "times", "s1", "line",
+    "s2", "times", "radar_number",
 )
 def embed_pixels(spark: SparkSession, sf: str) -> DataFrame:
     """Two passes scored by the linear stand-in, which isn't an encoder but lets SQL check the job."""
-    rows = embed.embed_pixels(samples(spark, sf, 2), lambda: embed.linear_model(_DIMENSIONS), SLOTS)
+    rows = workloads.pixel_vectors(s2_cube(spark, sf), s1_cube(spark, sf), view(spark, sf, "tiles"), lambda: embed.linear_model(_DIMENSIONS), SLOTS, 2)
     return rows.select("tile_id", "y", "x", *(F.round(F.get("emb", F.lit(d)), 5).alias(f"d{d}") for d in range(_DIMENSIONS)))
 
 
-@query(
+def vectors_sql(pixels_: str = "") -> str:
+    """Stored bytes and scale of one pass, for the pixels that a condition on the rows of slots leaves."""
+    averages = ", ".join(f"avg(d{d}) d{d}" for d in range(_DIMENSIONS))
+    scale = f"greatest(greatest({', '.join(f'abs(d{d})' for d in range(_DIMENSIONS))}) / 127, 1e-8::double)"
+    bytes_ = ", ".join(f"greatest(least(round_even(d{d} / scale, 0), 127), -128)::int q{d}" for d in range(_DIMENSIONS))
+    return (
+        f"select tile_id, y, x, y // 3 block_y, x // 3 block_x, {bytes_}, round(cast(scale as float)::double, 5) scale from (select *, {scale} scale from (select tile_id, y, x, {averages} from "
+        f"(select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from ({slots_sql(0)}) s {pixels_}) m group by all) a) b"
+    )
 
-        f"select tile_id, y, x, y // 3 block_y, x // 3 block_x, round(cast(greatest(greatest({', '.join(f'abs(d{d})' for d in range(_DIMENSIONS))}) / 127, "
-        f"1e-8) as float)::double, 5) scale from (select tile_id, y, x, {', '.join(f'avg(d{d}) d{d}' for d in range(_DIMENSIONS))} from "
-        f"(select tile_id, y, x, {', '.join(f'{e} d{d}' for d, e in enumerate(_LINEAR))} from ({slots_sql(0)}) s) m group by all) a",
-    "s2", "times", "s1", "line",
-)
+
+def stored_vectors(spark: SparkSession, path: str) -> DataFrame:
+    found = spark.read.schema("y int, x int, q array<tinyint>, scale float, tile_id int, block_y int, block_x int").parquet(path)
+    q = (F.get("q", F.lit(d)).cast("int").alias(f"q{d}") for d in range(_DIMENSIONS))
+    return found.select("tile_id", "y", "x", "block_y", "block_x", *q, F.round(F.col("scale").cast("double"), 5).alias("scale"))
+
+
+def observation_store(spark: SparkSession, sf: str, block: int = 3) -> Observations:
+    """The views as a store in blocks."""
+    path = new_path(spark, "observations")
+    write_observations(Observations.of(observations(spark, sf), view(spark, sf, "sar_obs"), block), path)
+    return read_observations(spark, path, block)
+
+
+@query(vectors_sql(), "s2", "times", "radar_number")
 def embed_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    """From observations to stored vectors in two runs over one manifest: the first does two tiles, the second what is left."""
+    """From a store of observations to stored vectors in two runs over one manifest, in batches of ten blocks: the first run does two tiles, the second what is left."""
     path, manifest, tiles = new_path(spark, "vectors"), new_path(spark, "manifest"), view(spark, sf, "tiles").select("tile_id", "height", "width")
+    obs = observation_store(spark, sf)
     for own in (tiles.filter("tile_id < 2"), tiles):
-        workloads.embed_tiles(observations(spark, sf), view(spark, sf, "sar_obs"), own, path, manifest, 3, lambda: embed.linear_model(_DIMENSIONS), SLOTS, least=COVERAGE)
-    found = spark.read.schema("y int, x int, q array<tinyint>, scale float, tile_id int, block_y int, block_x int").parquet(path)
-    return found.select("tile_id", "y", "x", "block_y", "block_x", F.round(F.col("scale").cast("double"), 5).alias("scale"))
+        embed_observations(obs, own, path, manifest, lambda: embed.linear_model(_DIMENSIONS), Choices(least=COVERAGE, slots=SLOTS, batch=10))
+    return stored_vectors(spark, path)
+
+
+@query(vectors_sql("semi join dry using (tile_id, y, x)"), "s2", "times", "radar_number", "dry", swap=REGION)
+def embed_tiles_dry(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors of a region without its water, of pixels with at least 60 valid optical and 20 valid radar times; coverage counts the region alone."""
+    path, manifest, tiles = new_path(spark, "vectors"), new_path(spark, "manifest"), view(spark, sf, "tiles").select("tile_id", "height", "width")
+    choices = Choices(least=COVERAGE, slots=SLOTS, water=True, least_s2=60, least_s1=20, batch=40)
+    embed_observations(observation_store(spark, sf), tiles, path, manifest, lambda: embed.linear_model(_DIMENSIONS), choices, view(spark, sf, "roi"))
+    return stored_vectors(spark, path)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from orbitloom.functions.constants import CLOUD_CHANNELS
 
 CLASSES = 4
 IMAGE = ["tile_id", "obs_date"]
 LEAST_PATCH, MOST_PATCH = 32, 1000
+#: Patches a call of the models.
+PATCHES = 8
 
 
 def auto_patch(height: int, width: int, overlap: int = 300) -> tuple[int, int]:
@@ -95,28 +100,85 @@ def linear_model(scale: float) -> Model:
     return lambda batch: np.einsum("kc,bchw->bkhw", w, batch)
 
 
-def cloud_scores(rows: DataFrame, size: int, models: tuple[Model, Model]) -> DataFrame:
-    """(tile_id, obs_date, y, x, i, j, cls, score) from patch_pixels(): the mean of two models' scores for each pixel of each patch, model(batch of 3 x size x size) -> 4 x size x size.
+def onnx_models(first: str, second: str) -> Callable[[], tuple[Model, Model]]:
+    """Loads two model files once a task, one thread each."""
 
-    A group is one patch, at most size x size rows of plain numbers, which numpy puts into planes; patches of zeros only are left out.
+    def load() -> tuple[Model, Model]:
+        import onnxruntime
+
+        options = onnxruntime.SessionOptions()
+        options.intra_op_num_threads = options.inter_op_num_threads = 1
+
+        def model(path: str) -> Model:
+            session = onnxruntime.InferenceSession(path, options)
+            name = session.get_inputs()[0].name
+            return lambda batch: session.run(None, {name: batch.astype(np.float32)})[0]
+
+        return model(first), model(second)
+
+    return load
+
+
+def whole_patches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one patch after another, from rows ordered by patch, wherever batches are cut."""
+    keys, held = [*IMAGE, "patch"], []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in keys:
+            v = batch.column(c)
+            change |= pc.not_equal(v[1:], v[:-1]).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            part = batch.slice(a, b - a)
+            if held and any(held[0].column(c)[0] != part.column(c)[0] for c in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def cloud_scores(rows: DataFrame, size: int, load: Callable[[], tuple[Model, Model]], batch: int = PATCHES) -> DataFrame:
+    """(tile_id, obs_date, y, x, i, j, cls, score) from patch_pixels(): the mean of two models' scores for each pixel of each patch, model(patches x 3 x size x size) -> patches x 4 x size x size.
+
+    Patches are dealt to tasks and stream through them in order of rows; each call of the models gets `batch` patches, and no more than these are held. load() makes the models, once a task. Patches of zeros only are left out.
     """
     kinds = dict(rows.dtypes)
-
-    def run(table: pa.Table) -> pa.Table:
-        i, j = (table.column(c).to_numpy() for c in ("i", "j"))
-        image = np.zeros((1, 3, size, size))
-        for c in range(3):
-            image[0, c, i, j] = table.column(f"n{c}").to_numpy()
-        table = table.select([*IMAGE, "y", "x", "i", "j"])
-        if not image.any():
-            table, i, j = table.slice(0, 0), i[:0], j[:0]
-        scores = (models[0](image) + models[1](image))[0] * 0.5
-        for k in range(CLASSES):
-            table = table.append_column(f"s{k}", pa.array(scores[k, i, j]))
-        return table
-
-    found = rows.select(*IMAGE, "patch", "y", "x", "i", "j", "n0", "n1", "n2").groupBy(*IMAGE, "patch").applyInArrow(run, f"tile_id {kinds['tile_id']}, obs_date {kinds['obs_date']}, y int, x int, i int, j int, s0 double, s1 double, s2 double, s3 double")
-    return found.select(*IMAGE, "y", "x", "i", "j", F.posexplode(F.array(*(F.col(f"s{k}") for k in range(CLASSES)))).alias("cls", "score"))
+    schema = f"tile_id {kinds['tile_id']}, obs_date {kinds['obs_date']}, y int, x int, i int, j int, s0 double, s1 double, s2 double, s3 double"
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, patches = load(), whole_patches(batches)
+
+        def planes(table: pa.Table) -> np.ndarray:
+            image = np.zeros((3, size, size))
+            for c in range(3):
+                image[c, table["i"].to_numpy(), table["j"].to_numpy()] = table[f"n{c}"].to_numpy()
+            return image
+
+        def scored(some: list[tuple[pa.Table, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            images = np.stack([image for _, image in some])
+            scores = (np.asarray(models[0](images)) + np.asarray(models[1](images))) * 0.5
+            for k, (table, _) in enumerate(some):
+                at = scores[k][:, table["i"].to_numpy(), table["j"].to_numpy()]
+                columns = [table[c].combine_chunks() for c in (*IMAGE, "y", "x", "i", "j")] + [pa.array(v.astype(float)) for v in at]
+                yield from pa.Table.from_arrays(columns, schema=arrow).to_batches()
+
+        some = []
+        for table in patches:
+            image = planes(table)
+            if image.any():
+                some.append((table, image))
+            if len(some) == batch:
+                yield from scored(some)
+                some = []
+        if some:
+            yield from scored(some)
+
+    own = rows.select(*IMAGE, "patch", "y", "x", "i", "j", "n0", "n1", "n2").repartition(*IMAGE, "patch").sortWithinPartitions(*IMAGE, "patch")
+    return own.mapInArrow(run, schema).select(*IMAGE, "y", "x", "i", "j", F.posexplode(F.array(*(F.col(f"s{k}") for k in range(CLASSES)))).alias("cls", "score"))
 
 
 def patch_blend(scores: DataFrame, size: int, overlap: int) -> DataFrame:

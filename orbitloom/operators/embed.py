@@ -6,10 +6,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
-from orbitloom.functions.constants import LATENT, SAMPLES
+from orbitloom.functions.constants import BANDS, LATENT, S1_MEAN, S1_STD, S2_MEAN, S2_STD, SAMPLES
 from orbitloom.functions.scalars import dequantise, quantise, quantise_scale
 
 #: model(s2 [B, slots, 11], s1 [B, slots, 3]) -> [B, dimensions]
@@ -56,6 +59,68 @@ def embed_pixels(samples: DataFrame, load: Callable[[], Model] = linear_model, s
     return samples.mapInPandas(run, f"tile_id {kinds['tile_id']}, y {kinds['y']}, x {kinds['x']}, emb array<double>")
 
 
+def packed_series(series: DataFrame, days: DataFrame) -> DataFrame:
+    """(tile_id, y, x, doy2, v2, doy1, v1) from pixels.pixel_series() and a tile's days (tile_id, days2, days1): what a pixel's samples are drawn from, as flat lists of integers, however many passes and slots there will be.
+
+    These are its valid observations in order, or, without any, all of its tile's times, with zeros at times it has no row for.
+    """
+    rows = series.join(days, "tile_id")
+    rows = rows.withColumn("s1", F.coalesce("s1", F.array().cast(dict(series.dtypes)["s1"])))
+    rows = rows.withColumns({"ok2": F.filter("s2", lambda e: e["mask"] == 1), "ok1": F.filter("s1", lambda e: (e["vv"] != 0) | (e["vh"] != 0))})
+    zeros = F.array(*(F.lit(0) for _ in BANDS))
+
+    def dense() -> Column:
+        seen = F.map_from_entries(F.transform("s2", lambda e: F.struct(e["t"].cast("int"), e["bands"])))
+        return F.transform(F.sequence(F.lit(0), F.size("days2") - 1), lambda t: F.coalesce(seen[t.cast("int")], zeros))
+
+    some2, some1 = F.size("ok2") > 0, F.size("ok1") > 0
+    both = F.flatten(F.transform("ok1", lambda e: F.array(e["vv"].cast("int"), e["vh"].cast("int"))))
+    return rows.select(
+        "tile_id", "y", "x",
+        F.when(some2, F.transform("ok2", lambda e: e["doy"].cast("int"))).otherwise(F.transform("days2", lambda d: d.cast("int"))).alias("doy2"), F.flatten(F.when(some2, F.transform("ok2", lambda e: e["bands"])).otherwise(dense())).alias("v2"),
+        F.when(some1, F.transform("ok1", lambda e: e["doy"].cast("int"))).otherwise(F.transform("days1", lambda d: d.cast("int"))).alias("doy1"), F.when(some1, both).otherwise(F.array_repeat(F.lit(0), F.size("days1") * 2)).alias("v1"),
+    )
+
+
+def strata(n: np.ndarray, slots: int, offset: int) -> np.ndarray:
+    """Positions 0..n-1 that fill the slots of each series, a row a series: bin i is [n*i div slots, n*(i+1) div slots) and the offset, modulo its size, picks in it; series of no more than `slots` repeat what they have, the first ones once more."""
+    n, i = n.astype(np.int64)[:, None], np.arange(slots)[None]
+    first, after = n * i // slots, n * (i + 1) // slots
+    many = np.minimum(first + offset % np.maximum(after - first, 1), n - 1)
+    each, more = slots // n, slots % n
+    few = np.where(i < (each + 1) * more, i // (each + 1), more + (i - (each + 1) * more) // np.maximum(each, 1))
+    return np.where(n <= slots, few, many)
+
+
+def drawn(doys: pa.ListArray, values: pa.ListArray, width: int, mean: tuple, std: tuple, slots: int, passes: int) -> Iterator[np.ndarray]:
+    """[series, slots, width + 1] for each pass, normalised, the day of year last; straight from Arrow's buffers."""
+    at, n = doys.offsets.to_numpy().astype(np.int64), doys.value_lengths().to_numpy().astype(np.int64)
+    day = doys.values.to_numpy()
+    v = (values.values.to_numpy()[values.offsets[0].as_py() : values.offsets[-1].as_py()].reshape(-1, width) - np.array(mean)) / (np.array(std) + 1e-9)
+    for r in range(passes):
+        pick = at[:-1, None] + strata(n, slots, r)
+        yield np.concatenate([v[pick - at[0]], day[pick][..., None].astype(float)], axis=2)
+
+
+def score_series(packed: DataFrame, load: Callable[[], Model] = linear_model, slots: int = SAMPLES, passes: int = 1, batch: int = BATCH) -> DataFrame:
+    """(tile_id, y, x, emb) from packed_series(): samples of all passes are drawn where the model is, a batch of pixels at a time, scored and averaged. The model is loaded once a task, and only integers of the series go to Python."""
+    kinds = dict(packed.dtypes)
+    schema = f"tile_id {kinds['tile_id']}, y {kinds['y']}, x {kinds['x']}, emb array<double>"
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load()
+        for whole in batches:
+            for a in range(0, whole.num_rows, batch):
+                part = whole.slice(a, batch)
+                both = zip(drawn(part["doy2"], part["v2"], len(BANDS), S2_MEAN, S2_STD, slots, passes), drawn(part["doy1"], part["v1"], 2, S1_MEAN, S1_STD, slots, passes), strict=True)
+                emb = np.asarray(sum(model(s2, s1) for s2, s1 in both), float) / passes
+                out = pa.ListArray.from_arrays(pa.array(np.arange(0, emb.size + 1, emb.shape[1]), pa.int32()), pa.array(emb.ravel()))
+                yield pa.RecordBatch.from_arrays([*(part[c] for c in ("tile_id", "y", "x")), out.cast(arrow.field("emb").type)], schema=arrow)
+
+    return packed.select("tile_id", "y", "x", "doy2", "v2", "doy1", "v1").mapInArrow(run, schema)
+
+
 def pass_average(rows: DataFrame, keys: list[str], vector: str = "emb") -> DataFrame:
     """The mean vector of the rows of a key, component by component."""
     parts = rows.select(*keys, F.posexplode(vector).alias("i", "v")).groupBy(*keys, "i").agg(F.avg(F.col("v").cast("double")).alias("v"))

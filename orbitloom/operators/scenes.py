@@ -32,20 +32,48 @@ def with_ordinal(scenes: DataFrame) -> DataFrame:
     return scenes.withColumn("item_ord", F.row_number().over(w) - 1)
 
 
+def box_level(cell: float) -> Column:
+    """The level of a box: the least k for which cells of cell * 2^k are at least as wide and high as it, so that it touches four of them at most."""
+    extent = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"), F.lit(0.0)) / cell
+    level = F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(1.0)))), F.lit(0)).cast("int")
+    return F.when(F.pow(F.lit(2.0), level) < extent, level + 1).otherwise(level)  # a logarithm may fall short by its last digit
+
+
+def box_cells(df: DataFrame, cell: float, levels: Column) -> DataFrame:
+    """df with (lev, cx, cy): the cells that the box touches on each of the levels in a list of them."""
+    out = df.withColumn("lev", F.explode(levels))
+    side = F.lit(cell) * F.pow(F.lit(2.0), F.col("lev"))
+    for a in "xy":
+        out = out.withColumn(f"c{a}", F.explode(F.sequence(F.floor(F.col(f"{a}min") / side), F.floor(F.col(f"{a}max") / side))))
+    return out
+
+
 def scene_tile_overlap(scenes: DataFrame, tiles: DataFrame, cell: float = 1.0, tile_count: int | None = None) -> DataFrame:
-    """(item_id, tile_id) of all scenes that meet a tile's box and time range (start, end): few tiles are broadcast, more are matched by the grid cells that both boxes touch."""
+    """(item_id, tile_id) of all scenes that meet a tile's box and time range (start, end): few tiles are broadcast, more are matched by cells.
+
+    Cells come in several sizes, each twice the one below. A box has a level of its own, where it touches four cells at most, however large it is. Two boxes that meet share a cell on the coarser of their levels: so each box is written to
+    the cells of its own level, and looks in those of its own and of each coarser level that the other side has boxes on. Pairs of equal level are looked for from one side. Boxes with a null, or whose end lies before their beginning, meet nothing.
+    """
     tile_count = tiles.count() if tile_count is None else tile_count
     s, t = scenes.alias("s"), tiles.alias("t")
     on = boxes_meet("s", "t") & F.expr("s.ts >= t.start and s.ts < t.end")
     if tile_count <= BROADCAST_TILES:
         return s.join(F.broadcast(t), on).select("s.item_id", "t.tile_id")
-
-    def cells(df: DataFrame) -> DataFrame:
-        spans = [F.sequence(F.floor(F.col(f"{a}min") / cell), F.floor(F.col(f"{a}max") / cell)) for a in "xy"]
-        return df.withColumn("cx", F.explode(spans[0])).withColumn("cy", F.explode(spans[1]))
-
-    s, t = cells(scenes).alias("s"), cells(tiles).alias("t")
-    return s.join(t, F.expr("s.cx = t.cx and s.cy = t.cy") & on).select("s.item_id", "t.tile_id").dropDuplicates()
+    sized = [df.filter("xmin <= xmax and ymin <= ymax").withColumn("own", box_level(cell)) for df in (scenes, tiles)]
+    used = [sorted(r["own"] for r in df.select("own").distinct().collect()) for df in sized]  # some tens of levels at most
+
+    def met(at_home: int, from_level: int) -> DataFrame:
+        """Boxes of one side in their own cells with boxes of the other that look there from levels that are finer by from_level at least."""
+        home, guest = sized[at_home], sized[1 - at_home]
+        levels = F.array(*(F.lit(k) for k in used[at_home])) if used[at_home] else F.array().cast("array<int>")
+        home = box_cells(home, cell, F.array("own"))
+        guest = box_cells(guest, cell, F.filter(levels, lambda k: k >= F.col("own") + from_level))
+        s, t = (home, guest) if at_home == 0 else (guest, home)
+        side = f"({float(cell)!r}D * pow(2D, s.lev))"
+        first = F.expr(f"s.cx = floor(greatest(s.xmin, t.xmin) / {side}) and s.cy = floor(greatest(s.ymin, t.ymin) / {side})")  # of the cells that both touch, that of their common corner tells the pair
+        return s.alias("s").join(t.alias("t"), F.expr("s.lev = t.lev and s.cx = t.cx and s.cy = t.cy") & on & first).select("s.item_id", "t.tile_id")
+
+    return met(0, 0).unionByName(met(1, 1))
 
 
 def radar_groups(scenes: DataFrame) -> DataFrame:

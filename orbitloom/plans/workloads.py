@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbitloom.functions.constants import LEAST_COVERAGE, LEAST_VALID, SAMPLES
-from orbitloom.operators import cloudmask, embed, optical, pixels, radar
-from orbitloom.sources.arrays import write_embeddings
-from orbitloom.sources.storage import exists, stored
+from orbitloom.operators import cloudmask, embed, optical, pixels, radar, scenes
+from orbitloom.plans.tiles import Choices, embed_observations
+from orbitloom.sources.catalogues import read_granule_feed
+from orbitloom.sources.observations import Observations
+from orbitloom.sources.storage import bucketed, stored
 
 
 def optical_composite(obs: DataFrame, totals: DataFrame, roi: DataFrame | None = None, least: float = LEAST_COVERAGE) -> DataFrame:
@@ -25,57 +27,51 @@ def radar_composite(sar_obs: DataFrame, roi: DataFrame | None = None, last: bool
     return radar.s1_cube(radar.drop_empty(radar.mosaic_last(db) if last else radar.mosaic_mean(db)))
 
 
-def sampled_pixels(s2: DataFrame, s1: DataFrame, tiles: DataFrame, slots: int = SAMPLES, passes: int = 1, water: DataFrame | None = None, water_ratio: int = 2, least_s2: int = LEAST_VALID, least_s1: int = LEAST_VALID) -> DataFrame:
-    """Sample matrices of the valid pixels of both cubes, which are stored, as each is read for its times and for its series. A tile without any radar needs none."""
-    s2, s1 = stored(s2 if water is None else optical.without_water(s2, water, water_ratio), "s2"), stored(s1, "s1")
-    times, line = stored(pixels.time_index(s2), "times"), stored(radar.timeline(s1, tiles), "line")
-    return series_samples(s2, s1, times, line, slots, passes, least_s2, least_s1)
+def granule_composite(spark: SparkSession, feed: str, base: str, pixels_: DataFrame) -> DataFrame:
+    """s1 cube of the second radar source, from a folder of feed pages: granules get addresses and a place in the reversed order of the feed, their pixels (item_id, tile_id, orbit, y, x, vv, vh) are joined by the name of the file, and of a date and orbit
+    the last scene with a value wins. Granules without pixels and pixels without a granule have no row."""
+    granules = scenes.granule_urls(read_granule_feed(spark, feed), base).select("item_id", "obs_date", "item_ord")
+    return radar_composite(pixels_.join(granules, "item_id"), last=True)
 
 
-def series_samples(s2: DataFrame, s1: DataFrame, times: DataFrame, line: DataFrame, slots: int, passes: int, least_s2: int, least_s1: int) -> DataFrame:
+def valid_series(s2: DataFrame, s1: DataFrame, tiles: DataFrame, water: DataFrame | None = None, water_ratio: int = 2, least_s2: int = LEAST_VALID, least_s1: int = LEAST_VALID) -> tuple[DataFrame, DataFrame]:
+    """Series of the valid pixels of both cubes, and the days of their tiles. The cubes are stored in buckets by pixel, so that neither series nor their join moves a row. A tile without any radar needs none."""
+    s2, s1 = bucketed(s2 if water is None else optical.without_water(s2, water, water_ratio), "s2", pixels.PIXEL), bucketed(s1, "s1", pixels.PIXEL)
+    times, line = stored(pixels.time_index(s2), "times"), stored(radar.timeline(s1, tiles), "line")
     series = pixels.pixel_series(pixels.s2_series(s2, times), pixels.s1_series(s1, line))
     kept = series.filter(F.exists("s2", lambda e: F.exists(e["bands"], lambda v: v != 0))).filter(F.size(F.filter("s2", lambda e: e["mask"] == 1)) >= least_s2)
     if least_s1 > 0:
         seen = F.size(F.filter("s1", lambda e: (e["vv"] != 0) | (e["vh"] != 0)))
         kept = pixels.enough_radar(kept, line.filter("obs_date is not null"), F.coalesce(seen, F.lit(0)), least_s1)
-    days = stored(pixels.days_of(times, "days2").join(pixels.days_of(line, "days1"), "tile_id"), "days")
-    return pixels.sample_matrices(kept, days, slots, passes)
+    return kept, stored(pixels.days_of(times, "days2").join(pixels.days_of(line, "days1"), "tile_id"), "days")
+
+
+def sampled_pixels(s2: DataFrame, s1: DataFrame, tiles: DataFrame, slots: int = SAMPLES, passes: int = 1, **limits) -> DataFrame:
+    """Sample matrices of the valid pixels of both cubes; limits: those of valid_series()."""
+    return pixels.sample_matrices(*valid_series(s2, s1, tiles, **limits), slots, passes)
+
+
+def pixel_vectors(s2: DataFrame, s1: DataFrame, tiles: DataFrame, load: Callable[[], embed.Model] = embed.linear_model, slots: int = SAMPLES, passes: int = 1, **limits) -> DataFrame:
+    """(tile_id, y, x, emb) of the valid pixels of both cubes; samples are drawn where the model is."""
+    return embed.score_series(embed.packed_series(*valid_series(s2, s1, tiles, **limits)), load, slots, passes)
 
 
 def pixel_embeddings(samples: DataFrame, load: Callable[[], embed.Model] = embed.linear_model, slots: int = SAMPLES) -> DataFrame:
     return embed.quantised(embed.embed_pixels(samples, load, slots))
 
 
-def refined_mask(s2: DataFrame, height: int, width: int, models: tuple[cloudmask.Model, cloudmask.Model], size: int | None = None, overlap: int = 300) -> DataFrame:
+def refined_mask(s2: DataFrame, height: int, width: int, load: Callable[[], tuple[cloudmask.Model, cloudmask.Model]], size: int | None = None, overlap: int = 300, batch: int = cloudmask.PATCHES) -> DataFrame:
     """s2 with mask_opt from blended patches. The cube is stored, as it is read for its statistics, its patches and its masks."""
     if size is None:
         size, overlap = cloudmask.auto_patch(height, width, overlap)
     s2 = stored(s2, "s2")
-    scores = cloudmask.cloud_scores(cloudmask.patch_pixels(cloudmask.normalised(s2), height, width, size, overlap), size, models)
+    scores = cloudmask.cloud_scores(cloudmask.patch_pixels(cloudmask.normalised(s2), height, width, size, overlap), size, load, batch)
     return cloudmask.mask_optimised(s2, cloudmask.patch_argmax(cloudmask.patch_blend(scores, size, overlap)))
 
 
-def embed_tiles(obs: DataFrame, sar_obs: DataFrame, tiles: DataFrame, path: str, manifest: str, block: int = 1024, load: Callable[[], embed.Model] = embed.linear_model, slots: int = SAMPLES, passes: int = 1, least: float = LEAST_COVERAGE, mode: str = "int8") -> DataFrame:
-    """From observations to stored vectors of every pixel of the tiles (tile_id, height, width), block by block; returns the blocks that this run did.
-
-    Blocks that the manifest names are left out. Dates are kept and times numbered by the whole tile, but only for tiles with pending blocks, and series are made for pending blocks alone. The manifest gets the
-    blocks after their vectors are written, also those without a valid pixel. A run that broke off before that is repeated: vectors replace those of the same block.
-    """
-    spark, keys = obs.sparkSession, ["tile_id", "block_y", "block_x"]
-    done = spark.read.schema("tile_id int, block_y int, block_x int").option("recursiveFileLookup", "true").parquet(manifest) if exists(spark, manifest) else spark.createDataFrame([], "tile_id int, block_y int, block_x int")
-    pending = stored(pixels.pending_blocks(pixels.blocks(tiles, block), done), "pending")
-    if pending.isEmpty():
-        return pending.select(*keys)
-    open_ = pending.select("tile_id").distinct()
-    own = tiles.join(open_, "tile_id", "left_semi")
-    s2 = stored(optical_composite(obs.join(open_, "tile_id", "left_semi"), own.select("tile_id", (F.col("height") * F.col("width")).alias("total")), least=least), "s2")
-    s1 = stored(radar_composite(sar_obs.join(open_, "tile_id", "left_semi")), "s1")
-    times, line = stored(pixels.time_index(s2), "times"), stored(radar.timeline(s1, own), "line")
-    part = lambda cube: pixels.block_keys(cube, block).join(pending.select(*keys), keys, "left_semi").drop("block_y", "block_x")
-    samples = series_samples(part(s2), part(s1), times, line, slots, passes, LEAST_VALID, LEAST_VALID)
-    write_embeddings(embed.embed_pixels(samples, load, slots), path, mode, block)
-    pending.select(*keys).write.mode("append").parquet(manifest)
-    return pending.select(*keys)
+def embed_tiles(obs: DataFrame, sar_obs: DataFrame, tiles: DataFrame, path: str, manifest: str, block: int = 1024, load: Callable[[], embed.Model] = embed.linear_model, roi: DataFrame | None = None, **choices) -> DataFrame:
+    """plans.tiles.embed_observations() of observations that aren't in a store."""
+    return embed_observations(Observations.of(obs, sar_obs, block), tiles, path, manifest, load, Choices(**choices), roi)
 
 
 def tile_report(scenes: DataFrame, coverage: DataFrame, water: DataFrame, counts: DataFrame, kept: DataFrame, radar_rows: DataFrame) -> DataFrame:

@@ -30,6 +30,6 @@ def read_scene_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_granule_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Pages are numbered by file name."""
-    pages = spark.read.text(path, wholetext=True).select(F.col("value").alias("page"), F.regexp_extract(F.input_file_name(), r"(\d+)[^/\d]*$", 1).cast("long").alias("page_no"))
+    """Pages are numbered by the last number in the name of their file or, where Spark named the file, of its folder (a partition by page)."""
+    pages = spark.read.text(path, wholetext=True).select(F.col("value").alias("page"), F.regexp_extract(F.regexp_replace(F.input_file_name(), r"/part-\d+-[^/]*$", ""), r"(\d+)[^/\d]*$", 1).cast("long").alias("page_no"))
     return parse_granules(pages)

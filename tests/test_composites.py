@@ -140,7 +140,7 @@ def test_a_patch_of_usual_size(spark):
     h, w, size, overlap = 1100, 1000, 1000, 300
     rows = spark.range(h * w).selectExpr("1 tile_id", "date'2020-05-01' obs_date", f"cast(id div {w} as int) y", f"cast(id % {w} as int) x", "cast(id % 97 as double) - 40 n0", "cast(id % 13 as double) n1", "cast(id % 7 as double) n2")
     models = (cloudmask.linear_model(1.0), cloudmask.linear_model(2.0))
-    scores = cloudmask.cloud_scores(cloudmask.patch_pixels(rows, h, w, size, overlap), size, models)
+    scores = cloudmask.cloud_scores(cloudmask.patch_pixels(rows, h, w, size, overlap), size, lambda: models, 2)
     blended = cloudmask.patch_blend(scores, size, overlap)
     assert blended.count() == h * w * 4
     r = {x["cls"]: x["score"] for x in blended.filter("y = 550 and x = 20").collect()}
@@ -175,7 +175,7 @@ def test_stored_vectors_are_resumed(spark, tmp_path):
     radar_rows = [(t, "ascending", d, 0, y, x, rng.random(), rng.random()) for t in (1, 2) for d in days for y in range(4) for x in range(4)]
     seen, amp = obs(spark, rows), spark.createDataFrame(radar_rows, "tile_id int, orbit string, obs_date date, item_ord int, y int, x int, vv double, vh double")
     tiles = spark.createDataFrame([(1, 4, 4), (2, 4, 4)], "tile_id int, height int, width int")
-    run = lambda t, at: workloads.embed_tiles(seen, amp, t, f"{tmp_path}/{at}", f"{tmp_path}/{at}-done", 2, lambda: embed.linear_model(8), 4)
+    run = lambda t, at: workloads.embed_tiles(seen, amp, t, f"{tmp_path}/{at}", f"{tmp_path}/{at}-done", 2, lambda: embed.linear_model(8), slots=4)
     read = lambda at: sorted((r["tile_id"], r["y"], r["x"], list(r["q"]), r["scale"]) for r in spark.read.parquet(f"{tmp_path}/{at}").collect())
     assert run(tiles, "whole").count() == 8
     assert run(tiles.filter("tile_id = 1"), "parts").count() == 4
@@ -188,11 +188,12 @@ def test_stored_vectors_are_resumed(spark, tmp_path):
 
 def test_resampling_keeps_a_plane(spark):
     grid, to = (0.0, 0.0, 1.0, 8, 8), (2.0, 2.0, 0.7, 5, 5)
-    p = spark.range(64).selectExpr("1 k", "cast(floor(id / 8) as int) y", "cast(id % 8 as int) x").withColumn("v", F.col("y") * 2.0 + F.col("x"))
+    tiles = resample.grids(spark.createDataFrame([(1,)], "tile_id int"), grid, to)
+    p = spark.range(64).selectExpr("1 tile_id", "cast(floor(id / 8) as int) y", "cast(id % 8 as int) x").withColumn("v", F.col("y") * 2.0 + F.col("x"))
     for kind in ("bilinear", "cubic"):
-        for r in resample.resample(p, ["k"], "v", grid, to, kind).collect():
+        for r in resample.resample(p, ["tile_id"], "v", tiles, kind).collect():
             assert r["v"] == pytest.approx(2 * (2 + (r["y"] + 0.5) * 0.7 - 0.5) + 2 + (r["x"] + 0.5) * 0.7 - 0.5)
-    near = {(r["y"], r["x"]): r["v"] for r in resample.resample(p, ["k"], "v", grid, to).collect()}
+    near = {(r["y"], r["x"]): r["v"] for r in resample.resample(p, ["tile_id"], "v", tiles).collect()}
     assert near[0, 0] == 6.0 and len(near) == 25
 
 
@@ -310,3 +311,80 @@ def test_array_files_in_pieces_and_strips(spark, tmp_path, monkeypatch):
         if name in ("bands", "masks"):
             want[1, 3:7] = 0
         assert (np.load(tmp_path / "out" / "a" / f"{name}.npy") == want).all()
+
+
+def test_cloud_models_are_loaded_from_files_and_get_batches(spark, tmp_path):
+    """Two tiny model files: one-pixel convolutions from three channels to four classes."""
+
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    def field(k, value):
+        if isinstance(value, int):
+            return varint(k << 3) + varint(value)
+        value = value.encode() if isinstance(value, str) else value
+        return varint(k << 3 | 2) + varint(len(value)) + value
+
+    def tensor(name, *dims):
+        shape = b"".join(field(1, field(1, d) if isinstance(d, int) else field(2, d)) for d in dims)
+        return field(1, name) + field(2, field(1, field(1, 1) + field(2, shape)))
+
+    weights = [np.random.default_rng(k).normal(size=(4, 3)).astype("<f4") for k in (1, 2)]
+    for k, w in enumerate(weights):
+        held = b"".join(field(1, d) for d in (4, 3, 1, 1)) + field(2, 1) + field(8, "w") + field(9, w.tobytes())
+        graph = field(1, field(1, "input") + field(1, "w") + field(2, "output") + field(4, "Conv")) + field(2, "tiny") + field(5, held)
+        graph += field(11, tensor("input", "n", 3, "h", "v")) + field(12, tensor("output", "n", 4, "h", "v"))
+        (tmp_path / f"{k}.onnx").write_bytes(field(1, 8) + field(7, graph) + field(8, field(1, "") + field(2, 13)))
+    load = cloudmask.onnx_models(str(tmp_path / "0.onnx"), str(tmp_path / "1.onnx"))
+    sizes = spark.sparkContext.accumulator(0)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted():
+        first, second = load()
+
+        def call(batch):
+            sizes.add(len(batch))
+            calls.add(1)
+            return first(batch)
+
+        return call, second
+
+    rng = np.random.default_rng(5)
+    images = rng.normal(size=(3, 11, 9, 3))
+    images[2] = 0  # left out
+    rows = [(t, datetime.date(2024, 1, 1), y, x, *map(float, images[t, y, x])) for t in range(3) for y in range(11) for x in range(9)]
+    df = spark.createDataFrame(rows, "tile_id int, obs_date date, y int, x int, n0 double, n1 double, n2 double")
+    patches = cloudmask.patch_pixels(df, 11, 9, 5, 2).repartition(7)
+    got = cloudmask.cloud_scores(patches.coalesce(1), 5, counted, 8).collect()
+    number = patches.filter("tile_id < 2").select("tile_id", "patch").distinct().count()
+    assert sizes.value == number and calls.value < number and len(got) == 4 * patches.filter("tile_id < 2").count()
+    for r in got:
+        want = sum(float(w[r["cls"]] @ images[r["tile_id"], r["y"], r["x"]].astype("f4")) for w in weights) / 2
+        assert r["score"] == pytest.approx(want, abs=1e-5)
+
+
+def test_boxes_of_all_sizes_meet_without_exploding(spark):
+    """One box is the whole world, over a million cells wide; some are points, some lie on edges of cells."""
+    rng = random.Random(8)
+    stamp = datetime.datetime(2024, 1, 10)
+
+    def box(k):
+        if k == 0:
+            return -180.0, -90.0, 180.0, 90.0
+        w = rng.choice([0.0, 1e-4, 3e-4, 0.01, 2.0, 50.0])
+        h = rng.choice([0.0, 1e-4, 0.02, 7.0])
+        x, y = (rng.randint(-3, 3) * 3e-4, rng.randint(-3, 3) * 3e-4) if k % 3 else (rng.uniform(-180, 180), rng.uniform(-90, 90))
+        return x, y, x + w, y + h
+
+    some = [(k, *box(k)) for k in range(150)]
+    others = [(k, *box(k)) for k in range(120)]
+    schema = "xmin double, ymin double, xmax double, ymax double"
+    s = spark.createDataFrame([(*r, stamp) for r in some] + [(999, None, 0.0, 1.0, 1.0, stamp), (998, 5.0, 5.0, 4.0, 4.0, stamp)], f"item_id int, {schema}, ts timestamp")
+    t = spark.createDataFrame([(*r, datetime.datetime(2024, 1, 1), datetime.datetime(2024, 2, 1)) for r in others], f"tile_id int, {schema}, start timestamp, end timestamp")
+    found = scenes.scene_tile_overlap(s, t, 3e-4, tile_count=scenes.BROADCAST_TILES + 1)
+    want = {(a[0], b[0]) for a in some for b in others if a[1] <= b[3] and a[3] >= b[1] and a[2] <= b[4] and a[4] >= b[2]}
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want and len(want) > 300
+    cells = scenes.box_cells(s.filter("xmin <= xmax and ymin <= ymax").withColumn("own", scenes.box_level(3e-4)), 3e-4, F.array("own"))
+    assert cells.groupBy("item_id").count().agg(F.max("count")).first()[0] <= 4
+    assert scenes.scene_tile_overlap(s, t.limit(0), 1.0, tile_count=scenes.BROADCAST_TILES + 1).isEmpty()
