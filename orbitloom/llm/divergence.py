@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
-from orbitloom.llm.common import map_streams, stored, table
+from orbitloom.llm.common import by_bytes, map_streams, release, stored, table
 
 #: Least documents of a kept term, prefix lengths in bytes at which terms are tried before they are complete, and ranks of the terms that are told.
 LEAST_DOCUMENTS, LEVELS, TOP = 10, (3, 6), 10
 #: Bits of a filter of prefixes, and tasks that join the filters of many.
 FILTER_BITS, FEW = 1 << 25, 8
-#: Entries after which a task sends what it has counted, sources of a block of pairs, terms that meet at once, and sums of pairs that a task holds.
-ENTRIES, SOURCES, TERMS, BLOCKS = 200_000, 256, 512, 16
+#: Bytes of texts whose terms are counted at once, rows of an output batch, sources of a block of pairs, terms that meet at once, and sums of pairs that a task holds.
+TEXT_BYTES, ROWS, SOURCES, TERMS, BLOCKS = 24 << 20, 100_000, 256, 512, 16
 SCALE = 1_000_000_000
 #: Ends a prefix that terms go on from; no term holds this byte.
 MORE = b"*"
@@ -27,27 +31,75 @@ MORE = b"*"
 _TERMS = bytes(c if 97 <= c <= 122 or c >= 0x80 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 
 
-def terms(text: str | None) -> list[bytes]:
-    return (text or "").encode().translate(_TERMS).split()
+@dataclass
+class Words:
+    """The terms of some documents: each distinct one once, and for every occurrence its document and the place of its term."""
 
+    distinct: pa.Array  # large_string
+    document: np.ndarray
+    term: np.ndarray
 
-def passing(bits: np.ndarray, lang: int, items: list[bytes]) -> list[bool]:
+    @classmethod
+    def of(cls, texts: list[bytes | None]) -> Words:
+        plain = pa.array([(t or b"").translate(_TERMS) for t in texts], pa.large_binary()).cast(pa.large_string())
+        lists = pc.ascii_split_whitespace(plain)
+        found = lists.flatten().dictionary_encode()
+        term, document = found.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+        if (blank := pc.index(found.dictionary, "").as_py()) >= 0:  # before a first and after a last space
+            document, term = document[term != blank], term[term != blank]
+        return cls(found.dictionary, document, term)
+
+    def kept(self, alive: np.ndarray) -> Words:
+        """Only the occurrences of terms that are alive."""
+        some = alive[self.term]
+        return Words(self.distinct, self.document[some], self.term[some])
+
+    def lengths(self) -> np.ndarray:
+        return pc.binary_length(self.distinct).to_numpy()
+
+
+def passing(bits: np.ndarray, lang: int, items: Iterable[bytes], number: int) -> np.ndarray:
     """Which items of a language (its checksum) the filter lets through."""
-    at = np.fromiter((zlib.crc32(x, lang) for x in items), np.int64, len(items)) % (8 * len(bits))
-    return (bits[at >> 3] >> (at & 7) & 1).astype(bool).tolist()
+    at = np.fromiter((zlib.crc32(x, lang) for x in items), np.int64, number) % (8 * len(bits))
+    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
+def map_texts(docs: DataFrame, run: Callable[[list[pa.Array], list[bytes | None]], Iterator[list]], schema: str) -> DataFrame:
+    """Work on many texts at once: run() gets the columns before the last and the last, the texts as UTF-8, of TEXT_BYTES of texts together or one longer text, and yields lists of output columns."""
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    by_bytes(docs.sparkSession)
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
 
-class Sums:
-    """Counts by group and term of one task, sent whenever there are ENTRIES of them."""
+        def made() -> Iterator[pa.RecordBatch]:
+            whole = pa.Table.from_batches(held).combine_chunks()
+            texts = whole.column(whole.num_columns - 1).cast(pa.large_binary()).to_pylist()
+            for columns in run([c.combine_chunks() for c in whole.columns[:-1]], texts):
+                rows = pa.Table.from_arrays([pa.array(c, t) if not isinstance(c, pa.Array) else c.cast(t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
+                yield from rows.to_batches(ROWS)
 
-    def __init__(self):
-        self.of: dict[tuple, dict[bytes, int]] = {}
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.column(batch.num_columns - 1).nbytes
+            if size >= TEXT_BYTES:
+                yield from made()
+                held, size = [], 0
+        if held:
+            yield from made()
+        held = []
+        release()
 
-    def sent(self, most: int) -> Iterator[tuple]:
-        if sum(map(len, self.of.values())) >= most:
-            for group, own in self.of.items():
-                yield from ((*group, t, n) for t, n in own.items())
-            self.of.clear()
+    return docs.mapInArrow(task, schema)
+
+
+def grouped(columns: list[pa.Array]) -> tuple[np.ndarray, list[tuple]]:
+    """The place of each row's values among the distinct ones, and these."""
+    found: dict[tuple, int] = {}
+    at = np.array([found.setdefault(k, len(found)) for k in zip(*(c.to_pylist() for c in columns), strict=True)], np.int64)
+    return at, list(found)
 
 
 def filter_of(found: DataFrame) -> np.ndarray:
@@ -72,61 +124,86 @@ def filter_of(found: DataFrame) -> np.ndarray:
     return total
 
 
-def frequent_terms(docs: DataFrame, least: int = LEAST_DOCUMENTS, levels: tuple[int, ...] = LEVELS) -> DataFrame:
-    """(lang binary, term binary) of the terms in at least `least` documents of a language; docs: (lang binary, text), a row a document.
+def surviving(docs: DataFrame, least: int, levels: tuple[int, ...]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, filter of complete terms, filter of prefixes) of each level; docs: (lang binary, text), a row a document.
 
-    Iceberg refinement: the first prefixes of terms are counted by distinct documents, those in too few are discarded, the others are extended to the next length, until terms are complete. A term that is no longer than a
-    level's length is complete there and is kept by its own exact count; a longer one has at least the documents of each of its prefixes against it, so none that should be kept is lost. Which prefixes are left goes to the tasks as a
-    filter of fixed size. Each level reads the texts again and counts only what passes; tasks count first and send sums.
+    Iceberg refinement: the first prefixes of terms are counted by distinct documents, those in too few are discarded, the others are extended to the next length. A term no longer than a level's length is complete there; a longer one is
+    in no more documents than each of its prefixes, so none that should be kept is lost. What is left goes to the tasks as filters of fixed size. Each level reads the texts again and counts only what passes.
     """
-    spark, kept, passed = docs.sparkSession, None, None
-    for before, length in zip((None, *levels), (*levels, None), strict=True):
-        known = spark.sparkContext.broadcast(passed)
-
-        def run(rows: Iterator[tuple], before=before, length=length, known=known) -> Iterator[tuple]:
-            sums = Sums()
-            for lang, text in rows:
-                own = set(terms(text))
-                if before is not None:
-                    longer = [t for t in own if len(t) > before]
-                    own = [t for t, x in zip(longer, passing(known.value, zlib.crc32(lang), [t[:before] for t in longer]), strict=True) if x]
-                if length is not None:
-                    own = {t if len(t) <= length else t[:length] + MORE for t in own}
-                total = sums.of.setdefault((lang,), {})
-                get = total.get
-                for t in own:
-                    total[t] = get(t, 0) + 1
-                yield from sums.sent(ENTRIES)
-            yield from sums.sent(1)
-
-        sums = map_streams(docs.select("lang", "text"), run, "lang binary, item binary, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    spark = docs.sparkSession
+    found: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for length in levels:
+        known = spark.sparkContext.broadcast(found[-1] if found else None)
+
+        def run(columns: list[pa.Array], texts: list[bytes | None], length=length, known=known) -> Iterator[list]:
+            words = Words.of(texts)
+            langs, names = grouped(columns)
+            long = words.lengths() > length
+            # prefixes are numbered anew, with a mark that tells them from terms that end there
+            cut = pc.if_else(pa.array(long), pc.binary_join_element_wise(pc.binary_slice(words.distinct.cast(pa.binary()), 0, length), pa.scalar(MORE, pa.binary()), pa.scalar(b"", pa.binary())), words.distinct.cast(pa.binary())).dictionary_encode()
+            item, number = cut.indices.to_numpy(), len(cut.dictionary)
+            spoken = langs[words.document]
+            for k, (lang,) in enumerate(names):
+                own = np.flatnonzero(spoken == k)
+                pairs = words.document[own] * np.int64(number) + item[words.term[own]]
+                if known.value:
+                    alive = np.zeros(len(words.distinct), bool)
+                    some = np.unique(words.term[own])
+                    some = some[words.lengths()[some] > known.value[0]]
+                    alive[some] = passing(known.value[2], zlib.crc32(lang), (x[: known.value[0]] for x in words.distinct.cast(pa.binary()).take(pa.array(some)).to_pylist()), len(some))
+                    pairs = pairs[alive[words.term[own]]]
+                items, docs_of = np.unique(distinct(pairs) % number, return_counts=True) if len(pairs) else (pairs, pairs)
+                yield [pa.array([lang] * len(items), pa.binary()), cut.dictionary.take(pa.array(items)), docs_of]
+
+        sums = map_texts(docs, run, "lang binary, item binary, n long").groupBy("lang", "item").agg(F.sum("n").alias("n"))
         level = stored(sums.filter(F.col("n") >= least).select("lang", "item"), "level")
         ended = F.substring("item", -1, 1) != F.lit(MORE)
-        own = level.filter(ended).select("lang", F.col("item").alias("term"))
-        kept = own if kept is None else kept.unionByName(own)
-        if length is not None:
-            passed = filter_of(level.filter(~ended).select("lang", F.expr("substring(item, 1, length(item) - 1)").alias("item")))
-    return kept
+        found.append((length, filter_of(level.filter(ended)), filter_of(level.filter(~ended).select("lang", F.expr("substring(item, 1, length(item) - 1)").alias("item")))))
+    return found
 
 
-def term_counts(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, term, count) of the kept terms of each group in which they occur, stored; docs: (lang binary, source binary, text)."""
-    known = docs.sparkSession.sparkContext.broadcast(filter_of(kept))
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    keys = np.sort(keys)
+    return keys[np.r_[True, keys[1:] != keys[:-1]]] if len(keys) else keys
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        sums = Sums()
-        for lang, source, text in rows:
-            own = Counter(terms(text))
-            total = sums.of.setdefault((lang, source), {})
-            get = total.get
-            for (t, n), x in zip(own.items(), passing(known.value, zlib.crc32(lang), list(own)), strict=True):
-                if x:
-                    total[t] = get(t, 0) + n
-            yield from sums.sent(ENTRIES)
-        yield from sums.sent(1)
 
-    sums = map_streams(docs.select("lang", "source", "text"), run, "lang binary, source binary, term binary, count long").groupBy("lang", "source", "term").agg(F.sum("count").alias("count"))
-    return stored(sums.join(kept, ["lang", "term"], "left_semi"), "counts")
+def term_counts(docs: DataFrame, least: int = LEAST_DOCUMENTS, levels: tuple[int, ...] = LEVELS) -> tuple[DataFrame, DataFrame]:
+    """(lang, term), stored, of the terms in at least `least` documents of a language, and (lang, source, term, count), stored, of these in each group in which they occur; docs: (lang binary, source binary, text), a row a document.
+
+    The last level of the refinement: terms are complete, and those that the levels before let through are counted by document and occurrence in each group; both counts are exact, so what filters let through too much goes here.
+    """
+    known = docs.sparkSession.sparkContext.broadcast(surviving(docs.select("lang", "text"), least, levels))
+
+    def run(columns: list[pa.Array], texts: list[bytes | None]) -> Iterator[list]:
+        words = Words.of(texts)
+        groups, names = grouped(columns)
+        lengths, plain = words.lengths(), words.distinct.cast(pa.binary())
+        number = np.int64(max(1, len(plain)))
+        for lang in {k[0] for k in names}:
+            own = np.flatnonzero(np.array([k[0] == lang for k in names])[groups[words.document]])
+            alive = np.ones(len(plain), bool)
+            before = 0
+            some = np.unique(words.term[own])
+            for k, (length, whole, prefixes) in enumerate(known.value):
+                last = k + 1 == len(known.value)
+                for bits, has, cut in ((whole, (lengths[some] > before) & (lengths[some] <= length), None), *(((prefixes, lengths[some] > length, length),) if last else ())):
+                    at = some[has]
+                    alive[at] = passing(bits, zlib.crc32(lang), (x[:cut] for x in plain.take(pa.array(at)).to_pylist()), len(at))
+                before = length
+            own = own[alive[words.term[own]]]
+            if not len(own):
+                continue
+            keys, count = np.unique(groups[words.document[own]] * number + words.term[own], return_counts=True)
+            once = distinct(words.document[own] * number + words.term[own])
+            _, docs_of = np.unique(groups[once // number] * number + once % number, return_counts=True)  # of the same keys
+            at = keys // number
+            yield [pa.array([names[g][0] for g in at], pa.binary()), pa.array([names[g][1] for g in at], pa.binary()), plain.take(pa.array(keys % number)), docs_of, count]
+
+    sums = map_texts(docs.select("lang", "source", "text"), run, "lang binary, source binary, term binary, docs long, count long").groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
+    sums = stored(sums, "candidates")
+    kept = stored(sums.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least).select("lang", "term"), "kept")
+    return kept, stored(sums.drop("docs").join(kept, ["lang", "term"], "left_semi"), "counts")
 
 
 def shares(count: Column, n: Column, v: Column) -> Column:
@@ -205,9 +282,7 @@ def source_divergence(df: DataFrame, lang: str = "lang", source: str = "source",
     groups = docs.select("lang", "source").distinct().limit(most_groups + 1).collect()
     if len(groups) > most_groups:
         raise ValueError(f"more than {most_groups} groups of language and source")
-    kept = frequent_terms(docs, least, levels)
-    kept = stored(kept, "kept")
-    counts = term_counts(docs, kept)
+    kept, counts = term_counts(docs, least, levels)
     sizes = {bytes(r["lang"]): r["v"] for r in kept.groupBy("lang").agg(F.count("*").alias("v")).collect()}
     totals = {(bytes(r["lang"]), bytes(r["source"])): r["n"] for r in counts.groupBy("lang", "source").agg(F.sum("count").alias("n")).collect()}
     names: dict[bytes, list[bytes]] = {}

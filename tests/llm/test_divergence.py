@@ -65,7 +65,7 @@ def test_all_rows_are_those_of_plain_python(spark, rows, levels):
 
 def test_small_filters_blocks_and_batches_change_nothing(spark, rows, monkeypatch):
     many = [(lang, f"{source}{k % 5}", text) for k, (lang, source, text) in enumerate(rows)]
-    for name, value in (("FILTER_BITS", 64), ("ENTRIES", 5), ("SOURCES", 3), ("TERMS", 4), ("BLOCKS", 1)):
+    for name, value in (("FILTER_BITS", 64), ("TEXT_BYTES", 300), ("ROWS", 7), ("SOURCES", 3), ("TERMS", 4), ("BLOCKS", 1)):
         monkeypatch.setattr(divergence, name, value)
     df = spark.createDataFrame(many, "lang string, source string, text string").repartition(3)
     assert made(source_divergence(df, least=4, top=3)) == brute(many, 4, 3)
