@@ -25,7 +25,7 @@ class Automaton:
     def __init__(self) -> None:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]  # of a state: by template, the first place where its strings end
+        self.ends: list[dict[int, list[int]]] = [{}]  # of a state: by template, the places where its strings end
 
     def _state(self, length: int, next_: dict[int, int], link: int) -> int:
         self.next.append(next_)
@@ -50,7 +50,7 @@ class Automaton:
 
     def _split(self, p: int, word: int, q: int) -> int:
         copy = self._state(self.len[p] + 1, dict(self.next[q]), self.link[q])
-        self.ends[copy] = dict(self.ends[q])
+        self.ends[copy] = {k: list(v) for k, v in self.ends[q].items()}
         self.link[q] = copy
         while p >= 0 and self.next[p].get(word) == q:
             self.next[p][word] = copy
@@ -62,7 +62,7 @@ class Automaton:
         for end, word in enumerate(words):
             last = v = self.extend(last, word)
             while v > 0:
-                self.ends[v].setdefault(template, end)
+                self.ends[v].setdefault(template, []).append(end)
                 v = self.link[v]
 
     def find(self, words: list[int]) -> int:
@@ -122,31 +122,40 @@ class Scanner:
         return len(words), places, self.chained(matches)
 
     def chained(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """Joins matches that lie in the same order and close together in text and template; a chain that covers enough of its template is a span."""
-        open_: dict[int, list[int]] = {}  # by template: text start, text end, template end, words covered
-        spans = []
-
-        def close(k: int) -> None:
-            start, end, _, covered = open_.pop(k)
-            label, words = self.templates[k]
-            if (share := covered / len(words)) >= LEAST_COVER:
-                spans.append((label, start, end, min(1.0, share)))
+        """Joins matches that lie in the same order and close together in text and template, by the path that covers most words; a chain that covers enough of its template is a span.
 
+        A match counts at every place of its template where its words stand. Each place continues the chain that covers most among those that end close before it in both, or begins one. Of chains of a template that overlap
+        in the text the one that covers most is told, of equal ones the earliest.
+        """
+        live: dict[int, list[tuple[int, int, int, int]]] = {}  # by template, chains that may go on: text end, template end, words covered, text start
+        found: dict[int, list[tuple[int, int, int]]] = {}  # by template, chains that cover enough: words covered, text start, text end
         for end, length, v in matches:
-            for k, at in self.automaton.ends[v].items():
+            start = end - length
+            for k, places in self.automaton.ends[v].items():
                 if k < 0:
                     continue
-                if k in open_:
-                    start0, end0, at0, covered = open_[k]
-                    over = max(0, end0 - (end - length), at0 - (at + 1 - length))  # words of both matches count once
-                    if over < length and at + 1 > at0 and end - length - end0 <= MOST_GAP and at + 1 - length - at0 <= MOST_GAP:
-                        open_[k] = [start0, end, at + 1, covered + length - over]
-                        continue
-                    close(k)
-                open_[k] = [end - length, end, at + 1, length]
-        for k in list(open_):
-            close(k)
-        return spans
+                least = LEAST_COVER * len(self.templates[k][1])
+                chains = [c for c in live.get(k, ()) if c[0] >= start - MOST_GAP]
+                new = []
+                for at in places:
+                    covered, first = length, start
+                    for end0, at0, before, first0 in chains:
+                        over = max(0, end0 - start, at0 - (at + 1 - length))  # words of both matches count once
+                        if over < length and at + 1 > at0 and at + 1 - length - at0 <= MOST_GAP and before + length - over > covered:
+                            covered, first = before + length - over, first0
+                    new.append((end, at + 1, covered, first))
+                    if covered >= least:
+                        found.setdefault(k, []).append((covered, first, end))
+                live[k] = chains + new
+        spans = []
+        for k, own in found.items():
+            label, words = self.templates[k]
+            told: list[tuple[int, int, int]] = []
+            for covered, first, end in sorted(own, key=lambda c: (-c[0], c[1], c[2])):
+                if all(end <= a or first >= b for _, a, b in told):
+                    told.append((covered, first, end))
+            spans += [(label, first, end, min(1.0, covered / len(words))) for covered, first, end in told]
+        return sorted(spans, key=lambda x: (x[1], x[2], x[0]))
 
 
 _scanner: list[Scanner] = []

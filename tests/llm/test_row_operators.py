@@ -144,6 +144,50 @@ as published by the Free Software Foundation."""
         assert scan(t)[2] == []
 
 
+@pytest.mark.parametrize("step", [4, 5, 6, 7])
+def test_templates_with_replaced_words_are_found_if_enough_is_covered(step):
+    scan, cases = licenses.scanner().scan, 0
+    for label, text in licenses.TEMPLATES:
+        words = text.split()
+        for first in range(step):
+            broken = [f"zq{i}" if i % step == first else w for i, w in enumerate(words)]
+            runs = [len(x.split()) for x in re.split(r"zq\d+", " ".join(broken))]
+            if sum(n for n in runs if n >= licenses.LEAST_MATCH) / len(words) >= licenses.LEAST_COVER:
+                spans = scan("alpha beta " + " ".join(broken) + " gamma")[2]
+                assert any(s[0] == label and s[3] >= licenses.LEAST_COVER for s in spans), (label, first)
+                cases += 1
+    assert cases > 30
+
+
+def test_chains_cover_most_among_all_places():
+    """Chains against all subsequences of matches, on a small alphabet where matches have many places."""
+    scanner = licenses.Scanner.__new__(licenses.Scanner)
+    scanner.automaton, scanner.ids, scanner.phrases = licenses.Automaton(), {}, []
+    rng = random.Random(2)
+    template = [rng.randint(0, 2) for _ in range(24)]
+    scanner.templates = [("t", template)]
+    scanner.automaton.add(0, template)
+    for _ in range(60):
+        matches, at = [], 0
+        for _ in range(rng.randint(1, 4)):
+            length, begin = rng.randint(3, 6), rng.randint(0, 18)
+            at += length + rng.randint(0, 3)
+            matches.append((at, length, scanner.automaton.find(template[begin : begin + length])))
+        places = [(end, n, p) for end, n, v in matches for p in scanner.automaton.ends[v][0]]
+        best = {}
+        for k, (end, n, p) in enumerate(places):
+            best[k] = n
+            for j, (end0, n0, p0) in enumerate(places[:k]):
+                over = max(0, end0 - (end - n), p0 + 1 - (p + 1 - n))
+                if end0 < end and over < n and p > p0 and end - n - end0 <= licenses.MOST_GAP and p - n - p0 <= licenses.MOST_GAP:
+                    best[k] = max(best[k], best[j] + n - over)
+        most = max(best.values())
+        spans = scanner.chained(matches)
+        assert bool(spans) == (most >= licenses.LEAST_COVER * 24) and all(s[3] <= 1 for s in spans)
+        if spans:
+            assert max(s[3] for s in spans) == min(1.0, most / 24)
+
+
 def test_automaton_matches_are_the_longest():
     a = licenses.Automaton()
     seqs = [[RNG.randint(0, 3) for _ in range(RNG.randint(1, 12))] for _ in range(12)]
@@ -158,8 +202,8 @@ def test_automaton_matches_are_the_longest():
                 n = a.len[v]
             v, n = (a.next[v][c], n + 1) if c in a.next[v] else (0, 0)
             assert n == max((k for k in range(i + 2) if k == 0 or tuple(text[i + 1 - k : i + 1]) in subs), default=0)
-            for t, end in a.ends[v].items():
-                assert n == 0 or seqs[t][end + 1 - n : end + 1] == text[i + 1 - n : i + 1]
+            for t in range(len(seqs)) if n else ():
+                assert sorted(a.ends[v].get(t, [])) == [end for end in range(len(seqs[t])) if end + 1 >= n and seqs[t][end + 1 - n : end + 1] == text[i + 1 - n : i + 1]]
 
 
 @pytest.mark.parametrize("n", [64, 128, 176, 184, 16384, 16384 + 64, 16384 * 9 + 64, 64 * 257])
