@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.llm.common import by_bytes, map_rows, marked, release, stored, table
+from orbitloom.llm.common import by_bytes, marked, release, stored, table
 
 #: What the cells are made of.
 DIMENSIONS = ("source", "lang", "topic")
@@ -24,27 +24,39 @@ FEW = 8
 TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 #: Tokens to keep, as a share of all.
 BUDGET = 0.7
-#: Leading bytes of a word that its hash reads, beside its length.
-LEADING = 6
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint32)
+_LOWER = np.arange(256)
 _LOWER[65:91] += 32
+#: A number for each byte, and the base of the polynomial that hashes a word, with its inverse modulo 2^64.
+_LETTERS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[str, np.ndarray] = {"base": np.ones(1, np.uint64), "inverse": np.ones(1, np.uint64)}
+
+
+def powers(name: str, number: int) -> np.ndarray:
+    """The first powers, kept for texts to come up to a bound."""
+    held = _POWERS[name]
+    if len(held) < number:
+        factors = np.full(number, _BASE if name == "base" else pow(_BASE, -1, 1 << 64), np.uint64)
+        factors[0] = 1
+        held = np.cumprod(factors)
+        if number <= 1 << 20:
+            _POWERS[name] = held
+    return held[:number]
 
 
 def profile(text: str) -> tuple[int, bytes]:
-    """The number of words of a whole text between white space of ASCII, and how many of them, up to 255, fall into each of BINS by a hash of their beginning and length."""
+    """The number of words of a whole text between white space of ASCII, and how many of them fall into each of BINS by a hash of the whole word with A-Z in lower case: BINS unsigned 32-bit numbers."""
     data = np.frombuffer(text.encode(), np.uint8)
     blank = np.concatenate([[True], _BLANK[data], [True]])
     edges = np.flatnonzero(blank[1:] != blank[:-1])
     start, end = edges[::2], edges[1::2]
-    h = (end - start).astype(np.uint32)
-    for k in range(LEADING):
-        at = start + k
-        h = h * np.uint32(0x01000193) + np.where(at < end, _LOWER[data[np.minimum(at, end - 1)]], np.uint32(0))
-    bins = (h ^ h >> np.uint32(15)) * np.uint32(0x9E3779B1) >> np.uint32(24)
-    return len(start), np.minimum(np.bincount(bins, minlength=BINS), 255).astype(np.uint8).tobytes()
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTERS[data] * powers("base", len(data)))]) if len(data) else np.zeros(1, np.uint64)
+    h = (sums[end] - sums[start]) * powers("inverse", len(data) + 1)[start] if len(start) else sums[:0]  # as if each word began the text
+    bins = ((h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(56)).astype(np.int64)
+    return len(start), np.bincount(bins, minlength=BINS).astype("<u4").tobytes()
 
 
 @dataclass
@@ -55,14 +67,18 @@ class Topics:
     centres: np.ndarray  # topics, bins; unit rows
 
     def vectors(self, profiles: list[bytes]) -> np.ndarray:
-        x = np.log1p(np.frombuffer(b"".join(profiles), np.uint8).reshape(-1, BINS).astype(float)) * self.rarity
+        x = np.log1p(np.frombuffer(b"".join(profiles), "<u4").reshape(-1, BINS).astype(float)) * self.rarity
         return x / np.maximum(np.sqrt((x * x).sum(1)), 1e-300)[:, None]
 
     def of(self, profiles: list[bytes]) -> np.ndarray:
         return (self.vectors(profiles) @ self.centres.T).argmax(1)
 
-    def name(self, tokens: int, own: bytes) -> str:
-        return f"topic {self.of([own])[0]}" if tokens and len(self.centres) else "empty"
+    def names(self, profiles: list[bytes]) -> list[str]:
+        """Of documents with words; the others are empty."""
+        if not profiles or not len(self.centres):
+            return ["empty"] * len(profiles)
+        some = np.frombuffer(b"".join(profiles), "<u4").reshape(-1, BINS).any(1)
+        return [f"topic {k}" if x else "empty" for k, x in zip(self.of(profiles).tolist(), some.tolist(), strict=True)]
 
 
 def summed(profiles: DataFrame, add: Callable[[list[bytes]], np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
@@ -94,7 +110,7 @@ def fitted_topics(profiles: DataFrame, topics: int = TOPICS, rounds: int = ROUND
     seeds = [bytes(r["profile"]) for r in some.distinct().orderBy(F.xxhash64("profile"), "profile").limit(topics).collect()]
     if not seeds:
         return Topics(np.ones(BINS), np.zeros((0, BINS)))
-    counts = summed(some, lambda own: np.r_[(np.frombuffer(b"".join(own), np.uint8).reshape(-1, BINS) > 0).sum(0), len(own)], (BINS + 1,))
+    counts = summed(some, lambda own: np.r_[(np.frombuffer(b"".join(own), "<u4").reshape(-1, BINS) > 0).sum(0), len(own)], (BINS + 1,))
     found = Topics(np.log((2 + counts[-1]) / (1 + counts[:-1])), np.zeros((0, BINS)))
     found.centres = found.vectors(seeds)
 
@@ -226,29 +242,29 @@ def mixed(df: DataFrame, text: str, keep: list[str], targets: dict | None = None
 
     Topics are fitted to all documents. Tokens are summed by cell (source, language, topic), whatever number of them there is, and the cells are raked on the driver and broadcast back, or past CELLS of them as a stored table.
     A row is kept if a hash of its `order` value, uniform in 0 to 1, is under its probability, so equal ids share a fate. A null source or language is a category of its
-    own, a null text is empty; rows without tokens count nothing in the marginals and get their cell's probability, or 1 if the cell has no tokens. An empty table stays empty. Columns of any other names pass through.
+    own, a null text is empty, a very long one is read whole; rows without tokens count nothing in the marginals and get their cell's probability, or 1 if the cell has no tokens. An empty table stays empty. Columns of any other names pass through.
     """
     spark, m = df.sparkSession, marked([*keep, text])
     targets = {d: named((targets or TARGETS)[d]) for d in DIMENSIONS}
     by_bytes(spark)
-    own = map_rows(df.select(category("source").alias("source"), category("lang").alias("lang"), F.col(text).alias("text")), lambda: lambda row: [(*row[:2], *profile(row[2] or ""))], "source string, lang string, tokens long, profile binary")
-    own = stored(own, "profiles")
-    topics = spark.sparkContext.broadcast(fitted_topics(own))
-    cells = map_rows(own.filter("tokens > 0"), lambda: lambda row: [(*row[:2], topics.value.name(*row[2:]), row[2])], "source string, lang string, topic string, tokens long")
-    cells = stored(cells.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
 
-    def make() -> Callable[[tuple], Iterable[tuple]]:
-        name = topics.value.name
+    @F.arrow_udf("struct<tokens: long, profile: binary>")
+    def profiled(texts: pa.Array) -> pa.Array:
+        found = [profile(t or "") for at in range(0, len(texts), 64) for t in texts.slice(at, 64).to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], ["tokens", "profile"])
 
-        def row(values: tuple) -> Iterable[tuple]:
-            tokens, hashed = profile(values[-1] or "")
-            yield *values[:-1], tokens, name(tokens, hashed)
+    # texts go to Python once, and only their profiles come back
+    rows = df.select(*keep, profiled(text).alias(f"{m}own")).select(*keep, F.col(f"{m}own.tokens").alias(f"{m}tokens"), F.col(f"{m}own.profile").alias(f"{m}profile"))
+    rows = stored(rows, "profiles")
+    topics = spark.sparkContext.broadcast(fitted_topics(rows.select(F.col(f"{m}tokens").alias("tokens"), F.col(f"{m}profile").alias("profile"))))
 
-        return row
+    @F.arrow_udf("string")
+    def topic(profiles: pa.Array) -> pa.Array:
+        return pa.array([x for at in range(0, len(profiles), 1024) for x in topics.value.names(profiles.slice(at, 1024).to_pylist())], pa.string())
 
-    kinds = dict(df.dtypes)
-    rows = map_rows(df.select(*keep, text), make, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"{m}tokens long, {m}topic string"]))
-    rows = rows.withColumns({f"{m}source": category("source"), f"{m}lang": category("lang")})
+    rows = rows.withColumns({f"{m}source": category("source"), f"{m}lang": category("lang"), f"{m}topic": topic(f"{m}profile")}).drop(f"{m}profile")
+    cells = rows.filter(F.col(f"{m}tokens") > 0).groupBy(*(F.col(m + d).alias(d) for d in DIMENSIONS)).agg(F.sum(f"{m}tokens").alias("tokens"))
+    cells = stored(cells, "cells")
     dims, sent = [m + d for d in DIMENSIONS], {c: m + c for c in (*DIMENSIONS, "weight", "probability")}
     if cells.count() <= CELLS:
         joined = rows.join(F.broadcast(planned(cells, targets, budget).drop("tokens").withColumnsRenamed(sent)), dims, "left")

@@ -262,10 +262,16 @@ def fitted(vectors: DataFrame, asked: DataFrame, n: int, k: int) -> Hashes:
 
 
 def usable(df: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the vectors that take part: not null, not zero, all components finite, and as long as most vectors are. Components keep their precision."""
+    """(vec_id, embedding) of the vectors that take part: not null, not zero, all components finite, and as long as most vectors are. Components keep their precision; vectors of extreme size (beyond 2^300 or under 2^-300) are scaled by a power of two."""
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
     kind = "array<float>" if dict(df.dtypes)["embedding"] == "array<float>" else "array<double>"
     df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding")).filter("vec_id is not null and size(embedding) > 0").filter(whole)
+    if kind == "array<double>":
+        # squares of the smallest and largest doubles vanish or overflow; a power of two changes no cosine. It is multiplied in two steps, as it may be too large itself
+        power = -F.floor(F.log2(F.array_max(F.transform("embedding", lambda x: F.abs(x))))).cast("int")
+        half = F.floor(power / 2).cast("int")
+        scaled = F.transform("embedding", lambda x: x * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), power - half))
+        df = df.withColumn("embedding", F.when(F.abs(power) > 300, scaled).otherwise(F.col("embedding")))
     common = df.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return df.filter(F.size("embedding") == (common["n"] if common else 0))
 
