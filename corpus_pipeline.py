@@ -39,8 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data in all texts by its kind and counts their characters anew; no document goes."""
-    return mask_personal_data(docs, "text").withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
+    """Replaces personal data in all texts by its kind and counts their characters anew, where documents have such a count; no document goes."""
+    masked = mask_personal_data(docs, "text")
+    return masked.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"])) if "n_chars" in docs.columns else masked
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
