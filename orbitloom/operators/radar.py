@@ -32,6 +32,11 @@ def drop_empty(rows: DataFrame) -> DataFrame:
     return rows.join(some.select("tile_id", "obs_date", "orbit"), ["tile_id", "obs_date", "orbit"], "left_semi")
 
 
+def seen_groups(db: DataFrame) -> DataFrame:
+    """(tile_id, obs_date, orbit) of the groups with a value somewhere: those that drop_empty() keeps of either mosaic, as a mosaic has a value where one of its scenes has."""
+    return db.groupBy("tile_id", "obs_date", "orbit").agg(F.max(F.greatest("vv", "vh")).alias("most")).filter("most > 0").select("tile_id", "obs_date", "orbit")
+
+
 def s1_cube(mosaics: DataFrame) -> DataFrame:
     """(tile_id, orbit_dir, orbit, obs_date, doy, y, x, vv, vh)."""
     return mosaics.select("tile_id", orbit_direction(F.col("orbit")).alias("orbit_dir"), "orbit", "obs_date", day_of_year(F.col("obs_date")).alias("doy"), "y", "x", F.col("vv").cast("smallint").alias("vv"), F.col("vh").cast("smallint").alias("vh"))

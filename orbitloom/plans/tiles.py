@@ -68,8 +68,7 @@ def tile_facts(obs: Observations, tiles: DataFrame, pending: DataFrame, roi: Dat
     # pixels without a valid scene show scene 0, on all dates
     zero = pending.select(*KEYS).join(times.select("tile_id", "obs_date"), "tile_id").withColumn("item_ord", F.lit(0))
     scenes = picked.join(pending.select(*KEYS), KEYS, "left_semi").select(*KEYS, "obs_date", "item_ord").unionByName(zero).distinct()
-    groups = radar.decibels(obs.radar, roi).groupBy("tile_id", "obs_date", "orbit").agg(F.max(F.greatest("vv", "vh")).alias("most")).filter("most > 0")
-    groups = groups.select("tile_id", orbit_direction(F.col("orbit")).alias("orbit_dir"), "orbit", "obs_date", day_of_year(F.col("obs_date")).alias("doy"))
+    groups = radar.seen_groups(radar.decibels(obs.radar, roi)).select("tile_id", orbit_direction(F.col("orbit")).alias("orbit_dir"), "orbit", "obs_date", day_of_year(F.col("obs_date")).alias("doy"))
     line = stored(radar.timeline(groups, tiles), "line")
     days = stored(pixels.days_of(times, "days2").join(pixels.days_of(line, "days1"), "tile_id"), "days")
     return Facts(times, line, days, stored(scenes, "scenes"), cells.filter("is_water").select("tile_id", "y", "x") if choices.water else None)

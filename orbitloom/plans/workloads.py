@@ -23,8 +23,10 @@ def optical_composite(obs: DataFrame, totals: DataFrame, roi: DataFrame | None =
 
 
 def radar_composite(sar_obs: DataFrame, roi: DataFrame | None = None, last: bool = False) -> DataFrame:
+    """s1 cube; empty groups are told by a light grouping before the mosaic, which is made once."""
     db = radar.decibels(sar_obs, roi)
-    return radar.s1_cube(radar.drop_empty(radar.mosaic_last(db) if last else radar.mosaic_mean(db)))
+    some = db.join(radar.seen_groups(db), ["tile_id", "obs_date", "orbit"], "left_semi")
+    return radar.s1_cube(radar.mosaic_last(some) if last else radar.mosaic_mean(some))
 
 
 def granule_composite(spark: SparkSession, feed: str, base: str, pixels_: DataFrame) -> DataFrame:
