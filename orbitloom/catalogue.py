@@ -69,7 +69,7 @@ TABLES |= {
         ") s2_any from s2 group by all) p left join (select tile_id, y, x, count(*) filter (orbit_dir = 'ascending' and (vv <> 0 or vh <> 0)) s1_asc, count(*) "
         "filter (orbit_dir = 'descending' and (vv <> 0 or vh <> 0)) s1_desc from s1 group by all) r using (tile_id, y, x)", ("s2", "s1")),
     "dry": (
-        "select c.tile_id, c.y, c.x from counts c join water w on w.tile_id = c.tile_id and w.y20 = c.y and w.x20 = c.x where s2_any and s2_valid >= 60 and s1_asc + s1_desc >= 20 and not is_water", ("counts", "water")),
+        "select c.tile_id, c.y, c.x from counts c join water w on w.tile_id = c.tile_id and w.y20 = c.y and w.x20 = c.x where s2_any and s2_valid >= 45 and s1_asc + s1_desc >= 140 and not is_water", ("counts", "water")),
     "emb": ("select vec_id, cast(vec_id % 4 as int) tile_id, cast(floor(vec_id / 64) as int) y, cast(floor(vec_id / 4) % 16 as int) x, list_transform(embedding, lambda v: v::double) emb, label from embeddings", ()),
     "quant": (
         "select vec_id, tile_id, y, x, label, scale, list_transform(emb, lambda v: greatest(least(round_even(v / scale, 0), 127), -128)::int) q from "
@@ -590,6 +590,46 @@ def resample_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return resample.resample(first_bands(spark, sf), ["tile_id", "obs_date"], "v", tiles, "cubic").withColumn("v", F.round("v", 5))
 
 
+def warp_sql(source: str, keys: str, values: dict[str, str], one: str, low: int, high: int, where: str = "") -> str:
+    """The values of each scene on the target grid, each target pixel with every source pixel of its window; values: columns of the result by the columns that they are made from, with @ for the weighted mean."""
+    k = f"(select unnest(range({low}, {high + 1})) k)"
+    w = f"select y, x, (floor(py) + a.k)::int sy, (floor(px) + b.k)::int sx, {one.replace('@', '(py - floor(py) - a.k)')} * {one.replace('@', '(px - floor(px) - b.k)')} w from ({_PLACES}) p, {k} a, {k} b"
+    made = ", ".join(f"{how.replace('@', f'(sum(w * {v}) / sum(w))')} {v}" for v, how in values.items())
+    return f"select {keys}, w.y, w.x, {made} from ({w}) w join ({source}) f on f.y = w.sy and f.x = w.sx where w <> 0 group by {keys}, w.y, w.x having sum(w) >= 0.2"
+
+
+#: The tables for scenes that are first brought to the target grid of their tile.
+_NEAR = f"select tile_id, obs_date, item_ord, p.y y20, p.x x20, scl from ({_PLACES}) p join ({TABLES['scl_obs'][0]}) s on s.y20 = floor(py + 0.5) and s.x20 = floor(px + 0.5)"
+WARPED = {
+    "band_obs": (warp_sql(TABLES["band_obs"][0], "tile_id, obs_date, item_ord", dict.fromkeys(B, "cast(greatest(least(floor(@ + 0.5), 65535), 0) as int)"), _CUBIC, -1, 2), ()),
+    "scl_obs": (_NEAR, ()),
+    "sar_obs": (warp_sql(TABLES["sar_obs"][0], "tile_id, orbit, obs_date, item_ord", {"vv": "@", "vh": "@"}, "greatest(1 - abs(@), 0)", 0, 1), ()),
+    "obs": (
+        f"select coalesce(b.tile_id, s.tile_id) tile_id, coalesce(b.obs_date, s.obs_date) obs_date, coalesce(b.item_ord, s.item_ord) item_ord, coalesce(b.y, s.y20) y, coalesce(b.x, s.x20) x, coalesce(s.scl, 0) scl, {', '.join(f'coalesce({b}, 0) {b}' for b in B)} "
+        "from band_obs b full join scl_obs s on b.tile_id = s.tile_id and b.obs_date = s.obs_date and b.item_ord = s.item_ord and b.y = s.y20 and b.x = s.x20", ("band_obs", "scl_obs")),
+    "cov": ("select tile_id, obs_date, count(*) selected, 100.0 * count(*) / 144 coverage, 100.0 * count(*) / 144 >= 70 kept from sel group by all", ("sel",)),
+}
+
+
+def warp_grids(spark: SparkSession, sf: str) -> DataFrame:
+    return resample.grids(view(spark, sf, "tiles").select("tile_id"), SOURCE, TARGET)
+
+
+@query(f"select tile_id, obs_date, doy, y, x, mask, {', '.join(B)} from s2", "s2", swap=WARPED)
+def warped_composite(spark: SparkSession, sf: str) -> DataFrame:
+    """Scenes on a grid of their own become a composite on the tile's: bands by cubic kernels, classes by the nearest cell."""
+    grids = warp_grids(spark, sf)
+    obs = workloads.warped_observations(bands(spark, sf), view(spark, sf, "scl_obs"), grids, grids)
+    s2 = workloads.optical_composite(obs, grids.select("tile_id", (F.col("to_height") * F.col("to_width")).alias("total")), least=COVERAGE)
+    return flat_bands(s2.withColumn("mask", F.col("mask").cast("int")), "tile_id", "obs_date", "doy", "y", "x", "mask")
+
+
+@query("select tile_id, orbit_dir, orbit, obs_date, doy, y, x, vv, vh from s1", "s1", swap=WARPED)
+def warped_radar(spark: SparkSession, sf: str) -> DataFrame:
+    """Amplitudes of the second source brought to the tile's grid by bilinear weights, then the mosaic."""
+    return workloads.radar_composite(workloads.warped_radar(view(spark, sf, "sar_obs"), warp_grids(spark, sf))).withColumns({p: F.col(p).cast("int") for p in ("vv", "vh")})
+
+
 _RUN_B = "select vec_id, list_transform(q, lambda v, i: case when (vec_id + i) % 9 = 0 then greatest(v - 1, -128) else v end) q, scale from quant"
 
 
@@ -926,8 +966,8 @@ def embed_tiles(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(vectors_sql("semi join dry using (tile_id, y, x)"), "s2", "times", "radar_number", "dry", swap=REGION)
 def embed_tiles_dry(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors of a region without its water, of pixels with at least 60 valid optical and 20 valid radar times; coverage counts the region alone."""
+    """Vectors of a region without its water, of pixels with at least 45 valid optical and 140 valid radar times; coverage counts the region alone."""
     path, manifest, tiles = new_path(spark, "vectors"), new_path(spark, "manifest"), view(spark, sf, "tiles").select("tile_id", "height", "width")
-    choices = Choices(least=COVERAGE, slots=SLOTS, water=True, least_s2=60, least_s1=20, batch=40)
+    choices = Choices(least=COVERAGE, slots=SLOTS, water=True, least_s2=45, least_s1=140, batch=40)
     embed_observations(observation_store(spark, sf), tiles, path, manifest, lambda: embed.linear_model(_DIMENSIONS), choices, view(spark, sf, "roi"))
     return stored_vectors(spark, path)

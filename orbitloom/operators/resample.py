@@ -41,17 +41,18 @@ def weights(tiles: DataFrame, axis: str, kind: str) -> DataFrame:
     return own.filter((F.col("from") >= 0) & (F.col("from") < F.col(length)) & (F.col("w") != 0)).select("tile_id", "place", "from", "w")
 
 
-def resample(pixels: DataFrame, keys: list[str], value: str, tiles: DataFrame, kind: str = "nearest") -> DataFrame:
-    """(keys, y, x, value) on each tile's target grid; keys hold tile_id, and tiles (tile_id and both grids, see GRID) has one row a tile. A target pixel that reads no source pixel has no row, and a tile without grids has none.
+def resample(pixels: DataFrame, keys: list[str], values: str | list[str], tiles: DataFrame, kind: str = "nearest") -> DataFrame:
+    """(keys, y, x, values) on each tile's target grid; keys hold tile_id, and tiles (tile_id and both grids, see GRID) has one row a tile. A target pixel that reads no source pixel has no row, and a tile without grids has none. Values of a row
+    are all there or all null; null counts as no row.
 
     Rows are weighted first: that makes a value for each target row and source column, of which the columns' weights then make the result. So a source pixel is sent to the few target rows that read it, and what these have summed to the few target
     columns, in place of once for each pair of both. Both sums are made where the target rows are: rows are moved once. The weight that has a row is summed along with the values.
     """
+    values = [values] if isinstance(values, str) else values
     y, x = (weights(tiles, a, kind).withColumnRenamed("place", f"_{a}") for a in "yx")
-    rows = pixels.join(y.withColumnRenamed("from", "y"), ["tile_id", "y"])
+    rows = pixels.filter(F.col(values[0]).isNotNull()).join(y.withColumnRenamed("from", "y"), ["tile_id", "y"])
     if kind == "nearest":
-        return rows.join(x.withColumnRenamed("from", "x").drop("w"), ["tile_id", "x"]).select(*keys, F.col("_y").alias("y"), F.col("_x").alias("x"), value)
-    known = F.when(F.col(value).isNotNull(), F.col("w"))
-    rows = rows.repartition(*keys, "_y").groupBy(*keys, "_y", "x").agg(F.sum(F.col("w") * F.col(value)).alias("_v"), F.sum(known).alias("_s"))
-    sums = rows.join(x.withColumnRenamed("from", "x"), ["tile_id", "x"]).groupBy(*keys, "_y", "_x").agg(F.sum(F.col("w") * F.col("_v")).alias("_v"), F.sum(F.col("w") * F.col("_s")).alias("_s"))
-    return sums.filter(F.col("_s") >= LEAST_WEIGHT).select(*keys, F.col("_y").alias("y"), F.col("_x").alias("x"), (F.col("_v") / F.col("_s")).alias(value))
+        return rows.join(x.withColumnRenamed("from", "x").drop("w"), ["tile_id", "x"]).select(*keys, F.col("_y").alias("y"), F.col("_x").alias("x"), *values)
+    rows = rows.repartition(*keys, "_y").groupBy(*keys, "_y", "x").agg(*(F.sum(F.col("w") * F.col(v)).alias(v) for v in values), F.sum("w").alias("_s"))
+    sums = rows.join(x.withColumnRenamed("from", "x"), ["tile_id", "x"]).groupBy(*keys, "_y", "_x").agg(*(F.sum(F.col("w") * F.col(v)).alias(v) for v in values), F.sum(F.col("w") * F.col("_s")).alias("_s"))
+    return sums.filter(F.col("_s") >= LEAST_WEIGHT).select(*keys, F.col("_y").alias("y"), F.col("_x").alias("x"), *((F.col(v) / F.col("_s")).alias(v) for v in values))

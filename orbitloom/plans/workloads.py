@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitloom.functions.constants import LEAST_COVERAGE, LEAST_VALID, SAMPLES
-from orbitloom.operators import cloudmask, embed, optical, pixels, radar, scenes
+from orbitloom.functions.constants import BANDS, LEAST_COVERAGE, LEAST_VALID, SAMPLES
+from orbitloom.operators import cloudmask, embed, optical, pixels, radar, resample, scenes
 from orbitloom.plans.tiles import Choices, embed_observations
 from orbitloom.sources.catalogues import read_granule_feed
 from orbitloom.sources.observations import Observations
@@ -29,6 +29,22 @@ def radar_composite(sar_obs: DataFrame, roi: DataFrame | None = None, last: bool
     return radar.s1_cube(radar.mosaic_last(some) if last else radar.mosaic_mean(some))
 
 
+def warped_observations(band_obs: DataFrame, scl_obs: DataFrame, band_grids: DataFrame, class_grids: DataFrame) -> DataFrame:
+    """Observations (tile_id, obs_date, item_ord, y, x, scl, bands) on each tile's own grid, from scenes on theirs: bands (band_obs with y, x and an array) by cubic kernels, rounded to 16 bits, classes (scl_obs with y20, x20) by the nearest cell.
+    The grids are tables of tiles (see resample.GRID) that end on the same target. A scene of which a pixel has only one of both counts as with_classes() says."""
+    scene, names = ["tile_id", "obs_date", "item_ord"], [f"_b{i}" for i in range(len(BANDS))]
+    flat = band_obs.select(*scene, "y", "x", *(F.get("bands", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)))
+    warped = resample.resample(flat, scene, names, band_grids, "cubic")
+    whole = (F.greatest(F.least(F.floor(F.col(n) + 0.5), F.lit(65535)), F.lit(0)).cast("int") for n in names)
+    classes = resample.resample(scl_obs.withColumnsRenamed({"y20": "y", "x20": "x"}), scene, "scl", class_grids).withColumnsRenamed({"y": "y20", "x": "x20"})
+    return optical.with_classes(warped.select(*scene, "y", "x", F.array(*whole).alias("bands")), classes, ratio=1)
+
+
+def warped_radar(sar_obs: DataFrame, grids: DataFrame, kind: str = "bilinear") -> DataFrame:
+    """Amplitudes (tile_id, orbit, obs_date, item_ord, y, x, vv, vh) on each tile's own grid: nearest in the first source, bilinear in the second."""
+    return resample.resample(sar_obs, ["tile_id", "orbit", "obs_date", "item_ord"], ["vv", "vh"], grids, kind)
+
+
 def granule_composite(spark: SparkSession, feed: str, base: str, pixels_: DataFrame) -> DataFrame:
     """s1 cube of the second radar source, from a folder of feed pages: granules get addresses and a place in the reversed order of the feed, their pixels (item_id, tile_id, orbit, y, x, vv, vh) are joined by the name of the file, and of a date and orbit
     the last scene with a value wins. Granules without pixels and pixels without a granule have no row."""
