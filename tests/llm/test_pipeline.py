@@ -68,3 +68,47 @@ def test_registered_queries_count_every_row(spark, folder):
     n = spark.read.parquet(f"{folder}/documents.parquet").count()
     for name in ("op1_transport_stream", "op2_sharding", "op3_jaccard_join", "op6_toxicity", "op7_mixing", "op8_personal_data", "op9_token_counts", "op10_license_scan"):
         assert queries.QUERIES[name](spark, folder).count() == n, name
+
+
+def test_near_duplicates_are_those_of_brute_force(spark):
+    """Five words and a similarity of 0.8, against all pairs of texts: one row of each group stays, that of the smallest id."""
+    rng = random.Random(17)
+    texts = []
+    for _ in range(40):
+        base = [rng.choice(WORDS) for _ in range(rng.choice([3, 8, 40, 90]))]
+        texts.append(base)
+        for _ in range(rng.randint(0, 3)):
+            near = list(rng.choice(texts[-3:]))
+            for _ in range(rng.randint(0, 3)):
+                near[rng.randrange(len(near))] = rng.choice(WORDS)
+            texts.append(near)
+    rows = [(k, " ".join(t), "en", "s", 0) for k, t in enumerate(texts)] + [(900, None, "en", "s", 0), (901, "", "en", "s", 0), (902, " ", "en", "s", 0)]
+    rng.shuffle(rows)
+
+    def shingles(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+    sets = {k: shingles(t) for k, t, *_ in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    links = 0
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+                links += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert kept == sorted(k for k in sets if find(k) == k) and links > 15 and len(kept) < len(rows) - 10
+
+
+def test_documents_need_no_count_of_characters(spark):
+    docs = spark.createDataFrame([(1, "write a.b@c-d.example.com now", "en", "s")], "doc_id long, text string, lang string, source string")
+    assert [tuple(r) for r in corpus_pipeline.personal_data(spark, docs, "").collect()] == [(1, "write [EMAIL] now", "en", "s")]
