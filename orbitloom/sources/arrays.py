@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 FORMATS = {"bands": "<u2", "masks": "|u1", "doys": "<u2", "sar_ascending": "<i2", "sar_ascending_doy": "<i2", "sar_descending": "<i2", "sar_descending_doy": "<i2", "mask_optimized": "|u1"}
 #: Places of an array that are read at once, and rows of an image that are gathered at once for a file.
 ROWS, STRIP = 65_536, 256
+#: Zero bytes that are written at once.
+ZEROS = 1 << 20
 
 
 def npy_header(shape: tuple[int, ...], dtype: str) -> bytes:
@@ -121,7 +123,7 @@ def strips(rows: DataFrame, value: str, height: int, width: int, dtype: str, cha
 
 
 def array_files(rows: DataFrame, name: str, value: str, height: int, width: int, dtype: str, channels: int = 0) -> DataFrame:
-    """(tile, name, part, bytes): the pieces of a tile's file in order, part -1 its header; a sink writes them one after the other and never holds a whole tile. Strips that no pixel is in are zeros."""
+    """(tile, name, part, bytes, zeros): the pieces of a tile's file in order, part -1 its header; a sink writes them one after the other and never holds a whole tile. Strips that no pixel is in are told by their number of zero bytes alone."""
     each, shape = -(-height // STRIP), (height, width, channels) if channels else (height, width)
     counts = rows.groupBy("tile").agg((F.max("t") + 1).alias("n"))
 
@@ -133,8 +135,8 @@ def array_files(rows: DataFrame, name: str, value: str, height: int, width: int,
     own = strips(rows, value, height, width, dtype, channels)
     every = counts.select("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") * each - 1)).alias("part"))
     size = F.when(F.col("part") % each == each - 1, height - (each - 1) * STRIP).otherwise(STRIP) * int(np.prod(shape[1:])) * np.dtype(dtype).itemsize
-    zeros = every.join(own.select("tile", "part"), ["tile", "part"], "left_anti").select("tile", "part", F.unhex(F.repeat(F.lit("00"), size)).alias("bytes"))
-    return own.unionByName(heads).unionByName(zeros).select("tile", F.lit(name).alias("name"), "part", "bytes")
+    zeros = every.join(own.select("tile", "part"), ["tile", "part"], "left_anti").select("tile", "part", F.lit(b"").alias("bytes"), size.cast("long").alias("zeros"))
+    return own.unionByName(heads).withColumn("zeros", F.lit(0).cast("long")).unionByName(zeros).select("tile", F.lit(name).alias("name"), "part", "bytes", "zeros")
 
 
 def write_array_files(parts: DataFrame, folder: str) -> DataFrame:
@@ -156,19 +158,21 @@ def write_array_files(parts: DataFrame, folder: str) -> DataFrame:
 
         mark = ""
         for frame in frames:
-            for tile, name, data in zip(frame["tile"], frame["name"], frame["bytes"], strict=True):
+            for tile, name, data, zeros in zip(frame["tile"], frame["name"], frame["bytes"], frame["zeros"], strict=True):
                 if (tile, name) != key:
                     close()
                     key, size, mark = (tile, name), 0, f".{name}-{uuid.uuid4().hex}"
                     store.create_dir(f"{root}/{tile}", recursive=True)
                     open_ = store.open_output_stream(f"{root}/{tile}/{mark}")
                 open_.write(data)
-                size += len(data)
+                for at in range(0, zeros, ZEROS):
+                    open_.write(bytes(min(ZEROS, zeros - at)))
+                size += len(data) + zeros
         close()
         yield pd.DataFrame(out, columns=["tile", "name", "size"])
 
     ordered = parts.repartition("tile", "name").sortWithinPartitions("tile", "name", "part")
-    return ordered.select("tile", "name", "bytes").mapInPandas(run, "tile string, name string, size long")
+    return ordered.select("tile", "name", "bytes", "zeros").mapInPandas(run, "tile string, name string, size long")
 
 
 def write_cube_npy(s2: DataFrame, s1: DataFrame, folder: str, height: int, width: int) -> DataFrame:
@@ -182,7 +186,7 @@ def write_cube_npy(s2: DataFrame, s1: DataFrame, folder: str, height: int, width
                 data = [npy_header((len(d),), FORMATS[name]) + np.asarray(d).astype(FORMATS[name]).tobytes() for d in frame["doys"]]
                 yield pd.DataFrame({"tile": frame["tile"], "name": name, "part": 0, "bytes": data})
 
-        return lists.mapInPandas(run, "tile string, name string, part long, bytes binary")
+        return lists.mapInPandas(run, "tile string, name string, part long, bytes binary").withColumn("zeros", F.lit(0).cast("long"))
 
     def cube(rows: DataFrame, name: str, value: str, channels: int = 0) -> DataFrame:
         return array_files(rows, name, value, height, width, FORMATS[name], channels)
