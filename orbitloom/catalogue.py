@@ -971,3 +971,18 @@ def embed_tiles_dry(spark: SparkSession, sf: str) -> DataFrame:
     choices = Choices(least=COVERAGE, slots=SLOTS, water=True, least_s2=45, least_s1=140, batch=40)
     embed_observations(observation_store(spark, sf), tiles, path, manifest, lambda: embed.linear_model(_DIMENSIONS), choices, view(spark, sf, "roi"))
     return stored_vectors(spark, path)
+
+
+@query(
+    "select t.tile_id, pixels, round(water_pct, 6) water_pct, coalesce(dates_kept, 0) dates_kept, coalesce(asc_passes, 0) asc_passes, coalesce(desc_passes, 0) desc_passes, coalesce(valid_pixels, 0) valid_pixels from "
+    "(select tile_id, count(*) pixels, 100.0 * count(*) filter (is_water) / count(*) water_pct from water group by 1) t left join (select tile_id, count(*) dates_kept from times group by 1) d using (tile_id) left join "
+    "(select tile_id, count(*) filter (orbit_dir = 'ascending') asc_passes, count(*) filter (orbit_dir = 'descending') desc_passes from line group by 1) l using (tile_id) left join "
+    "(select c.tile_id, count(*) valid_pixels from counts c join water w on w.tile_id = c.tile_id and w.y20 = c.y and w.x20 = c.x where s2_any and not is_water group by 1) v using (tile_id)",
+    "water", "times", "line", "counts",
+)
+def embed_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What a run over all tiles in two waves says of them: counted by its own passes, no table is read again for it."""
+    path, manifest, report, tiles = (*(new_path(spark, n) for n in ("vectors", "manifest", "report")), view(spark, sf, "tiles").select("tile_id", "height", "width"))
+    choices = Choices(least=COVERAGE, slots=SLOTS, water=True, wave=2)
+    embed_observations(observation_store(spark, sf), tiles, path, manifest, lambda: embed.linear_model(_DIMENSIONS), choices, report=report)
+    return spark.read.parquet(report).withColumn("water_pct", F.round("water_pct", 6))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -203,8 +203,8 @@ def write_cube_npy(s2: DataFrame, s1: DataFrame, folder: str, height: int, width
     return write_array_files(total, folder)
 
 
-def write_embeddings(rows: DataFrame, path: str, mode: str = "int8", block: int = 1024) -> None:
-    """Writes (tile_id, y, x, emb) by tile and block: int8 as q and scale, float16 as rounded floats, float32 as floats. Blocks that were written before are replaced, others stay."""
+def write_embeddings(rows: DataFrame, path: str, mode: str = "int8", block: int = 1024, watched: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Writes (tile_id, y, x, emb) by tile and block: int8 as q and scale, float16 as rounded floats, float32 as floats. Blocks that were written before are replaced, others stay. `watched` may observe what is written, rows with block_y and block_x."""
     from orbitloom.functions.scalars import block_of, float16_round
     from orbitloom.operators.embed import quantised
 
@@ -218,4 +218,4 @@ def write_embeddings(rows: DataFrame, path: str, mode: str = "int8", block: int
         rows = rows.withColumn("emb", F.col("emb").cast("array<float>"))
     else:
         raise ValueError(mode)
-    rows.repartition("tile_id", "block_y", "block_x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_id", "block_y", "block_x").parquet(path)
+    watched(rows.repartition("tile_id", "block_y", "block_x")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tile_id", "block_y", "block_x").parquet(path)

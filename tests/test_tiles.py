@@ -56,7 +56,7 @@ def test_a_broken_run_keeps_the_batches_before(spark, store, tmp_path):
     def bad_model():  # a run that breaks off while the second batch is scored
         return lambda s2, s1: 1 / 0
 
-    done = lambda: sorted(tuple(r) for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/part-done").collect())
+    done = lambda: sorted(tuple(r)[:3] for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/part-done").collect())
     with pytest.raises(RuntimeError, match="broken"):
         embed_observations(obs, tiles, f"{tmp_path}/part", f"{tmp_path}/part-done", model, choices, committed=breaks)
     assert done() == [(1, 0, 0), (1, 0, 1), (1, 1, 0), (1, 1, 1), (2, 0, 0), (2, 0, 1)]
@@ -101,6 +101,24 @@ def test_batches_are_of_the_size_said(spark):
     found = in_batches(pixels.blocks(tiles, 2), 4).orderBy("tile_id", "block_y", "block_x").collect()
     assert [r["batch"] for r in found] == [k // 4 for k in range(len(found))] and len(found) == 2 + 1 + 9
     assert in_batches(pixels.blocks(tiles.limit(0), 2), 4).isEmpty()
+    waves = in_batches(pixels.blocks(tiles, 2), 2, 2).orderBy("tile_id", "block_y", "block_x").collect()
+    assert [(r["wave"], r["batch"]) for r in waves] == [(0, 0), (0, 0), (0, 1)] + [(1, k // 2) for k in range(9)]
+
+
+def test_waves_change_nothing_and_the_report_tells_what_was_done(spark, store, tmp_path):
+    obs, _, tiles = store
+    choices = Choices(slots=4, batch=3, wave=1, water=True)
+    embed_observations(obs, tiles, f"{tmp_path}/a", f"{tmp_path}/a-done", model, choices, report=f"{tmp_path}/report")
+    embed_observations(obs, tiles, f"{tmp_path}/b", f"{tmp_path}/b-done", model, Choices(slots=4, water=True))
+    rows = read(spark, f"{tmp_path}/a")
+    assert rows == read(spark, f"{tmp_path}/b")
+    got = {r["tile_id"]: r.asDict() for r in spark.read.parquet(f"{tmp_path}/report").collect()}
+    valid = {t: sum(r[0] == t for r in rows) for t in (1, 2)}
+    assert {t: r["valid_pixels"] for t, r in got.items()} == valid and {t: r["pixels"] for t, r in got.items()} == {1: 16, 2: 16}
+    assert {t: round(r["water_pct"] * 16 / 100) for t, r in got.items()} == {t: 16 - n for t, n in valid.items()}
+    assert (got[1]["dates_kept"], got[1]["asc_passes"], got[1]["desc_passes"]) == (3, 2, 2) and (got[2]["asc_passes"], got[2]["desc_passes"]) == (0, 0)
+    done = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/a-done")
+    assert sum(r["pixels"] for r in done.collect()) == len(rows) and done.count() == 8
 
 
 def test_water_and_least_counts_leave_pixels_out(spark, store, tmp_path):
