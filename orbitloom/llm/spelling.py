@@ -13,8 +13,8 @@ from orbitloom.llm.common import map_streams, stored, table
 
 #: Least code points and occurrences of a word, how much more frequent its form must be, and by what the checksum of a planted misspelling is divided.
 LEAST_CHARS, LEAST_COUNT, FACTOR, DIVISOR = 7, 2, 10, 31
-#: Letter groups of the trie, words that one shard of it is meant to hold, and entries after which a task sends what it has counted.
-GROUPS, SHARD, ENTRIES = 16, 20_000, 200_000
+#: Letter groups of the trie, words that one shard of it is meant to hold, words of a leaf that isn't cut further, and entries after which a task sends what it has counted.
+GROUPS, SHARD, LEAF, ENTRIES = 16, 20_000, 6, 200_000
 
 # Latin-1 writes each letter of a word as one byte, and everything outside of it as a question mark, so words are cut and lower-cased (A to Z alone) in one table.
 _WORDS = bytes(c if 97 <= c <= 122 or c >= 0xC0 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -57,11 +57,11 @@ def letter_groups(words: DataFrame, groups: int = GROUPS) -> dict[str, int]:
 
 
 class Trie:
-    """Words by their length and then by how many letters of each group they have, group after group; a leaf holds the words (word, n) alike in all."""
+    """Words by their length and then by how many letters of each group they have, group after group. A node is a dict by the next count, or, as long as few words lie there, a list of them as (word, n, vector)."""
 
     def __init__(self, groups: dict[str, int], number: int):
         self.groups, self.number = groups, number
-        self.root: dict = {}
+        self.root: dict | list = []
 
     def vector(self, word: str) -> list[int]:
         """The length, and then the letters of each group."""
@@ -71,11 +71,27 @@ class Trie:
             found[self.groups[c] + 1] += 1
         return found
 
-    def add(self, vector: list[int], word: str, n: int) -> None:
-        node = self.root
-        for count in vector[:-1]:
-            node = node.setdefault(count, {})
-        node.setdefault(vector[-1], []).append((word, n))
+    def split(self, leaf: list, at: int) -> dict | list:
+        """The node in place of a leaf, whose words agree before place `at` of their vectors."""
+        if len(leaf) <= LEAF or at > self.number:
+            return leaf
+        parts: dict[int, list] = {}
+        for entry in leaf:
+            parts.setdefault(entry[2][at], []).append(entry)
+        return {count: self.split(part, at + 1) for count, part in parts.items()}
+
+    def add(self, vector: list[int], word: str, n: int, at: int = 0) -> None:
+        """Adds a word below the root, which stands at place `at` of vectors."""
+        entry, node = (word, n, vector), self.root
+        if isinstance(node, list):
+            node.append(entry)
+            self.root = self.split(node, at)
+            return
+        while isinstance(child := node.setdefault(vector[at], []), dict):
+            node, at = child, at + 1
+        child.append(entry)
+        if len(child) > LEAF:
+            node[vector[at]] = self.split(child, at + 1)
 
 
 def visits(vector: list[int], split: set[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], int, int]]:
@@ -98,23 +114,31 @@ def visits(vector: list[int], split: set[tuple[int, ...]]) -> Iterator[tuple[tup
             stack.append(((*node, own - 1), more, 1))
 
 
-def search(node: dict | list, vector: list[int], at: int, more: int, less: int) -> Iterator[tuple[list, bool]]:
-    """(leaf, whether it has the word's own vector): the same search below a shard's node."""
+def search(node: dict | list, vector: list[int], at: int, more: int, less: int) -> Iterator[list]:
+    """The leaves that the same search reaches below a shard's node."""
     stack = [(node, at, more, less)]
     while stack:
         node, at, more, less = stack.pop()
-        if at == len(vector):
-            if more == (less != 0):  # a longer word has a surplus; an equally long one as much surplus as deficit
-                yield node, not more
+        if type(node) is list:
+            yield node
             continue
-        own = vector[at]
-        if (child := node.get(own)) is not None:
-            stack.append((child, at + 1, more, less))
+        own, get = vector[at], node.get
+        at += 1
+        if (child := get(own)) is not None:
+            stack.append((child, at, more, less))
         if not more:
-            if (child := node.get(own + 1)) is not None:
-                stack.append((child, at + 1, 1, less))
-        elif not less and own and (child := node.get(own - 1)) is not None:
-            stack.append((child, at + 1, more, 1))
+            if (child := get(own + 1)) is not None:
+                stack.append((child, at, 1, less))
+        elif not less and own and (child := get(own - 1)) is not None:
+            stack.append((child, at, more, 1))
+
+
+def looks(word: str, vector: list[int], other: str, others: list[int]) -> bool:
+    """Whether of two equally long words this one looks for the other: it meets its surplus first, or, where all counts are equal, is the smaller."""
+    for a, b in zip(vector, others, strict=True):
+        if a != b:
+            return a < b
+    return word < other
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -187,18 +211,17 @@ def near_words(words: DataFrame, groups: int = GROUPS, most: int = SHARD) -> Dat
         for shard, depth, more, less, word, n in rows:
             if shard != now:
                 yield from ((w, *x) for w, x in found.items())
-                now, found, trie.root = shard, {}, {}
+                now, found, trie.root = shard, {}, []
             vector = trie.vector(word)
             if more < 0:
-                trie.add([0, *vector[depth:]], word, n)
+                trie.add(vector, word, n, depth)
                 continue
-            best = None
-            if start := trie.root.get(0):
-                for leaf, alike in search(start, vector, depth, more, less):
-                    for other, m in leaf:
-                        if (not alike or less or word < other) and one_edit(word, other):
-                            best = better(best, m, other)
-                            found[other] = better(found.get(other), n, word)
+            best, size = None, len(word)
+            for leaf in search(trie.root, vector, depth, more, less):
+                for other, m, others in leaf:
+                    if one_edit(word, other) and (len(other) > size or looks(word, vector, other, others)):
+                        best = better(best, m, other)
+                        found[other] = better(found.get(other), n, word)
             if best:
                 yield word, *best
         yield from ((w, *x) for w, x in found.items())

@@ -8,7 +8,7 @@ import zlib
 import pytest
 
 from orbitloom.llm import queries, spelling
-from orbitloom.llm.spelling import Trie, near_words, one_edit, search, spelling_forms, split_nodes, visits, word_counts
+from orbitloom.llm.spelling import Trie, looks, near_words, one_edit, search, spelling_forms, split_nodes, visits, word_counts
 
 
 def edit_by_one(a, b):
@@ -61,27 +61,27 @@ def test_forms_are_those_of_brute_force(spark, groups, most):
     assert rows_of(spelling_forms(df, groups=groups, most=most)) == sorted(brute(words), key=str)
 
 
-def test_each_pair_is_met_once_and_the_budget_is_one_each():
+@pytest.mark.parametrize("leaf", [0, 6])
+def test_each_pair_is_met_once_and_the_budget_is_one_each(monkeypatch, leaf):
+    monkeypatch.setattr(spelling, "LEAF", leaf)
     words = some_words(random.Random(9), 400, "abc")
-    groups = {"a": 0, "b": 1, "c": 2}
-    trie = Trie(groups, 3)
+    trie = Trie({"a": 0, "b": 1, "c": 2}, 3)
     for w, n in words.items():
         trie.add(trie.vector(w), w, n)
-    met = collections.Counter()
+    met, seen = collections.Counter(), 0
     for w in words:
         v = trie.vector(w)
         for node, more, less in visits(v, {()}):
             start = trie.root.get(node[0])
-            if start is None:
-                continue
-            for leaf, alike in search(start, v, 1, more, less):
-                for x, _ in leaf:
-                    u = trie.vector(x)
-                    gain, loss = sum(max(0, b - a) for a, b in zip(v[1:], u[1:])), sum(max(0, a - b) for a, b in zip(v[1:], u[1:]))
-                    assert gain <= 1 and loss <= 1
-                    if (not alike or w < x) and one_edit(w, x):
+            for found in search(start, v, 1, more, less) if start is not None else ():
+                seen += len(found)
+                for x, _, u in found:
+                    assert u == trie.vector(x)
+                    if not leaf:  # leaves of full depth: nothing outside of the budget is reached
+                        assert sum(max(0, b - a) for a, b in zip(v[1:], u[1:])) <= 1 and sum(max(0, a - b) for a, b in zip(v[1:], u[1:])) <= 1
+                    if one_edit(w, x) and (len(x) > len(w) or looks(w, v, x, u)):
                         met[frozenset((w, x))] += 1
-    assert met == {frozenset((a, b)): 1 for a in words for b in words if a < b and edit_by_one(a, b)}
+    assert met == {frozenset((a, b)): 1 for a in words for b in words if a < b and edit_by_one(a, b)} and seen < 400 * 200
 
 
 def test_nodes_are_split_until_they_fit(spark):
