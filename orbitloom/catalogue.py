@@ -320,6 +320,15 @@ def scene_search(spark: SparkSession, sf: str) -> DataFrame:
     return scenes.scene_search(scene_table(spark, sf), "optical1", (20.0, 20.0, 50.0, 45.0), "2024-01-05", "2024-01-20", 60.0).select("item_id", "tile_id", "obs_date", "cloud_cover")
 
 
+@query("select item_id, tile_id, obs_date, cloud_cover from scenes where collection = 'optical2' and obs_date between date '2024-01-20' and date '2024-02-10' and cloud_cover < 80 and xmin <= 70 and xmax >= 10 and ymin <= 70 and ymax >= 10", "scenes")
+def scene_store_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search over a store of scenes by collection and month."""
+    path, s = new_path(spark, "scenes"), scene_table(spark, sf)
+    catalogues.write_scene_store(s, path)
+    store = catalogues.read_scene_store(spark, path, ", ".join(f"{c} {t}" for c, t in s.dtypes if c != "collection"))
+    return scenes.scene_search(store, "optical2", (10.0, 10.0, 70.0, 70.0), "2024-01-20", "2024-02-10", 80.0).select("item_id", "tile_id", "obs_date", "cloud_cover")
+
+
 @query(f"select tile_id, obs_date, item_ord, y20, x20, scl from scl_obs where scl not in {INVALID}", "scl_obs")
 def scl_valid(spark: SparkSession, sf: str) -> DataFrame:
     return optical.valid_observations(view(spark, sf, "scl_obs"))

@@ -22,6 +22,8 @@ def scene_search(scenes: DataFrame, collection: str, box: tuple[float, float, fl
     xmin, ymin, xmax, ymax = box
     date = F.col("obs_date") if "obs_date" in scenes.columns else F.to_date("ts")
     found = scenes.filter((F.col("collection") == collection) & date.between(F.lit(start).cast("date"), F.lit(end).cast("date")) & (F.col("cloud_cover") < max_cloud))
+    if "month" in scenes.columns:  # a store by month: only the months of the range are opened
+        found = found.filter(F.col("month").between(str(start)[:7], str(end)[:7]))
     found = found.filter(F.expr(f"xmin <= {xmax}D and xmax >= {xmin}D and ymin <= {ymax}D and ymax >= {ymin}D"))
     return found if tile is None else found.filter(F.col("tile_id").cast("string") == f"{tile_prefix}{tile}")
 

@@ -33,3 +33,14 @@ def read_granule_feed(spark: SparkSession, path: str) -> DataFrame:
     """Pages are numbered by the last number in the name of their file or, where Spark named the file, of its folder (a partition by page)."""
     pages = spark.read.text(path, wholetext=True).select(F.col("value").alias("page"), F.regexp_extract(F.regexp_replace(F.input_file_name(), r"/part-\d+-[^/]*$", ""), r"(\d+)[^/\d]*$", 1).cast("long").alias("page_no"))
     return parse_granules(pages)
+
+
+def write_scene_store(scenes: DataFrame, path: str) -> None:
+    """Scenes (collection, obs_date and others) as a table partitioned by collection and month; partitions that are written again are replaced."""
+    rows = scenes.withColumn("month", F.date_format("obs_date", "yyyy-MM"))
+    rows.repartition("collection", "month").sortWithinPartitions("collection", "month", "obs_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collection", "month").parquet(path)
+
+
+def read_scene_store(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """The store at path, whose other columns are given as DDL; a search (operators.scenes.scene_search) opens the folders of its collection and months alone."""
+    return spark.read.schema(f"{columns}, collection string, month string").parquet(path)

@@ -388,3 +388,19 @@ def test_boxes_of_all_sizes_meet_without_exploding(spark):
     cells = scenes.box_cells(s.filter("xmin <= xmax and ymin <= ymax").withColumn("own", scenes.box_level(3e-4)), 3e-4, F.array("own"))
     assert cells.groupBy("item_id").count().agg(F.max("count")).first()[0] <= 4
     assert scenes.scene_tile_overlap(s, t.limit(0), 1.0, tile_count=scenes.BROADCAST_TILES + 1).isEmpty()
+
+
+def test_a_search_opens_the_months_of_its_range_alone(spark, tmp_path):
+    day = datetime.date
+    rows = [(k, f"c{k % 2}", day(2023, 1 + k % 12, 1 + k % 28), k % 3, float(k % 100), 0.0, 0.0, 1.0, 1.0) for k in range(240)]
+    kind = "item_id int, obs_date date, tile_id int, cloud_cover double, xmin double, ymin double, xmax double, ymax double"
+    df = spark.createDataFrame([(r[0], *r[2:], r[1]) for r in rows], f"{kind}, collection string")
+    catalogues.write_scene_store(df, str(tmp_path / "store"))
+    for file in (tmp_path / "store").rglob("*.parquet"):
+        if not any(f"collection=c0/month=2023-{m}" in str(file) for m in ("03", "05")):
+            file.write_bytes(b"broken")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    store = catalogues.read_scene_store(spark, str(tmp_path / "store"), kind)
+    found = scenes.scene_search(store, "c0", (0.0, 0.0, 2.0, 2.0), "2023-03-05", "2023-05-20", 50.0)
+    want = {r[0] for r in rows if r[1] == "c0" and day(2023, 3, 5) <= r[2] <= day(2023, 5, 20) and r[4] < 50}
+    assert {r["item_id"] for r in found.collect()} == want and len(want) > 5
