@@ -62,7 +62,8 @@ def scene_tile_overlap(scenes: DataFrame, tiles: DataFrame, cell: float = 1.0, t
     if tile_count <= BROADCAST_TILES:
         return s.join(F.broadcast(t), on).select("s.item_id", "t.tile_id")
     sized = [df.filter("xmin <= xmax and ymin <= ymax").withColumn("own", box_level(cell)) for df in (scenes, tiles)]
-    used = [sorted(r["own"] for r in df.select("own").distinct().collect()) for df in sized]  # some tens of levels at most
+    levels_of = sized[0].select(F.lit(0).alias("side"), "own").unionByName(sized[1].select(F.lit(1).alias("side"), "own")).distinct().collect()  # some tens of levels at most
+    used = [sorted(r["own"] for r in levels_of if r["side"] == side) for side in (0, 1)]
 
     def met(at_home: int, from_level: int) -> DataFrame:
         """Boxes of one side in their own cells with boxes of the other that look there from levels that are finer by from_level at least."""
