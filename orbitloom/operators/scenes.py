@@ -117,9 +117,17 @@ def pixel_centres(pixels: DataFrame, tiles: DataFrame) -> DataFrame:
     return pixels.join(own, "tile_id").withColumns({"cx": F.expr("left + (x + 0.5D) * pixel_w"), "cy": F.expr("top + (y + 0.5D) * pixel_h")}).drop("left", "top", "pixel_w", "pixel_h")
 
 
-def parse_granules(pages: DataFrame, column: str = "page") -> DataFrame:
-    """Rows of a feed's entries in page order: `ord` is the place in the feed; entries without time or title go."""
-    schema = "feed struct<entry: array<struct<time_start: string, title: string>>>"
-    entries = pages.select("page_no", F.posexplode(F.from_json(column, schema)["feed"]["entry"]).alias("pos", "e"))
+#: A page of a feed in JSON.
+FEED = "feed struct<entry: array<struct<time_start: string, title: string>>>"
+
+
+def feed_granules(pages: DataFrame) -> DataFrame:
+    """Rows of the entries of pages (page_no, feed) in page order: `ord` is the place in the feed; entries without time or title go."""
+    entries = pages.select("page_no", F.posexplode(F.col("feed")["entry"]).alias("pos", "e"))
     kept = entries.filter("coalesce(e.time_start, '') <> '' and coalesce(e.title, '') <> ''")
     return kept.select((F.col("page_no").cast("long") * 1_000_000 + F.col("pos")).alias("ord"), F.col("e.title").alias("title"), obs_date(F.col("e.time_start")).alias("obs_date"))
+
+
+def parse_granules(pages: DataFrame, column: str = "page") -> DataFrame:
+    """feed_granules() of pages (page_no and a column of JSON)."""
+    return feed_granules(pages.select("page_no", F.from_json(column, FEED)["feed"].alias("feed")))

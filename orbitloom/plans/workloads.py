@@ -45,11 +45,11 @@ def warped_radar(sar_obs: DataFrame, grids: DataFrame, kind: str = "bilinear") -
     return resample.resample(sar_obs, ["tile_id", "orbit", "obs_date", "item_ord"], ["vv", "vh"], grids, kind)
 
 
-def granule_composite(spark: SparkSession, feed: str, base: str, pixels_: DataFrame) -> DataFrame:
-    """s1 cube of the second radar source, from a folder of feed pages: granules get addresses and a place in the reversed order of the feed, their pixels (item_id, tile_id, orbit, y, x, vv, vh) are joined by the name of the file, and of a date and orbit
-    the last scene with a value wins. Granules without pixels and pixels without a granule have no row."""
-    granules = scenes.granule_urls(read_granule_feed(spark, feed), base).select("item_id", "obs_date", "item_ord")
-    return radar_composite(pixels_.join(granules, "item_id"), last=True)
+def granule_composite(spark: SparkSession, feed: str, base: str, pixels_: DataFrame, read: Callable[[SparkSession, str], DataFrame] = read_granule_feed) -> DataFrame:
+    """s1 cube of the second radar source, from a folder of feed pages in files of their own (or of many, with read_feed_pages): granules get addresses and a place in the reversed order of the feed, their pixels (item_id, tile_id, orbit, y, x, vv, vh) are joined by the name of the file, and of a date and orbit
+    the last scene with a value wins. Granules without pixels and pixels without a granule have no row. The joined pixels are stored, as the composite reads them twice."""
+    granules = scenes.granule_urls(read(spark, feed), base).select("item_id", "obs_date", "item_ord")
+    return radar_composite(stored(pixels_.join(granules, "item_id"), "granules"), last=True)
 
 
 def valid_series(s2: DataFrame, s1: DataFrame, tiles: DataFrame, water: DataFrame | None = None, water_ratio: int = 2, least_s2: int = LEAST_VALID, least_s1: int = LEAST_VALID) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orbitloom.functions.scalars import obs_date
-from orbitloom.operators.scenes import parse_granules
+from orbitloom.operators.scenes import FEED, feed_granules, parse_granules
 
 SCENE = "id string, collection string, bbox array<double>, properties struct<datetime: string, cloud_cover: double, tile: string, epsg: int, orbit_state: string>, assets map<string, struct<href: string>>"
 
@@ -29,8 +29,18 @@ def read_scene_catalog(spark: SparkSession, path: str) -> DataFrame:
     return parse_scenes(spark.read.text(path), "value")
 
 
+def write_feed_pages(pages: DataFrame, path: str) -> None:
+    """Pages (page_no, feed) as files of many pages, one a line with its number, so that there are no more files than tasks."""
+    pages.select("page_no", "feed").write.json(path)
+
+
+def read_feed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The granules of a feed that write_feed_pages() wrote; a page's place is told by its number alone, and a large file is read by several tasks."""
+    return feed_granules(spark.read.schema(f"page_no long, {FEED}").json(path))
+
+
 def read_granule_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Pages are numbered by the last number in the name of their file or, where Spark named the file, of its folder (a partition by page)."""
+    """The granules of a feed whose pages are files of their own, as they were fetched; long feeds belong in files of many pages (write_feed_pages). Pages are numbered by the last number in the name of their file or, where Spark named the file, of its folder (a partition by page)."""
     pages = spark.read.text(path, wholetext=True).select(F.col("value").alias("page"), F.regexp_extract(F.regexp_replace(F.input_file_name(), r"/part-\d+-[^/]*$", ""), r"(\d+)[^/\d]*$", 1).cast("long").alias("page_no"))
     return parse_granules(pages)
 
