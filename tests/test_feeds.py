@@ -42,3 +42,10 @@ def test_composites_of_both_forms_of_a_feed_are_equal(spark, tmp_path):
     each = workloads.granule_composite(spark, f"{tmp_path}/each", "https://h", pixels).orderBy("obs_date").collect()
     many = workloads.granule_composite(spark, f"{tmp_path}/many", "https://h", pixels, catalogues.read_feed_pages).orderBy("obs_date").collect()
     assert each == many and [r["obs_date"] for r in many] == [datetime.date(2020, 5, 1), datetime.date(2020, 5, 2)]
+
+
+def test_asset_paths_writes_no_file_a_page(spark, feeds):
+    found = catalogue.QUERIES["asset_paths"](spark, SF)
+    assert files(feeds) <= 4 < spark.read.parquet(f"{SF}/events.parquet").selectExpr("floor(event_id / 100)").distinct().count()
+    entries = spark.read.parquet(f"{SF}/events.parquet").filter("event_id % 17 <> 0 and value >= 20").count()
+    assert found.filter("ord is null or path is null or item_id is null").isEmpty() and found.select("ord").distinct().count() == found.count() == entries
