@@ -49,3 +49,23 @@ def test_asset_paths_writes_no_file_a_page(spark, feeds):
     assert files(feeds) <= 4 < spark.read.parquet(f"{SF}/events.parquet").selectExpr("floor(event_id / 100)").distinct().count()
     entries = spark.read.parquet(f"{SF}/events.parquet").filter("event_id % 17 <> 0 and value >= 20").count()
     assert found.filter("ord is null or path is null or item_id is null").isEmpty() and found.select("ord").distinct().count() == found.count() == entries
+
+
+def test_feed_of_many_pages_a_file_keeps_its_order(spark, tmp_path):
+    """Numbers alone tell the order: pages lie in any order, in files that several tasks read."""
+    pages = [(n, ([("2020-05-01T01:00:00", f"A{n}\n\"é"), ("", "B"), (None, "C"), ("2020-05-02", f"D{n}"), ("2020-05-03", ""), ("2020-05-03", None)],)) for n in (100_000, 7, 10, 9)]
+    catalogues.write_feed_pages(spark.createDataFrame(pages, PAGE).repartition(1), str(tmp_path / "feed"))
+    assert files(tmp_path / "feed") == 1
+    least = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        rows = catalogues.read_feed_pages(spark, str(tmp_path / "feed"))
+        assert rows.rdd.getNumPartitions() > 1
+        got = [tuple(r) for r in rows.orderBy("ord").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", least)
+    assert got == [e for n, _ in sorted(pages) for e in ((n * 1_000_000, f"A{n}\n\"é", datetime.date(2020, 5, 1)), (n * 1_000_000 + 3, f"D{n}", datetime.date(2020, 5, 2)))]
+
+
+def test_read_granule_feed_writes_no_file_a_page(spark, feeds):
+    assert catalogue.QUERIES["read_granule_feed"](spark, SF).count() > 400 and files(feeds) <= 4
