@@ -131,10 +131,11 @@ def embed_observations(
     Blocks that the manifest names are left out. The others are done in batches: first a batch's vectors are written, then its blocks are added to the manifest with the number of their vectors, those without any too, then `committed` is called with the
     number of batches before. A run that breaks off keeps all batches before; what it wrote of the broken one is replaced by the next run. Dates are kept and times numbered by the whole tile, for a wave of tiles with pending blocks at a time; bands and
     amplitudes are read for the blocks of the batch. From a store (read_observations) only the folders of those tiles and blocks are read. If `report` is a path, tile_rows() of each wave are added there when it is done.
-    The tiles are stored first, as every step reads them and they may be made from a large table.
+    Tiles and region are stored first, as every step reads them and they may be made from large tables.
     """
     spark, choices = obs.optical.sparkSession, choices or Choices()
     tiles = stored(tiles.select("tile_id", "height", "width"), "tiles")
+    roi = None if roi is None else stored(roi.filter("in_roi > 0").select("tile_id", "y", "x", "in_roi"), "roi")
     kind = f"tile_id {dict(tiles.dtypes)['tile_id']}, block_y int, block_x int, pixels long"
     named = lambda: spark.read.schema(kind).option("recursiveFileLookup", "true").parquet(manifest) if exists(spark, manifest) else spark.createDataFrame([], kind)
     pending = stored(in_batches(pixels.pending_blocks(pixels.blocks(tiles, obs.block), named()), choices.batch, choices.wave), "pending")

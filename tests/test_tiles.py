@@ -199,3 +199,11 @@ def test_tiles_are_made_once(spark, store, tmp_path):
     once, made = seen_rows(tiles)
     embed_observations(obs, once, f"{tmp_path}/a", f"{tmp_path}/a-done", model, Choices(slots=4, batch=3, wave=1), report=f"{tmp_path}/report")
     assert len(read(spark, f"{tmp_path}/a")) == 32 and made.value == 2
+
+
+def test_a_region_is_made_once(spark, store, tmp_path):
+    obs, _, tiles = store
+    roi = spark.createDataFrame([(t, y, x, int(y > 0)) for t in (1, 2) for y in range(4) for x in range(4)], "tile_id int, y int, x int, in_roi int")
+    once, made = seen_rows(roi)
+    embed_observations(obs, tiles, f"{tmp_path}/a", f"{tmp_path}/a-done", model, Choices(slots=4, batch=4, wave=1), once)
+    assert {r[:3] for r in read(spark, f"{tmp_path}/a")} == {(t, y, x) for t in (1, 2) for y in (1, 2, 3) for x in range(4)} and made.value == 32
